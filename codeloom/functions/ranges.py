@@ -41,24 +41,15 @@ def range_bounds(col) -> tuple[Column, Column, Column]:
 def expand_ranges(df: DataFrame, col: str, out: str) -> DataFrame:
     """Add ``out``: one row per expanded code (others pass ``col`` through)."""
     valid, lo, hi = range_bounds(col)
-    tmp_v, tmp_lo, tmp_hi, tmp_c = "__rng_valid", "__rng_lo", "__rng_hi", "__rng_chunk"
+    v, lo_c, hi_c, ch = "__rng_valid", "__rng_lo", "__rng_hi", "__rng_chunk"
+    keep = [F.col(f"`{c}`") for c in df.columns]
     step = F.lit(CHUNK).cast("long")
-    staged = (
-        df.withColumn(tmp_v, valid)
-        .withColumn(tmp_lo, lo)
-        .withColumn(tmp_hi, hi)
-        .withColumn(
-            tmp_c,
-            F.explode(F.when(F.col(tmp_v), F.sequence(F.col(tmp_lo), F.col(tmp_hi), step))
-                      .otherwise(F.array(F.lit(None).cast("long")))),
-        )
-    )
-    inner = F.sequence(F.col(tmp_c), F.least(F.col(tmp_c) + (CHUNK - 1), F.col(tmp_hi)))
-    return (
-        staged.withColumn(
-            out,
-            F.explode(F.when(F.col(tmp_v), F.transform(inner, lambda x: x.cast("string")))
-                      .otherwise(F.array(F.col(col)))),
-        )
-        .drop(tmp_v, tmp_lo, tmp_hi, tmp_c)
-    )
+    chunked = df.select(
+        *keep, valid.alias(v), lo.alias(lo_c), hi.alias(hi_c),
+        F.explode(F.when(valid, F.sequence(lo, hi, step))
+                  .otherwise(F.array(F.lit(None).cast("long")))).alias(ch))
+    inner = F.sequence(F.col(ch), F.least(F.col(ch) + (CHUNK - 1), F.col(hi_c)))
+    return chunked.select(
+        *keep,
+        F.explode(F.when(F.col(v), F.transform(inner, lambda x: x.cast("string")))
+                  .otherwise(F.array(F.col(col)))).alias(out))

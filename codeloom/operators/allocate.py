@@ -58,22 +58,67 @@ def grade_matches(conc: DataFrame, code: str = "code", target: str = "target",
     return g.withColumn("match_quality", q)
 
 
-def allocate(facts: DataFrame, graded: DataFrame, code: str = "code_str", weight: str = "wt",
-             out: str = "wt_adj", drop_codes: Sequence[str] = DROP_CODES,
+def code_lookup(cmap: DataFrame, graded: DataFrame, drop_codes: Sequence[str] = DROP_CODES,
+                max_broadcast_rows: int | None = None, materialize: bool = True) -> DataFrame:
+    """Raw code -> cleaned code, classes and its graded concordance rows.
+
+    Only kept codes not in ``drop_codes`` appear; unmatched kept codes carry
+    one row with NULL target.  With ``materialize`` (before a join with the
+    records) it is written to the shared checkpoint folder and broadcast
+    when within the row bound, so the records are never shuffled; beyond
+    the bound AQE's skew-aware shuffle join takes over.
+    """
+    keep = drop_codes_filter(cmap.where("keep"), drop_codes, "code_str").drop("keep")
+    lk = keep.join(graded.withColumnRenamed("code", "code_str"), "code_str", "left")
+    return sized_broadcast(lk, max_broadcast_rows, materialize_first=materialize)
+
+
+def allocate(facts: DataFrame, cmap: DataFrame, graded: DataFrame, code: str = "code",
+             weight: str = "wt", out: str = "wt_adj", drop_codes: Sequence[str] = DROP_CODES,
              max_broadcast_rows: int | None = None) -> DataFrame:
-    """Facts x graded concordance (left), ``out = weight / n_targets``.
+    """Records x graded concordance (left), ``out = weight / n_targets``.
 
-    Facts with a dropped code are removed first (keeping NULL codes, T6).
-    Row level: a record matched to k targets becomes k rows.
+    Records whose code is NULL, not-employed or dropped are removed (C4, C5);
+    a record matched to k targets becomes k rows; an unmatched record stays
+    once with NULL target and NULL ``out``.  One broadcast hash join on the
+    raw code: the records are never shuffled.
     """
-    f = drop_codes_filter(facts, drop_codes, code)
-    c = sized_broadcast(graded.withColumnRenamed("code", code), max_broadcast_rows,
-                        materialize_first=True)
-    j = f.join(c, code, "left")
+    lk = code_lookup(cmap, graded, drop_codes, max_broadcast_rows)
+    j = facts.join(lk, facts[code] == lk.code_raw, "inner").drop("code_raw")
     return j.withColumn(out, F.col(weight) / F.col("n_targets"))
 
 
-def allocate_totals(facts: DataFrame, graded: DataFrame, code: str = "code_str",
+def code_stats(facts: DataFrame, code: str = "code", weight: str = "wt") -> DataFrame:
+    """Records reduced to one row per raw code: ``(code_raw, n_rows, wt_sum)``.
+
+    A map-side-combined aggregate: a code holding a third of all records
+    still ships one partial row per task.  It is both the distinct-code list
+    the matcher needs and the input of ``allocate_totals_from_stats``, so the
+    totals path reads the records once.
+    """
+    return facts.groupBy(F.col(code).cast("string").alias("code_raw")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(weight).alias("wt_sum"))
+
+
+def allocate_totals_from_stats(stats: DataFrame, cmap: DataFrame, graded: DataFrame,
+                               by: Sequence[str] = ("target", "match_quality"),
+                               drop_codes: Sequence[str] = DROP_CODES,
+                               max_broadcast_rows: int | None = None) -> DataFrame:
+    """Totals from per-code stats (see ``allocate_totals``).
+
+    Both sides are per-code tables (small), so the lookup is not
+    materialized; Catalyst/AQE size the join.
+    """
+    lk = code_lookup(cmap, graded.select("code", *[b for b in by if b != "code"], "n_targets"),
+                     drop_codes, max_broadcast_rows, materialize=False)
+    j = stats.join(lk, "code_raw", "inner")
+    keys = [*by, "n_targets"]
+    return (j.groupBy(*keys)
+            .agg(F.sum("n_rows").alias("n_rows"), F.sum("wt_sum").alias("wt_sum"))
+            .withColumn("wt_adj", F.round(F.col("wt_sum") / F.col("n_targets"), 4)))
+
+
+def allocate_totals(facts: DataFrame, cmap: DataFrame, graded: DataFrame, code: str = "code",
                     weight: str = "wt", by: Sequence[str] = ("target", "match_quality"),
                     drop_codes: Sequence[str] = DROP_CODES,
                     max_broadcast_rows: int | None = None) -> DataFrame:
@@ -82,18 +127,12 @@ def allocate_totals(facts: DataFrame, graded: DataFrame, code: str = "code_str",
     Output: ``*by, n_targets, n_rows, wt_sum, wt_adj`` where ``n_rows`` counts
     allocated rows, ``wt_sum`` sums the weights of those rows and ``wt_adj =
     round(wt_sum / n_targets, 4)`` is the allocated mass.  Unmatched records
-    form the group with NULL keys and NULL ``wt_adj``.
+    form the group with NULL keys and NULL ``wt_adj``.  Records are first
+    reduced to one row per raw code, so the join sees only distinct codes;
+    sums of integral weights are exact and divided once.
     """
-    f = drop_codes_filter(facts, drop_codes, code)
-    per_code = f.groupBy(F.col(code).alias("code")).agg(
-        F.count(F.lit(1)).alias("__n"), F.sum(weight).alias("__w"))
-    c = sized_broadcast(graded.select("code", *[b for b in by if b != "code"], "n_targets"),
-                        max_broadcast_rows, materialize_first=True)
-    j = per_code.join(c, "code", "left")
-    keys = [*by, "n_targets"]
-    return (j.groupBy(*keys)
-            .agg(F.sum("__n").alias("n_rows"), F.sum("__w").alias("wt_sum"))
-            .withColumn("wt_adj", F.round(F.col("wt_sum") / F.col("n_targets"), 4)))
+    return allocate_totals_from_stats(code_stats(facts, code, weight), cmap, graded, by,
+                                      drop_codes, max_broadcast_rows)
 
 
 def quality_sample(merged: DataFrame, tiers: Sequence[str] | None = ("clean", "acceptable"),

@@ -1,25 +1,29 @@
-"""Broadcast only what is proven small.
+"""Broadcast only what is proven small; materialize small derived tables once.
 
-``sized_broadcast`` counts at most ``max_rows + 1`` rows of the candidate
-side and adds the broadcast hint only under the bound.  Above it the join
-is left to Catalyst and AQE: a shuffle join whose skewed partitions AQE
-splits at run time (``spark.sql.adaptive.skewJoin.enabled``).
+``materialize`` writes a small derived table (dictionary, code map,
+concordance) as parquet into the cluster's shared ``spark.checkpoint.dir``
+and reads it back: lineage is cut, executor loss only re-reads files, and
+the row count is observed *during* the write (``DataFrame.observe``), so
+knowing the size costs no extra job.  The count travels with the returned
+DataFrame as a row bound.
 
-Derived small sides (a concordance built from the facts) should be
-materialized first (``materialize=True``): the lineage is cut with a
-checkpoint into the cluster's shared ``spark.checkpoint.dir``, so the count
-and the later join read the small result instead of recomputing it.
+``sized_broadcast`` adds the broadcast hint only when the row count is
+within bound: taken from a known bound when the caller has one (a table
+derived from a materialized one by a bounded fan-out), else counted with
+``limit(max_rows + 1)``.  Above the bound the join is left to Catalyst and
+AQE: a shuffle join whose skewed partitions AQE splits at run time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from codeloom.session import shared_dir
+from codeloom.session import scratch_path
 
 DEFAULT_MAX_ROWS = 2_000_000
 CONF_MAX_ROWS = "spark.codeloom.broadcast.maxRows"
+_ROWS_ATTR = "_codeloom_rows"
 
 
 def max_broadcast_rows(df: DataFrame, default: int = DEFAULT_MAX_ROWS) -> int:
@@ -27,10 +31,30 @@ def max_broadcast_rows(df: DataFrame, default: int = DEFAULT_MAX_ROWS) -> int:
     return int(v) if v else default
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Eager checkpoint into the shared checkpoint folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def known_rows(df: DataFrame) -> int | None:
+    """Exact row count of a materialized DataFrame, else None."""
+    return getattr(df, _ROWS_ATTR, None)
+
+
+def with_row_bound(df: DataFrame, rows: int | None) -> DataFrame:
+    if rows is not None:
+        setattr(df, _ROWS_ATTR, int(rows))
+    return df
+
+
+def bound_from(df: DataFrame, factor: int = 1) -> int | None:
+    """Upper bound for a table derived from ``df`` with at most ``factor`` rows per row."""
+    n = known_rows(df)
+    return None if n is None else n * factor
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared folder, read it back, keep its row count."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"codeloom_{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return with_row_bound(spark.read.parquet(path), obs.get["rows"])
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -38,10 +62,27 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None,
-                    materialize_first: bool = False) -> DataFrame:
-    """``F.broadcast(df)`` when the row count is within bound, else ``df``."""
+def sized_broadcast(df: DataFrame, max_rows: int | None = None, bound: int | None = None,
+                    materialize_first: bool = False, count_unknown: bool = False) -> DataFrame:
+    """``F.broadcast(df)`` when its row count is provably within ``max_rows``.
+
+    ``bound``: a proven upper bound on the rows (e.g. derived from a
+    materialized input).  ``materialize_first``: write ``df`` to the shared
+    folder first, which yields the exact count.  ``count_unknown``: count
+    (up to ``max_rows + 1``) when no bound is known.  Without a proven bound
+    no hint is added: Catalyst's size estimate and AQE's run-time sizes pick
+    the join (broadcast under ``spark.sql.autoBroadcastJoinThreshold``, else
+    a shuffle join with skew splitting).
+    """
     if materialize_first:
         df = materialize(df)
-    bound = max_rows if max_rows is not None else max_broadcast_rows(df)
-    return F.broadcast(df) if fits(df, bound) else df
+    limit = max_rows if max_rows is not None else max_broadcast_rows(df)
+    if bound is None:
+        bound = known_rows(df)
+    if bound is not None:
+        ok = bound <= limit
+    elif count_unknown:
+        ok = fits(df, limit)
+    else:
+        return df
+    return with_row_bound(F.broadcast(df), known_rows(df)) if ok else df

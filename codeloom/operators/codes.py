@@ -70,6 +70,27 @@ def distinct_codes(facts: DataFrame, code: str = "code_str") -> DataFrame:
     return add_code_columns(facts.select(F.col(code).alias("code")).distinct(), "code")
 
 
+def code_map(facts: DataFrame, code: str = "code", out: str = "code_str",
+             not_employed: str | None = NOT_EMPLOYED) -> DataFrame:
+    """Distinct raw codes -> cleaned code, class columns and a ``keep`` flag.
+
+    Cleaning (trim, class regexes) runs once per *distinct* raw value, never
+    per record; records meet the result through one hash join on the raw
+    code.  ``keep`` is false for NULL and the not-employed code (C4).
+    """
+    m = facts.select(F.col(code).cast("string").alias("code_raw")).distinct()
+    m = m.withColumn(out, trim_ws("code_raw"))
+    keep = F.coalesce(F.col(out) != not_employed, F.lit(False)) if not_employed is not None \
+        else F.col(out).isNotNull()
+    return add_code_columns(m.withColumn("keep", keep), out)
+
+
+def codes_from_map(cmap: DataFrame, code: str = "code_str") -> DataFrame:
+    """H10 from a ``code_map``: distinct kept codes with their class columns."""
+    return (cmap.where("keep")
+            .select(F.col(code).alias("code"), "code_type", "code_prefix", "code_6d").distinct())
+
+
 def drop_codes_filter(df: DataFrame, codes: Sequence[str], code: str = "code") -> DataFrame:
     """C5 with T6: ``!x %in% list`` keeps NULL codes, plain ``~isin`` would drop them."""
     return df.where(F.col(code).isNull() | ~F.col(code).isin(list(codes)))

@@ -32,13 +32,10 @@ def filter_sentinels(df: DataFrame, target: str = "target", raw: str = "raw",
 def explode_tokens(df: DataFrame, raw: str = "raw", flag: str = "multi_io",
                    token: str = "token") -> DataFrame:
     """Star flag per cell, stars removed, split (keeping empties), trimmed tokens."""
-    return (
-        df.withColumn(flag, F.col(raw).contains("*"))
-        .withColumn("__clean", F.regexp_replace(F.col(raw), r"\*", ""))
-        .withColumn(token, F.explode(split_list("__clean")))
-        .withColumn(token, trim_ws(token))
-        .drop("__clean")
-    )
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    split = df.select(*keep, F.col(raw).contains("*").alias(flag),
+                      F.explode(split_list(F.regexp_replace(F.col(raw), r"\*", ""))).alias("__tok"))
+    return split.select(*keep, flag, trim_ws("__tok").alias(token))
 
 
 def normalize_dictionary(df: DataFrame, target: str = "target", raw: str = "raw",
@@ -49,9 +46,9 @@ def normalize_dictionary(df: DataFrame, target: str = "target", raw: str = "raw"
     The dictionary is small (industries x codes), so the final ``distinct``
     is a cheap shuffle; nothing here scales with the fact tables.
     """
-    d = filter_sentinels(df.select(F.col(target).alias("target"), F.col(raw).alias("raw")),
-                         "target", "raw", sentinel)
-    d = explode_tokens(d, "raw", flag, "__token")
+    d = filter_sentinels(df.select(F.col(target).alias("__t"), F.col(raw).alias("__raw")),
+                         "__t", "__raw", sentinel)
+    d = explode_tokens(d, "__raw", flag, "__token").select("__t", flag, "__token")
     d = expand_ranges(d, "__token", "__expanded")
-    d = d.withColumn(key, pad_right_digits("__expanded", width))
-    return d.select(F.col("target").alias(target), key, flag).distinct()
+    return d.select(F.col("__t").alias(target), pad_right_digits("__expanded", width).alias(key),
+                    flag).distinct()

@@ -15,10 +15,11 @@ Physical plan notes
 -------------------
 * Only *distinct* codes are matched; the facts come back in one broadcast
   join at allocation time.
-* The cascade is a single equi-join on ``(L, key)``: each code emits its
-  exact key and its prefixes, each dictionary row the same, and a
-  ``max(L)`` window per code keeps the winning length.  No nested-loop or
-  ``startswith`` join, no repeated anti-join rounds.
+* The cascade is equi-joins on ``(L, key)``: each code emits its exact key
+  and its prefixes, a semi join against the distinct dictionary keys plus
+  ``max(L)`` per code picks the winning length, and only the winning key is
+  joined to the dictionary.  No nested-loop or ``startswith`` join, no
+  repeated anti-join rounds, no shorter-prefix blow-up.
 * Dedupe is ``min(struct(rank, tie-breaks...))`` per key: an aggregate that
   combines on the map side (no full sort of the window), deterministic
   because the order is total (T4).
@@ -28,13 +29,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codeloom.functions.classify import rank_of
 from codeloom.functions.text import strip_trailing
-from codeloom.operators.broadcast import sized_broadcast
+from codeloom.operators.broadcast import bound_from, sized_broadcast
 from codeloom.operators.codes import drop_codes_filter
 
 # Tiers of the person-code pipeline and their ranks
@@ -77,7 +78,8 @@ def _prefix_label(length_col) -> F.Column:
 def match_exact(codes: DataFrame, dictionary: DataFrame, key: str = "key6") -> DataFrame:
     """G1: numeric codes whose padded form equals a dictionary key."""
     c = codes.where((F.col("code_type") == "numeric") & F.col("code_6d").isNotNull())
-    d = sized_broadcast(dictionary.select("target", F.col(key).alias("__k"), "multi_io"))
+    d = sized_broadcast(dictionary.select("target", F.col(key).alias("__k"), "multi_io"),
+                        bound=bound_from(dictionary))
     return c.join(d, c.code_6d == d.__k, "inner").select(
         "code", "target", "multi_io", F.lit(EXACT).alias("match_type"))
 
@@ -104,7 +106,7 @@ def prefix_join(codes: DataFrame, dictionary: DataFrame, prefix_len: int,
     cand = cand.withColumn("__jp", F.substring("code_prefix", 1, prefix_len)) \
         .where(F.length("__jp") == prefix_len)
     d = dictionary.select("target", "multi_io", F.substring(key, 1, prefix_len).alias("__jp"))
-    return cand.join(sized_broadcast(d), "__jp", "inner").select(
+    return cand.join(sized_broadcast(d, bound=bound_from(dictionary)), "__jp", "inner").select(
         "code", "target", "multi_io", F.lit(f"prefix_{prefix_len}d").alias("match_type"))
 
 
@@ -134,18 +136,27 @@ def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
                          key: str = "key6") -> DataFrame:
     """Exact first, then the longest prefix length with any match.
 
-    Equal to running exact, 5, 4, 3, 2 as separate anti-join + join rounds,
-    in one broadcast equi-join plus one window.  ``codes`` are distinct codes
-    with class columns (``distinct_codes``); output is
-    ``(code, target, multi_io, match_type)``.
+    Equal to running exact, 5, 4, 3, 2 as separate anti-join + join rounds.
+    ``codes`` are distinct codes with class columns (``distinct_codes``);
+    output is ``(code, target, multi_io, match_type)``.
+
+    Plan: (1) each code emits at most ``1 + len(lengths)`` keys ``(L, key)``;
+    (2) a broadcast semi join against the *distinct* dictionary keys keeps
+    the keys that match anything, and ``max(struct(L, key))`` per code picks
+    the winning length (map-side combined); (3) only that key is joined to
+    the dictionary.  Shorter-prefix matches of a code are never produced, so
+    the work is linear in codes plus output, however broad a 2-character
+    prefix is.
     """
     assert all(n < width for n in lengths), "prefix lengths must be shorter than the key"
     ck = _code_keys(codes, lengths, width)
-    dk = sized_broadcast(_dictionary_keys(dictionary, lengths, width, key))
-    m = ck.join(dk, ["L", "key"], "inner")
-    best = m.withColumn("__lmax", F.max("L").over(Window.partitionBy("code"))) \
-        .where(F.col("L") == F.col("__lmax"))
-    return best.select(
+    dk = _dictionary_keys(dictionary, lengths, width, key)
+    bound = bound_from(dictionary, 1 + len(lengths))
+    hit = ck.join(sized_broadcast(dk.select("L", "key").distinct(), bound=bound), ["L", "key"], "left_semi")
+    best = hit.groupBy("code").agg(F.max(F.struct("L", "key")).alias("__b")) \
+        .select("code", "__b.L", "__b.key")
+    m = best.join(sized_broadcast(dk, bound=bound), ["L", "key"], "inner")
+    return m.select(
         "code", "target", "multi_io",
         F.when(F.col("L") == width, F.lit(EXACT)).otherwise(_prefix_label(F.col("L"))).alias("match_type"))
 
@@ -206,7 +217,7 @@ _TARIFF_COLS = ["target", "key6", "hts10", "match_type", "multi_io"]
 
 def tariff_exact(dictionary: DataFrame, trade: DataFrame) -> DataFrame:
     """Exact tier: dictionary key equals an unambiguous trade code."""
-    d = sized_broadcast(dictionary)
+    d = sized_broadcast(dictionary, bound=bound_from(dictionary))
     t = trade.where(~F.col("naics_ambiguous"))
     return t.join(d, t.naics == d.key6, "inner").select(
         "target", "key6", "hts10", F.lit(EXACT).alias("match_type"), "multi_io")
@@ -241,7 +252,7 @@ def match_wildcards(trade: DataFrame, dictionary: DataFrame,
         t = t.withColumn("__p", _family_key("__p", prefix_overrides, F.col("__p")))
     d = dictionary.withColumn("__p", _family_key("key6", prefix_overrides,
                                                  F.substring("key6", 1, key_len)))
-    return t.join(sized_broadcast(d), "__p", "inner").select(
+    return t.join(sized_broadcast(d, bound=bound_from(dictionary)), "__p", "inner").select(
         "target", "key6", "hts10", F.lit(AMBIGUOUS).alias("match_type"), "multi_io")
 
 
@@ -260,7 +271,7 @@ def fallback_5d(dictionary: DataFrame, trade: DataFrame, key_len: int = 5) -> Da
     """5-character fallback for dictionary rows without an exact match."""
     un = unmatched_dictionary(dictionary, trade).withColumn("__k", F.substring("key6", 1, key_len))
     t = trade.where(~F.col("naics_ambiguous")).withColumn("__k", F.substring("naics", 1, key_len))
-    return t.join(sized_broadcast(un), "__k", "inner").select(
+    return t.join(sized_broadcast(un, bound=bound_from(dictionary)), "__k", "inner").select(
         "target", "key6", "hts10", F.lit(FALLBACK).alias("match_type"), "multi_io")
 
 
@@ -315,7 +326,7 @@ def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Seque
         F.struct(F.lit(AMBIGUOUS).alias("tier"), F.when(keep_amb, stripped).alias("key")),
     )).alias("__k")).select("hts10", "__k.tier", "__k.key").where(F.col("key").isNotNull())
 
-    j = tkeys.join(sized_broadcast(dkeys), ["tier", "key"], "inner")
+    j = tkeys.join(sized_broadcast(dkeys, bound=bound_from(dictionary, 3)), ["tier", "key"], "inner")
     return j.select("target", "key6", "hts10", F.col("tier").alias("match_type"), "multi_io")
 
 

@@ -18,6 +18,7 @@ from codeloom.operators import allocate as al
 from codeloom.operators import codes as cd
 from codeloom.operators import dictionary as dc
 from codeloom.operators import match as mt
+from codeloom.operators.broadcast import known_rows, materialize, with_row_bound
 from codeloom.sources import fixtures as fx
 
 
@@ -39,11 +40,24 @@ class PersonPipeline:
 
     @cached_property
     def dictionary(self) -> DataFrame:
+        """Normalized dictionary (small; joined only with distinct codes)."""
         return dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir))
 
+    @cached_property
+    def code_stats(self) -> DataFrame:
+        """One scan of the records: per raw code, row count and weight sum (materialized)."""
+        return materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats")
+
+    @cached_property
+    def code_map(self) -> DataFrame:
+        """Distinct raw codes decoded once (trim, class columns, keep flag)."""
+        return with_row_bound(cd.code_map(self.code_stats, "code_raw", "code_str"),
+                              known_rows(self.code_stats))
+
     @cached_property
     def codes(self) -> DataFrame:
-        return cd.distinct_codes(self.facts, "code_str")
+        """Distinct kept codes with class columns (from the code map)."""
+        return cd.codes_from_map(self.code_map, "code_str")
 
     @cached_property
     def overrides(self) -> DataFrame:
@@ -56,19 +70,21 @@ class PersonPipeline:
 
     @cached_property
     def concordance(self) -> DataFrame:
-        return mt.person_concordance(self.codes, self.dictionary, self.overrides,
-                                     self.drop_codes, self.lengths)
+        m = cd.drop_codes_filter(self.matches, self.drop_codes)
+        return mt.best_match(m, ["code", "target"], mt.PERSON_RANKS, ["match_type", "multi_io"])
 
     @cached_property
     def graded(self) -> DataFrame:
         return al.grade_matches(self.concordance)
 
     def merged(self) -> DataFrame:
-        return al.allocate(self.facts, self.graded, "code_str", "wt", "wt_adj", self.drop_codes)
+        return al.allocate(self.raw_facts, self.code_map, self.graded, "code", "wt", "wt_adj",
+                           self.drop_codes)
 
-    def totals(self) -> DataFrame:
-        return al.allocate_totals(self.facts, self.graded, "code_str", "wt",
-                                  ("target", "match_quality"), self.drop_codes)
+    def totals(self, graded: DataFrame | None = None) -> DataFrame:
+        return al.allocate_totals_from_stats(self.code_stats, self.code_map,
+                                             self.graded if graded is None else graded,
+                                             ("target", "match_quality"), self.drop_codes)
 
 
 @dataclass
@@ -82,7 +98,9 @@ class TariffPipeline:
 
     @cached_property
     def dictionary(self) -> DataFrame:
-        return dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir))
+        """Normalized dictionary, materialized: its exact size licenses the
+        broadcast against the (large) trade table."""
+        return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
 
     @cached_property
     def trade(self) -> DataFrame:

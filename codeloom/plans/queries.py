@@ -102,13 +102,22 @@ def q_sink_parquet_roundtrip(spark, d):
     return spark.read.parquet(path)
 
 
+ANALYSIS_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("wt", T.DoubleType()), T.StructField("code", T.StringType()),
+    T.StructField("target", T.StringType()), T.StructField("multi_io", T.BooleanType()),
+    T.StructField("match_type", T.StringType()), T.StructField("n_targets", T.LongType()),
+    T.StructField("wt_adj", T.DoubleType()), T.StructField("match_quality", T.StringType()),
+])
+
+
 @query("analysis_file")
 def q_analysis_file(spark, d):
     path = scratch_path(spark, "analysis")
     merged = PersonPipeline(spark, d).merged()
     sinks.analysis_file(merged, path)
     cols = [c for c in merged.columns if c not in ("code_str", "code_type", "code_prefix", "code_6d")]
-    return spark.read.parquet(path).select(*cols)
+    return spark.read.schema(ANALYSIS_SCHEMA).parquet(path).select(*cols)
 
 
 # ---------------------------------------------------------------- B: projection
@@ -373,8 +382,7 @@ def q_two_sided_concordance(spark, d):
 def q_clean_sample_totals(spark, d):
     p = PersonPipeline(spark, d)
     kept = al.quality_sample(p.graded, ("clean", "acceptable"))
-    tot = al.allocate_totals(p.facts, kept, "code_str", "wt", ("target", "match_quality"), p.drop_codes)
-    return tot.where(F.col("match_quality").isNotNull())
+    return p.totals(kept).where(F.col("match_quality").isNotNull())
 
 
 # ---------------------------------------------------------------- R: reports
