@@ -149,6 +149,16 @@ select page_id, href, 'resume_click' as event_name, 'engagement' as event_catego
   coalesce(nullif(utm_source, ''), 'direct') as event_label
 from (select page_id, utm_source, unnest(regexp_extract_all(html, '{HREF_PATTERN}', 1)) as href
       from {_PAGES})
+where contains(href, {_q(LINK_NEEDLE)})""",
+    "source_visits_stream": f"""
+select page_id, 'source_visit' as event_name, 'traffic_source' as event_category,
+  nullif(utm_source, '') || coalesce(' | ' || nullif(utm_campaign, ''), '') as event_label
+from {_PAGES} where nullif(utm_source, '') is not null""",
+    "link_clicks_stream": f"""
+select page_id, href, 'resume_click' as event_name, 'engagement' as event_category,
+  coalesce(nullif(utm_source, ''), 'direct') as event_label
+from (select page_id, utm_source, unnest(regexp_extract_all(html, '{HREF_PATTERN}', 1)) as href
+      from {_PAGES})
 where contains(href, {_q(LINK_NEEDLE)})""",
     "consent_gate": f"""
 select doc_id, country, consent,

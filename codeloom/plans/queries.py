@@ -13,21 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codeloom.functions.classify import classify
 from codeloom.functions.ranges import expand_ranges
-from codeloom.functions.text import digits_only, pad_left, pad_right_digits, strip_code_suffix, trim_ws
+from codeloom.functions.text import digits_only, pad_left, pad_right_digits, trim_ws
 from codeloom.operators import allocate as al
 from codeloom.operators import codes as cd
 from codeloom.operators import dictionary as dc
 from codeloom.operators import match as mt
 from codeloom.operators import reports as rp
 from codeloom.operators import web
-from codeloom.operators.broadcast import sized_broadcast
 from codeloom.plans.pipelines import PersonPipeline, TariffPipeline
 from codeloom.session import scratch_path
 from codeloom.sources import fixtures as fx
 from codeloom.sources import sheets, sinks
 from codeloom.sources.tables import read_table
+from codeloom.streaming import web_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -454,5 +453,21 @@ def q_json_field(spark, d):
     return ev.select("event_id", "event_type", web.json_field("props", "k").alias("k"))
 
 
+@query("source_visits_stream")
+def q_source_visits_stream(spark, d):
+    """V1-V3 through Structured Streaming (file source, availableNow) = batch result."""
+    return web_stream.stream_to_table(spark, d, web_stream.PAGES_SCHEMA,
+                                      web_stream.source_visit_stream, "source_visits",
+                                      glob="pages.parquet")
+
+
+@query("link_clicks_stream")
+def q_link_clicks_stream(spark, d):
+    """V4 through Structured Streaming = batch result."""
+    return web_stream.stream_to_table(spark, d, web_stream.PAGES_SCHEMA,
+                                      lambda s: web_stream.link_click_stream(s, LINK_NEEDLE),
+                                      "link_clicks", glob="pages.parquet")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
