@@ -85,4 +85,8 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None, bound: int | Non
         ok = fits(df, limit)
     else:
         return df
-    return with_row_bound(F.broadcast(df), known_rows(df)) if ok else df
+    if not ok:
+        return df
+    out = with_row_bound(F.broadcast(df), known_rows(df))
+    out._codeloom_broadcast = True
+    return out

@@ -79,7 +79,7 @@ class PersonPipeline:
 
     def merged(self) -> DataFrame:
         return al.allocate(self.raw_facts, self.code_map, self.graded, "code", "wt", "wt_adj",
-                           self.drop_codes)
+                           self.drop_codes, stats=self.code_stats)
 
     def totals(self, graded: DataFrame | None = None) -> DataFrame:
         return al.allocate_totals_from_stats(self.code_stats, self.code_map,

@@ -1,8 +1,8 @@
 """Stand-in inputs for the crosswalk pipelines, derived from the driver tables.
 
-The crosswalk scripts read an industry dictionary sheet, person microdata
-and a trade concordance sheet.  None ships with the reference, so each view
-below derives one from a whole driver table (no row subsets): every row of
+The crosswalk pipelines read an industry dictionary sheet, person microdata
+and a trade concordance sheet.  Each view below derives a stand-in for one
+of them from a whole driver table (no row subsets): every row of
 the source table yields a row, and ``CASE`` shapes give the code variety
 the pipelines need (stars, ranges, lists, sentinels, suffix classes, white
 space, wildcards).
@@ -170,8 +170,8 @@ select case when o_orderkey % 2 = 0
 from orders
 """
 
-# Parameters of the two-sided pipeline for this fixture: the stand-ins of the
-# reference's dropped family and its 4-digit prefix family.
+# Parameters of the two-sided pipeline for this fixture: a dropped code family
+# and a family keyed on a shorter prefix.
 TRADE_DROP_PREFIXES = ("000",)
 TRADE_PREFIX_OVERRIDES = ("001",)
 

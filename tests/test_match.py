@@ -170,3 +170,22 @@ def test_fused_tariff_join_equals_three_joins(spark, seed):
     fused = mt.tariff_matches(d, t, ["000"], ["001"])
     three = mt.tariff_tiers(d, t, ["000"], ["001"])
     assert _rows(fused) == _rows(three)
+
+
+def test_salted_fallback_equals_broadcast_join(spark):
+    """Beyond the broadcast bound the salted shuffle join gives the same rows."""
+    rnd = random.Random(21)
+    d = spark.createDataFrame([(f"T{i % 4}", f"{k:04d}00", False) for i, k in enumerate(range(0, 40))],
+                              DICT_SCHEMA)
+    # one hot code with a third of all records
+    codes = ["0001"] * 300 + [f"{rnd.randrange(0, 60):04d}" for _ in range(600)]
+    facts = spark.createDataFrame([(i, c, float(i % 7 + 1)) for i, c in enumerate(codes)],
+                                  "id long, code string, wt double")
+    stats = al.code_stats(facts)
+    cmap = cd.code_map(stats, "code_raw", "code_str")
+    graded = al.grade_matches(mt.person_concordance(cd.codes_from_map(cmap), d, None))
+    bc = al.allocate(facts, cmap, graded, stats=stats)
+    salted = al.allocate(facts, cmap, graded, max_broadcast_rows=0, stats=stats)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan and "NestedLoop" not in plan
+    assert _rows(salted) == _rows(bc)
