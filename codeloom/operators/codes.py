@@ -71,14 +71,17 @@ def distinct_codes(facts: DataFrame, code: str = "code_str") -> DataFrame:
 
 
 def code_map(facts: DataFrame, code: str = "code", out: str = "code_str",
-             not_employed: str | None = NOT_EMPLOYED) -> DataFrame:
+             not_employed: str | None = NOT_EMPLOYED, already_distinct: bool = False) -> DataFrame:
     """Distinct raw codes -> cleaned code, class columns and a ``keep`` flag.
 
     Cleaning (trim, class regexes) runs once per *distinct* raw value, never
     per record; records meet the result through one hash join on the raw
     code.  ``keep`` is false for NULL and the not-employed code (C4).
+    ``already_distinct``: the input has one row per code (e.g. ``code_stats``).
     """
-    m = facts.select(F.col(code).cast("string").alias("code_raw")).distinct()
+    m = facts.select(F.col(code).cast("string").alias("code_raw"))
+    if not already_distinct:
+        m = m.distinct()
     m = m.withColumn(out, trim_ws("code_raw"))
     keep = F.coalesce(F.col(out) != not_employed, F.lit(False)) if not_employed is not None \
         else F.col(out).isNotNull()

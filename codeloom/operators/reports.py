@@ -63,11 +63,19 @@ def target_lists(conc: DataFrame, code: str = "code", target: str = "target",
         F.array_join(F.array_sort(F.collect_set(target)), sep).alias(out))
 
 
-def high_fanout_review(fan: DataFrame, conc: DataFrame, threshold: int = 2,
-                       code: str = "code", n: str = "n_targets") -> DataFrame:
-    """Codes above the fan-out threshold with their target list, descending."""
-    hi = fan.where(F.col(n) > threshold)
-    return hi.join(target_lists(conc, code), code, "left").orderBy(F.desc(n), code)
+def high_fanout_review(conc: DataFrame, threshold: int = 2, code: str = "code",
+                       target: str = "target", n: str = "n_targets",
+                       out: str = "target_list", sep: str = ", ") -> DataFrame:
+    """Codes with more than ``threshold`` targets, their list, descending.
+
+    Fan-out and list come from one ``collect_set`` per code (bounded by the
+    number of targets), so the concordance is aggregated once, not joined
+    with its own aggregate.
+    """
+    per = conc.groupBy(code).agg(F.array_sort(F.collect_set(target)).alias("__s"))
+    return (per.select(code, F.size("__s").cast("long").alias(n), F.array_join("__s", sep).alias(out))
+            .where(F.col(n) > threshold)
+            .orderBy(F.desc(n), code))
 
 
 def unclassified_counts(facts: DataFrame, code: str = "code_str", type_col: str = "code_type",

@@ -40,8 +40,9 @@ class PersonPipeline:
 
     @cached_property
     def dictionary(self) -> DataFrame:
-        """Normalized dictionary (small; joined only with distinct codes)."""
-        return dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir))
+        """Normalized dictionary, materialized: small, read by several tiers, and
+        its exact row count bounds every broadcast derived from it."""
+        return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
 
     @cached_property
     def code_stats(self) -> DataFrame:
@@ -51,7 +52,8 @@ class PersonPipeline:
     @cached_property
     def code_map(self) -> DataFrame:
         """Distinct raw codes decoded once (trim, class columns, keep flag)."""
-        return with_row_bound(cd.code_map(self.code_stats, "code_raw", "code_str"),
+        return with_row_bound(cd.code_map(self.code_stats, "code_raw", "code_str",
+                                          already_distinct=True),
                               known_rows(self.code_stats))
 
     @cached_property

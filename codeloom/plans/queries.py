@@ -401,8 +401,7 @@ def q_dropped_rows(spark, d):
 
 @query("high_fanout_review")
 def q_high_fanout_review(spark, d):
-    p = PersonPipeline(spark, d)
-    return rp.high_fanout_review(al.fanout(p.concordance), p.concordance, 2)
+    return rp.high_fanout_review(PersonPipeline(spark, d).concordance, 2)
 
 
 @query("quality_breakdown")

@@ -184,14 +184,14 @@ def labelled_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def value_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels exist for the nations of four of the five regions."""
+    """One label row per nation; nations of the fifth region carry no label (NULL)."""
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    return n.where(F.col("n_regionkey") < 4).select(
-        F.col("n_nationkey").alias("value"), F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")).alias("label"))
+    label = F.when(F.col("n_regionkey") < 4, F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")))
+    return n.select(F.col("n_nationkey").alias("value"), label.alias("label"))
 
 
 VALUE_LABELS_SQL = """
-select n_nationkey as value, ' '||n_name||' ' as label from nation where n_regionkey < 4
+select n_nationkey as value, case when n_regionkey < 4 then ' '||n_name||' ' end as label from nation
 """
 
 
