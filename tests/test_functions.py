@@ -85,3 +85,40 @@ def test_t11_split_keeps_empty_tokens(spark):
     df = spark.createDataFrame([("1234, 1235,",), ("",)], "c string")
     got = [r.t for r in df.select(split_list("c").alias("t")).collect()]
     assert got == [["1234", "1235", ""], [""]]
+
+
+def test_t6_drop_filter_keeps_null(spark):
+    from codeloom.operators.codes import drop_codes_filter
+
+    df = spark.createDataFrame([("999920",), (None,), ("3MS",), ("1234",)], "code string")
+    got = sorted((r.code or "") for r in drop_codes_filter(df, ["999920", "3MS", "4MS"]).collect())
+    assert got == ["", "1234"]
+
+
+def test_t9_percent_is_exact_half_up(spark):
+    from codeloom.operators.reports import percent_1dp
+
+    df = spark.createDataFrame([(1, 8), (49, 400), (1, 3), (2, 3), (0, 5), (3, 0)], "m long, t long")
+    got = [r.p for r in df.select(percent_1dp("m", "t").alias("p")).collect()]
+    assert got == [12.5, 12.3, 33.3, 66.7, 0.0, None]
+
+
+def test_d4_star_flags_the_whole_cell(spark):
+    from codeloom.operators.dictionary import normalize_dictionary
+
+    df = spark.createDataFrame([("A", "1111*, 2222"), ("B", "3333")], "target string, raw string")
+    got = sorted((r.target, r.key6, r.multi_io) for r in normalize_dictionary(df).collect())
+    assert got == [("A", "111100", True), ("A", "222200", True), ("B", "333300", False)]
+
+
+def test_d3_analysis_file_keeps_all_but_work_columns(spark):
+    from codeloom.session import scratch_path
+    from codeloom.sources.sinks import analysis_file
+
+    df = spark.createDataFrame([(1, "a", "x", "t", "p", "6", "clean", 2.0)],
+                               "id long, keepme string, code_str string, code_type string, "
+                               "code_prefix string, code_6d string, match_quality string, wt double")
+    path = scratch_path(spark, "test_analysis")
+    analysis_file(df, path)
+    back = spark.read.parquet(path)
+    assert sorted(back.columns) == ["id", "keepme", "match_quality", "wt"]
