@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from codeloom.operators.broadcast import sized_broadcast
 from codeloom.operators.codes import drop_codes_filter
-from codeloom.operators.match import DROP_CODES, EXACT, MANUAL
+from codeloom.functions.classify import rank_of
+from codeloom.operators.match import DROP_CODES, EXACT, MANUAL, PERSON_RANKS
 
 # Grading of a concordance row.  Exact and manual rows are
 # clean; others by the fan-out of their code: <= 4 acceptable, <= 15 coarse,
@@ -50,12 +51,41 @@ def grade_matches(conc: DataFrame, code: str = "code", target: str = "target",
     by the number of targets), equal to joining the ``fanout`` aggregate back.
     """
     n = F.size(F.collect_set(target).over(Window.partitionBy(code))).cast("long")
-    g = conc.withColumn("n_targets", n)
-    q = (F.when(F.col("match_type").isin(list(clean_types)), F.lit("clean"))
-         .when(F.col("n_targets") <= acceptable_max, F.lit("acceptable"))
-         .when(F.col("n_targets") <= coarse_max, F.lit("coarse"))
-         .otherwise(F.lit("unusable")))
-    return g.withColumn("match_quality", q)
+    return conc.withColumn("n_targets", n).withColumn(
+        "match_quality", _quality(clean_types, acceptable_max, coarse_max))
+
+
+def _quality(clean_types: Sequence[str], acceptable_max: int, coarse_max: int) -> F.Column:
+    return (F.when(F.col("match_type").isin(list(clean_types)), F.lit("clean"))
+            .when(F.col("n_targets") <= acceptable_max, F.lit("acceptable"))
+            .when(F.col("n_targets") <= coarse_max, F.lit("coarse"))
+            .otherwise(F.lit("unusable")))
+
+
+def best_graded(matches: DataFrame, ranks: dict[str, int] = PERSON_RANKS,
+                clean_types: Sequence[str] = CLEAN_TYPES, acceptable_max: int = ACCEPTABLE_MAX,
+                coarse_max: int = COARSE_MAX) -> DataFrame:
+    """E7 + E8 in one aggregate per code: best row per target, fan-out, grade.
+
+    Candidates of a code are collected as ``(target, rank, match_type,
+    multi_io)`` structs, sorted, and the first struct of each target kept
+    (the same total order as ``best_match`` with tie-breaks
+    ``match_type, multi_io``); the kept array's size is the fan-out.  One
+    shuffle by code replaces a dedupe shuffle by (code, target) plus a
+    window shuffle by code.  A group holds one code's matches at its best
+    prefix length, bounded by the dictionary, never by the records.
+    """
+    cand = matches.select("code", F.struct(
+        F.col("target"), rank_of("match_type", ranks).alias("rank"),
+        F.col("match_type"), F.col("multi_io")).alias("__m"))
+    per = cand.groupBy("code").agg(F.array_sort(F.collect_list("__m")).alias("__s"))
+    s = F.col("__s")
+    first_of_target = F.filter(
+        s, lambda x, i: F.coalesce(x["target"] != F.get(s, i - 1)["target"], F.lit(True)))
+    out = per.select("code", first_of_target.alias("__b")).select(
+        "code", F.size("__b").cast("long").alias("n_targets"), F.explode("__b").alias("__m"))
+    return out.select("code", "__m.target", "__m.multi_io", "__m.match_type", "n_targets") \
+        .withColumn("match_quality", _quality(clean_types, acceptable_max, coarse_max))
 
 
 def code_lookup(cmap: DataFrame, graded: DataFrame, drop_codes: Sequence[str] = DROP_CODES,

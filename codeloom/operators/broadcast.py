@@ -49,7 +49,13 @@ def bound_from(df: DataFrame, factor: int = 1) -> int | None:
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as parquet under the shared folder, read it back, keep its row count."""
+    """Write ``df`` as parquet under the shared folder, read it back, keep its row count.
+
+    The count is observed in the write's result stage, so each task's
+    contribution is applied once even when tasks are retried; it only ever
+    licenses a broadcast, so an estimate that erred high would merely
+    forgo one.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"codeloom_{name}")

@@ -114,16 +114,19 @@ def decode_value_labels(values: DataFrame, labels: DataFrame, value: str,
 
 def normalize_tariff(df: DataFrame, hts: str = "hts_raw", code: str = "code",
                      hts_width: int = 10, code_width: int = 6,
-                     wildcard: str = "X") -> DataFrame:
-    """``(hts10, naics, naics_ambiguous)`` distinct.
+                     wildcard: str = "X", distinct: bool = True) -> DataFrame:
+    """``(hts10, naics, naics_ambiguous)``, distinct.
 
     Ambiguous when the code holds the wildcard anywhere; tariff code reduced
     to digits and left-padded to 10; numeric codes left-padded to 6 (T10:
     left here, right on the dictionary side).  Padding never shortens (T1).
+    ``distinct=False`` skips the full-table dedupe where the consumer is
+    insensitive to duplicate rows (the deduplicated concordance).
     """
     d = df.select(
         pad_left(digits_only(hts), hts_width).alias("hts10"),
         F.when(is_digits(code), pad_left(code, code_width)).otherwise(F.col(code)).alias("naics"),
         F.col(code).contains(wildcard).alias("naics_ambiguous"),
     )
-    return d.where(F.col("hts10").isNotNull() & F.col("naics").isNotNull()).distinct()
+    d = d.where(F.col("hts10").isNotNull() & F.col("naics").isNotNull())
+    return d.distinct() if distinct else d

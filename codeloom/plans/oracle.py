@@ -56,6 +56,10 @@ _FAMILY_DICT = "case " + " ".join(
     f"when starts_with(key6, {_q(o)}) then {_q(o)}" for o in TRADE_PREFIX_OVERRIDES) + \
     " else substr(key6, 1, 5) end"
 
+_FAMILY_TRADE = "case " + " ".join(
+    f"when starts_with(pfx0, {_q(o)}) then {_q(o)}" for o in TRADE_PREFIX_OVERRIDES) + \
+    " else pfx0 end"
+
 # Ordered CTE library: (name, body).  Later CTEs may use earlier ones.
 CTES: list[tuple[str, str]] = [
     ("dict_raw", FIXTURE_SQL["dict_raw"]),
@@ -202,6 +206,20 @@ select target, key6, hts10, match_type, multi_io from (
       order by case match_type when 'exact_6d' then 1 when 'ambiguous_prefix' then 2
                when 'fallback_5d' then 3 end, key6, multi_io) as rn
   from x_tiers)
+where rn = 1"""),
+    ("x_wild_i", f"""
+select d.target, d.key6, t.hts10, 'ambiguous_prefix' as match_type, d.multi_io
+from (select *, {_FAMILY_TRADE} as pfx from (
+        select *, regexp_replace(naics, 'X+$', '') as pfx0 from trade
+        where naics_ambiguous and {_TRADE_DROP})) t
+join (select *, {_FAMILY_DICT} as pfx from dict_long) d on t.pfx = d.pfx"""),
+    ("x_conc_i", """
+select target, key6, hts10, match_type, multi_io from (
+  select *, row_number() over (
+      partition by target, hts10
+      order by case match_type when 'exact_6d' then 1 when 'ambiguous_prefix' then 2
+               when 'fallback_5d' then 3 end, key6, multi_io) as rn
+  from (select * from x_exact union all select * from x_wild_i union all select * from x_fallback))
 where rn = 1"""),
     ("x_fan", """
 select hts10, count(distinct target) as n_targets from x_conc group by hts10"""),

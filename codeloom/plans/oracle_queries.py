@@ -118,6 +118,7 @@ from (select *, regexp_replace(hts_raw, '[^0-9]', '', 'g') as dg from trade_raw)
     "allocate_weights": _totals(),
     "normalize_tariff": "select * from trade",
     "two_sided_concordance": "select * from x_conc",
+    "two_sided_concordance_intent": "select * from x_conc_i",
     "clean_sample_totals": _totals("where match_quality in ('clean', 'acceptable')"),
     # R
     "coverage": f"""
@@ -128,6 +129,10 @@ select 'tariff' as pipeline, m as n_matched, t as n_total, {_pct('m', 't')} as p
 from (select (select count(distinct target) from x_conc) as m,
              (select count(distinct target) from dict_long) as t)""",
     "dropped_rows": f"select count(*) filter (where {_TRADE_DROP_ANY}) as n_dropped from trade",
+    "dropped_codes": f"""
+select d.code, coalesce(n.n_rows, 0) as n_rows
+from (select unnest([{', '.join(_q(c) for c in DROP_CODES)}]) as code) d
+left join (select code_str, count(*) as n_rows from facts group by code_str) n on d.code = n.code_str""",
     "high_fanout_review": """
 select f.code, f.n_targets, l.target_list
 from p_fan f left join (select code, string_agg(distinct target, ', ' order by target) as target_list

@@ -71,13 +71,14 @@ class PersonPipeline:
         return mt.person_matches(self.codes, self.dictionary, self.overrides, self.lengths)
 
     @cached_property
-    def concordance(self) -> DataFrame:
-        m = cd.drop_codes_filter(self.matches, self.drop_codes)
-        return mt.best_match(m, ["code", "target"], mt.PERSON_RANKS, ["match_type", "multi_io"])
+    def graded(self) -> DataFrame:
+        """Best row per (code, target) with fan-out and grade, one aggregate per code."""
+        return al.best_graded(cd.drop_codes_filter(self.matches, self.drop_codes))
 
     @cached_property
-    def graded(self) -> DataFrame:
-        return al.grade_matches(self.concordance)
+    def concordance(self) -> DataFrame:
+        """``(code, target, multi_io, match_type)``, unique per (code, target)."""
+        return self.graded.select("code", "target", "multi_io", "match_type")
 
     def merged(self) -> DataFrame:
         return al.allocate(self.raw_facts, self.code_map, self.graded, "code", "wt", "wt_adj",
@@ -108,7 +109,14 @@ class TariffPipeline:
     def trade(self) -> DataFrame:
         return cd.normalize_tariff(fx.trade_raw(self.spark, self.sf_dir))
 
+    @cached_property
+    def trade_rows(self) -> DataFrame:
+        """Normalized trade rows *without* the table-wide distinct: the
+        concordance keeps one row per (target, tariff code), so duplicate
+        trade rows cannot change it, and the large side skips a full shuffle."""
+        return cd.normalize_tariff(fx.trade_raw(self.spark, self.sf_dir), distinct=False)
+
     @cached_property
     def concordance(self) -> DataFrame:
-        return mt.two_sided_concordance(self.dictionary, self.trade, self.drop_prefixes,
+        return mt.two_sided_concordance(self.dictionary, self.trade_rows, self.drop_prefixes,
                                         self.prefix_overrides, self.overrides_both_sides)

@@ -377,6 +377,12 @@ def q_two_sided_concordance(spark, d):
     return TariffPipeline(spark, d).concordance
 
 
+@query("two_sided_concordance_intent")
+def q_two_sided_concordance_intent(spark, d):
+    """E12 with the D1 switch on: family override applied to both sides."""
+    return TariffPipeline(spark, d, overrides_both_sides=True).concordance
+
+
 @query("clean_sample_totals")
 def q_clean_sample_totals(spark, d):
     p = PersonPipeline(spark, d)
@@ -399,6 +405,17 @@ def q_dropped_rows(spark, d):
     return rp.rows_with_prefix(TariffPipeline(spark, d).trade, "naics", fx.TRADE_DROP_PREFIXES)
 
 
+@query("dropped_codes")
+def q_dropped_codes(spark, d):
+    """R2 (person side): records carrying each unassignable code (0 when absent)."""
+    p = PersonPipeline(spark, d)
+    per_code = (p.code_stats.join(p.code_map.where("keep"), "code_raw")
+                .groupBy(F.col("code_str").alias("code")).agg(F.sum("n_rows").alias("n_rows")))
+    drop = spark.createDataFrame([(c,) for c in p.drop_codes], "code string")
+    return (drop.join(per_code, "code", "left")
+            .select("code", F.coalesce(F.col("n_rows"), F.lit(0).cast("long")).alias("n_rows")))
+
+
 @query("high_fanout_review")
 def q_high_fanout_review(spark, d):
     return rp.high_fanout_review(PersonPipeline(spark, d).concordance, 2)

@@ -189,3 +189,22 @@ def test_salted_fallback_equals_broadcast_join(spark):
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "xxhash64" in plan and "NestedLoop" not in plan
     assert _rows(salted) == _rows(bc)
+
+
+@pytest.mark.parametrize("seed", [15, 16, 17])
+def test_fused_best_graded_equals_dedupe_then_grade(spark, seed):
+    d, codes = _random_world(spark, seed)
+    m = mt.person_matches(codes, d, mt.override_table(spark))
+    two_step = al.grade_matches(mt.best_match(m, ["code", "target"], mt.PERSON_RANKS,
+                                              ["match_type", "multi_io"]))
+    assert _rows(al.best_graded(m)) == _rows(two_step)
+
+
+def test_concordance_ignores_duplicate_trade_rows(spark, sf_dir):
+    from codeloom.plans.pipelines import TariffPipeline
+
+    t = TariffPipeline(spark, sf_dir)
+    dup = mt.two_sided_concordance(t.dictionary, t.trade_rows.unionByName(t.trade_rows),
+                                   t.drop_prefixes, t.prefix_overrides)
+    assert _rows(dup) == _rows(mt.two_sided_concordance(t.dictionary, t.trade, t.drop_prefixes,
+                                                        t.prefix_overrides))
