@@ -110,14 +110,20 @@ def prefix_join(codes: DataFrame, dictionary: DataFrame, prefix_len: int,
         "code", "target", "multi_io", F.lit(f"prefix_{prefix_len}d").alias("match_type"))
 
 
-def _code_keys(codes: DataFrame, lengths: Sequence[int], width: int) -> DataFrame:
-    entries = [F.struct(F.lit(width).alias("L"),
-                        F.when(F.col("code_type") == "numeric", F.col("code_6d")).alias("key"))]
+def _code_key(length, lengths: Sequence[int], width: int) -> F.Column:
+    """The probe key of a code at prefix length ``length`` (exact key at ``width``)."""
+    expr = F.when(length == width, F.when(F.col("code_type") == "numeric", F.col("code_6d")))
     for n in lengths:
         p = F.substring("code_prefix", 1, n)
-        entries.append(F.struct(F.lit(n).alias("L"), F.when(F.length(p) == n, p).alias("key")))
-    return (codes.select("code", F.explode(F.array(*entries)).alias("__k"))
-            .select("code", "__k.L", "__k.key").where(F.col("key").isNotNull()))
+        expr = expr.when(length == n, F.when(F.length(p) == n, p))
+    return expr
+
+
+def _code_keys(codes: DataFrame, lengths: Sequence[int], width: int) -> DataFrame:
+    probes = F.explode(F.array(*[F.lit(n) for n in (width, *lengths)])).alias("L")
+    return (codes.select("code", "code_type", "code_prefix", "code_6d", probes)
+            .withColumn("key", _code_key(F.col("L"), lengths, width))
+            .where(F.col("key").isNotNull()))
 
 
 def _dictionary_keys(dictionary: DataFrame, lengths: Sequence[int], width: int,
@@ -142,8 +148,8 @@ def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
 
     Plan: (1) each code emits at most ``1 + len(lengths)`` keys ``(L, key)``;
     (2) a broadcast semi join against the *distinct* dictionary keys keeps
-    the keys that match anything, and ``max(struct(L, key))`` per code picks
-    the winning length (map-side combined); (3) only that key is joined to
+    the keys that match anything, and ``max(L)`` per code picks the winning
+    length (a map-side-combined hash aggregate); (3) only that key is joined to
     the dictionary.  Shorter-prefix matches of a code are never produced, so
     the work is linear in codes plus output, however broad a 2-character
     prefix is.
@@ -153,8 +159,10 @@ def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
     dk = _dictionary_keys(dictionary, lengths, width, key)
     bound = bound_from(dictionary, 1 + len(lengths))
     hit = ck.join(sized_broadcast(dk.select("L", "key").distinct(), bound=bound), ["L", "key"], "left_semi")
-    best = hit.groupBy("code").agg(F.max(F.struct("L", "key")).alias("__b")) \
-        .select("code", "__b.L", "__b.key")
+    # max(L) per code is a hash aggregate on an int; the key is a function of
+    # (code, L), so it is rebuilt instead of carried through the aggregate.
+    best = (hit.groupBy("code", "code_type", "code_prefix", "code_6d").agg(F.max("L").alias("L"))
+            .withColumn("key", _code_key(F.col("L"), lengths, width)).select("code", "L", "key"))
     m = best.join(sized_broadcast(dk, bound=bound), ["L", "key"], "inner")
     return m.select(
         "code", "target", "multi_io",

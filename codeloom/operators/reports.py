@@ -23,6 +23,12 @@ def percent_1dp(num: str, den: str) -> F.Column:
     return tenths / F.lit(10.0)
 
 
+def percent_label(col: str) -> F.Column:
+    """Display text ``12.3%`` of an already rounded percentage (T9: a double,
+    never a decimal, goes into ``format_string``)."""
+    return F.format_string("%.1f%%", F.col(col).cast("double"))
+
+
 def coverage(total_keys: DataFrame, matched_keys: DataFrame, key: str, label: str) -> DataFrame:
     """One row ``(pipeline, n_matched, n_total, pct)``.
 
@@ -33,8 +39,9 @@ def coverage(total_keys: DataFrame, matched_keys: DataFrame, key: str, label: st
         matched_keys.select(F.col(key).alias("__k"), F.lit(True).alias("__m")))
     agg = u.agg(F.count_distinct(F.when(F.col("__m"), F.col("__k"))).alias("n_matched"),
                 F.count_distinct(F.when(~F.col("__m"), F.col("__k"))).alias("n_total"))
-    return agg.select(F.lit(label).alias("pipeline"), "n_matched", "n_total",
-                      percent_1dp("n_matched", "n_total").alias("pct"))
+    return (agg.select(F.lit(label).alias("pipeline"), "n_matched", "n_total",
+                       percent_1dp("n_matched", "n_total").alias("pct"))
+            .withColumn("pct_label", percent_label("pct")))
 
 
 def count_by(df: DataFrame, col: str, out: str = "n") -> DataFrame:

@@ -122,12 +122,13 @@ from (select *, regexp_replace(hts_raw, '[^0-9]', '', 'g') as dg from trade_raw)
     "clean_sample_totals": _totals("where match_quality in ('clean', 'acceptable')"),
     # R
     "coverage": f"""
+select *, printf('%.1f%%', pct) as pct_label from (
 select 'persons' as pipeline, m as n_matched, t as n_total, {_pct('m', 't')} as pct
 from (select (select count(distinct code) from p_conc) as m, (select count(distinct code) from codes) as t)
 union all
 select 'tariff' as pipeline, m as n_matched, t as n_total, {_pct('m', 't')} as pct
 from (select (select count(distinct target) from x_conc) as m,
-             (select count(distinct target) from dict_long) as t)""",
+             (select count(distinct target) from dict_long) as t))""",
     "dropped_rows": f"select count(*) filter (where {_TRADE_DROP_ANY}) as n_dropped from trade",
     "dropped_codes": f"""
 select d.code, coalesce(n.n_rows, 0) as n_rows
