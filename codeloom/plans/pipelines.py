@@ -9,7 +9,7 @@ allocation time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,7 +97,6 @@ class TariffPipeline:
     drop_prefixes: tuple[str, ...] = fx.TRADE_DROP_PREFIXES
     prefix_overrides: tuple[str, ...] = fx.TRADE_PREFIX_OVERRIDES
     overrides_both_sides: bool = False
-    _cache: dict = field(default_factory=dict, repr=False)
 
     @cached_property
     def dictionary(self) -> DataFrame:
