@@ -9,6 +9,7 @@ allocation time.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -42,12 +43,29 @@ class PersonPipeline:
     def dictionary(self) -> DataFrame:
         """Normalized dictionary, materialized: small, read by several tiers, and
         its exact row count bounds every broadcast derived from it."""
-        return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
+        return self._small_tables[1]
+
+    @cached_property
+    def _small_tables(self) -> tuple[DataFrame, DataFrame]:
+        """Materialize the per-code stats and the dictionary as two concurrent jobs.
+
+        They are independent, so they are submitted from two threads (Spark
+        schedules jobs of one application concurrently); the small dictionary
+        job then hides behind the scan of the records.
+        """
+        jobs = {
+            "code_stats": lambda: materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats"),
+            "dictionary": lambda: materialize(
+                dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary"),
+        }
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            futures = {k: pool.submit(f) for k, f in jobs.items()}
+            return futures["code_stats"].result(), futures["dictionary"].result()
 
     @cached_property
     def code_stats(self) -> DataFrame:
         """One scan of the records: per raw code, row count and weight sum (materialized)."""
-        return materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats")
+        return self._small_tables[0]
 
     @cached_property
     def code_map(self) -> DataFrame:
