@@ -115,11 +115,15 @@ class TariffPipeline:
     drop_prefixes: tuple[str, ...] = fx.TRADE_DROP_PREFIXES
     prefix_overrides: tuple[str, ...] = fx.TRADE_PREFIX_OVERRIDES
     overrides_both_sides: bool = False
+    shared_dictionary: DataFrame | None = None
 
     @cached_property
     def dictionary(self) -> DataFrame:
         """Normalized dictionary, materialized: its exact size licenses the
-        broadcast against the (large) trade table."""
+        broadcast against the (large) trade table.  A dictionary already
+        materialized by another pipeline over the same cells can be passed in."""
+        if self.shared_dictionary is not None:
+            return self.shared_dictionary
         return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
 
     @cached_property

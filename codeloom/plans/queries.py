@@ -394,7 +394,7 @@ def q_clean_sample_totals(spark, d):
 @query("coverage")
 def q_coverage(spark, d):
     p = PersonPipeline(spark, d)
-    t = TariffPipeline(spark, d)
+    t = TariffPipeline(spark, d, shared_dictionary=p.dictionary)
     persons = rp.coverage(p.codes, p.concordance, "code", "persons")
     tariff = rp.coverage(t.dictionary, t.concordance, "target", "tariff")
     return persons.unionByName(tariff)
