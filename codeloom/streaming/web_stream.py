@@ -60,11 +60,17 @@ def link_click_stream(pages: DataFrame, needle: str) -> DataFrame:
         "page_id", "href", "event_name", "event_category", "event_label")
 
 
-def run_available_now(stream: DataFrame, name: str) -> str:
-    """Drain everything available into a fresh parquet sink; return the sink path."""
+def run_available_now(stream: DataFrame, name: str, sink: str | None = None,
+                      checkpoint: str | None = None) -> str:
+    """Drain everything available into a parquet sink; return the sink path.
+
+    With a stable ``sink`` and ``checkpoint`` a later run resumes after the
+    last committed batch (only new files are read); without them a fresh
+    pair is made under the shared folder.
+    """
     spark = stream.sparkSession
-    sink = scratch_path(spark, f"{name}-sink")
-    ckpt = scratch_path(spark, f"{name}-checkpoint")
+    sink = sink or scratch_path(spark, f"{name}-sink")
+    ckpt = checkpoint or scratch_path(spark, f"{name}-checkpoint")
     q = (stream.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", ckpt)
          .trigger(availableNow=True)
@@ -78,8 +84,9 @@ def run_available_now(stream: DataFrame, name: str) -> str:
 def stream_to_table(spark: SparkSession, source: str, schema: T.StructType,
                     rule: Callable[[DataFrame], DataFrame], name: str,
                     max_files_per_trigger: int | None = None,
-                    glob: str | None = None) -> DataFrame:
+                    glob: str | None = None, sink: str | None = None,
+                    checkpoint: str | None = None) -> DataFrame:
     """Apply ``rule`` to a file stream, drain it, read the sink back as a batch table."""
     out = rule(read_stream(spark, source, schema, max_files_per_trigger, glob))
-    sink = run_available_now(out, name)
+    sink = run_available_now(out, name, sink, checkpoint)
     return spark.read.schema(out.schema).parquet(sink)

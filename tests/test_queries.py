@@ -77,3 +77,19 @@ def test_flagship_totals_scan_facts_once(spark, sf_dir):
     p = PersonPipeline(spark, sf_dir)
     plan = p.totals()._jdf.queryExecution().executedPlan().toString()
     assert "lineitem" not in plan
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_level_allocation_never_shuffles_the_records(spark, sf_dir):
+    """The record scan feeds a broadcast hash join directly (no exchange above it)."""
+    plan = _plan(QUERIES["merge_persons"](spark, sf_dir))
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_two_sided_concordance_broadcasts_the_dictionary(spark, sf_dir):
+    plan = _plan(QUERIES["two_sided_concordance"](spark, sf_dir))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
