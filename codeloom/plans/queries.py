@@ -75,11 +75,17 @@ def q_scan_microdata(spark, d):
 @query("literal_override_table")
 def q_literal_override_table(spark, d):
     p = PersonPipeline(spark, d)
-    per_code = p.facts.groupBy(F.col("code_str").alias("code")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return (p.overrides.join(per_code, "code", "left")
+    return (p.overrides.join(_rows_per_code(p).select("code", "n_rows"), "code", "left")
             .withColumn("n_rows", F.coalesce(F.col("n_rows"), F.lit(0).cast("long"))))
 
 
+def _rows_per_code(p: PersonPipeline) -> DataFrame:
+    """Records per cleaned (kept) code, from the per-code stats: no record rescan."""
+    return (p.code_stats.join(p.code_map.where("keep"), "code_raw")
+            .groupBy(F.col("code_str").alias("code"))
+            .agg(F.sum("n_rows").alias("n_rows"), F.first("code_type").alias("code_type")))
+
+
 GRADED_SCHEMA = T.StructType([
     T.StructField("code", T.StringType()), T.StructField("target", T.StringType()),
     T.StructField("multi_io", T.BooleanType()), T.StructField("match_type", T.StringType()),
@@ -251,7 +257,9 @@ def q_match_type_breakdown(spark, d):
 
 @query("count_unclassified")
 def q_count_unclassified(spark, d):
-    return rp.unclassified_counts(PersonPipeline(spark, d).facts)
+    """Rows per unclassified code and the total (rollup over per-code counts)."""
+    per_code = _rows_per_code(PersonPipeline(spark, d)).where(F.col("code_type") == "other")
+    return per_code.rollup(F.col("code").alias("code_str")).agg(F.sum("n_rows").alias("n_rows"))
 
 
 @query("fanout_histogram")
@@ -409,10 +417,8 @@ def q_dropped_rows(spark, d):
 def q_dropped_codes(spark, d):
     """R2 (person side): records carrying each unassignable code (0 when absent)."""
     p = PersonPipeline(spark, d)
-    per_code = (p.code_stats.join(p.code_map.where("keep"), "code_raw")
-                .groupBy(F.col("code_str").alias("code")).agg(F.sum("n_rows").alias("n_rows")))
     drop = spark.createDataFrame([(c,) for c in p.drop_codes], "code string")
-    return (drop.join(per_code, "code", "left")
+    return (drop.join(_rows_per_code(p).select("code", "n_rows"), "code", "left")
             .select("code", F.coalesce(F.col("n_rows"), F.lit(0).cast("long")).alias("n_rows")))
 
 
