@@ -110,31 +110,35 @@ def prefix_join(codes: DataFrame, dictionary: DataFrame, prefix_len: int,
         "code", "target", "multi_io", F.lit(f"prefix_{prefix_len}d").alias("match_type"))
 
 
-def _code_key(length, lengths: Sequence[int], width: int) -> F.Column:
-    """The probe key of a code at prefix length ``length`` (exact key at ``width``)."""
-    expr = F.when(length == width, F.when(F.col("code_type") == "numeric", F.col("code_6d")))
+def _code_key_sql(length: str, lengths: Sequence[int], width: int) -> str:
+    """SQL for the probe key of a code at prefix length ``length`` (exact key at ``width``).
+
+    Built as one expression string: a single call to the JVM instead of one
+    per function node.
+    """
+    branches = [f"WHEN {length} = {width} THEN CASE WHEN code_type = 'numeric' THEN code_6d END"]
     for n in lengths:
-        p = F.substring("code_prefix", 1, n)
-        expr = expr.when(length == n, F.when(F.length(p) == n, p))
-    return expr
+        branches.append(f"WHEN {length} = {n} THEN CASE WHEN length(substring(code_prefix, 1, {n})) = {n} "
+                        f"THEN substring(code_prefix, 1, {n}) END")
+    return "CASE " + " ".join(branches) + " END"
 
 
 def _code_keys(codes: DataFrame, lengths: Sequence[int], width: int) -> DataFrame:
-    probes = F.explode(F.array(*[F.lit(n) for n in (width, *lengths)])).alias("L")
-    return (codes.select("code", "code_type", "code_prefix", "code_6d", probes)
-            .withColumn("key", _code_key(F.col("L"), lengths, width))
-            .where(F.col("key").isNotNull()))
+    probes = ", ".join(str(n) for n in (width, *lengths))
+    return (codes.selectExpr("code", "code_type", "code_prefix", "code_6d", f"explode(array({probes})) AS L")
+            .selectExpr("*", f"{_code_key_sql('L', lengths, width)} AS key")
+            .where("key IS NOT NULL"))
 
 
 def _dictionary_keys(dictionary: DataFrame, lengths: Sequence[int], width: int,
                      key: str) -> DataFrame:
-    entries = [F.struct(F.lit(width).alias("L"), F.col(key).alias("key"))]
-    for n in lengths:
-        # Keys shorter than n can never equal an n-character code prefix.
-        entries.append(F.struct(F.lit(n).alias("L"),
-                                F.when(F.length(key) >= n, F.substring(key, 1, n)).alias("key")))
-    return (dictionary.select("target", "multi_io", F.explode(F.array(*entries)).alias("__k"))
-            .select("target", "multi_io", "__k.L", "__k.key").where(F.col("key").isNotNull()))
+    # Keys shorter than n can never equal an n-character code prefix.
+    entries = [f"named_struct('L', {width}, 'key', `{key}`)"] + [
+        f"named_struct('L', {n}, 'key', CASE WHEN length(`{key}`) >= {n} THEN substring(`{key}`, 1, {n}) END)"
+        for n in lengths]
+    return (dictionary.selectExpr("target", "multi_io", f"explode(array({', '.join(entries)})) AS __k")
+            .selectExpr("target", "multi_io", "__k.L AS L", "__k.key AS key")
+            .where("key IS NOT NULL"))
 
 
 def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
@@ -162,7 +166,7 @@ def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
     # max(L) per code is a hash aggregate on an int; the key is a function of
     # (code, L), so it is rebuilt instead of carried through the aggregate.
     best = (hit.groupBy("code", "code_type", "code_prefix", "code_6d").agg(F.max("L").alias("L"))
-            .withColumn("key", _code_key(F.col("L"), lengths, width)).select("code", "L", "key"))
+            .selectExpr("code", "L", f"{_code_key_sql('L', lengths, width)} AS key"))
     m = best.join(sized_broadcast(dk, bound=bound), ["L", "key"], "inner")
     return m.select(
         "code", "target", "multi_io",
