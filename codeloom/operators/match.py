@@ -268,14 +268,21 @@ def match_wildcards(trade: DataFrame, dictionary: DataFrame,
         "target", "key6", "hts10", F.lit(AMBIGUOUS).alias("match_type"), "multi_io")
 
 
-def unmatched_dictionary(dictionary: DataFrame, trade: DataFrame) -> DataFrame:
+def exact_trade_codes(trade: DataFrame) -> DataFrame:
+    """Distinct unambiguous trade codes ``(naics)``: a small, map-side-combined aggregate."""
+    return trade.where(~F.col("naics_ambiguous")).select("naics").distinct()
+
+
+def unmatched_dictionary(dictionary: DataFrame, trade: DataFrame,
+                         exact_codes: DataFrame | None = None) -> DataFrame:
     """Dictionary rows with no exact match on (target, key6).
 
     A dictionary row has an exact match iff its key equals some unambiguous
     trade code, so the anti join runs against the *distinct* trade codes
-    (a small, map-side-combined aggregate) rather than the exact-match rows.
+    rather than the exact-match rows.
     """
-    codes = trade.where(~F.col("naics_ambiguous")).select(F.col("naics").alias("key6")).distinct()
+    codes = (exact_codes if exact_codes is not None else exact_trade_codes(trade)) \
+        .select(F.col("naics").alias("key6"))
     return dictionary.join(codes, "key6", "left_anti").select(*dictionary.columns)
 
 
@@ -302,7 +309,8 @@ def tariff_tiers(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequenc
 
 def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequence[str] = (),
                    prefix_overrides: Sequence[str] = (), overrides_both_sides: bool = False,
-                   wildcard: str = "X", key_len: int = 5) -> DataFrame:
+                   wildcard: str = "X", key_len: int = 5,
+                   exact_codes: DataFrame | None = None) -> DataFrame:
     """All three tiers in one scan of the trade table and one broadcast join.
 
     Trade rows emit tagged keys: unambiguous rows ``(exact, naics)`` and
@@ -311,9 +319,9 @@ def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Seque
     ``(ambiguous, family key)`` and, only when they have no exact match
     anywhere, ``(fallback, key6[:5])``.  Equi-join on ``(tier, key)``.
     """
-    has_exact = (trade.where(~F.col("naics_ambiguous"))
-                 .select(F.col("naics").alias("__n")).distinct()
-                 .withColumn("__has_exact", F.lit(True)))
+    ex = exact_codes if exact_codes is not None else exact_trade_codes(trade)
+    has_exact = sized_broadcast(ex.select(F.col("naics").alias("__n"), F.lit(True).alias("__has_exact")),
+                                bound=bound_from(ex))
     d = dictionary.join(has_exact, dictionary.key6 == has_exact.__n, "left").drop("__n")
     fam = _family_key("key6", prefix_overrides, F.substring("key6", 1, key_len))
     dkeys = d.select("target", "key6", "multi_io", F.explode(F.array(
@@ -344,7 +352,9 @@ def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Seque
 
 def two_sided_concordance(dictionary: DataFrame, trade: DataFrame,
                           drop_prefixes: Sequence[str] = (), prefix_overrides: Sequence[str] = (),
-                          overrides_both_sides: bool = False) -> DataFrame:
+                          overrides_both_sides: bool = False,
+                          exact_codes: DataFrame | None = None) -> DataFrame:
     """Best tier per (target, hts10); ties by key then the multi flag (T4)."""
-    tiers = tariff_matches(dictionary, trade, drop_prefixes, prefix_overrides, overrides_both_sides)
+    tiers = tariff_matches(dictionary, trade, drop_prefixes, prefix_overrides, overrides_both_sides,
+                           exact_codes=exact_codes)
     return best_match(tiers, ["target", "hts10"], TARIFF_RANKS, ["key6", "multi_io"])

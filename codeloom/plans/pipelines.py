@@ -117,14 +117,29 @@ class TariffPipeline:
     overrides_both_sides: bool = False
     shared_dictionary: DataFrame | None = None
 
+    @cached_property
+    def _small_tables(self) -> tuple[DataFrame, DataFrame]:
+        """Materialize the dictionary and the distinct unambiguous trade codes
+        as two concurrent jobs (both small; the second reads one column of
+        the trade table).  Their exact sizes license the broadcasts."""
+        jobs = {"exact_codes": lambda: materialize(mt.exact_trade_codes(self.trade_rows), "exact_codes")}
+        if self.shared_dictionary is None:
+            jobs["dictionary"] = lambda: materialize(
+                dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            futures = {k: pool.submit(f) for k, f in jobs.items()}
+            out = {k: f.result() for k, f in futures.items()}
+        return out.get("dictionary", self.shared_dictionary), out["exact_codes"]
+
     @cached_property
     def dictionary(self) -> DataFrame:
-        """Normalized dictionary, materialized: its exact size licenses the
-        broadcast against the (large) trade table.  A dictionary already
-        materialized by another pipeline over the same cells can be passed in."""
-        if self.shared_dictionary is not None:
-            return self.shared_dictionary
-        return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
+        """Normalized dictionary, materialized (or passed in by another pipeline
+        over the same cells)."""
+        return self._small_tables[0]
+
+    @cached_property
+    def exact_codes(self) -> DataFrame:
+        return self._small_tables[1]
 
     @cached_property
     def trade(self) -> DataFrame:
@@ -140,4 +155,5 @@ class TariffPipeline:
     @cached_property
     def concordance(self) -> DataFrame:
         return mt.two_sided_concordance(self.dictionary, self.trade_rows, self.drop_prefixes,
-                                        self.prefix_overrides, self.overrides_both_sides)
+                                        self.prefix_overrides, self.overrides_both_sides,
+                                        self.exact_codes)

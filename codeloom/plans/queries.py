@@ -207,7 +207,7 @@ def q_unmatched_codes(spark, d):
 @query("unmatched_dictionary")
 def q_unmatched_dictionary(spark, d):
     t = TariffPipeline(spark, d)
-    return mt.unmatched_dictionary(t.dictionary, t.trade)
+    return mt.unmatched_dictionary(t.dictionary, t.trade, t.exact_codes)
 
 
 @query("overrides_present")
