@@ -16,6 +16,10 @@ AQE: a shuffle join whose skewed partitions AQE splits at run time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -63,6 +67,20 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return with_row_bound(spark.read.parquet(path), obs.get["rows"])
 
 
+def concurrently(**jobs: Callable[[], Any]) -> dict[str, Any]:
+    """Run independent Spark actions from separate threads; return their results by name.
+
+    Spark schedules jobs of one application concurrently when they are
+    submitted from different threads, so small independent jobs (a
+    dictionary, a distinct-code list) overlap instead of queueing.
+    """
+    if len(jobs) <= 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
     return df.limit(max_rows + 1).count() <= max_rows

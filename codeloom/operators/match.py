@@ -20,9 +20,10 @@ Physical plan notes
   ``max(L)`` per code picks the winning length, and only the winning key is
   joined to the dictionary.  No nested-loop or ``startswith`` join, no
   repeated anti-join rounds, no shorter-prefix blow-up.
-* Dedupe is ``min(struct(rank, tie-breaks...))`` per key: an aggregate that
-  combines on the map side (no full sort of the window), deterministic
-  because the order is total (T4).
+* Dedupe (``best_match``) is ``min(struct(rank, tie-breaks...))`` per key:
+  an aggregate that combines on the map side, deterministic because the
+  order is total (T4).  The person pipeline fuses it with fan-out and
+  grading into one aggregate per code (``allocate.best_graded``).
 """
 
 from __future__ import annotations

@@ -9,7 +9,6 @@ allocation time.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -19,7 +18,7 @@ from codeloom.operators import allocate as al
 from codeloom.operators import codes as cd
 from codeloom.operators import dictionary as dc
 from codeloom.operators import match as mt
-from codeloom.operators.broadcast import known_rows, materialize, with_row_bound
+from codeloom.operators.broadcast import concurrently, known_rows, materialize, with_row_bound
 from codeloom.sources import fixtures as fx
 
 
@@ -53,14 +52,11 @@ class PersonPipeline:
         schedules jobs of one application concurrently); the small dictionary
         job then hides behind the scan of the records.
         """
-        jobs = {
-            "code_stats": lambda: materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats"),
-            "dictionary": lambda: materialize(
-                dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary"),
-        }
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            futures = {k: pool.submit(f) for k, f in jobs.items()}
-            return futures["code_stats"].result(), futures["dictionary"].result()
+        out = concurrently(
+            code_stats=lambda: materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats"),
+            dictionary=lambda: materialize(
+                dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary"))
+        return out["code_stats"], out["dictionary"]
 
     @cached_property
     def code_stats(self) -> DataFrame:
@@ -126,9 +122,7 @@ class TariffPipeline:
         if self.shared_dictionary is None:
             jobs["dictionary"] = lambda: materialize(
                 dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            futures = {k: pool.submit(f) for k, f in jobs.items()}
-            out = {k: f.result() for k, f in futures.items()}
+        out = concurrently(**jobs)
         return out.get("dictionary", self.shared_dictionary), out["exact_codes"]
 
     @cached_property

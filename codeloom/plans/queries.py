@@ -21,6 +21,7 @@ from codeloom.operators import dictionary as dc
 from codeloom.operators import match as mt
 from codeloom.operators import reports as rp
 from codeloom.operators import web
+from codeloom.operators.broadcast import concurrently
 from codeloom.plans.pipelines import PersonPipeline, TariffPipeline
 from codeloom.session import scratch_path
 from codeloom.sources import fixtures as fx
@@ -402,7 +403,8 @@ def q_clean_sample_totals(spark, d):
 @query("coverage")
 def q_coverage(spark, d):
     p = PersonPipeline(spark, d)
-    t = TariffPipeline(spark, d, shared_dictionary=p.dictionary)
+    t = TariffPipeline(spark, d)
+    concurrently(persons=lambda: p.code_stats, tariff=lambda: t.exact_codes)   # 4 small jobs at once
     persons = rp.coverage(p.codes, p.concordance, "code", "persons")
     tariff = rp.coverage(t.dictionary, t.concordance, "target", "tariff")
     return persons.unionByName(tariff)
