@@ -7,12 +7,17 @@ NULL adjusted weight.
 
 Scale notes
 -----------
-* The concordance is small (distinct codes x targets).  It is materialized
-  into the shared checkpoint folder and broadcast behind a row-count check;
-  the fact table is never shuffled for the join.
-* ``allocate_totals`` aggregates facts per code *before* the join
-  (map-side combine), so hot codes cost nothing extra and the join sees one
-  row per code; sums are exact for integral weights and divided once.
+* Records meet the concordance through a lookup keyed by the *raw* code
+  (cleaning and classification ran once per distinct code).  The lookup is
+  small (distinct codes x targets); it is materialized into the shared
+  checkpoint folder and broadcast behind a row-count check, so the records
+  are never shuffled.  Beyond the bound, ``skew_safe_join`` salts the hot
+  codes exactly.
+* ``allocate_totals`` reduces records to one row per code *before* any join
+  (map-side combine), so hot codes cost nothing extra; with
+  ``allocate_totals_from_stats`` the same per-code stats also feed the
+  matcher, and the records are read once.  Sums of integral weights are
+  exact and divided once.
 """
 
 from __future__ import annotations
@@ -22,9 +27,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from codeloom.functions.classify import rank_of
 from codeloom.operators.broadcast import sized_broadcast
 from codeloom.operators.codes import drop_codes_filter
-from codeloom.functions.classify import rank_of
 from codeloom.operators.match import DROP_CODES, EXACT, MANUAL, PERSON_RANKS
 
 # Grading of a concordance row.  Exact and manual rows are
