@@ -41,7 +41,9 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType, skip: int =
                header: bool = True, options: dict[str, str] | None = None) -> DataFrame:
     """A1: skip ``skip`` preamble lines (+ header) per file; parse with ``schema``."""
     opts = {**CSV_OPTIONS, **(options or {})}
-    lines = spark.read.text(path).select(
+    text = spark.read.text(path)
+    n_files = len(text.inputFiles())
+    lines = text.select(
         "value",
         F.col("_metadata.file_path").alias("__f"),
         F.col("_metadata.file_block_start").alias("__b"),
@@ -50,7 +52,8 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType, skip: int =
     drop_n = skip + (1 if header else 0)
     if drop_n:
         first = lines.where(F.col("__b") == 0).groupBy("__f").agg(F.min("__id").alias("__id0"))
-        lines = lines.join(sized_broadcast(first), "__f", "left").where(
+        # one row per file: a proven bound, so the line table is never shuffled by file
+        lines = lines.join(sized_broadcast(first, bound=n_files), "__f", "left").where(
             (F.col("__b") != 0) | (F.col("__id") - F.col("__id0") >= drop_n))
     return lines.select(F.from_csv("value", _ddl(schema), opts).alias("__r")).select("__r.*")
 
