@@ -104,10 +104,13 @@ def decode_value_labels(values: DataFrame, labels: DataFrame, value: str,
                         out: str = "value_str", max_label_rows: int = 1_000_000) -> DataFrame:
     """Label where one exists, else the value as text; trimmed.
 
-    The label dimension is joined with a size-checked broadcast.
+    The label dimension is counted (up to ``max_label_rows + 1`` rows) and
+    broadcast when within the bound: one value may hold a third of all rows,
+    and a broadcast join never routes a value's rows to a single task.
     """
     lab = labels.select(F.col(label_value).alias("__lv"), F.col(label).alias("__lab"))
-    j = values.join(sized_broadcast(lab, max_label_rows), F.col(value) == F.col("__lv"), "left")
+    j = values.join(sized_broadcast(lab, max_label_rows, count_unknown=True),
+                    F.col(value) == F.col("__lv"), "left")
     return j.withColumn(out, trim_ws(F.coalesce(F.col("__lab"), F.col(value).cast("string")))) \
         .drop("__lv", "__lab")
 
