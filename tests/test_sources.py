@@ -23,3 +23,21 @@ def test_all_text_scan_keeps_leading_zeros(spark):
     sinks.write_csv(df, path)
     back = sinks.read_csv(spark, path, sheets.all_text_schema(["hts", "code"]))
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_sheet_reader_with_files_split_across_tasks(spark):
+    """Only the split starting at byte 0 holds the preamble; later splits keep every line."""
+    rows = [(i, f"value {i}", "x" * (i % 13)) for i in range(3000)]
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("s", T.StringType()),
+                           T.StructField("t", T.StringType())])
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    path = scratch_path(spark, "test_sheet_split")
+    sheets.write_sheet(df, path, ["a", "b", "c", "d"])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        back = sheets.read_sheet(spark, path, schema, skip=4, header=True)
+        assert back.rdd.getNumPartitions() > 3
+        assert sorted(back.collect()) == sorted(df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
