@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeloom.functions.classify import rank_of
-from codeloom.operators.broadcast import sized_broadcast
+from codeloom.operators.broadcast import sized_broadcast, skew_safe_join
 from codeloom.operators.codes import drop_codes_filter
 from codeloom.operators.match import DROP_CODES, EXACT, MANUAL, PERSON_RANKS
 
@@ -108,41 +108,6 @@ def code_lookup(cmap: DataFrame, graded: DataFrame, drop_codes: Sequence[str] =
     return sized_broadcast(lk, max_broadcast_rows, materialize_first=materialize)
 
 
-def skew_safe_join(facts: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str,
-                   stats: DataFrame | None = None, stats_key: str = "code_raw",
-                   stats_rows: str = "n_rows", salts: int = 32,
-                   hot_share: float | None = None) -> DataFrame:
-    """Inner equi-join of large ``facts`` with ``lookup`` that no hot key can stall.
-
-    A broadcast ``lookup`` (hinted by ``sized_broadcast``) needs nothing more:
-    the facts are not shuffled.  Otherwise keys holding more than
-    ``hot_share`` of the records (from per-key ``stats``; at most
-    ``1/hot_share`` keys qualify, so that list is provably small and is
-    broadcast) are salted: their records spread over ``salts`` buckets by a
-    deterministic row hash (a recomputed partition gets the same salts), and
-    their lookup rows are replicated once per bucket.  Exact: every record
-    meets every lookup row of its key exactly once.
-    """
-    if stats is None or getattr(lookup, "_codeloom_broadcast", False):
-        return facts.join(lookup, facts[fact_key] == lookup[lookup_key], "inner")
-    spark = facts.sparkSession
-    if hot_share is None:
-        hot_share = 1.0 / (2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    total = stats.agg(F.sum(stats_rows)).first()[0] or 0   # one scalar
-    hot = (stats.where(F.col(stats_rows) > F.lit(total * hot_share))
-           .select(F.col(stats_key).alias("__hk"), F.lit(True).alias("__hot")))
-    hot = F.broadcast(hot)   # at most 1/hot_share rows
-    f = (facts.join(hot, facts[fact_key] == F.col("__hk"), "left")
-         .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]),
-                                                             F.lit(salts))).otherwise(F.lit(0)))
-         .drop("__hk", "__hot"))
-    lk = (lookup.join(hot, lookup[lookup_key] == F.col("__hk"), "left")
-          .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-          .drop("__hk", "__hot"))
-    return f.join(lk, (f[fact_key] == lk[lookup_key]) & (f.__salt == lk.__salt), "inner").drop("__salt")
-
-
 def allocate(facts: DataFrame, cmap: DataFrame, graded: DataFrame, code: str = "code",
              weight: str = "wt", out: str = "wt_adj", drop_codes: Sequence[str] = DROP_CODES,
              max_broadcast_rows: int | None = None, stats: DataFrame | None = None) -> DataFrame:
@@ -156,7 +121,7 @@ def allocate(facts: DataFrame, cmap: DataFrame, graded: DataFrame, code: str = "
     see ``code_stats``) are salted in a shuffle join.
     """
     lk = code_lookup(cmap, graded, drop_codes, max_broadcast_rows)
-    j = skew_safe_join(facts, lk, code, "code_raw", stats).drop("code_raw")
+    j = skew_safe_join(facts, lk, code, "code_raw", stats, "code_raw", "n_rows")
     return j.withColumn(out, F.col(weight) / F.col("n_targets"))
 
 

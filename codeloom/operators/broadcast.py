@@ -16,8 +16,9 @@ AQE: a shuffle join whose skewed partitions AQE splits at run time.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation
@@ -114,3 +115,52 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None, bound: int | Non
     out = with_row_bound(F.broadcast(df), known_rows(df))
     out._codeloom_broadcast = True
     return out
+
+
+def _names(keys: str | Sequence[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
+def skew_safe_join(facts: DataFrame, lookup: DataFrame, fact_keys: str | Sequence[str],
+                   lookup_keys: str | Sequence[str], stats: DataFrame | None = None,
+                   stats_keys: str | Sequence[str] | None = None, stats_rows: str = "n_rows",
+                   salts: int = 32, hot_share: float | None = None) -> DataFrame:
+    """Inner equi-join of large ``facts`` with ``lookup`` that no hot key can stall.
+
+    Returns the fact columns plus the lookup's non-key columns.  A broadcast
+    ``lookup`` (hinted by ``sized_broadcast``) needs nothing more: the facts
+    are not shuffled.  Otherwise keys holding more than ``hot_share`` of the
+    records (from per-key ``stats``; at most ``1/hot_share`` keys qualify,
+    so that list is provably small and is broadcast) are salted: their
+    records spread over ``salts`` buckets by a deterministic row hash (a
+    recomputed partition gets the same salts), and their lookup rows are
+    replicated once per bucket.  Exact: every record meets every lookup row
+    of its key exactly once.
+    """
+    fk, lk = _names(fact_keys), _names(lookup_keys)
+    sk = fk if stats_keys is None else _names(stats_keys)
+    ren = {c: f"__lk{i}" for i, c in enumerate(lk)}
+    small = lookup.select(*[F.col(f"`{c}`").alias(ren[c]) if c in ren else F.col(f"`{c}`")
+                            for c in lookup.columns])
+
+    def on(a: DataFrame, b: DataFrame):
+        return reduce(lambda x, y: x & y, [a[f] == b[ren[k]] for f, k in zip(fk, lk)])
+
+    if stats is None or getattr(lookup, "_codeloom_broadcast", False):
+        return facts.join(small, on(facts, small), "inner").drop(*ren.values())
+    spark = facts.sparkSession
+    if hot_share is None:
+        hot_share = 1.0 / (2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    total = stats.agg(F.sum(stats_rows)).first()[0] or 0   # one scalar
+    hk = [f"__hk{i}" for i in range(len(sk))]
+    hot = F.broadcast(stats.where(F.col(stats_rows) > F.lit(total * hot_share))
+                      .select(*[F.col(c).alias(h) for c, h in zip(sk, hk)], F.lit(True).alias("__hot")))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts))
+    f = (facts.join(hot, reduce(lambda x, y: x & y, [facts[c] == hot[h] for c, h in zip(fk, hk)]), "left")
+         .withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0))).drop(*hk, "__hot"))
+    sm = (small.join(hot, reduce(lambda x, y: x & y, [small[ren[c]] == hot[h] for c, h in zip(lk, hk)]), "left")
+          .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                          .otherwise(F.array(F.lit(0)))))
+          .drop(*hk, "__hot"))
+    return (f.join(sm, on(f, sm) & (f["__salt"] == sm["__salt"]), "inner")
+            .drop("__salt", *ren.values()))

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from codeloom.functions.classify import rank_of
 from codeloom.functions.text import strip_trailing
-from codeloom.operators.broadcast import bound_from, sized_broadcast
+from codeloom.operators.broadcast import bound_from, sized_broadcast, skew_safe_join
 from codeloom.operators.codes import drop_codes_filter
 
 # Tiers of the person-code pipeline and their ranks
@@ -308,17 +308,53 @@ def tariff_tiers(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequenc
     return exact.select(*_TARIFF_COLS).unionByName(wild).unionByName(fb)
 
 
+def _trade_keys(drop_prefixes: Sequence[str], prefix_overrides: Sequence[str],
+                overrides_both_sides: bool, wildcard: str, key_len: int) -> F.Column:
+    """Array of ``(tier, key)`` probes of a trade row (NULL keys are dropped later)."""
+    amb = F.col("naics_ambiguous")
+    keep_amb = amb
+    for p in drop_prefixes:
+        keep_amb = keep_amb & ~F.col("naics").startswith(p)
+    stripped = strip_trailing("naics", wildcard)
+    if overrides_both_sides and prefix_overrides:
+        stripped = _family_key(stripped, prefix_overrides, stripped)
+    return F.array(
+        F.struct(F.lit(EXACT).alias("tier"), F.when(~amb, F.col("naics")).alias("key")),
+        F.struct(F.lit(FALLBACK).alias("tier"),
+                 F.when(~amb, F.substring("naics", 1, key_len)).alias("key")),
+        F.struct(F.lit(AMBIGUOUS).alias("tier"), F.when(keep_amb, stripped).alias("key")),
+    )
+
+
+def trade_code_counts(trade: DataFrame) -> DataFrame:
+    """``(naics, naics_ambiguous, n_rows)``: one map-side-combined pass over the trade rows."""
+    return trade.groupBy("naics", "naics_ambiguous").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def trade_key_stats(code_counts: DataFrame, drop_prefixes: Sequence[str] = (),
+                    prefix_overrides: Sequence[str] = (), overrides_both_sides: bool = False,
+                    wildcard: str = "X", key_len: int = 5) -> DataFrame:
+    """Trade rows per ``(tier, key)`` probe, from per-code counts (small): finds hot keys."""
+    probes = _trade_keys(drop_prefixes, prefix_overrides, overrides_both_sides, wildcard, key_len)
+    return (code_counts.select("n_rows", F.explode(probes).alias("__k"))
+            .select("__k.tier", "__k.key", "n_rows").where(F.col("key").isNotNull())
+            .groupBy("tier", "key").agg(F.sum("n_rows").alias("n_rows")))
+
+
 def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequence[str] = (),
                    prefix_overrides: Sequence[str] = (), overrides_both_sides: bool = False,
                    wildcard: str = "X", key_len: int = 5,
-                   exact_codes: DataFrame | None = None) -> DataFrame:
-    """All three tiers in one scan of the trade table and one broadcast join.
+                   exact_codes: DataFrame | None = None,
+                   key_stats: DataFrame | None = None) -> DataFrame:
+    """All three tiers in one scan of the trade table and one equi-join.
 
     Trade rows emit tagged keys: unambiguous rows ``(exact, naics)`` and
     ``(fallback, naics[:5])``; ambiguous, non-dropped rows
     ``(ambiguous, stripped prefix)``.  Dictionary rows emit ``(exact, key6)``,
     ``(ambiguous, family key)`` and, only when they have no exact match
-    anywhere, ``(fallback, key6[:5])``.  Equi-join on ``(tier, key)``.
+    anywhere, ``(fallback, key6[:5])``.  Equi-join on ``(tier, key)``: the
+    dictionary side is broadcast under its proven bound; beyond it, with
+    per-key ``key_stats``, hot keys are salted (``skew_safe_join``).
     """
     ex = exact_codes if exact_codes is not None else exact_trade_codes(trade)
     has_exact = sized_broadcast(ex.select(F.col("naics").alias("__n"), F.lit(True).alias("__has_exact")),
@@ -333,29 +369,22 @@ def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Seque
     )).alias("__k")).select("target", "key6", "multi_io", "__k.tier", "__k.key") \
         .where(F.col("key").isNotNull())
 
-    amb = F.col("naics_ambiguous")
-    keep_amb = amb
-    for p in drop_prefixes:
-        keep_amb = keep_amb & ~F.col("naics").startswith(p)
-    stripped = strip_trailing("naics", wildcard)
-    if overrides_both_sides and prefix_overrides:
-        stripped = _family_key(stripped, prefix_overrides, stripped)
-    tkeys = trade.select("hts10", F.explode(F.array(
-        F.struct(F.lit(EXACT).alias("tier"), F.when(~amb, F.col("naics")).alias("key")),
-        F.struct(F.lit(FALLBACK).alias("tier"),
-                 F.when(~amb, F.substring("naics", 1, key_len)).alias("key")),
-        F.struct(F.lit(AMBIGUOUS).alias("tier"), F.when(keep_amb, stripped).alias("key")),
-    )).alias("__k")).select("hts10", "__k.tier", "__k.key").where(F.col("key").isNotNull())
+    probes = _trade_keys(drop_prefixes, prefix_overrides, overrides_both_sides, wildcard, key_len)
+    tkeys = trade.select("hts10", F.explode(probes).alias("__k")) \
+        .select("hts10", "__k.tier", "__k.key").where(F.col("key").isNotNull())
 
-    j = tkeys.join(sized_broadcast(dkeys, bound=bound_from(dictionary, 3)), ["tier", "key"], "inner")
+    small = sized_broadcast(dkeys, bound=bound_from(dictionary, 3))
+    j = skew_safe_join(tkeys, small, ["tier", "key"], ["tier", "key"], key_stats,
+                       ["tier", "key"], "n_rows")
     return j.select("target", "key6", "hts10", F.col("tier").alias("match_type"), "multi_io")
 
 
 def two_sided_concordance(dictionary: DataFrame, trade: DataFrame,
                           drop_prefixes: Sequence[str] = (), prefix_overrides: Sequence[str] = (),
                           overrides_both_sides: bool = False,
-                          exact_codes: DataFrame | None = None) -> DataFrame:
+                          exact_codes: DataFrame | None = None,
+                          key_stats: DataFrame | None = None) -> DataFrame:
     """Best tier per (target, hts10); ties by key then the multi flag (T4)."""
     tiers = tariff_matches(dictionary, trade, drop_prefixes, prefix_overrides, overrides_both_sides,
-                           exact_codes=exact_codes)
+                           exact_codes=exact_codes, key_stats=key_stats)
     return best_match(tiers, ["target", "hts10"], TARIFF_RANKS, ["key6", "multi_io"])

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from codeloom.operators import allocate as al
 from codeloom.operators import codes as cd
@@ -118,12 +119,12 @@ class TariffPipeline:
         """Materialize the dictionary and the distinct unambiguous trade codes
         as two concurrent jobs (both small; the second reads one column of
         the trade table).  Their exact sizes license the broadcasts."""
-        jobs = {"exact_codes": lambda: materialize(mt.exact_trade_codes(self.trade_rows), "exact_codes")}
+        jobs = {"code_counts": lambda: materialize(mt.trade_code_counts(self.trade_rows), "trade_code_counts")}
         if self.shared_dictionary is None:
             jobs["dictionary"] = lambda: materialize(
                 dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
         out = concurrently(**jobs)
-        return out.get("dictionary", self.shared_dictionary), out["exact_codes"]
+        return out.get("dictionary", self.shared_dictionary), out["code_counts"]
 
     @cached_property
     def dictionary(self) -> DataFrame:
@@ -132,9 +133,22 @@ class TariffPipeline:
         return self._small_tables[0]
 
     @cached_property
-    def exact_codes(self) -> DataFrame:
+    def code_counts(self) -> DataFrame:
+        """Trade rows per (naics, ambiguous): one pass over the trade table, materialized."""
         return self._small_tables[1]
 
+    @cached_property
+    def exact_codes(self) -> DataFrame:
+        """Distinct unambiguous trade codes (bounded by the materialized counts)."""
+        return with_row_bound(self.code_counts.where(~F.col("naics_ambiguous")).select("naics"),
+                              known_rows(self.code_counts))
+
+    @cached_property
+    def key_stats(self) -> DataFrame:
+        """Trade rows per (tier, key) probe: finds hot keys if the join cannot broadcast."""
+        return mt.trade_key_stats(self.code_counts, self.drop_prefixes, self.prefix_overrides,
+                                  self.overrides_both_sides)
+
     @cached_property
     def trade(self) -> DataFrame:
         return cd.normalize_tariff(fx.trade_raw(self.spark, self.sf_dir))
@@ -150,4 +164,4 @@ class TariffPipeline:
     def concordance(self) -> DataFrame:
         return mt.two_sided_concordance(self.dictionary, self.trade_rows, self.drop_prefixes,
                                         self.prefix_overrides, self.overrides_both_sides,
-                                        self.exact_codes)
+                                        self.exact_codes, self.key_stats)

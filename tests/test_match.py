@@ -208,3 +208,19 @@ def test_concordance_ignores_duplicate_trade_rows(spark, sf_dir):
                                    t.drop_prefixes, t.prefix_overrides)
     assert _rows(dup) == _rows(mt.two_sided_concordance(t.dictionary, t.trade, t.drop_prefixes,
                                                         t.prefix_overrides))
+
+
+def test_tariff_salted_fallback_equals_broadcast(spark, sf_dir):
+    """With no broadcast allowed, the two-sided join salts hot keys and gives the same rows."""
+    from codeloom.plans.pipelines import TariffPipeline
+
+    want = _rows(TariffPipeline(spark, sf_dir).concordance)
+    spark.conf.set("spark.codeloom.broadcast.maxRows", "0")
+    try:
+        t = TariffPipeline(spark, sf_dir)
+        conc = t.concordance
+        plan = conc._jdf.queryExecution().executedPlan().toString()
+        assert "xxhash64" in plan and "NestedLoop" not in plan
+        assert _rows(conc) == want
+    finally:
+        spark.conf.unset("spark.codeloom.broadcast.maxRows")
