@@ -358,7 +358,7 @@ def q_pad_left(spark, d):
 # ---------------------------------------------------------------- E: domain operators
 @query("normalize_dictionary")
 def q_normalize_dictionary(spark, d):
-    return PersonPipeline(spark, d).dictionary
+    return dc.normalize_dictionary(fx.dict_raw(spark, d))
 
 
 @query("apply_overrides")
