@@ -287,16 +287,18 @@ def unmatched_dictionary(dictionary: DataFrame, trade: DataFrame,
     return dictionary.join(codes, "key6", "left_anti").select(*dictionary.columns)
 
 
-def fallback_5d(dictionary: DataFrame, trade: DataFrame, key_len: int = 5) -> DataFrame:
+def fallback_5d(dictionary: DataFrame, trade: DataFrame, key_len: int = 5,
+                exact_codes: DataFrame | None = None) -> DataFrame:
     """5-character fallback for dictionary rows without an exact match."""
-    un = unmatched_dictionary(dictionary, trade).withColumn("__k", F.substring("key6", 1, key_len))
+    un = unmatched_dictionary(dictionary, trade, exact_codes).withColumn("__k", F.substring("key6", 1, key_len))
     t = trade.where(~F.col("naics_ambiguous")).withColumn("__k", F.substring("naics", 1, key_len))
     return t.join(sized_broadcast(un, bound=bound_from(dictionary)), "__k", "inner").select(
         "target", "key6", "hts10", F.lit(FALLBACK).alias("match_type"), "multi_io")
 
 
 def tariff_tiers(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequence[str] = (),
-                 prefix_overrides: Sequence[str] = (), overrides_both_sides: bool = False) -> DataFrame:
+                 prefix_overrides: Sequence[str] = (), overrides_both_sides: bool = False,
+                 exact_codes: DataFrame | None = None) -> DataFrame:
     """K1: exact, wildcard and fallback tiers as three joins, union by name.
 
     Reference form of ``tariff_matches`` (same rows); kept for the per-tier
@@ -304,7 +306,7 @@ def tariff_tiers(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequenc
     """
     exact = tariff_exact(dictionary, trade)
     wild = match_wildcards(trade, dictionary, drop_prefixes, prefix_overrides, overrides_both_sides)
-    fb = fallback_5d(dictionary, trade)
+    fb = fallback_5d(dictionary, trade, exact_codes=exact_codes)
     return exact.select(*_TARIFF_COLS).unionByName(wild).unionByName(fb)
 
 

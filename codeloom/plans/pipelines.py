@@ -120,6 +120,8 @@ class TariffPipeline:
         as two concurrent jobs (both small; the second reads one column of
         the trade table).  Their exact sizes license the broadcasts."""
         jobs = {"code_counts": lambda: materialize(mt.trade_code_counts(self.trade_rows), "trade_code_counts")}
+        if "dictionary" in self.__dict__:
+            return self.__dict__["dictionary"], jobs["code_counts"]()
         if self.shared_dictionary is None:
             jobs["dictionary"] = lambda: materialize(
                 dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
@@ -129,8 +131,12 @@ class TariffPipeline:
     @cached_property
     def dictionary(self) -> DataFrame:
         """Normalized dictionary, materialized (or passed in by another pipeline
-        over the same cells)."""
-        return self._small_tables[0]
+        over the same cells).  Alone when nothing else is needed yet."""
+        if "_small_tables" in self.__dict__:
+            return self._small_tables[0]
+        if self.shared_dictionary is not None:
+            return self.shared_dictionary
+        return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
 
     @cached_property
     def code_counts(self) -> DataFrame:
@@ -162,6 +168,7 @@ class TariffPipeline:
 
     @cached_property
     def concordance(self) -> DataFrame:
+        self._small_tables   # dictionary and trade counts as two concurrent jobs
         return mt.two_sided_concordance(self.dictionary, self.trade_rows, self.drop_prefixes,
                                         self.prefix_overrides, self.overrides_both_sides,
                                         self.exact_codes, self.key_stats)

@@ -208,6 +208,7 @@ def q_unmatched_codes(spark, d):
 @query("unmatched_dictionary")
 def q_unmatched_dictionary(spark, d):
     t = TariffPipeline(spark, d)
+    t._small_tables
     return mt.unmatched_dictionary(t.dictionary, t.trade, t.exact_codes)
 
 
@@ -237,7 +238,8 @@ def q_wildcard_match(spark, d):
 @query("fallback_5d")
 def q_fallback_5d(spark, d):
     t = TariffPipeline(spark, d)
-    return mt.fallback_5d(t.dictionary, t.trade)
+    t._small_tables
+    return mt.fallback_5d(t.dictionary, t.trade, exact_codes=t.exact_codes)
 
 
 # ---------------------------------------------------------------- H: aggregates
@@ -299,7 +301,9 @@ def q_sorted_breakdown(spark, d):
 @query("union_tiers")
 def q_union_tiers(spark, d):
     t = TariffPipeline(spark, d)
-    return mt.tariff_tiers(t.dictionary, t.trade, t.drop_prefixes, t.prefix_overrides)
+    t._small_tables
+    return mt.tariff_tiers(t.dictionary, t.trade, t.drop_prefixes, t.prefix_overrides,
+                           exact_codes=t.exact_codes)
 
 
 # ---------------------------------------------------------------- S: scalar functions
