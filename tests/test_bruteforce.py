@@ -170,3 +170,45 @@ def test_person_concordance_matches_python(spark, seed):
     got = {(r.code, r.target, r.multi_io, r.match_type, r.n_targets, r.match_quality)
            for r in graded.collect()}
     assert got == py_concordance(codes, dictionary, overrides, drop)
+
+
+def py_two_sided(dictionary, trade, drop, fams):
+    """The two-sided concordance in plain Python: three tiers, then best per (target, hts10)."""
+    rows = []
+    unamb = [(h, n) for h, n, a in trade if not a]
+    exact_keys = {n for _, n in unamb}
+    for t, k, m in dictionary:
+        rows += [(t, k, h, "exact_6d", m) for h, n in unamb if n == k]
+        fam = next((o for o in fams if k.startswith(o)), k[:5])
+        for h, n, a in trade:
+            if a and not any(n.startswith(p) for p in drop) and n.rstrip("X") == fam:
+                rows.append((t, k, h, "ambiguous_prefix", m))
+        if k not in exact_keys:
+            rows += [(t, k, h, "fallback_5d", m) for h, n in unamb if n[:5] == k[:5]]
+    rank = {"exact_6d": 1, "ambiguous_prefix": 2, "fallback_5d": 3}
+    best = {}
+    for t, k, h, mt_, m in rows:
+        key = (rank[mt_], k, m, mt_)
+        if (t, h) not in best or key < best[(t, h)]:
+            best[(t, h)] = key
+    return {(t, k, h, mt_, m) for (t, h), (_, k, m, mt_) in best.items()}
+
+
+@pytest.mark.parametrize("seed", [41, 42])
+def test_two_sided_matches_python(spark, seed):
+    from codeloom.operators import match as mt
+
+    rnd = random.Random(seed)
+    dictionary = {(f"T{rnd.randrange(8)}", "".join(rnd.choice("0123") for _ in range(6)),
+                   rnd.random() < 0.3) for _ in range(60)}
+    trade = set()
+    for i in range(200):
+        base = "".join(rnd.choice("0123") for _ in range(6))
+        kind = rnd.randrange(4)
+        code = base if kind < 2 else base[:rnd.randrange(3, 6)] + "X" * rnd.randrange(1, 4)
+        trade.add((f"{rnd.randrange(60):010d}", code, "X" in code))
+    d = spark.createDataFrame(sorted(dictionary), "target string, key6 string, multi_io boolean")
+    t = spark.createDataFrame(sorted(trade), "hts10 string, naics string, naics_ambiguous boolean")
+    got = {tuple(r) for r in mt.two_sided_concordance(d, t, ["000"], ["001"]).select(
+        "target", "key6", "hts10", "match_type", "multi_io").collect()}
+    assert got == py_two_sided(dictionary, trade, ["000"], ["001"])
