@@ -29,3 +29,25 @@ def test_consent_gate(spark):
 def test_json_field(spark):
     df = spark.createDataFrame([('{"k": 69}',), ('{"j": 1}',), ("not json",)], "p string")
     assert [r.k for r in df.select(web.json_field("p", "k").alias("k")).collect()] == [69, None, None]
+
+
+def test_utm_extract_matches_python_urllib(spark):
+    """V1 against Python's form-urlencoded parser (the browser's URLSearchParams rules)."""
+    from urllib.parse import parse_qs, urlsplit
+
+    from codeloom.sources.tables import read_table
+
+    pages = read_table(spark, "/root/testdata/sf0.01", "pages", ["page_id", "url"])
+    got = {r.page_id: (r.utm_source, r.utm_campaign)
+           for r in web.utm_params(pages).select("page_id", "utm_source", "utm_campaign").collect()}
+
+    def first(q, k):
+        v = parse_qs(q, keep_blank_values=True).get(k)
+        return v[0] if v else None
+
+    want = {}
+    for r in pages.collect():
+        q = urlsplit(r.url).query
+        want[r.page_id] = (first(q, "utm_source"), first(q, "utm_campaign"))
+    assert got == want
+    assert any(v[0] for v in got.values())
