@@ -8,6 +8,7 @@ on float rounding quirks of any engine.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -108,3 +109,17 @@ def over_threshold_count(fan: DataFrame, threshold: int = 1, n: str = "n_targets
                          out: str = "n_codes") -> DataFrame:
     """One row, the number of keys whose fan-out exceeds ``threshold``."""
     return fan.agg(F.count_if(F.col(n) > threshold).alias(out))
+
+
+def warn_unclassified(per_code: DataFrame, code_type: str = "code_type", rows: str = "n_rows",
+                      other: str = "other") -> int:
+    """R8 as a runtime check: warn when records carry unclassified codes; return their count.
+
+    ``per_code`` has one row per code (e.g. code stats joined to the code
+    map), so only one scalar reaches the driver.
+    """
+    n = per_code.where(F.col(code_type) == other).agg(F.sum(rows)).first()[0] or 0
+    if n > 0:
+        warnings.warn(f"{n} rows have unclassified codes; inspect them before proceeding "
+                      f"(see the count_unclassified report)", stacklevel=2)
+    return int(n)

@@ -51,3 +51,16 @@ def test_utm_extract_matches_python_urllib(spark):
         want[r.page_id] = (first(q, "utm_source"), first(q, "utm_campaign"))
     assert got == want
     assert any(v[0] for v in got.values())
+
+
+def test_unclassified_warning(spark, sf_dir):
+    import pytest
+
+    from codeloom.operators import reports as rp
+    from codeloom.plans.pipelines import PersonPipeline
+
+    p = PersonPipeline(spark, sf_dir)
+    per_code = p.code_stats.join(p.code_map.where("keep"), "code_raw")
+    with pytest.warns(UserWarning, match="unclassified"):
+        n = rp.warn_unclassified(per_code)
+    assert n == p.facts.where("code_type = 'other'").count() > 0
