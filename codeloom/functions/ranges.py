@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: a range token is digits, a dash, digits.
 RANGE_PATTERN = "^[0-9]+-[0-9]+$"
 CHUNK = 4096
 

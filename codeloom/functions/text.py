@@ -29,6 +29,11 @@ WHITE_SPACE_CHARS = ("\t\n\x0b\x0c\r \x85\xa0\u1680"
 LIST_SEPARATOR = "," + WHITE_SPACE_CLASS + "*"
 
 
+# Fixed value: the code suffix removed to get a code's numeric prefix (one
+# capital letter plus any digits, at the end).
+SUFFIX_PATTERN = "[A-Z][0-9]*$"
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -77,7 +82,7 @@ def strip_code_suffix(col) -> Column:
 
     ``92811P1`` -> ``92811``, ``9211MP`` -> ``9211M``, ``3MS`` -> ``3M``.
     """
-    return F.regexp_replace(_c(col), "[A-Z][0-9]*$", "")
+    return F.regexp_replace(_c(col), SUFFIX_PATTERN, "")
 
 
 def strip_trailing(col, char: str = "X") -> Column:
