@@ -63,9 +63,10 @@ def distinct_codes(facts: DataFrame, code: str = "code_str") -> DataFrame:
 
     Grouping is on the code alone (class columns are functions of it and are
     derived after the aggregate).  The aggregate is partial on the map side,
-    so one code holding a third of all rows still shuffles one row per task,
-    and the result stays hash-partitioned on ``code`` for the matcher's
-    window that follows.
+    so one code holding a third of all rows still shuffles one row per task.
+    Per-record API; pipelines use ``code_map`` + ``codes_from_map``, whose
+    distinct leaves the codes hash-partitioned for the matcher's per-code
+    aggregate (no further exchange).
     """
     return add_code_columns(facts.select(F.col(code).alias("code")).distinct(), "code")
 
