@@ -16,6 +16,7 @@ AQE: a shuffle join whose skewed partitions AQE splits at run time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -63,7 +64,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    obs = Observation(f"codeloom_{name}")
+    obs = Observation(f"codeloom_{name}_{uuid.uuid4().hex[:12]}")   # unique: jobs may run concurrently
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     return with_row_bound(spark.read.parquet(path), obs.get["rows"])
 
