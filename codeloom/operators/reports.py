@@ -98,11 +98,16 @@ def unclassified_counts(facts: DataFrame, code: str = "code_str", type_col: str
 
 def rows_with_prefix(df: DataFrame, col: str, prefixes: Sequence[str],
                      out: str = "n_dropped") -> DataFrame:
-    """R2: one row, the number of rows whose ``col`` starts with any prefix."""
+    """R2: one row, the number of rows whose ``col`` starts with any prefix.
+
+    Filter, then a global count (always one row): the predicate is pushed
+    below an upstream ``distinct`` on ``col``, so only the matching family
+    is shuffled, not the whole table.
+    """
     cond = F.lit(False)
     for p in prefixes:
         cond = cond | F.col(col).startswith(p)
-    return df.agg(F.count_if(cond).alias(out))
+    return df.where(cond).agg(F.count(F.lit(1)).alias(out))
 
 
 def over_threshold_count(fan: DataFrame, threshold: int = 1, n: str = "n_targets",
