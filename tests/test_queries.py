@@ -11,8 +11,10 @@ import __spark_entry__ as entry
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from codeloom.plans import oracle_queries, queries as plan_queries
+
+QUERIES = plan_queries.queries()
+ORACLE = oracle_queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")
