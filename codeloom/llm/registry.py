@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import exact_dedup, packing
+from codeloom.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
 from codeloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,27 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_benchmark_decontamination")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, d, "documents", ["doc_id", "text"]),
+                                       read_table(spark, d, "benchmark", ["item_id", "text"])).drop("spans")
+
+
+ORACLE["op1_benchmark_decontamination"] = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+il AS (SELECT item_id, w, least(len(w), 13) AS l FROM iw WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, l, array_to_string(w[i + 1:i + l], ' ') AS k FROM (SELECT *, unnest(range(len(w) - l + 1)) AS i FROM il)),
+lens AS (SELECT DISTINCT l FROM win),
+dl AS (SELECT doc_id, l, i, array_to_string(w[i + 1:i + l], ' ') AS k FROM (SELECT doc_id, w, l, unnest(range(len(w) - l + 1)) AS i FROM dw, lens WHERE len(w) >= l)),
+hit AS (SELECT doc_id, item_id, i, dl.l AS l FROM dl JOIN win ON dl.k = win.k AND dl.l = win.l),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT doc_id, i, l FROM hit)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
+       sha256(coalesce(its.s, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AND 20 * coalesce(pos.n, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
 @query("op3_exact_dedup")
 def op3(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.duplicates(read_table(spark, d, "documents", ["doc_id", "text"]))
@@ -39,11 +60,22 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM n WINDOW w AS (PARTITION BY t)"""
 
 
+@query("op4_near_dedup")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    return near_dedup.classes(read_table(spark, d, "documents", ["doc_id", "text"]))
+
+
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, d, "documents", ["doc_id", "text"]), word_bpe_path())
 
 
+@query("op9_toxicity")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return toxicity.scores(docs, toxicity.train(docs, read_table(spark, d, "labels", ["doc_id", "toxic"])))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
