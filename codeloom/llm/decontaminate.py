@@ -98,11 +98,13 @@ def hits(docs: DataFrame, items: DataFrame, text: str = "text", keys: list[str]
     d = d.withColumn("__b", F.explode(listed))
     d = d.select(*keys, "__row", "__words", F.col("__b.length").alias("length"), F.col("__b.at").alias("at"), F.col("__b.block").alias("block"))
 
-    split = F.split("window", " ")
-    seeds = reduce(DataFrame.unionByName, [
-        windows.where(F.col("length") == x).select("length", F.explode(F.transform(
-            F.sequence(F.lit(0), F.lit(x - block_length(x))), lambda i, k=block_length(x): _block(split, i, k))).alias("block"))
-        for x in lengths]).distinct().withColumn("seed", F.lit(True))
+    def window_blocks(length: int) -> DataFrame:
+        k = block_length(length)
+        offsets = F.sequence(F.lit(0), F.lit(length - k))
+        each = F.transform(offsets, lambda i: _block(F.split("window", " "), i, k))
+        return windows.where(F.col("length") == length).select("length", F.explode(each).alias("block"))
+
+    seeds = reduce(DataFrame.unionByName, map(window_blocks, lengths)).distinct().withColumn("seed", F.lit(True))
     seeds = _small(materialize(seeds, "seeds"), F.lit(16))
     near = d.join(seeds, ["length", "block"], "left").where(F.col("seed") | (F.col("length") == 0))
     near = near.withColumn("n_words", F.size("__words"))
