@@ -41,20 +41,19 @@ def normalised(text: str) -> Column:
 
 
 def runs(docs: DataFrame, columns: list[str], text: str = "text", doc_id: str = "doc_id", heads_only: bool = False) -> DataFrame:
-    """``columns`` of each row and ``__run``: its run of equal texts within a sorted partition.
+    """``row``, a struct of each row's ``columns``, and ``run``, its run of equal texts in a sorted partition.
 
     ``head`` is the run's smallest identifier, ``rows`` its size, ``first`` marks one row of it,
     ``border`` has the text on the first row of a run that may go on in another partition.
     ``heads_only`` gives the first rows only.
     """
-    norm = normalised("__text")
-    d = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").alias("__text"), F.col(f"`{doc_id}`").cast("long").alias("__id"))
-    d = d.withColumn("__norm", norm)
-    d = d.withColumns({"__prefix": F.substring("__norm", 1, SPLITTER_CHARS), "__hash": F.xxhash64("__norm")}).drop("__text")
-    d = d.repartitionByRange(F.col("__prefix"), F.col("__hash"), F.col("__id").asc_nulls_last())
-    d = d.sortWithinPartitions("__prefix", "__hash", "__norm", F.col("__id").asc_nulls_last())
-    d = d.select(*[F.col(f"`{c}`") for c in columns], "__id", "__norm", F.sha2("__norm", 256).alias("__sha"))
-    schema = T.StructType([*[docs.schema[c] for c in columns], T.StructField("__run", RUN)])
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("long").alias("id"))
+    d = d.withColumn("norm", normalised("text"))
+    d = d.withColumns({"prefix": F.substring("norm", 1, SPLITTER_CHARS), "hash": F.xxhash64("norm")}).drop("text")
+    d = d.repartitionByRange(F.col("prefix"), F.col("hash"), F.col("id").asc_nulls_last())
+    d = d.sortWithinPartitions("prefix", "hash", "norm", F.col("id").asc_nulls_last())
+    d = d.select("row", "id", "norm", F.sha2("norm", 256).alias("sha"))
+    schema = T.StructType([d.schema["row"], T.StructField("run", RUN)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, state = TaskContext.get().partitionId(), None
@@ -69,12 +68,11 @@ def runs(docs: DataFrame, columns: list[str], text: str = "text", doc_id: str =
             first = np.zeros(n, bool)
             first[0] = True
             info = [pa.array([head] * n, pa.int64()), pa.array(np.full(n, rows)), pa.array(first), pa.array([sha] * n, pa.string()), pa.array(np.full(n, part, np.int64)), pa.array([border] + [None] * (n - 1), pa.string())]
-            own = [table.column(c).chunk(0) if table.column(c).num_chunks else pa.array([], table.column(c).type) for c in columns]
-            return pa.RecordBatch.from_arrays([*own, pa.StructArray.from_arrays(info, names=RUN.names)], names=schema.names)
+            return pa.RecordBatch.from_arrays([table.column("row").chunk(0), pa.StructArray.from_arrays(info, names=RUN.names)], names=schema.names)
 
         def many(batch: pa.RecordBatch, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
             """Runs that lie in one batch and are neither a first nor a last one."""
-            ids, sha = batch.column("__id"), batch.column("__sha")
+            ids, sha = batch.column("id"), batch.column("sha")
             rows = np.arange(starts[0], ends[-1])
             size = ends - starts
             head = np.repeat(starts, size)
@@ -82,15 +80,14 @@ def runs(docs: DataFrame, columns: list[str], text: str = "text", doc_id: str =
             at = starts if heads_only else head
             n = size if heads_only else np.repeat(size, size)
             info = [ids.take(pa.array(at)), pa.array(n), pa.array(take == at), sha.take(pa.array(take)), pa.array(np.full(len(take), part, np.int64)), pa.nulls(len(take), pa.string())]
-            own = [batch.column(c).take(pa.array(take)) for c in columns]
-            return pa.RecordBatch.from_arrays([*own, pa.StructArray.from_arrays(info, names=RUN.names)], names=schema.names)
+            return pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(take)), pa.StructArray.from_arrays(info, names=RUN.names)], names=schema.names)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            norm = batch.column("__norm")
+            norm = batch.column("norm")
             new = np.concatenate([[state is None or state[3] != norm[0].as_py()], pc.not_equal(norm[1:], norm[:-1]).to_numpy(zero_copy_only=False)])
-            slim = batch.select([*columns, "__id"])
+            slim = batch.select(["row"])
             starts = np.flatnonzero(new)
             to = int(starts[0]) if len(starts) else batch.num_rows
             if to:   # the run before goes on
@@ -105,14 +102,14 @@ def runs(docs: DataFrame, columns: list[str], text: str = "text", doc_id: str =
             done = 0
             if n_runs == 0 and len(starts) > 1:   # the first run of the partition
                 a, b = int(starts[0]), int(starts[1])
-                state = [[slim.slice(a, b - a)], batch.column("__id")[a].as_py(), batch.column("__sha")[a].as_py(), norm[a].as_py(), b - a]
+                state = [[slim.slice(a, b - a)], batch.column("id")[a].as_py(), batch.column("sha")[a].as_py(), norm[a].as_py(), b - a]
                 yield out(False)
                 n_runs, done = 1, 1
             if len(starts) - 1 > done:
                 yield many(batch, starts[done:-1], starts[done + 1:])
                 n_runs += len(starts) - 1 - done
             a = int(starts[-1])
-            state = [[slim.slice(a)], batch.column("__id")[a].as_py(), batch.column("__sha")[a].as_py(), norm[a].as_py(), batch.num_rows - a]
+            state = [[slim.slice(a)], batch.column("id")[a].as_py(), batch.column("sha")[a].as_py(), norm[a].as_py(), batch.num_rows - a]
         if state:
             yield out(True)
 
@@ -124,36 +121,33 @@ def joined_borders(found: DataFrame) -> DataFrame:
 
     At most two rows a partition go in, grouped by the whole text.
     """
-    r = F.col("__run")
-    border = found.where(r["border"].isNotNull()).select(r["border"].alias("text"), r["sha"].alias("__sha"), r["head"].alias("__head"), r["part"].alias("__part"), r["rows"].alias("rows"))
+    r = F.col("run")
+    border = found.where(r["border"].isNotNull()).select(r["border"].alias("text"), r["sha"].alias("sha"), r["head"].alias("head"), r["part"].alias("part"), r["rows"].alias("rows"))
     last = F.lit((1 << 63) - 1)
-    group = border.groupBy("text").agg(F.min("__head").alias("__keep"), F.sum("rows").alias("__size"), F.count(F.lit(1)).alias("n"), F.min(F.struct(F.coalesce("__head", last), "__part")).alias("__least"))
-    group = group.where("n > 1").select("text", "__keep", "__size", F.col("__least")["__part"].alias("__first_part"))
-    runs_of = border.join(group, "text").select("__sha", "__part", "__keep", "__size", "__first_part")
-    return runs_of.dropDuplicates(["__sha", "__part"])
+    group = border.groupBy("text").agg(F.min("head").alias("keep"), F.sum("rows").alias("size"), F.count(F.lit(1)).alias("n"), F.min(F.struct(F.coalesce("head", last), "part")).alias("least"))
+    group = group.where("n > 1").select("text", "keep", "size", F.col("least.part").alias("first_part"))
+    runs_of = border.join(group, "text").select("sha", "part", "keep", "size", "first_part")
+    return runs_of.dropDuplicates(["sha", "part"])
 
 
 def with_groups(found: DataFrame) -> DataFrame:
     """``found`` (of :func:`runs`, materialised) with ``keep_id``, ``group_size`` and ``kept``."""
     b = F.broadcast(joined_borders(found))   # two rows a partition at most
-    r = F.col("__run")
-    j = found.join(b, (r["sha"] == b["__sha"]) & (r["part"] == b["__part"]), "left")
-    other = F.col("__first_part").isNotNull()
-    return j.withColumns({
-        "keep_id": F.when(other, F.col("__keep")).otherwise(r["head"]),
-        "group_size": F.when(other, F.col("__size")).otherwise(r["rows"]),
-        "kept": r["first"] & F.coalesce(F.col("__first_part") == r["part"], F.lit(True)),
-        "text_sha256": r["sha"],
-    })
+    r = F.col("run")
+    j = found.join(b, (r["sha"] == b["sha"]) & (r["part"] == b["part"]), "left")
+    other = F.col("first_part").isNotNull()
+    return j.select("row", F.when(other, F.col("keep")).otherwise(r["head"]).alias("keep_id"),
+                    F.when(other, F.col("size")).otherwise(r["rows"]).alias("group_size"),
+                    (r["first"] & F.coalesce(F.col("first_part") == r["part"], F.lit(True))).alias("kept"), r["sha"].alias("text_sha256"))
 
 
 def duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     found = materialize(runs(docs, [doc_id], text, doc_id), "exact_runs")
-    return with_groups(found).select(F.col(f"`{doc_id}`").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+    return with_groups(found).select(F.col("row")[doc_id].alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns."""
     found = materialize(runs(docs, docs.columns, text, doc_id, heads_only=True), "exact_heads")
-    return with_groups(found).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return with_groups(found).where("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])
