@@ -6,8 +6,8 @@ informative Dirichlet prior (the words' joint frequencies), kept where the two d
 ``drift``.  All maximal scoring segments of a text are found in one linear pass (Ruzzo and Tompa).
 The maximum over n words of clean text follows an extreme-value law, P(S > s) = 1 - exp(-K n e^(-lambda s)):
 lambda solves its defining equation for the clean documents' word frequencies, K is its maximum-likelihood
-estimate.  A logistic model over the calibrated maximum, the excess of all significant segments
-and the length turns this into a probability, weighted by the labels' totals.  The drift is the
+estimate.  A logistic model over the calibrated maximum and the excess of all significant segments
+turns this into a probability (a text without a word of the lexicon has neither), weighted by the labels' totals.  The drift is the
 one of ``DRIFTS`` with the least loss in training.
 
 Defined results: words are lower-cased A-Z runs of ASCII letters, digits and all non-ASCII
@@ -102,18 +102,21 @@ def lexicon_hits(model_words: np.ndarray, flags: np.ndarray, data: np.ndarray, o
     return np.stack([text, at - firsts[text], index]), np.diff(firsts)
 
 
-def features(hits: np.ndarray, n_words: np.ndarray, odds: np.ndarray, drift: float, lam: float, k: float) -> np.ndarray:
-    """Per text: calibrated maximum, excess of all significant segments, log length."""
-    n = np.maximum(n_words, 1)
-    log_space = np.log(k * n)
-    best, excess = np.zeros(len(n)), np.zeros(len(n))
-    firsts = np.searchsorted(hits[0], np.arange(len(n) + 1))
-    for t in np.flatnonzero(np.diff(firsts)):
+def features(hits: np.ndarray, n_words: np.ndarray, odds: np.ndarray, drift: float, lam: float, k: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per text: -ln P(maximum) and the excess of all significant segments, both 0 without a
+    lexicon word; and lambda times the maximum."""
+    space = k * np.maximum(n_words, 1)
+    best, excess = np.zeros(len(space)), np.zeros(len(space))
+    firsts = np.searchsorted(hits[0], np.arange(len(space) + 1))
+    own = np.flatnonzero(np.diff(firsts))
+    for t in own:
         a, b = firsts[t], firsts[t + 1]
         scores = [s for _, _, s in segments(hits[1, a:b].tolist(), odds[hits[2, a:b]].tolist(), drift)]
-        best[t] = max(scores)
-        excess[t] = sum(max(0.0, lam * s - log_space[t]) for s in scores)
-    return np.stack([lam * best - log_space, excess, np.log1p(n_words)], axis=1)
+        best[t] = lam * max(scores)
+        excess[t] = sum(max(0.0, lam * s - np.log(space[t])) for s in scores)
+    surprise = np.zeros(len(space))
+    surprise[own] = -np.log(np.maximum(-np.expm1(-space[own] * np.exp(-best[own])), 1e-300))
+    return np.stack([surprise, excess], axis=1), best
 
 
 def _lambda(odds: np.ndarray, share: np.ndarray, drift: float) -> float | None:
@@ -202,10 +205,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         lam = _lambda(model.odds, share, drift)
         if lam is None:
             continue
-        top = features(hits, n, model.odds, drift, lam, 1.0)[:, 0] + np.log(np.maximum(n, 1))   # lambda * maximum
+        _, top = features(hits, n, model.odds, drift, lam, 1.0)
         clean = y == 0
         k = clean.sum() / max((np.maximum(n, 1) * np.exp(-top))[clean].sum(), 1e-12)
-        weights, loss = _logistic(features(hits, n, model.odds, drift, lam, k), y, weight)
+        weights, loss = _logistic(features(hits, n, model.odds, drift, lam, k)[0], y, weight)
         if best is None or loss < best[0]:
             best = loss, drift, lam, k, weights
     if best is None:
@@ -221,7 +224,7 @@ def score_texts(model: Model, flags: np.ndarray, column: pa.Array) -> np.ndarray
         return out
     for a, b in arrays.pieces(offsets):
         hits, n = lexicon_hits(model.words, flags, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-        x = features(hits, n, model.odds, model.drift, model.lam, model.k)
+        x, _ = features(hits, n, model.odds, model.drift, model.lam, model.k)
         out[a:b] = 1 / (1 + np.exp(-np.clip(x @ model.weights[:-1] + model.weights[-1], -30, 30)))
     return out
 
