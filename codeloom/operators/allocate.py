@@ -70,26 +70,18 @@ def _quality(clean_types: Sequence[str], acceptable_max: int, coarse_max: int) -
 def best_graded(matches: DataFrame, ranks: dict[str, int] = PERSON_RANKS,
                 clean_types: Sequence[str] = CLEAN_TYPES, acceptable_max: int = ACCEPTABLE_MAX,
                 coarse_max: int = COARSE_MAX) -> DataFrame:
-    """E7 + E8 in one aggregate per code: best row per target, fan-out, grade.
-
-    Candidates of a code are collected as ``(target, rank, match_type,
-    multi_io)`` structs, sorted, and the first struct of each target kept
-    (the same total order as ``best_match`` with tie-breaks
-    ``match_type, multi_io``); the kept array's size is the fan-out.  One
-    shuffle by code replaces a dedupe shuffle by (code, target) plus a
-    window shuffle by code.  A group holds one code's matches at its best
-    prefix length, bounded by the dictionary, never by the records.
+    """E7 + E8: best row per (code, target), fan-out, grade.
+
+    The best row is a minimum per (code, target) (the same total order as
+    ``best_match`` with tie-breaks ``match_type, multi_io``), combined before
+    its shuffle.  What is then gathered per code has one entry per target, so
+    a group is bounded by the targets, however many dictionary rows match.
     """
-    cand = matches.select("code", F.struct(
-        F.col("target"), rank_of("match_type", ranks).alias("rank"),
-        F.col("match_type"), F.col("multi_io")).alias("__m"))
-    per = cand.groupBy("code").agg(F.array_sort(F.collect_list("__m")).alias("__s"))
-    s = F.col("__s")
-    first_of_target = F.filter(
-        s, lambda x, i: F.coalesce(x["target"] != F.get(s, i - 1)["target"], F.lit(True)))
-    out = per.select("code", first_of_target.alias("__b")).select(
-        "code", F.size("__b").cast("long").alias("n_targets"), F.explode("__b").alias("__m"))
-    return out.select("code", "__m.target", "__m.multi_io", "__m.match_type", "n_targets") \
+    best = matches.groupBy("code", "target").agg(F.min(F.struct(
+        rank_of("match_type", ranks).alias("rank"), "match_type", "multi_io")).alias("__m"))
+    per = best.groupBy("code").agg(F.collect_list(F.struct("target", "__m")).alias("__b"))
+    out = per.select("code", F.size("__b").cast("long").alias("n_targets"), F.explode("__b").alias("__t"))
+    return out.select("code", "__t.target", "__t.__m.multi_io", "__t.__m.match_type", "n_targets") \
         .withColumn("match_quality", _quality(clean_types, acceptable_max, coarse_max))
 
 

@@ -7,11 +7,13 @@ the row count is observed *during* the write (``DataFrame.observe``), so
 knowing the size costs no extra job.  The count travels with the returned
 DataFrame as a row bound.
 
-``sized_broadcast`` adds the broadcast hint only when the row count is
-within bound: taken from a known bound when the caller has one (a table
+``sized_broadcast`` adds the broadcast hint only when rows and bytes are
+within bounds: the rows from a known bound when the caller has one (a table
 derived from a materialized one by a bounded fan-out), else counted with
-``limit(max_rows + 1)``.  Above the bound the join is left to Catalyst and
-AQE: a shuffle join whose skewed partitions AQE splits at run time.
+``limit(max_rows + 1)``; the bytes observed during ``materialize``, else
+estimated from the rows and the column types.  Above a bound the join is left
+to Catalyst and AQE: a shuffle join whose skewed partitions AQE splits at run
+time.
 """
 
 from __future__ import annotations
@@ -22,14 +24,19 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codeloom.session import scratch_path
 
 DEFAULT_MAX_ROWS = 2_000_000
 CONF_MAX_ROWS = "spark.codeloom.broadcast.maxRows"
+DEFAULT_MAX_BYTES = 128 << 20
+CONF_MAX_BYTES = "spark.codeloom.broadcast.maxBytes"
 _ROWS_ATTR = "_codeloom_rows"
+_BYTES_ATTR = "_codeloom_bytes"
 
 
 def max_broadcast_rows(df: DataFrame, default: int = DEFAULT_MAX_ROWS) -> int:
@@ -37,6 +44,27 @@ def max_broadcast_rows(df: DataFrame, default: int = DEFAULT_MAX_ROWS) -> int:
     return int(v) if v else default
 
 
+def max_broadcast_bytes(df: DataFrame, default: int = DEFAULT_MAX_BYTES) -> int:
+    v = df.sparkSession.conf.get(CONF_MAX_BYTES, None)
+    return int(v) if v else default
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: the length of strings and binaries, 8 for other columns."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8 if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8)
+             for f in df.schema.fields]
+    return reduce(lambda x, y: x + y, sizes, F.lit(0))
+
+
+def _bytes_of(df: DataFrame, rows: int) -> int:
+    """Observed bytes, else an estimate from rows and column types."""
+    known = getattr(df, _BYTES_ATTR, None)
+    if known is not None:
+        return known
+    return rows * sum(32 if isinstance(f.dataType, T.StringType) else 8 if isinstance(f.dataType, T.NumericType) else 64
+                      for f in df.schema.fields)
+
+
 def known_rows(df: DataFrame) -> int | None:
     """Exact row count of a materialized DataFrame, else None."""
     return getattr(df, _ROWS_ATTR, None)
@@ -65,8 +93,11 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"codeloom_{name}_{uuid.uuid4().hex[:12]}")   # unique: jobs may run concurrently
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    return with_row_bound(spark.read.parquet(path), obs.get["rows"])
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).write.mode("errorifexists").parquet(path)
+    seen = obs.get
+    out = with_row_bound(spark.read.parquet(path), seen["rows"])
+    setattr(out, _BYTES_ATTR, int(seen["bytes"] or 0))
+    return out
 
 
 def concurrently(**jobs: Callable[[], Any]) -> dict[str, Any]:
@@ -78,8 +109,11 @@ def concurrently(**jobs: Callable[[], Any]) -> dict[str, Any]:
     """
     if len(jobs) <= 1:
         return {k: f() for k, f in jobs.items()}
+    # The caller's job group, tags and scheduler pool hold in the threads too.
+    spark = SparkSession.getActiveSession()
+    inherit = inheritable_thread_target(spark) if spark else lambda f: f
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        futures = {k: pool.submit(inherit(f)) for k, f in jobs.items()}
         return {k: f.result() for k, f in futures.items()}
 
 
@@ -106,7 +140,7 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None, bound: int | Non
     if bound is None:
         bound = known_rows(df)
     if bound is not None:
-        ok = bound <= limit
+        ok = bound <= limit and _bytes_of(df, bound) <= max_broadcast_bytes(df)
     elif count_unknown:
         ok = fits(df, limit)
     else:
@@ -125,18 +159,20 @@ def _names(keys: str | Sequence[str]) -> list[str]:
 def skew_safe_join(facts: DataFrame, lookup: DataFrame, fact_keys: str | Sequence[str],
                    lookup_keys: str | Sequence[str], stats: DataFrame | None = None,
                    stats_keys: str | Sequence[str] | None = None, stats_rows: str = "n_rows",
-                   salts: int = 32, hot_share: float | None = None) -> DataFrame:
+                   hot_share: float | None = None, spread: float = 2.0) -> DataFrame:
     """Inner equi-join of large ``facts`` with ``lookup`` that no hot key can stall.
 
     Returns the fact columns plus the lookup's non-key columns.  A broadcast
     ``lookup`` (hinted by ``sized_broadcast``) needs nothing more: the facts
     are not shuffled.  Otherwise keys holding more than ``hot_share`` of the
     records (from per-key ``stats``; at most ``1/hot_share`` keys qualify,
-    so that list is provably small and is broadcast) are salted: their
-    records spread over ``salts`` buckets by a deterministic row hash (a
-    recomputed partition gets the same salts), and their lookup rows are
-    replicated once per bucket.  Exact: every record meets every lookup row
-    of its key exactly once.
+    so that list is provably small and is broadcast) are salted.  A key gets
+    ``share * shuffle partitions * spread`` buckets, so each bucket holds
+    about half a partition's fair share, however large the key and the cluster;
+    its lookup rows are replicated once per bucket.  Records spread by their
+    row number in the partition (so exact duplicates part too); ``facts``
+    should come from files, where a recomputed partition has the same order.
+    Exact: every record meets every lookup row of its key exactly once.
     """
     fk, lk = _names(fact_keys), _names(lookup_keys)
     sk = fk if stats_keys is None else _names(stats_keys)
@@ -149,19 +185,21 @@ def skew_safe_join(facts: DataFrame, lookup: DataFrame, fact_keys: str | Sequenc
 
     if stats is None or getattr(lookup, "_codeloom_broadcast", False):
         return facts.join(small, on(facts, small), "inner").drop(*ren.values())
-    spark = facts.sparkSession
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     if hot_share is None:
-        hot_share = 1.0 / (2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        hot_share = 1.0 / (2 * partitions)
     total = stats.agg(F.sum(stats_rows)).first()[0] or 0   # one scalar
     hk = [f"__hk{i}" for i in range(len(sk))]
-    hot = F.broadcast(stats.where(F.col(stats_rows) > F.lit(total * hot_share))
-                      .select(*[F.col(c).alias(h) for c, h in zip(sk, hk)], F.lit(True).alias("__hot")))
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts))
-    f = (facts.join(hot, reduce(lambda x, y: x & y, [facts[c] == hot[h] for c, h in zip(fk, hk)]), "left")
-         .withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0))).drop(*hk, "__hot"))
-    sm = (small.join(hot, reduce(lambda x, y: x & y, [small[ren[c]] == hot[h] for c, h in zip(lk, hk)]), "left")
-          .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-          .drop(*hk, "__hot"))
+    share = F.col(stats_rows) / F.lit(max(total, 1))
+    hot = F.broadcast(stats.where(share > hot_share)
+                      .select(*[F.col(c).alias(h) for c, h in zip(sk, hk)],
+                              F.ceil(share * partitions * spread).cast("int").alias("__salts")))
+    f = (facts.withColumn("__row", F.monotonically_increasing_id())
+         .join(hot, reduce(lambda x, y: x & y, [F.col(c) == F.col(h) for c, h in zip(fk, hk)]), "left")
+         .withColumn("__salt", F.coalesce(F.pmod(F.col("__row"), F.col("__salts")).cast("int"), F.lit(0)))
+         .drop(*hk, "__salts", "__row"))
+    sm = (small.join(hot, reduce(lambda x, y: x & y, [F.col(ren[c]) == F.col(h) for c, h in zip(lk, hk)]), "left")
+          .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+          .drop(*hk, "__salts"))
     return (f.join(sm, on(f, sm) & (f["__salt"] == sm["__salt"]), "inner")
             .drop("__salt", *ren.values()))

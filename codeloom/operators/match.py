@@ -77,7 +77,7 @@ def _prefix_label(length_col) -> F.Column:
 # person-side pipeline
 # --------------------------------------------------------------------------
 def match_exact(codes: DataFrame, dictionary: DataFrame, key: str = "key6") -> DataFrame:
-    """G1: numeric codes whose padded form equals a dictionary key."""
+    """G1: numeric codes whose padded form equals a dictionary key (one row per distinct code)."""
     c = codes.where((F.col("code_type") == "numeric") & F.col("code_6d").isNotNull())
     d = sized_broadcast(dictionary.select("target", F.col(key).alias("__k"), "multi_io"),
                         bound=bound_from(dictionary))
@@ -94,21 +94,14 @@ def needs_prefix_pool(codes: DataFrame, exact: DataFrame) -> DataFrame:
     return codes.join(exact.select("code"), "code", "left_anti")
 
 
-def prefix_join(codes: DataFrame, dictionary: DataFrame, prefix_len: int,
-                already_matched: DataFrame | None = None, key: str = "key6") -> DataFrame:
-    """One fixed-length prefix tier, as in the tier-by-tier script.
+def prefix_tier(codes: DataFrame, dictionary: DataFrame, length: int,
+                lengths: Sequence[int] = PREFIX_LENGTHS, key: str = "key6") -> DataFrame:
+    """The matches of one prefix length, of codes without a longer match.
 
-    Anti-join what is already matched, cut the code prefix to ``prefix_len``
-    (codes too short drop out), cut dictionary keys, equi-join.
+    The cascade's rows of that length; shorter lengths are not probed.
     """
-    cand = codes
-    if already_matched is not None:
-        cand = cand.join(already_matched.select("code"), "code", "left_anti")
-    cand = cand.withColumn("__jp", F.substring("code_prefix", 1, prefix_len)) \
-        .where(F.length("__jp") == prefix_len)
-    d = dictionary.select("target", "multi_io", F.substring(key, 1, prefix_len).alias("__jp"))
-    return cand.join(sized_broadcast(d, bound=bound_from(dictionary)), "__jp", "inner").select(
-        "code", "target", "multi_io", F.lit(f"prefix_{prefix_len}d").alias("match_type"))
+    probed = [n for n in lengths if n >= length]
+    return match_longest_prefix(codes, dictionary, probed, key=key).where(F.col("match_type") == f"prefix_{length}d")
 
 
 def _code_key_sql(length: str, lengths: Sequence[int], width: int) -> str:
@@ -132,19 +125,21 @@ def _code_keys(codes: DataFrame, lengths: Sequence[int], width: int) -> DataFram
 
 
 def _dictionary_keys(dictionary: DataFrame, lengths: Sequence[int], width: int,
-                     key: str) -> DataFrame:
+                     key: str, reduced: bool = False) -> DataFrame:
+    """``(target, multi_io, L, key)``; ``reduced``: one row per ``(target, L, key)``, the one a dedupe keeps."""
     # Keys shorter than n can never equal an n-character code prefix.
     entries = [f"named_struct('L', {width}, 'key', `{key}`)"] + [
         f"named_struct('L', {n}, 'key', CASE WHEN length(`{key}`) >= {n} THEN substring(`{key}`, 1, {n}) END)"
         for n in lengths]
-    return (dictionary.selectExpr("target", "multi_io", f"explode(array({', '.join(entries)})) AS __k")
-            .selectExpr("target", "multi_io", "__k.L AS L", "__k.key AS key")
-            .where("key IS NOT NULL"))
+    out = (dictionary.selectExpr("target", "multi_io", f"explode(array({', '.join(entries)})) AS __k")
+           .selectExpr("target", "multi_io", "__k.L AS L", "__k.key AS key")
+           .where("key IS NOT NULL"))
+    return out.groupBy("target", "L", "key").agg(F.min("multi_io").alias("multi_io")) if reduced else out
 
 
 def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
                          lengths: Sequence[int] = PREFIX_LENGTHS, width: int = 6,
-                         key: str = "key6") -> DataFrame:
+                         key: str = "key6", reduced: bool = False) -> DataFrame:
     """Exact first, then the longest prefix length with any match.
 
     Equal to running exact, 5, 4, 3, 2 as separate anti-join + join rounds.
@@ -157,11 +152,14 @@ def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
     length (a map-side-combined hash aggregate); (3) only that key is joined to
     the dictionary.  Shorter-prefix matches of a code are never produced, so
     the work is linear in codes plus output, however broad a 2-character
-    prefix is.
+    prefix is.  With ``reduced`` the dictionary comes down to one row per
+    (target, L, key) first: the rows that a dedupe per (code, target) keeps,
+    so a code has at most as many as there are targets.
     """
-    assert all(n < width for n in lengths), "prefix lengths must be shorter than the key"
+    if any(n >= width for n in lengths):
+        raise ValueError("prefix lengths must be shorter than the key")
     ck = _code_keys(codes, lengths, width)
-    dk = _dictionary_keys(dictionary, lengths, width, key)
+    dk = _dictionary_keys(dictionary, lengths, width, key, reduced)
     bound = bound_from(dictionary, 1 + len(lengths))
     hit = ck.join(sized_broadcast(dk.select("L", "key").distinct(), bound=bound), ["L", "key"], "left_semi")
     # max(L) per code is a hash aggregate on an int; the key is a function of
@@ -208,9 +206,12 @@ def best_match(matches: DataFrame, keys: Sequence[str], ranks: dict[str, int],
 
 
 def person_matches(codes: DataFrame, dictionary: DataFrame, overrides: DataFrame | None,
-                   lengths: Sequence[int] = PREFIX_LENGTHS) -> DataFrame:
-    """K1: all tiers before dedupe: cascade result plus present overrides."""
-    m = match_longest_prefix(codes, dictionary, lengths)
+                   lengths: Sequence[int] = PREFIX_LENGTHS, reduced: bool = False) -> DataFrame:
+    """K1: all tiers before dedupe: cascade result plus present overrides.
+
+    ``reduced`` leaves out the ties that the dedupe drops anyway.
+    """
+    m = match_longest_prefix(codes, dictionary, lengths, reduced=reduced)
     return apply_overrides(m, overrides, codes) if overrides is not None else m
 
 
@@ -218,22 +219,38 @@ def person_concordance(codes: DataFrame, dictionary: DataFrame, overrides: DataF
                        drop_codes: Sequence[str] = DROP_CODES,
                        lengths: Sequence[int] = PREFIX_LENGTHS) -> DataFrame:
     """Concordance ``(code, target, multi_io, match_type)``, unique per (code, target)."""
-    m = drop_codes_filter(person_matches(codes, dictionary, overrides, lengths), drop_codes)
+    m = drop_codes_filter(person_matches(codes, dictionary, overrides, lengths, reduced=True), drop_codes)
     return best_match(m, ["code", "target"], PERSON_RANKS, ["match_type", "multi_io"])
 
 
+def matched_codes(codes: DataFrame, dictionary: DataFrame, overrides: DataFrame | None,
+                  drop_codes: Sequence[str] = DROP_CODES, lengths: Sequence[int] = PREFIX_LENGTHS,
+                  width: int = 6, key: str = "key6") -> DataFrame:
+    """Distinct codes that the concordance has: any key in the dictionary, or a present override."""
+    keys = _dictionary_keys(dictionary, lengths, width, key).select("L", "key").distinct()
+    hit = _code_keys(codes, lengths, width).join(
+        sized_broadcast(keys, bound=bound_from(dictionary, 1 + len(lengths))), ["L", "key"], "left_semi").select("code")
+    if overrides is not None:
+        hit = hit.unionByName(overrides_present(overrides, codes).select("code"))
+    return drop_codes_filter(hit, drop_codes).distinct()
+
+
 # --------------------------------------------------------------------------
 # two-sided (tariff) pipeline
 # --------------------------------------------------------------------------
 _TARIFF_COLS = ["target", "key6", "hts10", "match_type", "multi_io"]
 
 
-def tariff_exact(dictionary: DataFrame, trade: DataFrame) -> DataFrame:
+def _tier_stats(key_stats: DataFrame | None, tier: str) -> DataFrame | None:
+    return None if key_stats is None else key_stats.where(F.col("tier") == tier)
+
+
+def tariff_exact(dictionary: DataFrame, trade: DataFrame, key_stats: DataFrame | None = None) -> DataFrame:
     """Exact tier: dictionary key equals an unambiguous trade code."""
-    d = sized_broadcast(dictionary, bound=bound_from(dictionary))
+    d = sized_broadcast(dictionary.select("target", "key6", "multi_io"), bound=bound_from(dictionary))
     t = trade.where(~F.col("naics_ambiguous"))
-    return t.join(d, t.naics == d.key6, "inner").select(
-        "target", "key6", "hts10", F.lit(EXACT).alias("match_type"), "multi_io")
+    j = skew_safe_join(t, d, "naics", "key6", _tier_stats(key_stats, EXACT), "key")
+    return j.select("target", F.col("naics").alias("key6"), "hts10", F.lit(EXACT).alias("match_type"), "multi_io")
 
 
 def _family_key(col, overrides: Sequence[str], default: F.Column) -> F.Column:
@@ -249,7 +266,7 @@ def _family_key(col, overrides: Sequence[str], default: F.Column) -> F.Column:
 def match_wildcards(trade: DataFrame, dictionary: DataFrame,
                     drop_prefixes: Sequence[str] = (), prefix_overrides: Sequence[str] = (),
                     overrides_both_sides: bool = False, wildcard: str = "X",
-                    key_len: int = 5) -> DataFrame:
+                    key_len: int = 5, key_stats: DataFrame | None = None) -> DataFrame:
     """Ambiguous trade codes matched through their stripped prefix.
 
     Dropped families are removed; the trailing wildcard run is stripped; the
@@ -263,9 +280,11 @@ def match_wildcards(trade: DataFrame, dictionary: DataFrame,
     t = t.withColumn("__p", strip_trailing("naics", wildcard))
     if overrides_both_sides and prefix_overrides:
         t = t.withColumn("__p", _family_key("__p", prefix_overrides, F.col("__p")))
-    d = dictionary.withColumn("__p", _family_key("key6", prefix_overrides,
-                                                 F.substring("key6", 1, key_len)))
-    return t.join(sized_broadcast(d, bound=bound_from(dictionary)), "__p", "inner").select(
+    d = dictionary.select("target", "key6", "multi_io", _family_key(
+        "key6", prefix_overrides, F.substring("key6", 1, key_len)).alias("__p"))
+    j = skew_safe_join(t, sized_broadcast(d, bound=bound_from(dictionary)), "__p", "__p",
+                       _tier_stats(key_stats, AMBIGUOUS), "key")
+    return j.select(
         "target", "key6", "hts10", F.lit(AMBIGUOUS).alias("match_type"), "multi_io")
 
 
@@ -288,25 +307,29 @@ def unmatched_dictionary(dictionary: DataFrame, trade: DataFrame,
 
 
 def fallback_5d(dictionary: DataFrame, trade: DataFrame, key_len: int = 5,
-                exact_codes: DataFrame | None = None) -> DataFrame:
+                exact_codes: DataFrame | None = None, key_stats: DataFrame | None = None) -> DataFrame:
     """5-character fallback for dictionary rows without an exact match."""
-    un = unmatched_dictionary(dictionary, trade, exact_codes).withColumn("__k", F.substring("key6", 1, key_len))
+    un = unmatched_dictionary(dictionary, trade, exact_codes).select(
+        "target", "key6", "multi_io", F.substring("key6", 1, key_len).alias("__k"))
     t = trade.where(~F.col("naics_ambiguous")).withColumn("__k", F.substring("naics", 1, key_len))
-    return t.join(sized_broadcast(un, bound=bound_from(dictionary)), "__k", "inner").select(
+    j = skew_safe_join(t, sized_broadcast(un, bound=bound_from(dictionary)), "__k", "__k",
+                       _tier_stats(key_stats, FALLBACK), "key")
+    return j.select(
         "target", "key6", "hts10", F.lit(FALLBACK).alias("match_type"), "multi_io")
 
 
 def tariff_tiers(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequence[str] = (),
                  prefix_overrides: Sequence[str] = (), overrides_both_sides: bool = False,
-                 exact_codes: DataFrame | None = None) -> DataFrame:
+                 exact_codes: DataFrame | None = None, key_stats: DataFrame | None = None) -> DataFrame:
     """K1: exact, wildcard and fallback tiers as three joins, union by name.
 
     Reference form of ``tariff_matches`` (same rows); kept for the per-tier
     queries and as a test oracle.
     """
-    exact = tariff_exact(dictionary, trade)
-    wild = match_wildcards(trade, dictionary, drop_prefixes, prefix_overrides, overrides_both_sides)
-    fb = fallback_5d(dictionary, trade, exact_codes=exact_codes)
+    exact = tariff_exact(dictionary, trade, key_stats)
+    wild = match_wildcards(trade, dictionary, drop_prefixes, prefix_overrides, overrides_both_sides,
+                           key_stats=key_stats)
+    fb = fallback_5d(dictionary, trade, exact_codes=exact_codes, key_stats=key_stats)
     return exact.select(*_TARIFF_COLS).unionByName(wild).unionByName(fb)
 
 
@@ -343,11 +366,34 @@ def trade_key_stats(code_counts: DataFrame, drop_prefixes: Sequence[str] = (),
             .groupBy("tier", "key").agg(F.sum("n_rows").alias("n_rows")))
 
 
+def _dictionary_probes(dictionary: DataFrame, exact_codes: DataFrame,
+                       prefix_overrides: Sequence[str], key_len: int) -> DataFrame:
+    """``(target, key6, multi_io, tier, key)``: the keys under which a trade row may meet a dictionary row."""
+    has_exact = sized_broadcast(exact_codes.select(F.col("naics").alias("__n"), F.lit(True).alias("__has_exact")),
+                                bound=bound_from(exact_codes))
+    d = dictionary.join(has_exact, dictionary.key6 == has_exact.__n, "left").drop("__n")
+    fam = _family_key("key6", prefix_overrides, F.substring("key6", 1, key_len))
+    return d.select("target", "key6", "multi_io", F.explode(F.array(
+        F.struct(F.lit(EXACT).alias("tier"), F.col("key6").alias("key")),
+        F.struct(F.lit(AMBIGUOUS).alias("tier"), fam.alias("key")),
+        F.struct(F.lit(FALLBACK).alias("tier"),
+                 F.when(F.col("__has_exact").isNull(), F.substring("key6", 1, key_len)).alias("key")),
+    )).alias("__k")).select("target", "key6", "multi_io", "__k.tier", "__k.key") \
+        .where(F.col("key").isNotNull())
+
+
+def matched_targets(dictionary: DataFrame, exact_codes: DataFrame, key_stats: DataFrame,
+                    prefix_overrides: Sequence[str] = (), key_len: int = 5) -> DataFrame:
+    """Distinct targets that the two-sided concordance has, from the trade rows' per-key counts alone."""
+    probes = _dictionary_probes(dictionary, exact_codes, prefix_overrides, key_len)
+    return probes.join(key_stats.select("tier", "key"), ["tier", "key"], "left_semi").select("target").distinct()
+
+
 def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequence[str] = (),
                    prefix_overrides: Sequence[str] = (), overrides_both_sides: bool = False,
                    wildcard: str = "X", key_len: int = 5,
                    exact_codes: DataFrame | None = None,
-                   key_stats: DataFrame | None = None) -> DataFrame:
+                   key_stats: DataFrame | None = None, reduced: bool = False) -> DataFrame:
     """All three tiers in one scan of the trade table and one equi-join.
 
     Trade rows emit tagged keys: unambiguous rows ``(exact, naics)`` and
@@ -357,20 +403,16 @@ def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Seque
     anywhere, ``(fallback, key6[:5])``.  Equi-join on ``(tier, key)``: the
     dictionary side is broadcast under its proven bound; beyond it, with
     per-key ``key_stats``, hot keys are salted (``skew_safe_join``).
+
+    ``reduced``: the dictionary side comes down to one row per (target, tier,
+    key), the one that the dedupe per (target, tariff code) keeps, so a trade
+    row meets at most one row per target and tier.
     """
     ex = exact_codes if exact_codes is not None else exact_trade_codes(trade)
-    has_exact = sized_broadcast(ex.select(F.col("naics").alias("__n"), F.lit(True).alias("__has_exact")),
-                                bound=bound_from(ex))
-    d = dictionary.join(has_exact, dictionary.key6 == has_exact.__n, "left").drop("__n")
-    fam = _family_key("key6", prefix_overrides, F.substring("key6", 1, key_len))
-    dkeys = d.select("target", "key6", "multi_io", F.explode(F.array(
-        F.struct(F.lit(EXACT).alias("tier"), F.col("key6").alias("key")),
-        F.struct(F.lit(AMBIGUOUS).alias("tier"), fam.alias("key")),
-        F.struct(F.lit(FALLBACK).alias("tier"),
-                 F.when(F.col("__has_exact").isNull(), F.substring("key6", 1, key_len)).alias("key")),
-    )).alias("__k")).select("target", "key6", "multi_io", "__k.tier", "__k.key") \
-        .where(F.col("key").isNotNull())
-
+    dkeys = _dictionary_probes(dictionary, ex, prefix_overrides, key_len)
+    if reduced:
+        dkeys = dkeys.groupBy("target", "tier", "key").agg(F.min(F.struct("key6", "multi_io")).alias("__least")) \
+            .select("target", "__least.key6", "__least.multi_io", "tier", "key")
     probes = _trade_keys(drop_prefixes, prefix_overrides, overrides_both_sides, wildcard, key_len)
     tkeys = trade.select("hts10", F.explode(probes).alias("__k")) \
         .select("hts10", "__k.tier", "__k.key").where(F.col("key").isNotNull())
@@ -388,5 +430,5 @@ def two_sided_concordance(dictionary: DataFrame, trade: DataFrame,
                           key_stats: DataFrame | None = None) -> DataFrame:
     """Best tier per (target, hts10); ties by key then the multi flag (T4)."""
     tiers = tariff_matches(dictionary, trade, drop_prefixes, prefix_overrides, overrides_both_sides,
-                           exact_codes=exact_codes, key_stats=key_stats)
+                           exact_codes=exact_codes, key_stats=key_stats, reduced=True)
     return best_match(tiers, ["target", "hts10"], TARIFF_RANKS, ["key6", "multi_io"])

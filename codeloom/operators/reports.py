@@ -86,16 +86,6 @@ def high_fanout_review(conc: DataFrame, threshold: int = 2, code: str = "code",
             .orderBy(F.desc(n), code))
 
 
-def unclassified_counts(facts: DataFrame, code: str = "code_str", type_col: str = "code_type",
-                        other: str = "other") -> DataFrame:
-    """Rows per unclassified code plus a grand-total row (code NULL).
-
-    ``rollup`` gives both levels in one aggregate.
-    """
-    o = facts.where(F.col(type_col) == other)
-    return o.rollup(code).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def rows_with_prefix(df: DataFrame, col: str, prefixes: Sequence[str],
                      out: str = "n_dropped") -> DataFrame:
     """R2: one row, the number of rows whose ``col`` starts with any prefix.

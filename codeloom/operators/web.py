@@ -25,17 +25,27 @@ BANNER_COUNTRIES = ("AT", "BE", "BG", "HR", "CY", "CZ", "DK", "EE", "FI", "FR",
                     "HU", "IE", "IT", "LV", "LT", "LU", "MT", "NL", "PL", "PT", "RO", "SK",
                     "SI", "ES", "SE")
 
-HREF_PATTERN = r'<a\s[^>]*?href="([^"]*)"'
+# An opening link tag, and one attribute with its value; both take quoted values whole.
+LINK_TAG = r"""(?i)<a(?=\s)(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+ATTRIBUTE = r"""\s([^\s=>"'/]++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+
+
+def _decoded(c: Column) -> Column:
+    """Form decoding: ``+`` is a space, ``%xx`` a byte; a stray percent sign stands for itself."""
+    return F.call_function("try_url_decode", F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def query_param(url: str | Column, key: str) -> Column:
-    """V1: first value of a query-string parameter, URL-decoded ('+' is a space).
+    """V1: first value of a query-string parameter, form-decoded as a browser does.
 
-    Malformed URLs or escapes give NULL instead of failing the job (T3).
+    Any text is a URL: only the part between the first ``?`` and ``#`` counts,
+    names may be percent-encoded, and a name without ``=`` has an empty value.
+    NULL without the parameter.
     """
     u = F.col(url) if isinstance(url, str) else url
-    raw = F.call_function("try_parse_url", u, F.lit("QUERY"), F.lit(key))
-    return F.call_function("try_url_decode", raw)
+    query = F.regexp_extract(u, r"(?s)^[^?#]*\?([^#]*)", 1)
+    own = F.filter(F.split(query, "&"), lambda p: _decoded(F.regexp_extract(p, r"(?s)^[^=]*", 0)) == key)
+    return _decoded(F.regexp_extract(F.get(own, F.lit(0)), r"(?s)^[^=]*=?(.*)$", 1))
 
 
 def utm_params(df: DataFrame, url: str = "url") -> DataFrame:
@@ -57,10 +67,16 @@ def source_visit_events(df: DataFrame) -> DataFrame:
 def link_click_events(df: DataFrame, needle: str, html: str = "html") -> DataFrame:
     """V4: one event per link whose href contains ``needle``; label source or ``direct``.
 
-    Links are taken from the whole page text with a regex generator
-    (``regexp_extract_all`` + ``explode``), one output row per link.
+    Links are the ``<a>`` tags of the whole page text outside comments, in any
+    letter case, with a quoted or unquoted ``href`` attribute of their own
+    (``&amp;`` decoded); one output row per link.
     """
-    links = df.withColumn("href", F.explode(F.regexp_extract_all(F.col(html), F.lit(HREF_PATTERN), 1)))
+    tags = F.regexp_extract_all(F.regexp_replace(F.col(html), "(?s)<!--.*?-->", ""), F.lit(LINK_TAG), F.lit(0))
+    links = df.withColumn("__tag", F.explode(tags))
+    attributes = F.regexp_extract_all(F.col("__tag"), F.lit(ATTRIBUTE), F.lit(0))
+    own = F.get(F.filter(attributes, lambda x: F.lower(F.regexp_extract(x, ATTRIBUTE, 1)) == "href"), F.lit(0))
+    value = F.regexp_replace(F.regexp_extract(own, ATTRIBUTE, 2), """^["']|["']$""", "")
+    links = links.withColumn("href", F.replace(value, F.lit("&amp;"), F.lit("&"))).drop("__tag")
     return (links.where(F.col("href").contains(needle))
                  .withColumn("event_name", F.lit(LINK_CLICK))
                  .withColumn("event_category", F.lit(ENGAGEMENT))
@@ -84,4 +100,4 @@ def consent_action(consent: str | Column, country: str | Column,
 def json_field(col: str | Column, field: str, cast: str = "int") -> Column:
     """V6: one top-level field of a JSON text column (NULL when absent or not castable)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.get_json_object(c, f"$.{field}").try_cast(cast)
+    return F.get_json_object(c, f"$['{field}']").try_cast(cast)

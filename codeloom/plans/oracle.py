@@ -67,6 +67,7 @@ CTES: list[tuple[str, str]] = [
     ("src_codes", FIXTURE_SQL["src_codes"]),
     ("trade_raw", FIXTURE_SQL["trade_raw"]),
     ("value_labels", FIXTURE_SQL["value_labels"]),
+    ("pages_awkward", FIXTURE_SQL["pages_awkward"]),
     # ---------------- dictionary normalization
     ("dict_f", f"""
 select target, src_ord, raw from dict_raw

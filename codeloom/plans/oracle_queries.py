@@ -2,23 +2,40 @@
 
 from __future__ import annotations
 
-from codeloom.operators.match import DROP_CODES
-from codeloom.operators.web import BANNER_COUNTRIES, HREF_PATTERN
 from codeloom.plans.oracle import _in_list, _q, sql, trim_sql
 from codeloom.plans.queries import LINK_NEEDLE
 from codeloom.sources.fixtures import TRADE_DROP_PREFIXES
 
+# The rules' constants, written out here: the oracle takes none from the operators.
+DROP_CODES = ("999920", "3MS", "4MS")
+BANNER_COUNTRIES = ("AT", "BE", "BG", "HR", "CY", "CZ", "DK", "EE", "FI", "FR", "DE", "GR",
+                    "HU", "IE", "IT", "LV", "LT", "LU", "MT", "NL", "PL", "PT", "RO", "SK",
+                    "SI", "ES", "SE")
+
 _DROP = _in_list(DROP_CODES)
 _TRADE_DROP_ANY = " or ".join(f"starts_with(naics, {_q(p)})" for p in TRADE_DROP_PREFIXES) or "false"
 
 
+def _decoded(x: str) -> str:
+    """url_decode leaves a percent sign without two hexadecimal digits as it is."""
+    return f"url_decode(replace({x}, '+', ' '))"
+
+
 def _param(key: str) -> str:
-    return (f"case when regexp_matches(url, '\\?([^#]*&)?{key}=') then "
-            f"url_decode(replace(regexp_extract(url, '\\?([^#]*&)?{key}=([^&#]*)', 2), '+', ' ')) end")
+    """The first of the query's fields with this name."""
+    name, value = _decoded("split_part(f, '=', 1)"), _decoded("case when contains(f, '=') then substr(f, strpos(f, '=') + 1) else '' end")
+    fields = r"string_split(regexp_extract(split_part(url, '#', 1), '\?(.*)$', 1), '&')"
+    return f"list_transform(list_filter({fields}, lambda f: {name} = '{key}'), lambda f: {value})[1]"
 
 
 _PAGES = f"""(select page_id, url, html, {_param('utm_source')} as utm_source,
-  {_param('utm_campaign')} as utm_campaign from pages)"""
+  {_param('utm_campaign')} as utm_campaign from pages_awkward)"""
+
+_ATTR = r"""\s([^\s=>"''/]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)"""
+_LINKS = f"""(select page_id, utm_source, replace(trim(regexp_extract(attr, '{_ATTR}', 2), '"'''), '&amp;', '&') as href from (
+  select page_id, utm_source, list_filter(regexp_extract_all(tag, '{_ATTR}'), lambda x: lower(regexp_extract(x, '{_ATTR}', 1)) = 'href')[1] as attr from (
+    select page_id, utm_source, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+      '(?i)<a\\s(?:[^>"'']|"[^"]*"|''[^'']*'')*>')) as tag from {_PAGES})))"""
 
 
 def _totals(where: str = "") -> str:
@@ -120,6 +137,7 @@ from (select *, regexp_replace(hts_raw, '[^0-9]', '', 'g') as dg from trade_raw)
     "two_sided_concordance": "select * from x_conc",
     "two_sided_concordance_intent": "select * from x_conc_i",
     "clean_sample_totals": _totals("where match_quality in ('clean', 'acceptable')"),
+    "single_target_totals": _totals("where n_targets = 1 and match_quality is not null"),
     # R
     "coverage": f"""
 select *, printf('%.1f%%', pct) as pct_label from (
@@ -153,8 +171,7 @@ from {_PAGES} where nullif(utm_source, '') is not null""",
     "link_clicks": f"""
 select page_id, href, 'resume_click' as event_name, 'engagement' as event_category,
   coalesce(nullif(utm_source, ''), 'direct') as event_label
-from (select page_id, utm_source, unnest(regexp_extract_all(html, '{HREF_PATTERN}', 1)) as href
-      from {_PAGES})
+from {_LINKS}
 where contains(href, {_q(LINK_NEEDLE)})""",
     "source_visits_stream": f"""
 select page_id, 'source_visit' as event_name, 'traffic_source' as event_category,
@@ -163,13 +180,19 @@ from {_PAGES} where nullif(utm_source, '') is not null""",
     "link_clicks_stream": f"""
 select page_id, href, 'resume_click' as event_name, 'engagement' as event_category,
   coalesce(nullif(utm_source, ''), 'direct') as event_label
-from (select page_id, utm_source, unnest(regexp_extract_all(html, '{HREF_PATTERN}', 1)) as href
-      from {_PAGES})
+from {_LINKS}
 where contains(href, {_q(LINK_NEEDLE)})""",
     "consent_gate": f"""
 select doc_id, country, consent,
   case when nullif(consent, '') is not null then 'none'
        when country in {_in_list(BANNER_COUNTRIES)} then 'banner' else 'track' end as action
+from (select doc_id, upper(lang) as country,
+        case source when 'src1' then 'accepted' when 'src2' then 'rejected' end as consent
+      from documents)""",
+    "consent_gate_stream": f"""
+select doc_id, country, consent,
+  case when nullif(consent, '') is not null then 'none'
+       when country in {_in_list(BANNER_COUNTRIES)} then 'banner' else 'track' end as action
 from (select doc_id, upper(lang) as country,
         case source when 'src1' then 'accepted' when 'src2' then 'rejected' end as consent
       from documents)""",

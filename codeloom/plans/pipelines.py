@@ -43,26 +43,17 @@ class PersonPipeline:
     def dictionary(self) -> DataFrame:
         """Normalized dictionary, materialized: small, read by several tiers, and
         its exact row count bounds every broadcast derived from it."""
-        return self._small_tables[1]
-
-    @cached_property
-    def _small_tables(self) -> tuple[DataFrame, DataFrame]:
-        """Materialize the per-code stats and the dictionary as two concurrent jobs.
-
-        They are independent, so they are submitted from two threads (Spark
-        schedules jobs of one application concurrently); the small dictionary
-        job then hides behind the scan of the records.
-        """
-        out = concurrently(
-            code_stats=lambda: materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats"),
-            dictionary=lambda: materialize(
-                dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary"))
-        return out["code_stats"], out["dictionary"]
+        return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
 
     @cached_property
     def code_stats(self) -> DataFrame:
         """One scan of the records: per raw code, row count and weight sum (materialized)."""
-        return self._small_tables[0]
+        return materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats")
+
+    def prepare(self) -> None:
+        """Make the two small tables that matching needs as concurrent jobs; each is lazy by itself."""
+        jobs = {n: lambda n=n: getattr(self, n) for n in ("code_stats", "dictionary") if n not in self.__dict__}
+        concurrently(**jobs)
 
     @cached_property
     def code_map(self) -> DataFrame:
@@ -83,12 +74,21 @@ class PersonPipeline:
     @cached_property
     def matches(self) -> DataFrame:
         """All tiers before dedupe (cascade + present overrides)."""
+        self.prepare()
         return mt.person_matches(self.codes, self.dictionary, self.overrides, self.lengths)
 
     @cached_property
     def graded(self) -> DataFrame:
-        """Best row per (code, target) with fan-out and grade, one aggregate per code."""
-        return al.best_graded(cd.drop_codes_filter(self.matches, self.drop_codes))
+        """Best row per (code, target) with fan-out and grade."""
+        self.prepare()
+        matches = mt.person_matches(self.codes, self.dictionary, self.overrides, self.lengths, reduced=True)
+        return al.best_graded(cd.drop_codes_filter(matches, self.drop_codes))
+
+    @cached_property
+    def matched_codes(self) -> DataFrame:
+        """Distinct codes of the concordance, without the concordance."""
+        self.prepare()
+        return mt.matched_codes(self.codes, self.dictionary, self.overrides, self.drop_codes, self.lengths)
 
     @cached_property
     def concordance(self) -> DataFrame:
@@ -114,26 +114,9 @@ class TariffPipeline:
     overrides_both_sides: bool = False
     shared_dictionary: DataFrame | None = None
 
-    @cached_property
-    def _small_tables(self) -> tuple[DataFrame, DataFrame]:
-        """Materialize the dictionary and the distinct unambiguous trade codes
-        as two concurrent jobs (both small; the second reads one column of
-        the trade table).  Their exact sizes license the broadcasts."""
-        jobs = {"code_counts": lambda: materialize(mt.trade_code_counts(self.trade_rows), "trade_code_counts")}
-        if "dictionary" in self.__dict__:
-            return self.__dict__["dictionary"], jobs["code_counts"]()
-        if self.shared_dictionary is None:
-            jobs["dictionary"] = lambda: materialize(
-                dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
-        out = concurrently(**jobs)
-        return out.get("dictionary", self.shared_dictionary), out["code_counts"]
-
     @cached_property
     def dictionary(self) -> DataFrame:
-        """Normalized dictionary, materialized (or passed in by another pipeline
-        over the same cells).  Alone when nothing else is needed yet."""
-        if "_small_tables" in self.__dict__:
-            return self._small_tables[0]
+        """Normalized dictionary, materialized (or passed in by another pipeline over the same cells)."""
         if self.shared_dictionary is not None:
             return self.shared_dictionary
         return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
@@ -141,7 +124,12 @@ class TariffPipeline:
     @cached_property
     def code_counts(self) -> DataFrame:
         """Trade rows per (naics, ambiguous): one pass over the trade table, materialized."""
-        return self._small_tables[1]
+        return materialize(mt.trade_code_counts(self.trade_rows), "trade_code_counts")
+
+    def prepare(self) -> None:
+        """Make the dictionary and the per-code trade counts as concurrent jobs; each is lazy by itself."""
+        jobs = {n: lambda n=n: getattr(self, n) for n in ("code_counts", "dictionary") if n not in self.__dict__}
+        concurrently(**jobs)
 
     @cached_property
     def exact_codes(self) -> DataFrame:
@@ -168,7 +156,13 @@ class TariffPipeline:
 
     @cached_property
     def concordance(self) -> DataFrame:
-        self._small_tables   # dictionary and trade counts as two concurrent jobs
+        self.prepare()
         return mt.two_sided_concordance(self.dictionary, self.trade_rows, self.drop_prefixes,
                                         self.prefix_overrides, self.overrides_both_sides,
                                         self.exact_codes, self.key_stats)
+
+    @cached_property
+    def matched_targets(self) -> DataFrame:
+        """Distinct targets of the concordance, from per-key counts alone."""
+        self.prepare()
+        return mt.matched_targets(self.dictionary, self.exact_codes, self.key_stats, self.prefix_overrides)

@@ -184,13 +184,10 @@ def q_join_exact_code(spark, d):
 
 @query("prefix_join_3d")
 def q_prefix_join_3d(spark, d):
-    """Tier 3 as the tier-by-tier script computes it (exact, 5, 4 matched first)."""
+    """Tier 3: codes without an exact, 5- or 4-character match."""
     p = PersonPipeline(spark, d)
-    exact = mt.match_exact(p.codes, p.dictionary)
-    pool = mt.needs_prefix_pool(p.codes, exact)
-    t5 = mt.prefix_join(pool, p.dictionary, 5, exact)
-    t4 = mt.prefix_join(pool, p.dictionary, 4, exact.unionByName(t5))
-    return mt.prefix_join(pool, p.dictionary, 3, exact.unionByName(t5).unionByName(t4))
+    p.prepare()
+    return mt.prefix_tier(p.codes, p.dictionary, 3)
 
 
 @query("longest_prefix_match")
@@ -208,7 +205,7 @@ def q_unmatched_codes(spark, d):
 @query("unmatched_dictionary")
 def q_unmatched_dictionary(spark, d):
     t = TariffPipeline(spark, d)
-    t._small_tables
+    t.prepare()
     return mt.unmatched_dictionary(t.dictionary, t.trade, t.exact_codes)
 
 
@@ -221,7 +218,7 @@ def q_overrides_present(spark, d):
 @query("attach_fanout")
 def q_attach_fanout(spark, d):
     p = PersonPipeline(spark, d)
-    return p.concordance.join(al.fanout(p.concordance), "code", "left")
+    return p.graded.select("code", "target", "multi_io", "match_type", "n_targets")
 
 
 @query("merge_persons")
@@ -232,14 +229,16 @@ def q_merge_persons(spark, d):
 @query("wildcard_match")
 def q_wildcard_match(spark, d):
     t = TariffPipeline(spark, d)
-    return mt.match_wildcards(t.trade, t.dictionary, fx.TRADE_DROP_PREFIXES, fx.TRADE_PREFIX_OVERRIDES)
+    t.prepare()
+    return mt.match_wildcards(t.trade, t.dictionary, fx.TRADE_DROP_PREFIXES, fx.TRADE_PREFIX_OVERRIDES,
+                              key_stats=t.key_stats)
 
 
 @query("fallback_5d")
 def q_fallback_5d(spark, d):
     t = TariffPipeline(spark, d)
-    t._small_tables
-    return mt.fallback_5d(t.dictionary, t.trade, exact_codes=t.exact_codes)
+    t.prepare()
+    return mt.fallback_5d(t.dictionary, t.trade, exact_codes=t.exact_codes, key_stats=t.key_stats)
 
 
 # ---------------------------------------------------------------- H: aggregates
@@ -301,9 +300,9 @@ def q_sorted_breakdown(spark, d):
 @query("union_tiers")
 def q_union_tiers(spark, d):
     t = TariffPipeline(spark, d)
-    t._small_tables
+    t.prepare()
     return mt.tariff_tiers(t.dictionary, t.trade, t.drop_prefixes, t.prefix_overrides,
-                           exact_codes=t.exact_codes)
+                           exact_codes=t.exact_codes, key_stats=t.key_stats)
 
 
 # ---------------------------------------------------------------- S: scalar functions
@@ -403,14 +402,23 @@ def q_clean_sample_totals(spark, d):
     return p.totals(kept).where(F.col("match_quality").isNotNull())
 
 
+@query("single_target_totals")
+def q_single_target_totals(spark, d):
+    """Records whose code has one target only."""
+    p = PersonPipeline(spark, d)
+    kept = al.quality_sample(p.graded, None, single_target_only=True)
+    return p.totals(kept).where(F.col("match_quality").isNotNull())
+
+
 # ---------------------------------------------------------------- R: reports
 @query("coverage")
 def q_coverage(spark, d):
-    p = PersonPipeline(spark, d)
-    t = TariffPipeline(spark, d)
-    concurrently(persons=lambda: p.code_stats, tariff=lambda: t.exact_codes)   # 4 small jobs at once
-    persons = rp.coverage(p.codes, p.concordance, "code", "persons")
-    tariff = rp.coverage(t.dictionary, t.concordance, "target", "tariff")
+    """Which codes and targets are matched, from per-code stats, per-key trade counts and one dictionary."""
+    p, t = PersonPipeline(spark, d), TariffPipeline(spark, d)
+    made = concurrently(stats=lambda: p.code_stats, counts=lambda: t.code_counts, dictionary=lambda: p.dictionary)
+    t.shared_dictionary = made["dictionary"]
+    persons = rp.coverage(p.codes, p.matched_codes, "code", "persons")
+    tariff = rp.coverage(t.dictionary, t.matched_targets, "target", "tariff")
     return persons.unionByName(tariff)
 
 
@@ -446,7 +454,7 @@ def q_fanout_over_threshold(spark, d):
 
 # ---------------------------------------------------------------- V: web events
 def _pages(spark, d) -> DataFrame:
-    return web.utm_params(read_table(spark, d, "pages", ["page_id", "url", "html"]))
+    return web.utm_params(fx.awkward_pages(read_table(spark, d, "pages", ["page_id", "url", "html"])))
 
 
 @query("utm_extract")
@@ -466,13 +474,24 @@ def q_link_clicks(spark, d):
         "page_id", "href", "event_name", "event_category", "event_label")
 
 
+def _visitors(docs: DataFrame) -> DataFrame:
+    consent = F.when(F.col("source") == "src1", F.lit("accepted")).when(F.col("source") == "src2", F.lit("rejected"))
+    return docs.select("doc_id", F.upper("lang").alias("country"), consent.alias("consent"))
+
+
 @query("consent_gate")
 def q_consent_gate(spark, d):
     docs = read_table(spark, d, "documents", ["doc_id", "lang", "source"])
-    consent = F.when(F.col("source") == "src1", F.lit("accepted")) \
-        .when(F.col("source") == "src2", F.lit("rejected"))
-    return docs.select("doc_id", F.upper("lang").alias("country"), consent.alias("consent")) \
-        .withColumn("action", web.consent_action("consent", "country"))
+    return _visitors(docs).withColumn("action", web.consent_action("consent", "country"))
+
+
+@query("consent_gate_stream")
+def q_consent_gate_stream(spark, d):
+    """V5 through Structured Streaming = batch result."""
+    return web_stream.stream_to_table(
+        spark, d, web_stream.DOCUMENTS_SCHEMA,
+        lambda s: _visitors(s).withColumn("action", web.consent_action("consent", "country")),
+        "consent_gate", glob="documents.parquet")
 
 
 @query("json_field")
@@ -485,7 +504,7 @@ def q_json_field(spark, d):
 def q_source_visits_stream(spark, d):
     """V1-V3 through Structured Streaming (file source, availableNow) = batch result."""
     return web_stream.stream_to_table(spark, d, web_stream.PAGES_SCHEMA,
-                                      web_stream.source_visit_stream, "source_visits",
+                                      lambda s: web_stream.source_visit_stream(fx.awkward_pages(s)), "source_visits",
                                       glob="pages.parquet")
 
 
@@ -493,7 +512,7 @@ def q_source_visits_stream(spark, d):
 def q_link_clicks_stream(spark, d):
     """V4 through Structured Streaming = batch result."""
     return web_stream.stream_to_table(spark, d, web_stream.PAGES_SCHEMA,
-                                      lambda s: web_stream.link_click_stream(s, LINK_NEEDLE),
+                                      lambda s: web_stream.link_click_stream(fx.awkward_pages(s), LINK_NEEDLE),
                                       "link_clicks", glob="pages.parquet")
 
 

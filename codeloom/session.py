@@ -9,6 +9,7 @@ folder for checkpoints and scratch tables is whatever the cluster names in
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", master):
             raise RuntimeError(
                 "spark.checkpoint.dir is unset: point it at a folder every "
                 "executor can reach (HDFS, S3, ...) before running codeloom jobs")

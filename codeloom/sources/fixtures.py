@@ -16,61 +16,84 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codeloom.functions.text import pad_left
 from codeloom.sources.tables import read_table
 
 NBSP = "\u00a0"
 TAB = "\t"
 
 
-def _k4(col: str | Column, plus: int = 0) -> Column:
-    """Last four digits of an integer key, zero-padded (``right('0000'||k, 4)``)."""
+def _stem(col: str | Column, plus: int = 0) -> Column:
+    """An integer key as text, zero-padded to four characters and never shortened."""
     c = F.col(col) if isinstance(col, str) else col
-    if plus:
-        c = c + plus
-    return F.substring(F.concat(F.lit("0000"), c.cast("string")), -4, 4)
+    return pad_left((c + plus if plus else c).cast("string"), 4)
 
 
 def _left(c: Column, n: int) -> Column:
     return F.substring(c, 1, n)
 
 
+def _but_last(c: Column, n: int) -> Column:
+    """All but the last ``n`` characters."""
+    return F.substring(c, F.lit(1), F.length(c) - n)
+
+
+def _stem_sql(expr: str) -> str:
+    text = f"cast({expr} as varchar)"
+    return f"(case when length({text}) < 4 then lpad({text}, 4, '0') else {text} end)"
+
+
+def _but_last_sql(stem: str, n: int) -> str:
+    return f"substr({stem}, 1, length({stem}) - {n})"
+
+
+PART, NEXT_PART, LINE_PART, CUSTOMER, ORDER = (
+    _stem_sql(e) for e in ("p_partkey", "p_partkey + 1", "l_partkey", "o_custkey", "o_orderkey"))
+
+
 # --------------------------------------------------------------------------
 # dictionary cells: target industry + raw code list
 # --------------------------------------------------------------------------
-def dict_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
-    k = _k4("p_partkey")
+def _raw_cell() -> Column:
+    k = _stem("p_partkey")
     s = F.col("p_partkey") % 10
-    raw = (
+    return (
         F.when(s == 0, F.concat(k, F.lit("*")))
-        .when(s == 1, F.concat(_left(k, 3), F.lit("2-6")))
-        .when(s == 2, F.concat(k, F.lit(", "), _k4("p_partkey", 1), F.lit(",")))
-        .when(s == 3, F.concat(_left(k, 3), F.lit("A00")))
+        .when(s == 1, F.concat(_but_last(k, 1), F.lit("2-6")))
+        .when(s == 2, F.concat(k, F.lit(", "), _stem("p_partkey", 1), F.lit(",")))
+        .when(s == 3, F.concat(_but_last(k, 1), F.lit("A00")))
         .when(s == 4, F.concat(k, F.lit("-1, "), k, F.lit("51")))
         .when(s == 5, F.lit(" n.a."))
         .when(s == 6, F.lit(None).cast("string"))
-        .when(s == 7, F.concat(_left(k, 3), F.lit("0-9*, "), k))
+        .when(s == 7, F.concat(_but_last(k, 1), F.lit("0-9*, "), k))
         .when(s == 8, F.concat(F.lit(NBSP), k, F.lit("0" + TAB)))
         .otherwise(F.concat(k, F.lit("-"), k))
     )
-    target = F.when(F.col("p_partkey") % 20 == 13, F.lit(None).cast("string")).otherwise(F.col("p_brand"))
-    return p.select(target.alias("target"), F.col("p_partkey").alias("src_ord"), raw.alias("raw"))
 
 
-DICT_RAW_SQL = """
+def _target() -> Column:
+    return F.when(F.col("p_partkey") % 20 == 13, F.lit(None).cast("string")).otherwise(F.col("p_brand"))
+
+
+def dict_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
+    return p.select(_target().alias("target"), F.col("p_partkey").alias("src_ord"), _raw_cell().alias("raw"))
+
+
+DICT_RAW_SQL = f"""
 select case when p_partkey % 20 = 13 then null else p_brand end as target,
   p_partkey as src_ord,
   case p_partkey % 10
-    when 0 then right('0000'||cast(p_partkey as varchar), 4)||'*'
-    when 1 then substr(right('0000'||cast(p_partkey as varchar), 4), 1, 3)||'2-6'
-    when 2 then right('0000'||cast(p_partkey as varchar), 4)||', '||right('0000'||cast(p_partkey + 1 as varchar), 4)||','
-    when 3 then substr(right('0000'||cast(p_partkey as varchar), 4), 1, 3)||'A00'
-    when 4 then right('0000'||cast(p_partkey as varchar), 4)||'-1, '||right('0000'||cast(p_partkey as varchar), 4)||'51'
+    when 0 then {PART}||'*'
+    when 1 then {_but_last_sql(PART, 1)}||'2-6'
+    when 2 then {PART}||', '||{NEXT_PART}||','
+    when 3 then {_but_last_sql(PART, 1)}||'A00'
+    when 4 then {PART}||'-1, '||{PART}||'51'
     when 5 then ' n.a.'
     when 6 then null
-    when 7 then substr(right('0000'||cast(p_partkey as varchar), 4), 1, 3)||'0-9*, '||right('0000'||cast(p_partkey as varchar), 4)
-    when 8 then chr(160)||right('0000'||cast(p_partkey as varchar), 4)||'0'||chr(9)
-    else right('0000'||cast(p_partkey as varchar), 4)||'-'||right('0000'||cast(p_partkey as varchar), 4)
+    when 7 then {_but_last_sql(PART, 1)}||'0-9*, '||{PART}
+    when 8 then chr(160)||{PART}||'0'||chr(9)
+    else {PART}||'-'||{PART}
   end as raw
 from part
 """
@@ -78,10 +101,8 @@ from part
 
 def dict_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dictionary as a wide sheet: target in column 4, raw codes in column 7."""
-    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size", "p_retailprice"])
-    d = dict_raw(spark, sf_dir)
-    return p.join(d, p.p_partkey == d.src_ord, "inner").select(
-        "p_partkey", "p_name", "p_type", "target", "p_size", "p_retailprice", "raw")
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size", "p_retailprice", "p_brand"])
+    return p.select("p_partkey", "p_name", "p_type", _target().alias("target"), "p_size", "p_retailprice", _raw_cell().alias("raw"))
 
 
 DICT_SHEET_SQL = """
@@ -95,16 +116,16 @@ from part p join dict_raw d on p.p_partkey = d.src_ord
 # --------------------------------------------------------------------------
 def src_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"])
-    k = _k4("l_partkey")
+    k = _stem("l_partkey")
     o = F.col("l_orderkey")
     n = F.col("l_linenumber")
     by_line = (
         F.when(n == 1, k)
-        .when(n == 2, F.concat(_left(k, 3), F.lit("Z")))
-        .when(n == 3, F.concat(_left(k, 3), F.lit("M1")))
+        .when(n == 2, F.concat(_but_last(k, 1), F.lit("Z")))
+        .when(n == 3, F.concat(_but_last(k, 1), F.lit("M1")))
         .when(n == 4, F.concat(k, F.lit("P2")))
-        .when(n == 5, F.concat(_left(k, 2), F.lit("S")))
-        .when(n == 6, F.concat(_left(k, 2), F.lit("MP")))
+        .when(n == 5, F.concat(_but_last(k, 2), F.lit("S")))
+        .when(n == 6, F.concat(_but_last(k, 2), F.lit("MP")))
         .otherwise(F.concat(k, F.lit("5")))
     )
     code = (
@@ -118,21 +139,21 @@ def src_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("wt"), code.alias("code"))
 
 
-SRC_CODES_SQL = """
+SRC_CODES_SQL = f"""
 select l_orderkey, l_linenumber, l_quantity as wt,
   case when l_orderkey % 89 = 0 then '0'
     when l_orderkey % 101 = 0 then '999920'
-    when l_orderkey % 97 = 0 then 'x'||right('0000'||cast(l_partkey as varchar), 4)||'x'
+    when l_orderkey % 97 = 0 then 'x'||{LINE_PART}||'x'
     when l_orderkey % 83 = 0 then ' 92113 '
     when l_orderkey % 79 = 0 then chr(160)||'92MP'||chr(9)
     else case l_linenumber
-      when 1 then right('0000'||cast(l_partkey as varchar), 4)
-      when 2 then substr(right('0000'||cast(l_partkey as varchar), 4), 1, 3)||'Z'
-      when 3 then substr(right('0000'||cast(l_partkey as varchar), 4), 1, 3)||'M1'
-      when 4 then right('0000'||cast(l_partkey as varchar), 4)||'P2'
-      when 5 then substr(right('0000'||cast(l_partkey as varchar), 4), 1, 2)||'S'
-      when 6 then substr(right('0000'||cast(l_partkey as varchar), 4), 1, 2)||'MP'
-      else right('0000'||cast(l_partkey as varchar), 4)||'5' end end as code
+      when 1 then {LINE_PART}
+      when 2 then {_but_last_sql(LINE_PART, 1)}||'Z'
+      when 3 then {_but_last_sql(LINE_PART, 1)}||'M1'
+      when 4 then {LINE_PART}||'P2'
+      when 5 then {_but_last_sql(LINE_PART, 2)}||'S'
+      when 6 then {_but_last_sql(LINE_PART, 2)}||'MP'
+      else {LINE_PART}||'5' end end as code
 from lineitem
 """
 
@@ -143,30 +164,30 @@ from lineitem
 def trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     ok = F.col("o_orderkey")
-    ck = _k4("o_custkey")
-    hts = F.when(ok % 2 == 0, F.concat(_left(_k4("o_orderkey"), 2), F.lit("."), ok.cast("string"))) \
+    ck = _stem("o_custkey")
+    hts = F.when(ok % 2 == 0, F.concat(_left(_stem("o_orderkey"), 2), F.lit("."), ok.cast("string"))) \
         .otherwise(ok.cast("string"))
     code = (
         F.when(ok % 4 == 0, F.concat(ck, F.lit("00")))
         .when(ok % 4 == 1, F.concat(ck, F.lit("XX")))
         .when(ok % 4 == 2, F.when(ok % 12 == 2, F.concat(_left(ck, 3), F.lit("XXX")))
-              .otherwise(F.concat(ck, F.lit("0X"))))
+              .otherwise(F.concat(_left(F.concat(ck, F.lit("00")), 5), F.lit("X"))))
         .otherwise(F.concat(ck, F.lit("03")))
     )
     return o.select(hts.alias("hts_raw"), code.alias("code"))
 
 
-TRADE_RAW_SQL = """
+TRADE_RAW_SQL = f"""
 select case when o_orderkey % 2 = 0
-    then substr(right('0000'||cast(o_orderkey as varchar), 4), 1, 2)||'.'||cast(o_orderkey as varchar)
+    then substr({ORDER}, 1, 2)||'.'||cast(o_orderkey as varchar)
     else cast(o_orderkey as varchar) end as hts_raw,
   case o_orderkey % 4
-    when 0 then right('0000'||cast(o_custkey as varchar), 4)||'00'
-    when 1 then right('0000'||cast(o_custkey as varchar), 4)||'XX'
+    when 0 then {CUSTOMER}||'00'
+    when 1 then {CUSTOMER}||'XX'
     when 2 then case when o_orderkey % 12 = 2
-      then substr(right('0000'||cast(o_custkey as varchar), 4), 1, 3)||'XXX'
-      else right('0000'||cast(o_custkey as varchar), 4)||'0X' end
-    else right('0000'||cast(o_custkey as varchar), 4)||'03' end as code
+      then substr({CUSTOMER}, 1, 3)||'XXX'
+      else substr({CUSTOMER}||'00', 1, 5)||'X' end
+    else {CUSTOMER}||'03' end as code
 from orders
 """
 
@@ -195,10 +216,47 @@ select n_nationkey as value, case when n_regionkey < 4 then ' '||n_name||' ' end
 """
 
 
+# --------------------------------------------------------------------------
+# page log: awkward query strings and link markup, by page_id
+# --------------------------------------------------------------------------
+QUERY_STRINGS = ("utm_source=a|b", "utm_source=news&utm_campaign={cid}", "utm_source=s&utm_campaign=50%off", "utm_source=a^b",
+                 "utm_source=%zz", "utm_source=a b", "q=`x`&utm_source=z", "utm_source=x&utm_source=y", "utm%5Fsource=enc&utm_campaign",
+                 "utm_source&utm_campaign=c+d%C3%A9", "Utm_source=no&utm_source=", "utm_campaign=only#utm_source=late")
+LINK_MARKUP = ('<A HREF="{}"', "<a href='{}'", "<a href={}", '<a class=x href = "{}"', '<a data-href="x/the" href="{}"',
+               """<a title='href="x/the"' href="{}&amp;z" """, '<!-- <a href="/the"> --><a href="{}"')
+
+
+def awkward_pages(pages: DataFrame) -> DataFrame:
+    """Page rows of which most get one of the query strings and one of the link forms."""
+    url = F.regexp_replace("url", "[?#].*$", "")
+    u = html = F
+    for i, q in enumerate(QUERY_STRINGS):
+        u = u.when(F.col("page_id") % (len(QUERY_STRINGS) + 1) == i + 1, F.concat(url, F.lit("?" + q)))
+    for i, m in enumerate(LINK_MARKUP):
+        html = html.when(F.col("page_id") % (len(LINK_MARKUP) + 1) == i + 1, F.regexp_replace("html", '<a href="([^"]*)"', m.replace("{}", "$1")))
+    return pages.select("page_id", u.otherwise(F.col("url")).alias("url"), html.otherwise(F.col("html")).alias("html"))
+
+
+def _case_sql(arms: list[str], otherwise: str) -> str:
+    return "case " + " ".join(f"when page_id % {len(arms) + 1} = {i + 1} then {a}" for i, a in enumerate(arms)) + f" else {otherwise} end"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_URL_ARMS = ["regexp_replace(url, '[?#].*$', '') || " + _quoted("?" + q) for q in QUERY_STRINGS]
+_HTML_ARMS = ["regexp_replace(html, '<a href=\"([^\"]*)\"', " + _quoted(m.replace("{}", "\\1")) + ", 'g')" for m in LINK_MARKUP]
+PAGES_SQL = f"""
+select page_id, {_case_sql(_URL_ARMS, 'url')} as url, {_case_sql(_HTML_ARMS, 'html')} as html from pages
+"""
+
+
 FIXTURE_SQL: dict[str, str] = {
     "dict_raw": DICT_RAW_SQL,
     "dict_sheet": DICT_SHEET_SQL,
     "src_codes": SRC_CODES_SQL,
     "trade_raw": TRADE_RAW_SQL,
     "value_labels": VALUE_LABELS_SQL,
+    "pages_awkward": PAGES_SQL,
 }

@@ -14,9 +14,9 @@ must not contain line breaks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import csv
+import io
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,16 +66,16 @@ def write_sheet(df: DataFrame, path: str, preamble: list[str], header: bool = Tr
                 options: dict[str, str] | None = None) -> None:
     """Write ``df`` as delimited text, each output file opening with ``preamble`` + header.
 
-    Rows become CSV lines with ``to_csv`` (JVM side); one task per partition
-    then prepends the preamble to its own file, so the write stays parallel.
+    Rows become CSV lines with ``to_csv``; the first row of each partition
+    (row number 0 in the lower 33 bits of its id) brings the opening lines, so
+    the write stays parallel and in the JVM.  Header names are quoted where
+    they need it.  A partition without rows makes a file without lines.
     """
     opts = {**CSV_OPTIONS, **(options or {})}
-    head_line = ",".join(df.columns)
-    lead = list(preamble) + ([head_line] if header else [])
-    lines = df.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), opts).alias("value"))
-
-    def prepend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"value": lead})
-        yield from batches
-
-    lines.mapInPandas(prepend, "value string").write.mode("errorifexists").text(path)
+    head = io.StringIO()
+    csv.writer(head, lineterminator="", delimiter=opts.get("sep", ",")).writerow(df.columns)
+    lead = "".join(x + "\n" for x in [*preamble, *([head.getvalue()] if header else [])])
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), opts)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = df.select(F.concat(F.when(first, F.lit(lead)).otherwise(""), line).alias("value"))
+    lines.write.mode("errorifexists").text(path)

@@ -19,14 +19,17 @@ def _codes(spark, codes):
 
 
 def literal_tiers(codes, dictionary, lengths=(5, 4, 3, 2)):
-    """The tier-by-tier loop: exact, then each prefix length on what is still unmatched."""
-    exact = mt.match_exact(codes, dictionary)
-    pool = mt.needs_prefix_pool(codes, exact)
-    out, matched = exact, exact
-    for n in lengths:
-        t = mt.prefix_join(pool, dictionary, n, matched)
-        out, matched = out.unionByName(t), matched.unionByName(t)
-    return out
+    """The rule in plain Python: a code's exact matches, else those of its longest matching prefix."""
+    rows = [(r.target, r.key6, r.multi_io) for r in dictionary.collect()]
+    out = []
+    for c in codes.collect():
+        tiers = [("exact_6d", [r for r in rows if c.code_type == "numeric" and r[1] == c.code_6d])]
+        for n in lengths:
+            prefix = (c.code_prefix or "")[:n]
+            tiers.append((f"prefix_{n}d", [r for r in rows if len(prefix) == n and r[1] is not None and r[1][:n] == prefix]))
+        match_type, best = next((t for t in tiers if t[1]), ("", []))
+        out += [(c.code, match_type, multi, target) for target, _, multi in best]
+    return sorted(out)
 
 
 def _rows(df, cols=None):
