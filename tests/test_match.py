@@ -115,7 +115,10 @@ def _random_world(spark, seed):
 @pytest.mark.parametrize("seed", [1, 2, 3, 4, 5, 6])
 def test_cascade_equals_literal_tier_loop(spark, seed):
     d, codes = _random_world(spark, seed)
-    assert _rows(mt.match_longest_prefix(codes, d)) == _rows(literal_tiers(codes, d))
+    assert _rows(mt.match_longest_prefix(codes, d)) == literal_tiers(codes, d)
+    for n in (5, 4, 3, 2):
+        want = [r for r in literal_tiers(codes, d) if r[1] == f"prefix_{n}d"]
+        assert _rows(mt.prefix_tier(codes, d, n)) == want
 
 
 @pytest.mark.parametrize("seed", [7, 8])
@@ -190,7 +193,7 @@ def test_salted_fallback_equals_broadcast_join(spark):
     bc = al.allocate(facts, cmap, graded, stats=stats)
     salted = al.allocate(facts, cmap, graded, max_broadcast_rows=0, stats=stats)
     plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "xxhash64" in plan and "NestedLoop" not in plan
+    assert "monotonically_increasing_id" in plan and "NestedLoop" not in plan
     assert _rows(salted) == _rows(bc)
 
 
@@ -223,7 +226,78 @@ def test_tariff_salted_fallback_equals_broadcast(spark, sf_dir):
         t = TariffPipeline(spark, sf_dir)
         conc = t.concordance
         plan = conc._jdf.queryExecution().executedPlan().toString()
-        assert "xxhash64" in plan and "NestedLoop" not in plan
+        assert "monotonically_increasing_id" in plan and "NestedLoop" not in plan
         assert _rows(conc) == want
     finally:
         spark.conf.unset("spark.codeloom.broadcast.maxRows")
+
+
+def test_groups_are_bounded_by_targets(spark):
+    """200,000 dictionary keys of three targets under one prefix: a code meets three rows, not 200,000."""
+    d = spark.range(200_000).select(F.concat(F.lit("T"), (F.col("id") % 3).cast("string")).alias("target"),
+                                    F.concat(F.lit("31"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("key6"),
+                                    (F.col("id") % 2 == 0).alias("multi_io"))
+    codes = _codes(spark, ["31S", "31MP"])
+    m = mt.person_matches(codes, d, None, reduced=True)
+    assert m.count() == 6
+    assert _rows(al.best_graded(m)) == _rows(al.best_graded(mt.person_matches(codes, d, None)))
+    assert {r.n_targets for r in al.best_graded(m).collect()} == {3}
+    t = spark.createDataFrame([("1", "31000X", True), ("2", "31000X", True)], TRADE_SCHEMA)
+    assert mt.tariff_matches(d, t, reduced=True).count() == 6
+
+
+def test_a_hot_key_spreads_by_its_share(spark):
+    from codeloom.operators.broadcast import skew_safe_join
+
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        facts = spark.range(0, 9000, 1, 4).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+        lookup = facts.distinct().select(F.col("k").alias("lk"), F.length("k").alias("v"))
+        stats = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        j = skew_safe_join(facts, lookup, "k", "lk", stats)
+        assert j.count() == 9000
+        parts = j.where("k = 'hot'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(parts) >= 8 and max(r["count"] for r in parts) <= 3000 / 4
+    finally:
+        for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    from codeloom.operators.broadcast import materialize, sized_broadcast
+
+    t = materialize(spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s")))
+    hinted = lambda df: getattr(df, "_codeloom_broadcast", False)
+    assert hinted(sized_broadcast(t))
+    assert not hinted(sized_broadcast(t, max_rows=99))
+    spark.conf.set("spark.codeloom.broadcast.maxBytes", "50000")
+    try:
+        assert not hinted(sized_broadcast(t))
+    finally:
+        spark.conf.unset("spark.codeloom.broadcast.maxBytes")
+
+
+def test_code_space_grows_and_the_shuffle_path_agrees(spark):
+    """At sf0.1 stems have five digits; without any broadcast the concordance is the same."""
+    from codeloom.plans.pipelines import PersonPipeline, TariffPipeline
+
+    small, large = (PersonPipeline(spark, f"/root/testdata/sf{x}") for x in ("0.01", "0.1"))
+    assert large.code_stats.count() > 5 * small.code_stats.count()
+    assert large.dictionary.count() > 5 * small.dictionary.count()
+    want = TariffPipeline(spark, "/root/testdata/sf0.1").concordance.count()
+    spark.conf.set("spark.codeloom.broadcast.maxRows", "0")
+    try:
+        assert TariffPipeline(spark, "/root/testdata/sf0.1").concordance.count() == want
+    finally:
+        spark.conf.unset("spark.codeloom.broadcast.maxRows")
+
+
+def test_small_tables_are_made_only_when_needed(spark, sf_dir):
+    from codeloom.plans.pipelines import PersonPipeline
+
+    p = PersonPipeline(spark, sf_dir)
+    p.codes.count()
+    assert "code_stats" in p.__dict__ and "dictionary" not in p.__dict__

@@ -41,3 +41,22 @@ def test_sheet_reader_with_files_split_across_tasks(spark):
         assert sorted(back.collect()) == sorted(df.collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_sheet_header_names_are_quoted(spark):
+    import csv
+
+    df = spark.createDataFrame([(1, "x")], "`b,c` int, `d\"e` string").coalesce(1)
+    path = scratch_path(spark, "test_sheet_header")
+    sheets.write_sheet(df, path, ["t"])
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert lines[0] == "t" and next(csv.reader([lines[1]])) == df.columns
+
+
+def test_all_text_scan_of_a_late_filled_column(spark):
+    rows = [(f"{i:05d}", None if i < 3000 else f"0{i}") for i in range(3100)]
+    df = spark.createDataFrame(rows, "hts string, code string").coalesce(1)
+    path = scratch_path(spark, "test_late")
+    sinks.write_csv(df, path)
+    back = sinks.read_csv(spark, path, sheets.all_text_schema(["hts", "code"]))
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)

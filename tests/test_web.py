@@ -64,3 +64,34 @@ def test_unclassified_warning(spark, sf_dir):
     with pytest.warns(UserWarning, match="unclassified"):
         n = rp.warn_unclassified(per_code)
     assert n == p.facts.where("code_type = 'other'").count() > 0
+
+
+def test_query_strings_as_a_browser_reads_them(spark):
+    cases = {
+        "u?utm_source=a|b": "a|b", "u?utm_source=news&utm_campaign={cid}": "news", "u?utm_source=x&c=50%off": "x", "u?utm_source=50%off": "50%off",
+        "u?utm_source=a^b": "a^b", "u?utm_source=%zz": "%zz", "u?utm_source=a b": "a b", "u?q=`x`&utm_source=z": "z", "u?utm_source=x&utm_source=y": "x",
+        "u?utm%5Fsource=e": "e", "u?utm_source": "", "u?utm_source&b": "", "u?xutm_source=n": None, "u#?utm_source=n": None, "u?a#utm_source=n": None,
+        "u?utm_source=a=b": "a=b", "u?utm_source=c+d%C3%A9": "c dé", "u": None, "": None, "u?": None, "u?utm_source=a%": "a%", "u?a?utm_source=1&utm_source=2": "2",
+    }
+    df = spark.createDataFrame(list(cases.items()) + [(None, None)], "url string, want string")
+    got = df.withColumn("got", web.query_param("url", "utm_source")).collect()
+    assert [(r.url, r.got) for r in got] == [(r.url, r.want) for r in got]
+
+
+def test_link_tags_of_any_form(spark):
+    cases = [
+        ('<A HREF="x/the">', ["x/the"]), ("<a href='x/the'>", ["x/the"]), ("<a href=x/the>", ["x/the"]), ('<a href = "x/the">', ["x/the"]),
+        ('<a data-href="x/the" href="y">', []), ('<a class="c" data-href="q" href="x/the">', ["x/the"]), ('<!-- <a href="x/the"> -->', []),
+        ('<a href="the?a&amp;b">', ["the?a&b"]), ("<a title=\'href=\"x/the\"\' href=\"y\">", []), ('<a title="a>b" href="x/the">', ["x/the"]),
+        ('<abbr href="x/the">', []), ('<a\nhref="x/the"\n>', ["x/the"]), ('<a href="the1" href="the2">', ["the1"]), ("<a " + 'b="c" ' * 3000 + "href=the>", ["the"]), (None, []), ("", []),
+    ]
+    df = spark.createDataFrame([(i, h, None) for i, (h, _) in enumerate(cases)], "page_id int, html string, utm_source string")
+    got = {}
+    for r in web.link_click_events(df, "the").collect():
+        got.setdefault(r.page_id, []).append(r.href)
+    assert [got.get(i, []) for i in range(len(cases))] == [w for _, w in cases]
+
+
+def test_json_field_names_are_quoted(spark):
+    df = spark.createDataFrame([('{"a.b": 3, "a": {"b": 4}}',)], "p string")
+    assert df.select(web.json_field("p", "a.b").alias("k")).first().k == 3
