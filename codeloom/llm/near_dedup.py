@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from codeloom.llm import arrays
 from codeloom.llm.components import connected_components
-from codeloom.operators.broadcast import known_rows, materialize
+from codeloom.operators.broadcast import known_rows, materialize, sized_broadcast
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -51,6 +51,8 @@ ID_BITS = 44
 #: Least samples in common (of 16) for verification; a pair at 0.8 has fewer once in 30,000 times.
 LEAST_EQUAL = 6
 NEIGHBOURS = 4
+#: Rows of two integers that may be broadcast.
+MOST_BROADCAST = 1_000_000
 SPLIT = 1000
 PIECE = 1 << 19
 ONE = 16
@@ -241,7 +243,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarra
     pairs = half.join(nb, "b").where((F.least("total_a", "total_b") >= similarity * F.greatest("total_a", "total_b")) & (equal >= LEAST_EQUAL)).select("a", "b")
     pairs = materialize(pairs, "pairs")
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
-    used = materialize(used, "nodes_used")
+    used = sized_broadcast(materialize(used, "nodes_used"), MOST_BROADCAST)   # two integers a row; beyond the bound the texts are shuffled
     sets = materialize(shingle_sets(docs.join(used, docs["doc_id"] == used["rep"]), idf).dropDuplicates(["node"]), "shingle_sets")
     a = sets.select(F.col("node").alias("a"), F.col("ids").alias("ids_a"), F.col("weights").alias("weights_a"))
     b = sets.select(F.col("node").alias("b"), F.col("ids").alias("ids_b"), F.col("weights").alias("weights_b"))
