@@ -4,7 +4,8 @@
 digits of the base.  Tokens that are not ``digits-digits``, that overflow a
 32-bit integer, whose end is below the start, or whose suffix is longer than
 the base (T5, a deliberate difference: we never guess) pass through as they
-are.  Expanded codes go through an integer, so leading zeros are lost.
+are; ``literal=True`` takes a longer suffix as the whole end of the range.
+Expanded codes go through an integer, so leading zeros are lost.
 
 Expansion is two generators deep: first the chunk starts of the range, then
 the codes inside each chunk.  No row ever builds an array larger than
@@ -21,16 +22,16 @@ RANGE_PATTERN = "^[0-9]+-[0-9]+$"
 CHUNK = 4096
 
 
-def range_bounds(col) -> tuple[Column, Column, Column]:
+def range_bounds(col, literal: bool = False) -> tuple[Column, Column, Column]:
     """(valid, start, end) for a token column; start/end are 0 when not valid."""
     tok = F.col(col) if isinstance(col, str) else col
     base = F.substring_index(tok, "-", 1)
     suffix = F.substring_index(tok, "-", -1)
     keep = F.length(base) - F.length(suffix)
-    prefix = F.when(keep >= 0, F.substring(base, 1, F.greatest(keep, F.lit(0))))
+    prefix = F.when((keep >= 0) | F.lit(literal), F.substring(base, F.lit(1), F.greatest(keep, F.lit(0))))
     start = base.try_cast("int")
     end = F.concat(prefix, suffix).try_cast("int")
-    valid = (tok.rlike(RANGE_PATTERN) & (keep >= 0) & start.isNotNull()
+    valid = (tok.rlike(RANGE_PATTERN) & ((keep >= 0) | F.lit(literal)) & start.isNotNull()
              & end.isNotNull() & (end >= start))
     valid = F.coalesce(valid, F.lit(False))
     # Guarded bounds: safe even where the range branch is not taken.
@@ -39,9 +40,19 @@ def range_bounds(col) -> tuple[Column, Column, Column]:
     return valid, lo, hi
 
 
-def expand_ranges(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Add ``out``: one row per expanded code (others pass ``col`` through)."""
-    valid, lo, hi = range_bounds(col)
+def malformed_ranges(df: DataFrame, col: str, literal: bool = False, out: str = "n_rows") -> DataFrame:
+    """``(col, out)``: tokens that look like a range but pass through unexpanded, with their rows."""
+    valid, _, _ = range_bounds(col, literal)
+    return df.where(F.col(col).rlike(RANGE_PATTERN) & ~valid).groupBy(col).agg(F.count(F.lit(1)).alias(out))
+
+
+def expand_ranges(df: DataFrame, col: str, out: str, literal: bool = False) -> DataFrame:
+    """Add ``out``: one row per expanded code (others pass ``col`` through).
+
+    A literal reading can make one token enormous: its chunks are then spread
+    over the partitions before they expand.
+    """
+    valid, lo, hi = range_bounds(col, literal)
     v, lo_c, hi_c, ch = "__rng_valid", "__rng_lo", "__rng_hi", "__rng_chunk"
     keep = [F.col(f"`{c}`") for c in df.columns]
     step = F.lit(CHUNK).cast("long")
@@ -49,6 +60,8 @@ def expand_ranges(df: DataFrame, col: str, out: str) -> DataFrame:
         *keep, valid.alias(v), lo.alias(lo_c), hi.alias(hi_c),
         F.explode(F.when(valid, F.sequence(lo, hi, step))
                   .otherwise(F.array(F.lit(None).cast("long")))).alias(ch))
+    if literal:
+        chunked = chunked.repartition(ch, col)
     inner = F.sequence(F.col(ch), F.least(F.col(ch) + (CHUNK - 1), F.col(hi_c)))
     return chunked.select(
         *keep,

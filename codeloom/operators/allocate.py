@@ -117,16 +117,20 @@ def allocate(facts: DataFrame, cmap: DataFrame, graded: DataFrame, code: str = "
     return j.withColumn(out, F.col(weight) / F.col("n_targets"))
 
 
-def code_stats(facts: DataFrame, code: str = "code", weight: str = "wt") -> DataFrame:
+def code_stats(facts: DataFrame, code: str = "code", weight: str = "wt", exact: str | None = None) -> DataFrame:
     """Records reduced to one row per raw code: ``(code_raw, n_rows, wt_sum)``.
 
+    ``exact``: a decimal type (e.g. ``decimal(28,6)``) in which weights are
+    summed, so that totals of non-integral weights don't depend on the order.
+
     A map-side-combined aggregate: a code holding a third of all records
     still ships one partial row per task.  It is both the distinct-code list
     the matcher needs and the input of ``allocate_totals_from_stats``, so the
     totals path reads the records once.
     """
     return facts.groupBy(F.col(code).cast("string").alias("code_raw")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(weight).alias("wt_sum"))
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col(weight).cast(exact) if exact else F.col(weight)).alias("wt_sum"))
 
 
 def allocate_totals_from_stats(stats: DataFrame, cmap: DataFrame, graded: DataFrame,
@@ -150,7 +154,7 @@ def allocate_totals_from_stats(stats: DataFrame, cmap: DataFrame, graded: DataFr
 def allocate_totals(facts: DataFrame, cmap: DataFrame, graded: DataFrame, code: str = "code",
                     weight: str = "wt", by: Sequence[str] = ("target", "match_quality"),
                     drop_codes: Sequence[str] = DROP_CODES,
-                    max_broadcast_rows: int | None = None) -> DataFrame:
+                    max_broadcast_rows: int | None = None, exact: str | None = None) -> DataFrame:
     """Allocated totals per ``by`` + ``n_targets``, without the row-level fan-out.
 
     Output: ``*by, n_targets, n_rows, wt_sum, wt_adj`` where ``n_rows`` counts
@@ -158,9 +162,10 @@ def allocate_totals(facts: DataFrame, cmap: DataFrame, graded: DataFrame, code:
     round(wt_sum / n_targets, 4)`` is the allocated mass.  Unmatched records
     form the group with NULL keys and NULL ``wt_adj``.  Records are first
     reduced to one row per raw code, so the join sees only distinct codes;
-    sums of integral weights are exact and divided once.
+    sums of integral weights are exact and divided once; with a decimal type
+    ``exact`` so are others.
     """
-    return allocate_totals_from_stats(code_stats(facts, code, weight), cmap, graded, by,
+    return allocate_totals_from_stats(code_stats(facts, code, weight, exact), cmap, graded, by,
                                       drop_codes, max_broadcast_rows)
 
 

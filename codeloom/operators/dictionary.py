@@ -40,15 +40,18 @@ def explode_tokens(df: DataFrame, raw: str = "raw", flag: str = "multi_io",
 
 def normalize_dictionary(df: DataFrame, target: str = "target", raw: str = "raw",
                          key: str = "key6", flag: str = "multi_io", width: int = 6,
-                         sentinel: str = SENTINEL) -> DataFrame:
+                         sentinel: str = SENTINEL, literal_ranges: bool = False) -> DataFrame:
     """``(target, key6, multi_io)``, distinct.
 
+    ``literal_ranges`` expands a range whose suffix is longer than its base too
+    (T5); ``functions.ranges.malformed_ranges`` counts what passes through.
+
     The dictionary is small (industries x codes), so the final ``distinct``
     is a cheap shuffle; nothing here scales with the fact tables.
     """
     d = filter_sentinels(df.select(F.col(target).alias("__t"), F.col(raw).alias("__raw")),
                          "__t", "__raw", sentinel)
     d = explode_tokens(d, "__raw", flag, "__token").select("__t", flag, "__token")
-    d = expand_ranges(d, "__token", "__expanded")
+    d = expand_ranges(d, "__token", "__expanded", literal_ranges)
     return d.select(F.col("__t").alias(target), pad_right_digits("__expanded", width).alias(key),
                     flag).distinct()

@@ -16,7 +16,6 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_DIR: dict[str, str] = {}
-_CKPT_SET: set[str] = set()
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -37,11 +36,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by driver and executors, from ``spark.checkpoint.dir``.
-
-    Also makes sure the SparkContext checkpoints there, so
-    ``DataFrame.checkpoint()`` cuts lineage into the shared folder.
-    """
+    """Folder shared by driver and executors, from ``spark.checkpoint.dir``."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master
@@ -53,15 +48,19 @@ def shared_dir(spark: SparkSession) -> str:
         if key not in _LOCAL_DIR:
             _LOCAL_DIR[key] = tempfile.mkdtemp(prefix="codeloom-ckpt-")
         d = _LOCAL_DIR[key]
-    app = spark.sparkContext.applicationId
-    if app not in _CKPT_SET:
-        # setCheckpointDir makes a fresh sub-folder per call: once per app.
-        spark.sparkContext.setCheckpointDir(d)
-        _CKPT_SET.add(app)
     return d
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/codeloom-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared folder (for sinks/round trips)."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/codeloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cleanup(spark: SparkSession) -> bool:
+    """Delete this application's scratch tables; results that still read them must be written first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

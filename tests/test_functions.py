@@ -122,3 +122,25 @@ def test_d3_analysis_file_keeps_all_but_work_columns(spark):
     analysis_file(df, path)
     back = spark.read.parquet(path)
     assert sorted(back.columns) == ["id", "keepme", "match_quality", "wt"]
+
+
+def test_t5_literal_ranges_and_their_report(spark):
+    from codeloom.functions.ranges import expand_ranges, malformed_ranges
+
+    df = spark.createDataFrame([("7-12",), ("11-3",), ("113-6",), ("9-99999999999",), ("x",), ("7-12",)], "t string")
+    assert {(r.t, r.n_rows) for r in malformed_ranges(df, "t").collect()} == {("7-12", 2), ("9-99999999999", 1)}
+    got = sorted(r.o for r in expand_ranges(df, "t", "o", literal=True).collect())
+    assert got == sorted(2 * [str(i) for i in range(7, 13)] + ["11", "12", "13", "113", "114", "115", "116", "9-99999999999", "x"])
+
+
+def test_totals_of_decimal_weights_are_exact(spark):
+    from codeloom.operators import allocate as al
+    from codeloom.operators import codes as cd
+    from codeloom.operators import match as mt
+
+    facts = spark.createDataFrame([("1111", 0.1)] * 1000 + [("1111", 1e9)], "code string, wt double")
+    d = spark.createDataFrame([("A", "111100", False), ("B", "111100", False)], "target string, key6 string, multi_io boolean")
+    cmap = cd.code_map(facts, "code", "code_str")
+    graded = al.grade_matches(mt.person_concordance(cd.codes_from_map(cmap), d, None))
+    got = al.allocate_totals(facts, cmap, graded, exact="decimal(28,6)").collect()
+    assert {(r.target, str(r.wt_sum), float(r.wt_adj)) for r in got} == {(t, "1000000100.000000", 500000050.0) for t in "AB"}

@@ -60,3 +60,15 @@ def test_all_text_scan_of_a_late_filled_column(spark):
     sinks.write_csv(df, path)
     back = sinks.read_csv(spark, path, sheets.all_text_schema(["hts", "code"]))
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_cleanup_deletes_this_applications_scratch_tables(spark, monkeypatch, tmp_path):
+    from codeloom import session
+    from codeloom.operators.broadcast import materialize
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    assert materialize(spark.range(3)).count() == 3
+    assert (tmp_path / "codeloom-scratch").exists()
+    session.cleanup(spark)
+    assert not list((tmp_path / "codeloom-scratch").iterdir()) and (tmp_path / "other").exists()
