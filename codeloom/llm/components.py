@@ -21,10 +21,11 @@ def _write(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 
 def _ends(pointers: DataFrame) -> DataFrame:
-    """``pointers`` (node, to) with every pointer followed to its end."""
+    """``pointers`` (node, to) with every pointer followed to its end, two doublings a step."""
     while True:
         onward = pointers.select(F.col("node").alias("to"), F.col("to").alias("further"))
-        step = pointers.join(onward, "to", "left").select(
+        once = pointers.join(onward, "to", "left").select("node", F.coalesce("further", "to").alias("to"))
+        step = once.join(onward, "to", "left").select(
             "node", F.coalesce("further", "to").alias("to"), (F.coalesce("further", "to") != F.col("to")).alias("moved"))
         step, _ = _write(step, "pointers")
         pointers = step.select("node", "to")
@@ -55,8 +56,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
             return ends.select("node", F.col("to").alias("component"))
         to_a = pointers.select(F.col("node").alias("a"), F.col("to").alias("end_a"))
         to_b = pointers.select(F.col("node").alias("b"), F.col("to").alias("end_b"))
-        half, _ = _write(links.join(to_a, "a").select("end_a", "b"), "half_links")
-        links, n = _write(half.join(to_b, "b").where("end_a != end_b")
+        links, n = _write(links.join(to_a, "a").join(to_b, "b").where("end_a != end_b")
                           .select(F.least("end_a", "end_b").alias("a"), F.greatest("end_a", "end_b").alias("b")).distinct(), "links")
         if not n:
             return ends.select("node", F.col("to").alias("component"))

@@ -238,9 +238,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarra
     """The pairs (a, b) of nodes whose weighted Jaccard similarity reaches ``similarity``."""
     na = nodes.select(F.col("node").alias("a"), F.col("total").alias("total_a"), F.col("samples").alias("samples_a"))
     nb = nodes.select(F.col("node").alias("b"), F.col("total").alias("total_b"), F.col("samples").alias("samples_b"))
-    half = materialize(pairs.join(na, "a"), "pairs_a")
     equal = F.size(F.filter(F.zip_with("samples_a", "samples_b", lambda x, y: x == y), lambda x: x))
-    pairs = half.join(nb, "b").where((F.least("total_a", "total_b") >= similarity * F.greatest("total_a", "total_b")) & (equal >= LEAST_EQUAL)).select("a", "b")
+    pairs = pairs.join(na, "a").join(nb, "b").where((F.least("total_a", "total_b") >= similarity * F.greatest("total_a", "total_b")) & (equal >= LEAST_EQUAL)).select("a", "b")
     pairs = materialize(pairs, "pairs")
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
     used = sized_broadcast(materialize(used, "nodes_used"), MOST_BROADCAST)   # two integers a row; beyond the bound the texts are shuffled
