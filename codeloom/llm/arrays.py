@@ -10,9 +10,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: Bytes of text that are worked on at once.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
+#: Rows of an Arrow batch: rows are whole texts, and a batch is held by the JVM and by Python.
+BATCH_ROWS, BATCH_CONF = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: An odd number, so that it has an inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -26,6 +29,13 @@ WORD = ((_byte >= 48) & (_byte <= 57)) | ((_byte >= 65) & (_byte <= 90)) | ((_by
 _powers: dict[int, np.ndarray] = {}
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS rows where they may be larger."""
+    now = int(spark.conf.get(BATCH_CONF, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """``base ** i`` modulo 2**64 for i in 0..n-1 (kept, and made longer when needed)."""
     have = _powers.get(base)

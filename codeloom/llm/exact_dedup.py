@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codeloom.llm import arrays
 from codeloom.operators.broadcast import materialize
 
 #: Characters of the normalised text in a splitter.
@@ -47,6 +48,7 @@ def runs(docs: DataFrame, columns: list[str], text: str = "text", doc_id: str =
     ``border`` has the text on the first row of a run that may go on in another partition.
     ``heads_only`` gives the first rows only.
     """
+    arrays.bounded_batches(docs.sparkSession)
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("long").alias("id"))
     d = d.withColumn("norm", normalised("text"))
     d = d.withColumns({"prefix": F.substring("norm", 1, SPLITTER_CHARS), "hash": F.xxhash64("norm")}).drop("text")

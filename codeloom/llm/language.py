@@ -82,6 +82,7 @@ def small_pieces(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model:
     """The sample's presence bits (8 kB a text, a bounded number of texts) come to the driver."""
+    arrays.bounded_batches(docs.sparkSession)
     lettered = F.col(text).rlike(r"\p{L}")
     known = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"), lettered.alias("ok")).where("ok and lang is not null and id is not null").where(~held_out("id"))
     slim = known.select("id", "lang")
@@ -118,6 +119,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
 
 def predictions(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
+    arrays.bounded_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     held = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -259,6 +259,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarra
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of the class), class_size, kept."""
+    arrays.bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     idf = idf_table(*frequency_sketch(docs))
     signed = materialize(signatures(docs, idf), "signatures")

@@ -107,6 +107,7 @@ def best_fit_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
 def tokenize_pieces(docs: DataFrame, encode: Callable[[list], tuple], capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id", end_id: int = END_ID) -> DataFrame:
     """Pieces of each document with the checksum of their ids; ``part`` and ``rank`` number
     the pieces of one length within a task (the same when a task runs again)."""
+    arrays.bounded_batches(docs.sparkSession)
     id_type = docs.schema[doc_id].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), *[T.StructField(n, T.LongType()) for n in ("piece", "start", "length", "ids_crc32", "part", "rank")]])
 

@@ -131,6 +131,7 @@ class Words(dict):
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_words (pre-tokens), n_tokens."""
+    arrays.bounded_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codeloom.llm import arrays
+from codeloom.llm.decontaminate import words_of
 from codeloom.operators.broadcast import materialize
 
 #: Bound of the training sample, documents of each label.
@@ -155,8 +156,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2)
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Model:
     """The sample's word counts are made in Spark; of them the significant words, and of the
     sample its lexicon words, come to the driver (bounded by the parameters above)."""
-    from codeloom.llm.decontaminate import words_of
-
+    arrays.bounded_batches(docs.sparkSession)
     truth = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id)).groupBy(F.col(doc_id).alias("__id")).agg((F.max(label) > 0).cast("int").alias("__y"))
     truth = truth.join(docs.select(F.col(doc_id).alias("__id")).distinct(), "__id", "left_semi")
     totals = {r["__y"]: r["n"] for r in truth.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -231,6 +231,7 @@ def score_texts(model: Model, flags: np.ndarray, column: pa.Array) -> np.ndarray
 
 def scores(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
+    arrays.bounded_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,6 +246,7 @@ def scores(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
 def passages(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id", level: float = 0.05) -> DataFrame:
     """Every significant segment: doc_id, first_word, last_word, score, e_value (expected number of
     such segments in as much clean text, ``level`` at most)."""
+    arrays.bounded_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("e_value", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,6 +270,8 @@ def passages(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "d
 
 def clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents that aren't predicted toxic, with all their columns."""
+    arrays.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = model.flags()
         for batch in batches:

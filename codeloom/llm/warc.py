@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codeloom.llm import arrays
 from codeloom.operators.broadcast import materialize
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -210,6 +211,7 @@ def records(zipped: ZipArchive) -> Iterator[dict]:
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0) -> None:
     """Write ``pages`` as packaged archives under ``path``."""
+    arrays.bounded_batches(pages.sparkSession)
     p = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("payload"))
     p = p.withColumn("sha1", F.unhex(F.sha1(F.col("payload").cast("binary"))))
     equal = p.where(F.octet_length("payload") >= least_bytes).groupBy("sha1").agg(F.max("page_id").alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1 and keep is not null").select("sha1", "keep")
