@@ -38,12 +38,43 @@ EQUAL = 1e-9
 
 
 class Unigram:
-    """Log-probabilities of pieces; ``unknown`` is that of one byte of a character without piece."""
+    """Log-probabilities of pieces; ``unknown`` is that of one byte of a character without piece.
+
+    An automaton over the pieces gives, for any prefix of a text, the pieces that end there: its
+    state is the longest end of the prefix that begins a piece.
+    """
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - 1.0
+        self.next: dict[int, int] = {}
+        self.back, self.ending = [0], [[]]     # of each state: that of its longest proper end, pieces (length, score)
+        steps = []
+        for piece, score in scores.items():
+            state = 0
+            for depth, c in enumerate(map(ord, piece)):
+                key = state << 21 | c
+                if key not in self.next:
+                    self.next[key] = len(self.back)
+                    self.back.append(0)
+                    self.ending.append([])
+                    steps.append((depth, state, c))
+                state = self.next[key]
+            self.ending[state].append((len(piece), score))
+        for depth, state, c in sorted(steps):
+            child = self.next[state << 21 | c]
+            if depth:
+                self.back[child] = self.step(self.back[state], c)
+                self.ending[child] = self.ending[child] + self.ending[self.back[child]]
+
+    def step(self, state: int, c: int) -> int:
+        while True:
+            new = self.next.get(state << 21 | c)
+            if new is not None:
+                return new
+            if not state:
+                return 0
+            state = self.back[state]
 
     @classmethod
     def of_ranks(cls, pieces: list[str]) -> Unigram:
@@ -61,21 +92,19 @@ def unigram(path: str) -> Unigram:
     return Unigram.of_ranks([sp.id_to_piece(i) for i in own])
 
 
-def forward(model: Unigram, text: str, end: int, score: list[float], count: list[int], path: list[int]) -> tuple[float, int]:
-    """Best score and pieces of ``text[:end]``; ``path[i]`` is where the results of ``text[:i]`` are."""
-    scores, best, pieces = model.scores, -math.inf, 0
-    for start in range(max(0, end - model.longest), end):
-        s = scores.get(text[start:end])
-        if s is None:
-            if start < end - 1:
-                continue
-            n = len(text[start].encode("utf-8", "surrogatepass"))
-            s = n * model.unknown
-        else:
-            n = 1
-        at = path[start]
-        s += score[at]
-        n += count[at]
+def forward(model: Unigram, state: int, char: str, end: int, score: list[float], count: list[int], path: list[int]) -> tuple[float, int]:
+    """Best score and pieces of a prefix of ``end`` characters whose last is ``char``; ``path[i]`` is
+    where the results of its first i characters are."""
+    best, pieces, single = -math.inf, 0, False
+    for length, s in model.ending[state]:
+        at = path[end - length]
+        s, n = s + score[at], count[at] + 1
+        single |= length == 1
+        if s > best + EQUAL or (s > best - EQUAL and n < pieces):
+            best, pieces = s, n
+    if not single:
+        at, n = path[end - 1], len(char.encode("utf-8", "surrogatepass"))
+        s, n = n * model.unknown + score[at], n + count[at]
         if s > best + EQUAL or (s > best - EQUAL and n < pieces):
             best, pieces = s, n
     return best, pieces
@@ -90,28 +119,32 @@ class Trie:
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}
-        self.score, self.count = [0.0], [0]
+        self.score, self.count, self.state = [0.0], [0], [0]
 
     def tokens(self, word: str) -> int:
-        text = MARK + word
+        model, text = self.model, MARK + word
         if len(text) > LONGEST:
-            score, count, path = [0.0], [0], list(range(len(text) + 1))
-            for end in range(1, len(text) + 1):
-                s, n = forward(self.model, text, end, score, count, path)
+            score, count, path, state = [0.0], [0], list(range(len(text) + 1)), 0
+            for end, c in enumerate(text, 1):
+                state = model.step(state, ord(c))
+                s, n = forward(model, state, c, end, score, count, path)
                 score.append(s)
                 count.append(n)
             return count[-1]
         if len(self.score) > MOST_NODES:
             self.clear()
         node, path = 0, [0]
-        for i, c in enumerate(text):
+        for end, c in enumerate(text, 1):
             key = node << 21 | ord(c)
-            node = self.child.get(key, -1)
-            if node < 0:
-                s, n = forward(self.model, text, i + 1, self.score, self.count, path)
-                node = self.child[key] = len(self.score)
+            new = self.child.get(key, -1)
+            if new < 0:
+                state = model.step(self.state[node], ord(c))
+                s, n = forward(model, state, c, end, self.score, self.count, path)
+                new = self.child[key] = len(self.score)
                 self.score.append(s)
                 self.count.append(n)
+                self.state.append(state)
+            node = new
             path.append(node)
         return self.count[node]
 
@@ -146,4 +179,4 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", doc_id: str = "
                     words[i], tokens[i] = len(own), sum(map(count, own))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(words), pa.array(tokens)], names=schema.names)
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(arrays.released(run), schema)
