@@ -6,14 +6,16 @@ text longer than a piece makes a piece of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Bytes of text that are worked on at once.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 #: Rows of an Arrow batch: rows are whole texts, and a batch is held by the JVM and by Python.
 BATCH_ROWS, BATCH_CONF = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: An odd number, so that it has an inverse modulo 2**64.
@@ -36,6 +38,22 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, which gives the memory that it freed back to the system when its task ends.
+
+    Python workers live on between tasks, beside the executor's heap.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):   # elsewhere than with glibc
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return task
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """``base ** i`` modulo 2**64 for i in 0..n-1 (kept, and made longer when needed)."""
     have = _powers.get(base)

@@ -115,7 +115,7 @@ def runs(docs: DataFrame, columns: list[str], text: str = "text", doc_id: str =
         if state:
             yield out(True)
 
-    return d.mapInArrow(scan, schema)
+    return d.mapInArrow(arrays.released(scan), schema)
 
 
 def joined_borders(found: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
                 x = np.packbits(presence(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]), axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column("lang").slice(a, b - a), batch.column("rank").slice(a, b - a), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "rank", "bits"])
 
-    rows = sample.select("lang", "rank", "text").mapInArrow(bits, "lang string, rank int, bits binary").collect()
+    rows = sample.select("lang", "rank", "text").mapInArrow(arrays.released(bits), "lang string, rank int, bits binary").collect()
     if not rows:
         return Model()
     rows.sort(key=lambda r: (r["lang"], r["rank"], r["bits"]))
@@ -141,4 +141,4 @@ def predictions(docs: DataFrame, model: Model, text: str = "text", doc_id: str =
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names[best], pa.string()), pa.array(score)], names=schema.names)
 
     ok = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(f"`{text}`").alias("text"), ok.alias("ok")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(f"`{text}`").alias("text"), ok.alias("ok")).mapInArrow(arrays.released(run), schema)

@@ -54,7 +54,7 @@ NEIGHBOURS = 4
 #: Rows of two integers that may be broadcast.
 MOST_BROADCAST = 1_000_000
 SPLIT = 1000
-PIECE = 1 << 19
+PIECE = 1 << 18
 ONE = 16
 
 
@@ -106,7 +106,7 @@ def frequency_sketch(docs: DataFrame) -> tuple[np.ndarray, int]:
         return pd.DataFrame({"slice": [parts["slice"].iloc[0]], "counts": [total.tobytes()], "n": [parts["n"].sum()]})
 
     schema = "slice int, counts binary, n long"
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("slice").applyInPandas(add, schema).collect()
+    rows = docs.select("text").mapInArrow(arrays.released(count), schema).groupBy("slice").applyInPandas(add, schema).collect()
     total = np.zeros((SLICES, width // SLICES), np.int64)
     for r in rows:
         total[r["slice"]] = np.frombuffer(r["counts"], np.int64)
@@ -194,7 +194,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(upto * (BANDS * ROWS)), pa.array(short.reshape(-1))),
                     pa.ListArray.from_arrays(pa.array(upto * BANDS), pa.array(band.reshape(-1)))], names=SIGNATURE.names)
 
-    return docs.mapInArrow(sign, SIGNATURE)
+    return docs.mapInArrow(arrays.released(sign), SIGNATURE)
 
 
 SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("weights", T.BinaryType())])
@@ -219,7 +219,7 @@ def shingle_sets(rows: DataFrame, idf: np.ndarray) -> DataFrame:
                     pa.array(node[a:b][own]), pa.array([ids[at[i]:at[i + 1]].tobytes() for i in own], pa.binary()),
                     pa.array([weight[at[i]:at[i + 1]].tobytes() for i in own], pa.binary())], names=SETS.names)
 
-    return rows.select("text", "node").mapInArrow(sets, SETS)
+    return rows.select("text", "node").mapInArrow(arrays.released(sets), SETS)
 
 
 def weighted_jaccard(a_ids: bytes, a_weights: bytes, b_ids: bytes, b_weights: bytes) -> float:
@@ -254,7 +254,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarra
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     both = pairs.join(a, "a").join(b, "b")
-    return both.mapInArrow(compare, "a long, b long")
+    return both.mapInArrow(arrays.released(compare), "a long, b long")
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:

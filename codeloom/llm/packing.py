@@ -129,7 +129,7 @@ def tokenize_pieces(docs: DataFrame, encode: Callable[[list], tuple], capacity:
                 cols = [batch.column("doc_id").take(pa.array(row)), *map(pa.array, rest)]
                 yield pa.RecordBatch.from_arrays([*cols[:5], pa.array(np.full(len(row), part, np.int64)), cols[5]], names=schema.names)
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(arrays.released(run), schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -158,7 +158,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             at = run[:, 3] + j // run[:, 4], run[:, 5] + j % run[:, 4] * length
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names[:5]], *map(pa.array, at)], names=names)
 
-    return ranked.mapInArrow(place, schema).withColumn("piece", F.col("piece").cast("int"))
+    return ranked.mapInArrow(arrays.released(place), schema).withColumn("piece", F.col("piece").cast("int"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id", end_id: int = END_ID) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 from codeloom.llm import arrays
 
 #: Pre-tokens that a worker keeps before it starts over.
-MOST_KEPT = 600_000
+MOST_KEPT = 300_000
 SLOT_BITS = 20
 SPACE, LETTER, NUMBER, OTHER = range(4)
 #: Code points above ASCII that the vocabulary's patterns take as white space.

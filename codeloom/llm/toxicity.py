@@ -195,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
             lists = [pa.ListArray.from_arrays(pa.array(firsts.astype(np.int32)), pa.array(hits[i].astype(np.int32))) for i in (1, 2)]
             yield pa.RecordBatch.from_arrays([batch.column("__y"), pa.array(n.astype(np.int64)), *lists], names=["y", "n", "at", "word"])
 
-    got = sample.select("__y", "text").mapInArrow(find, "y int, n long, at array<int>, word array<int>").toPandas()
+    got = sample.select("__y", "text").mapInArrow(arrays.released(find), "y int, n long, at array<int>, word array<int>").toPandas()
     y, n = got["y"].to_numpy(dtype=float), got["n"].to_numpy()
     lengths = got["at"].map(len).to_numpy()
     hits = np.stack([np.repeat(np.arange(len(got)), lengths), *(np.concatenate([np.asarray(v, dtype=np.int64) for v in got[c]]) if lengths.sum() else np.zeros(0, np.int64) for c in ("at", "word"))])
@@ -240,7 +240,7 @@ def scores(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
             p = score_texts(model, flags, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=schema.names)
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(f"`{text}`").alias("text")).mapInArrow(arrays.released(run), schema)
 
 
 def passages(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id", level: float = 0.05) -> DataFrame:
@@ -265,7 +265,7 @@ def passages(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "d
             cols = [pa.array(list(c), kind) for c, kind in zip(rest, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(list(row), pa.int64())), *cols], names=schema.names)
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(arrays.released(run), schema)
 
 
 def clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -277,4 +277,4 @@ def clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(score_texts(model, flags, batch.column(text)) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(arrays.released(run), docs.schema)

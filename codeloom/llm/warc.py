@@ -238,7 +238,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
         if held:
             yield closed()
 
-    made = p.mapInArrow(write, "archive binary").select(F.col("archive").cast("string").alias("value"))
+    made = p.mapInArrow(arrays.released(write), "archive binary").select(F.col("archive").cast("string").alias("value"))
     made.write.option("maxRecordsPerFile", 1).mode("errorifexists").text(path)
 
 
@@ -264,4 +264,4 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
     kinds = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.BinaryType(): pa.binary()}
     arrow = pa.schema([(f.name, kinds[f.dataType]) for f in schema.fields])
-    return spark.read.format("binaryFile").load(path).where("length > 0").select("content").mapInArrow(read, schema)
+    return spark.read.format("binaryFile").load(path).where("length > 0").select("content").mapInArrow(arrays.released(read), schema)
