@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +47,8 @@ COMMON, LEAST_IDF = 0.1, 0.25
 #: Rows of the sketch and bits of its columns.
 SKETCH_ROWS, SKETCH_BITS = 2, 17
 SLICES = 256
+#: Tasks whose sketches are added up at once.
+ADDED = 512
 #: Bits of a shingle within a piece of text; the others number the piece's texts.
 ID_BITS = 44
 #: Least samples in common (of 16) for verification; a pair at 0.8 has fewer once in 30,000 times.
@@ -81,8 +84,8 @@ def sketch_columns(ids: np.ndarray) -> list[np.ndarray]:
 def frequency_sketch(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Count-min sketch of the documents each shingle is in, and the number of documents.
 
-    Tasks send the sketch in slices, which are added up slice by slice; the sum has a fixed size
-    (2 MB) for any input.
+    Tasks send the sketch in slices, which are added up slice by slice, first over ``ADDED`` tasks
+    and then over these sums, so that no group is large; the result has a fixed size (2 MB).
     """
     width = SKETCH_ROWS << SKETCH_BITS
 
@@ -97,16 +100,18 @@ def frequency_sketch(docs: DataFrame) -> tuple[np.ndarray, int]:
                     total[row] += np.bincount(columns, minlength=1 << SKETCH_BITS)
         if n:
             parts = [p.tobytes() for p in total.reshape(SLICES, width // SLICES)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary()), pa.array([n if i == 0 else 0 for i in range(SLICES)], pa.int64())], names=["slice", "counts", "n"])
+            part = TaskContext.get().partitionId() // ADDED
+            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([part] * SLICES, pa.int32()), pa.array(parts, pa.binary()), pa.array([n if i == 0 else 0 for i in range(SLICES)], pa.int64())], names=["slice", "part", "counts", "n"])
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width // SLICES, np.int64)
         for p in parts["counts"]:
             total += np.frombuffer(p, np.int64)
-        return pd.DataFrame({"slice": [parts["slice"].iloc[0]], "counts": [total.tobytes()], "n": [parts["n"].sum()]})
+        return pd.DataFrame({"slice": [parts["slice"].iloc[0]], "part": [parts["part"].iloc[0]], "counts": [total.tobytes()], "n": [parts["n"].sum()]})
 
-    schema = "slice int, counts binary, n long"
-    rows = docs.select("text").mapInArrow(arrays.released(count), schema).groupBy("slice").applyInPandas(add, schema).collect()
+    schema = "slice int, part int, counts binary, n long"
+    rows = docs.select("text").mapInArrow(arrays.released(count), schema)
+    rows = rows.groupBy("slice", "part").applyInPandas(add, schema).groupBy("slice").applyInPandas(add, schema).collect()
     total = np.zeros((SLICES, width // SLICES), np.int64)
     for r in rows:
         total[r["slice"]] = np.frombuffer(r["counts"], np.int64)
