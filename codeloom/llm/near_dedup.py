@@ -12,8 +12,12 @@
    threshold go; the rest is verified by weighted Jaccard similarity over the whole texts.
 4. Verified links are joined to components.  In buckets too large for step 3 to have tested
    all pairs, nodes of other components are compared with the node that has most links, again
-   and again until no new link is found.
-5. A class is a component with all copies of its nodes; the smallest doc_id stays.
+   and again until no new link is found.  This only joins large groups cheaply.
+5. The nodes of all such buckets that still hold several components meet by a prefix filter, which
+   loses no pair: shingles are ordered by the number of these nodes they are in, and two
+   nodes above the threshold share one before either has passed a fifth of its weight.  Pairs
+   of one component are left out.
+6. A class is a component with all copies of its nodes; the smallest doc_id stays.
 
 Defined results: words are lower-cased A-Z runs of ASCII letters, digits and all non-ASCII
 characters; a text of fewer than five words, but not none, has one shingle; a text without
@@ -262,6 +266,61 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarra
     return both.mapInArrow(arrays.released(compare), "a long, b long")
 
 
+ENTRY = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("weight", T.ShortType()), T.StructField("total", T.LongType())])
+
+
+def shingle_rows(rows: DataFrame, idf: np.ndarray) -> DataFrame:
+    """``rows`` (text, node): a row per distinct shingle of each text whose word sequence is that of its node."""
+    held = rows.sparkSession.sparkContext.broadcast(idf)
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = held.value
+        for batch in batches:
+            data, offsets = arrays.utf8(batch.column("text"))
+            node = batch.column("node").to_numpy()
+            for a, b in arrays.pieces(offsets, PIECE):
+                ids, counts, at, sequence = text_shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                weight = weights(ids, counts, table)
+                sums = np.concatenate([[0], np.cumsum(weight)])
+                text = np.repeat(np.arange(b - a), np.diff(at))
+                own = (sequence.view(np.int64) == node[a:b])[text]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[own].view(np.int64)), pa.array(node[a:b][text[own]]), pa.array(weight[own].astype(np.int16)),
+                    pa.array((sums[at[1:]] - sums[at[:-1]])[text[own]])], names=ENTRY.names)
+
+    return rows.select("text", "node").mapInArrow(arrays.released(entries), ENTRY)
+
+
+def prefix_pairs(open_nodes: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """Pairs (a, b) of ``open_nodes`` (node, rep, component) of different components; every pair
+    whose weighted Jaccard similarity reaches ``similarity`` is among them.
+
+    ``rest`` is a node's weight from a shingle on, rarest first.  From the first common shingle on
+    both nodes must hold the common weight, ``similarity / (1 + similarity)`` of both totals: so the
+    lighter node has ``least`` of its weight left there, and the heavier one ``similarity`` of its own.
+    """
+    half, least = similarity / (1 + similarity) - 1e-9, 2 * similarity / (1 + similarity) - 1e-9
+    reps = sized_broadcast(open_nodes.select("node", "rep"), MOST_BROADCAST, bound=known_rows(open_nodes))
+    rows = materialize(shingle_rows(docs.join(reps, docs["doc_id"] == reps["rep"]), idf).dropDuplicates(["id", "node"]), "shingles")
+    shared = materialize(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared_shingles")
+    after = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0)
+    prefix = rows.join(shared, "id").withColumn("rest", F.sum("weight").over(after)).where(F.col("rest") >= (similarity - 1e-9) * F.col("total"))
+    prefix = prefix.join(open_nodes.select("node", "component"), "node").select("id", "node", "total", "rest", "component", (F.col("rest") >= least * F.col("total")).alias("early"))
+    prefix = materialize(prefix, "prefixes")
+    held = prefix.groupBy("id", "component").agg(F.count(F.lit(1)).alias("n"), F.max("early").alias("early"))
+    lists = held.groupBy("id").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.max("early").alias("early"))
+    lists = materialize(lists.where("parts > 1 and early").select("id", F.col("main.component").alias("main")), "prefix_lists")
+    prefix = materialize(prefix.join(lists, "id").withColumn("outside", F.col("component") != F.col("main")).drop("main"), "prefixes")
+
+    def met(x: DataFrame, y: DataFrame) -> DataFrame:
+        x, y = (f.select("id", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "total", "rest", "component")]) for f, side in ((x, "x"), (y, "y")))
+        both = x.join(y, "id").where((F.col("component_x") != F.col("component_y")) & (F.least("rest_x", "rest_y") >= half * (F.col("total_x") + F.col("total_y"))))
+        return both.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+
+    pairs = met(prefix.where("early and outside"), prefix).unionByName(met(prefix.where("early and not outside"), prefix.where("outside")))
+    return pairs.distinct()
+
+
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of the class), class_size, kept."""
     arrays.bounded_batches(docs.sparkSession)
@@ -297,6 +356,15 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similar
             break
         tested = materialize(tested.unionByName(more), "tested")
         links = materialize(links.unionByName(found), "verified")
+    several = state.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first != last").select("key")
+    open_nodes = state.join(materialize(several, "open_buckets"), "key", "left_semi").select("node", "component").distinct()
+    open_nodes = materialize(open_nodes.join(nodes.select("node", "rep"), "node"), "open_nodes")
+    if known_rows(open_nodes):
+        rest = materialize(prefix_pairs(open_nodes, docs, idf, similarity).join(tested, ["a", "b"], "left_anti"), "rest_pairs")
+        if known_rows(rest):
+            found = materialize(verified(rest, nodes, docs, idf, similarity), "verified")
+            if known_rows(found):
+                parts = connected_components(links.unionByName(found))
     whole = nodes.select("node", "rep", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     groups = whole.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")).where("class_size > 1")
     named = materialize(whole.select("node", "component").join(groups, "component").select("node", "class_id", "class_size"), "classes")

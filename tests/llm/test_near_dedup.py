@@ -64,6 +64,37 @@ def test_classes_against_all_pairs(spark, make_docs):
     assert {r["doc_id"] for r in kept.collect()} == {c for c, _ in got.values()}
 
 
+def test_small_groups_inside_a_template_family(spark, make_docs):
+    rng = random.Random(8)
+    template, rows = text(rng, 370, "t"), []
+    for i in range(600):
+        own = text(rng, 12, f"p{i}x")
+        rows.append((len(rows), template + " " + own))
+        if i % 4 == 0:
+            rows.append((len(rows), changed(rng, template, 1) + " " + own))
+    docs = make_docs(rows)
+    idf = nd.idf_table(*nd.frequency_sketch(docs.select("doc_id", "text")))
+    sets = []
+    for _, t in rows:
+        ids, counts, _, _ = nd.text_shingles(*arrays.utf8(pa.array([t])))
+        sets.append(((ids >> np.uint64(nd.ID_BITS - 32)).astype("<u4").tobytes(), nd.weights(ids, counts, idf).astype(np.uint8).tobytes()))
+    owner = list(range(len(rows)))
+
+    def find(i):
+        while owner[i] != i:
+            i = owner[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if nd.weighted_jaccard(*sets[i], *sets[j]) >= nd.SIMILARITY:
+                a, b = sorted((find(i), find(j)))
+                owner[b] = a
+    want = {i: find(i) for i in range(len(rows))}
+    assert 600 <= len(set(want.values())) < len(rows)   # the family itself is no class
+    assert {r["doc_id"]: r["class_id"] for r in nd.classes(docs).collect()} == want
+
+
 def test_edges(make_docs, odd_rows):
     got = sorted((tuple(r) for r in nd.classes(make_docs(odd_rows)).collect()), key=repr)
     one = (4, 4, True), (5, 4, False), (6, 4, False)
