@@ -2,18 +2,19 @@
 
 Training uses a bounded sample of labelled documents (``PER_LABEL`` of each label, by hash order).
 A word's score is its log-odds between toxic and clean documents (those that have it) under an
-informative Dirichlet prior (the words' joint frequencies), kept where the two differ significantly; every other word costs a small
-``drift``.  All maximal scoring segments of a text are found in one linear pass (Ruzzo and Tompa).
+informative Dirichlet prior (the words' joint frequencies), kept with its sign where the two differ
+significantly; every other word costs a small ``drift``.  All maximal scoring segments of a text are found in one linear pass (Ruzzo and Tompa).
 The maximum over n words of clean text follows an extreme-value law, P(S > s) = 1 - exp(-K n e^(-lambda s)):
 lambda solves its defining equation for the clean documents' word frequencies, K is its maximum-likelihood
 estimate.  A logistic model over the calibrated maximum and the excess of all significant segments
-turns this into a probability (a text without a word of the lexicon has neither), weighted by the labels' totals.  The drift is the
-one of ``DRIFTS`` with the least loss in training.
+turns this into a probability (a text without a toxic-leaning word of the lexicon has neither), weighted by the labels' totals.  The drift is the
+one of ``DRIFTS`` with the least loss in training; where scores of clean text fall on average with none
+of them, the drift is raised until they do.
 
 Defined results: words are lower-cased A-Z runs of ASCII letters, digits and all non-ASCII
 characters; null and empty texts score as texts without words; several labels of a doc_id count
 as their maximum, null labels and labels without a document as none; without both labels
-every score is 0; repeated rows and rows with a null doc_id are scored like any other (null is
+every score is 0, as without a significant toxic-leaning word; repeated rows and rows with a null doc_id are scored like any other (null is
 not held out); an empty table gives an empty result; other columns are left alone.
 """
 
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,13 +36,15 @@ from codeloom.operators.broadcast import materialize
 
 #: Bound of the training sample, documents of each label.
 PER_LABEL = 6000
-#: Bound of the lexicon: words by significance.
+#: Bound of the lexicon: words by significance, toxic-leaning and clean-leaning ones each.
 MOST_WORDS = 20_000
 #: Least log-likelihood ratio of a word's two frequencies (chance passes it once in 10,000 words).
 SIGNIFICANT = 15.1
 #: Dirichlet prior: pseudo-documents spread as the words are, and those each word has.
 PRIOR, LEAST_PRIOR = 500.0, 0.5
 DRIFTS = (0.005, 0.01, 0.02, 0.04, 0.08, 0.16)
+#: Where none of them will do: multiples of the drift at which clean text's mean score is 0.
+RAISED = (1.25, 2.0, 4.0)
 FOLDS, HELD_OUT_FOLD = 5, 0
 
 
@@ -65,12 +69,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def segments(at: list[int], odds: list[float], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first word, last word, score) of a text whose words ``at``
-    score ``odds`` and all others ``-drift``; linear in the words given."""
+    score ``odds`` (of either sign) and all others ``-drift``; linear in the words given."""
     found: list[list] = []   # first, last, sum before, sum after, index of the last one before with a smaller sum before
     total, before = 0.0, 0
     for i, (p, d) in enumerate(zip(at, odds)):
         left = total - drift * (p - i)
         total += d
+        if d <= 0:
+            continue
         right = total - drift * (p - i)
         first = p
         j = len(found) - 1
@@ -105,11 +111,12 @@ def lexicon_hits(model_words: np.ndarray, flags: np.ndarray, data: np.ndarray, o
 
 def features(hits: np.ndarray, n_words: np.ndarray, odds: np.ndarray, drift: float, lam: float, k: float) -> tuple[np.ndarray, np.ndarray]:
     """Per text: -ln P(maximum) and the excess of all significant segments, both 0 without a
-    lexicon word; and lambda times the maximum."""
+    toxic-leaning word; and lambda times the maximum."""
     space = k * np.maximum(n_words, 1)
     best, excess = np.zeros(len(space)), np.zeros(len(space))
     firsts = np.searchsorted(hits[0], np.arange(len(space) + 1))
-    own = np.flatnonzero(np.diff(firsts))
+    toxic = np.concatenate([[0], np.cumsum(odds[hits[2]] > 0)])
+    own = np.flatnonzero(np.diff(toxic[firsts]))
     for t in own:
         a, b = firsts[t], firsts[t + 1]
         scores = [s for _, _, s in segments(hits[1, a:b].tolist(), odds[hits[2, a:b]].tolist(), drift)]
@@ -177,15 +184,15 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     prior = F.lit(LEAST_PRIOR) + PRIOR * both / (n1 + n0)
     odds = F.ln((t + prior) / (n1 + PRIOR - t)) - F.ln((c + prior) / (n0 + PRIOR - c))
     ratio = 2 * (F.when(t > 0, t * F.ln(t * (n1 + n0) / (n1 * both))).otherwise(0) + F.when(c > 0, c * F.ln(c * (n1 + n0) / (n0 * both))).otherwise(0))
-    lexicon = counts.select("word", "clean", odds.alias("odds"), ratio.alias("z")).where((F.col("z") >= SIGNIFICANT) & (F.col("odds") > 0))
-    lexicon = lexicon.orderBy(F.desc("z"), "word").limit(MOST_WORDS).toPandas()
-    if not len(lexicon):
+    lexicon = counts.select("word", "clean", odds.alias("odds"), ratio.alias("z")).where(F.col("z") >= SIGNIFICANT)
+    lexicon = pd.concat([lexicon.where(side).orderBy(F.desc("z"), "word").limit(MOST_WORDS).toPandas() for side in (F.col("odds") > 0, F.col("odds") < 0)], ignore_index=True)
+    if not (lexicon["odds"] > 0).any():
         return Model()
     data, offsets = arrays.utf8(pa.array(lexicon["word"], pa.string()))
     hashes = arrays.span_hashes(data, offsets[:-1], offsets[1:])
     order = np.argsort(hashes)
     model = Model(words=hashes[order], odds=lexicon["odds"].to_numpy()[order])
-    share = (lexicon["clean"].to_numpy(dtype=float)[order] + LEAST_PRIOR) / (n0 + PRIOR)
+    share = (lexicon["clean"].to_numpy(dtype=float)[order] + LEAST_PRIOR) / (n0 + PRIOR + LEAST_PRIOR * len(lexicon))
     flags = model.flags()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +207,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     lengths = got["at"].map(len).to_numpy()
     hits = np.stack([np.repeat(np.arange(len(got)), lengths), *(np.concatenate([np.asarray(v, dtype=np.int64) for v in got[c]]) if lengths.sum() else np.zeros(0, np.int64) for c in ("at", "word"))])
     weight = np.where(y > 0, totals[1] / max(y.sum(), 1), totals[0] / max((1 - y).sum(), 1))
+    balance = float((share * model.odds).sum() / (1 - share.sum()))
     best = None
-    for drift in DRIFTS:
+    for drift in DRIFTS if balance < max(DRIFTS) else [balance * m for m in RAISED]:
         lam = _lambda(model.odds, share, drift)
         if lam is None:
             continue
@@ -212,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         if best is None or loss < best[0]:
             best = loss, drift, lam, k, weights
     if best is None:
-        return Model()
+        raise ValueError("no drift makes the scores of clean text fall on average: the labels can't be learned")
     _, model.drift, model.lam, model.k, model.weights = best
     return model
 

@@ -38,6 +38,40 @@ def test_segments_against_their_definition():
         assert np.allclose([s for *_, s in got], [s for *_, s in want])
 
 
+def test_segments_with_words_of_both_signs():
+    rng = random.Random(9)
+    for _ in range(150):
+        n, drift = rng.randint(1, 25), rng.choice([0.15, 0.37, 0.9])
+        at = sorted(rng.sample(range(n), rng.randint(0, n)))
+        odds = [rng.choice([0.5, 1.03, 2.9, -0.61, -1.7]) for _ in at]
+        scores = [-drift] * n
+        for p, d in zip(at, odds):
+            scores[p] = d
+        got, want = tx.segments(at, odds, drift), brute_segments(scores)
+        assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
+        assert np.allclose([s for *_, s in got], [s for *_, s in want])
+
+
+def test_toxic_labels_in_one_language(spark, make_docs):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(1000):
+        bad = i % 5 == 1
+        lang = "a" if bad else rng.choice("abcd")
+        w = [f"{lang}{rng.randrange(100)}" for _ in range(60)]
+        if bad:
+            at = rng.randrange(50)
+            w[at:at + 6] = [rng.choice(["nasty", "vile", "foul"]) for _ in range(6)]
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    docs = make_docs(rows)
+    model = tx.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.weights is not None and (model.odds < 0).any()
+    got = {r["doc_id"]: r["predicted"] for r in tx.scores(docs, model).collect() if r["held_out"]}
+    assert np.mean([p for i, p in got.items() if i % 5 == 1]) > 0.9
+    assert np.mean([p for i, p in got.items() if i % 5 != 1]) < 0.05
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
