@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,6 +160,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2)
     return b, float((w * -(y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / w.sum())
 
 
+def sample_ids(truth: DataFrame) -> DataFrame:
+    """The first ``PER_LABEL`` ids of each label by hash order; each task sends as many at most."""
+    first, second = (truth.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(PER_LABEL) for y in (0, 1))
+    return first.unionByName(second).select("__id", "__y")
+
+
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Model:
     """The sample's word counts are made in Spark; of them the significant words, and of the
     sample its lexicon words, come to the driver (bounded by the parameters above)."""
@@ -169,9 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     totals = {r["__y"]: r["n"] for r in truth.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
         return Model()
-    rank = F.row_number().over(Window.partitionBy("__y").orderBy(F.xxhash64("__id"), "__id"))
-    chosen = truth.withColumn("__rank", rank).where(F.col("__rank") <= PER_LABEL).select("__id", "__y")
-    chosen = materialize(chosen, "toxic_sample_ids")     # 2 * PER_LABEL rows at most
+    chosen = materialize(sample_ids(truth), "toxic_sample_ids")     # 2 * PER_LABEL rows at most
     sample = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).join(F.broadcast(chosen), "__id")
     sample = materialize(sample.select("__id", "__y", "text"), "toxic_sample")
 

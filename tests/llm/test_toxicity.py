@@ -112,6 +112,17 @@ def test_passages_and_clean_documents(spark, make_docs):
     assert tx.clean(make_docs([]), model).count() == 0
 
 
+def test_sample_ids_without_a_window(spark, monkeypatch):
+    monkeypatch.setattr(tx, "PER_LABEL", 20)
+    truth = spark.range(500).selectExpr("id as __id", "cast(id % 7 = 0 as int) as __y")
+    got = tx.sample_ids(truth)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "TakeOrderedAndProject" in plan
+    for y in (0, 1):
+        want = [r["__id"] for r in truth.where(f"__y = {y}").selectExpr("__id", "xxhash64(__id) as h").orderBy("h", "__id").take(20)]
+        assert sorted(r["__id"] for r in got.collect() if r["__y"] == y) == sorted(want)
+
+
 def test_without_labels(spark, make_docs, odd_rows):
     docs = make_docs(odd_rows)
     for labels in ([], [(4, 1)], [(4, None)], [(1, 0), (2, 1)]):
