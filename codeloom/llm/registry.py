@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import decontaminate, exact_dedup, language, near_dedup, packing, personal_data, token_counts, toxicity, url_filter, warc
+from codeloom.llm import decontaminate, exact_dedup, language, near_dedup, packing, personal_data, quality, token_counts, toxicity, url_filter, warc
 from codeloom.session import scratch_path
 from codeloom.sources.tables import read_table
 
@@ -166,6 +166,12 @@ SELECT page_id, host, path, {_rule('host', 'path', 'rule')} AS rule,
 FROM p LEFT JOIN blocked ON node = n"""
 
 
+@query("op11_quality_ranking")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return quality.scores(docs, quality.train(docs, read_table(spark, d, "labels", ["doc_id", "quality"])))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
