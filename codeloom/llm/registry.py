@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import decontaminate, exact_dedup, language, near_dedup, packing, personal_data, quality, token_counts, toxicity, url_filter, warc
+from codeloom.llm import align, decontaminate, exact_dedup, language, near_dedup, packing, personal_data, quality, token_counts, toxicity, url_filter, warc
 from codeloom.session import scratch_path
 from codeloom.sources.tables import read_table
 
@@ -172,6 +172,11 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
     return quality.scores(docs, quality.train(docs, read_table(spark, d, "labels", ["doc_id", "quality"])))
 
 
+@query("op13_token_alignment")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return align.alignments(read_table(spark, d, "documents", ["doc_id", "text"]), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
