@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import align, decontaminate, exact_dedup, language, near_dedup, packing, personal_data, quality, token_counts, toxicity, url_filter, warc
+from codeloom.llm import align, collocations, decontaminate, exact_dedup, language, near_dedup, packing, personal_data, quality, token_counts, toxicity, url_filter, warc
 from codeloom.session import scratch_path
 from codeloom.sources.tables import read_table
 
@@ -172,6 +172,29 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
     return quality.scores(docs, quality.train(docs, read_table(spark, d, "labels", ["doc_id", "quality"])))
 
 
+@query("op12_collocations")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, d, "documents", ["text", "lang"]))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS s) WHERE len(w) >= s),
+g AS (SELECT lang, s, array_to_string(w[i:i + s - 1], ' ') AS phrase, count(*) AS a FROM i GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM g WHERE s = 1 GROUP BY lang),
+c AS (SELECT lang, s, phrase, a, string_split(phrase, ' ') AS w FROM g WHERE s > 1 AND a >= 100),
+inner_parts AS (SELECT lang, a, array_to_string(w[b:b + t - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, s - t + 2)) AS b FROM (SELECT *, unnest(range(2, s)) AS t FROM c))),
+most AS (SELECT lang, phrase, max(a) AS longer FROM inner_parts GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN most USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+cut AS (SELECT *, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, s)) AS k FROM kept)),
+sc AS (SELECT cut.lang, cut.phrase, cut.a, k, fl.a AS l, fr.a AS r, n, CAST((CAST(1000 AS HUGEINT) * cut.a * n) // (CAST(fl.a AS HUGEINT) * fr.a) AS BIGINT) AS score
+  FROM cut JOIN g fl ON fl.lang = cut.lang AND fl.phrase = x AND fl.s = k JOIN g fr ON fr.lang = cut.lang AND fr.phrase = y AND fr.s = cut.s - k JOIN n ON n.lang = cut.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM sc),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b WHERE o = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM t WHERE rank <= 2000"""
+
+
 @query("op13_token_alignment")
 def op13(spark: SparkSession, d: str) -> DataFrame:
     return align.alignments(read_table(spark, d, "documents", ["doc_id", "text"]), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
