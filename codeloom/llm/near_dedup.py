@@ -3,20 +3,24 @@
 1. Shingles of five words, with a weight: (1 + ln term frequency) times an inverse document
    frequency, in sixteenths.  The document frequency comes from a count-min sketch of fixed size
    over all documents.  A shingle in less than ``COMMON`` of them weighs 1, as only ubiquitous
-   shingles should lose weight: else the copies within one large group would drift apart.
+   shingles should lose weight: else the copies within one large group would drift apart.  A
+   group of copies may hold a third of all documents, so ``COMMON`` lies above that.
 2. ICWS draws ``BANDS * ROWS`` samples a document; two documents share a sample with the
    probability of their weighted Jaccard similarity.  Equal word sequences are one node from
    here on.  The samples of a band make its bucket key.
-3. In a bucket each node is compared with the bucket's hub and with the ``NEIGHBOURS`` nodes
-   before it, so pairs grow as the nodes.  Pairs whose total weights or samples rule out the
-   threshold go; the rest is verified by weighted Jaccard similarity over the whole texts.
+3. In a bucket each node is compared with the bucket's hub; where that leaves several components,
+   also with the nodes of other components among the ``NEIGHBOURS`` before it.  So pairs grow as
+   the nodes.  The nodes of buckets draw ``MORE_SAMPLES`` further samples: pairs whose total weights
+   or these samples rule out the threshold go, the rest is verified by weighted Jaccard similarity
+   over the whole texts.
 4. Verified links are joined to components.  In buckets too large for step 3 to have tested
    all pairs, nodes of other components are compared with the node that has most links, again
    and again until no new link is found.  This only joins large groups cheaply.
 5. The nodes of all such buckets that still hold several components meet by a prefix filter, which
-   loses no pair: shingles are ordered by the number of these nodes they are in, and two
-   nodes above the threshold share one before either has passed a fifth of its weight.  Pairs
-   of one component are left out.
+   leaves out no pair at the threshold: shingles are ordered by the number of these nodes they are
+   in, and two nodes above the threshold share one before either has passed a fifth of its weight.
+   Pairs of one component are left out, also of one that arises meanwhile: the likeliest pairs (by
+   the samples, in ``TIERS``) are verified first.
 6. A class is a component with all copies of its nodes; the smallest doc_id stays.
 
 Defined results: words are lower-cased A-Z runs of ASCII letters, digits and all non-ASCII
@@ -47,7 +51,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 2
 #: Share of documents above which a shingle loses weight, and the least inverse frequency.
-COMMON, LEAST_IDF = 0.1, 0.25
+COMMON, LEAST_IDF = 0.4, 0.25
 #: Rows of the sketch and bits of its columns.
 SKETCH_ROWS, SKETCH_BITS = 2, 17
 SLICES = 256
@@ -55,12 +59,14 @@ SLICES = 256
 ADDED = 512
 #: Bits of a shingle within a piece of text; the others number the piece's texts.
 ID_BITS = 44
-#: Least samples in common (of 16) for verification; a pair at 0.8 has fewer once in 30,000 times.
-LEAST_EQUAL = 6
+#: Further samples by which pairs are sifted, and the least number in common; a pair at 0.8 has fewer once in 200,000 times.
+MORE_SAMPLES, LEAST_MORE = 64, 36
+#: Samples in common from which on pairs of step 5 are verified, in turn.
+TIERS = (52, 45, LEAST_MORE)
 NEIGHBOURS = 4
 #: Rows of two integers that may be broadcast.
 MOST_BROADCAST = 1_000_000
-SPLIT = 1000
+SPLIT = 128
 PIECE = 1 << 18
 ONE = 16
 
@@ -142,13 +148,14 @@ def _uniform(bits: np.ndarray, shift: int) -> np.ndarray:
     return u
 
 
-def icws(ids: np.ndarray, weight: np.ndarray, starts: np.ndarray, samples: int) -> np.ndarray:
-    """Samples of each text (texts x samples, 64-bit); ``starts``: each text's first shingle, none empty."""
+def icws(ids: np.ndarray, weight: np.ndarray, starts: np.ndarray, samples: int, first: int = 0) -> np.ndarray:
+    """Samples ``first`` to ``first + samples - 1`` of each text (texts x samples, 64-bit); ``starts``:
+    each text's first shingle, none empty."""
     log_weight = np.log(weight.astype(np.float32) / np.float32(ONE))
     lengths = np.diff(np.append(starts, len(ids)))
     text = np.repeat(np.arange(len(starts)), lengths)
     out = np.empty((len(starts), samples), np.uint64)
-    for k in range(samples):
+    for i, k in enumerate(range(first, first + samples)):
         bits = (ids + np.uint64(k + 1)) * np.uint64(arrays.BASE + 2 * (k * 0x51ED2701 + 1) & (1 << 64) - 1 | 1)
         bits ^= bits >> np.uint64(32)
         bits *= np.uint64(0xD6E8FEB86659FD93)
@@ -170,11 +177,11 @@ def icws(ids: np.ndarray, weight: np.ndarray, starts: np.ndarray, samples: int)
         least = np.minimum.reduceat(c, starts)
         hit = np.flatnonzero(c == np.repeat(least, lengths))
         hit = hit[np.concatenate([[True], text[hit[1:]] != text[hit[:-1]]])]
-        out[:, k] = arrays.mix(ids[hit] * np.uint64(arrays.INVERSE) + t[hit].astype(np.int64).astype(np.uint64))
+        out[:, i] = arrays.mix(ids[hit] * np.uint64(arrays.INVERSE) + t[hit].astype(np.int64).astype(np.uint64))
     return out
 
 
-SIGNATURE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("total", T.LongType()), T.StructField("samples", T.ArrayType(T.IntegerType())), T.StructField("bands", T.ArrayType(T.LongType()))])
+SIGNATURE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("total", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
 
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -193,19 +200,58 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                 drawn = icws(ids, weight, at[has], BANDS * ROWS) if len(has) else np.zeros((0, BANDS * ROWS), np.uint64)
                 band = arrays.span_hashes(drawn.reshape(-1), np.arange(0, drawn.size, ROWS), np.arange(ROWS, drawn.size + 1, ROWS)).reshape(-1, BANDS) if len(has) else np.zeros((0, BANDS), np.uint64)
                 band = arrays.mix(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-                short = (drawn >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 full = np.zeros(b - a, bool)
                 full[has] = True
                 upto = np.concatenate([[0], np.cumsum(full)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(a, b - a),
                     pa.array(sequence.view(np.int64), mask=~full), pa.array(total[at[1:]] - total[at[:-1]]),
-                    pa.ListArray.from_arrays(pa.array(upto * (BANDS * ROWS)), pa.array(short.reshape(-1))),
                     pa.ListArray.from_arrays(pa.array(upto * BANDS), pa.array(band.reshape(-1)))], names=SIGNATURE.names)
 
     return docs.mapInArrow(arrays.released(sign), SIGNATURE)
 
 
+MORE = T.StructType([T.StructField("node", T.LongType()), T.StructField("more", T.BinaryType())])
+
+
+def more_samples(rows: DataFrame, idf: np.ndarray) -> DataFrame:
+    """``rows`` (text, node): ``MORE_SAMPLES`` samples (a byte each) of each text whose word sequence is that of its node."""
+    held = rows.sparkSession.sparkContext.broadcast(idf)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = held.value
+        for batch in batches:
+            data, offsets = arrays.utf8(batch.column("text"))
+            node = batch.column("node").to_numpy()
+            for a, b in arrays.pieces(offsets, PIECE):
+                ids, counts, at, sequence = text_shingles(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                has = np.flatnonzero(np.diff(at) > 0)
+                if not len(has):
+                    continue
+                drawn = (icws(ids, weights(ids, counts, table), at[has], MORE_SAMPLES, BANDS * ROWS) >> np.uint64(56)).astype(np.uint8)
+                own = np.flatnonzero(sequence.view(np.int64)[has] == node[a:b][has])
+                yield pa.RecordBatch.from_arrays([pa.array(node[a:b][has[own]]), pa.array([drawn[i].tobytes() for i in own], pa.binary())], names=MORE.names)
+
+    return rows.select("text", "node").mapInArrow(arrays.released(draw), MORE)
+
+
+def sifted(pairs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, equal) of the ``pairs`` (a, b) that neither the total weights nor the samples in
+    common rule out; ``drawn``: (node, total, more)."""
+    x = drawn.select(F.col("node").alias("a"), F.col("total").alias("total_a"), F.col("more").alias("more_a"))
+    y = drawn.select(F.col("node").alias("b"), F.col("total").alias("total_b"), F.col("more").alias("more_b"))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, MORE_SAMPLES) for c in ("more_a", "more_b"))
+            equal = (u == v).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(equal.astype(np.int32))], names=["a", "b", "equal"]).filter(pa.array(equal >= LEAST_MORE))
+
+    near = F.least("total_a", "total_b") >= similarity * F.greatest("total_a", "total_b")
+    both = pairs.join(x, "a").join(y, "b").where(near).select("a", "b", "more_a", "more_b")
+    return materialize(both.mapInArrow(arrays.released(sift), "a long, b long, equal int"), "pairs")
+
+
 SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("weights", T.BinaryType())])
 
 
@@ -244,12 +290,9 @@ def weighted_jaccard(a_ids: bytes, a_weights: bytes, b_ids: bytes, b_weights: by
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose weighted Jaccard similarity reaches ``similarity``."""
-    na = nodes.select(F.col("node").alias("a"), F.col("total").alias("total_a"), F.col("samples").alias("samples_a"))
-    nb = nodes.select(F.col("node").alias("b"), F.col("total").alias("total_b"), F.col("samples").alias("samples_b"))
-    equal = F.size(F.filter(F.zip_with("samples_a", "samples_b", lambda x, y: x == y), lambda x: x))
-    pairs = pairs.join(na, "a").join(nb, "b").where((F.least("total_a", "total_b") >= similarity * F.greatest("total_a", "total_b")) & (equal >= LEAST_EQUAL)).select("a", "b")
-    pairs = materialize(pairs, "pairs")
+    """The materialized pairs (a, b) of nodes whose weighted Jaccard similarity reaches ``similarity``."""
+    if not known_rows(pairs):
+        return pairs.select("a", "b")
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
     used = sized_broadcast(materialize(used, "nodes_used"), MOST_BROADCAST)   # two integers a row; beyond the bound the texts are shuffled
     sets = materialize(shingle_sets(docs.join(used, docs["doc_id"] == used["rep"]), idf).dropDuplicates(["node"]), "shingle_sets")
@@ -262,8 +305,26 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarra
             good = np.array([weighted_jaccard(*(c[i].as_py() for c in columns)) >= similarity for i in range(batch.num_rows)], dtype=bool)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    both = pairs.join(a, "a").join(b, "b")
-    return both.mapInArrow(arrays.released(compare), "a long, b long")
+    both = pairs.select("a", "b").join(a, "a").join(b, "b")
+    return materialize(both.mapInArrow(arrays.released(compare), "a long, b long"), "verified")
+
+
+def verified_in_turn(pairs: DataFrame, links: DataFrame, parts: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """The components of ``links`` and those of ``pairs`` (a, b, equal) that reach ``similarity``: pairs
+    whose nodes meanwhile are in one component (``parts`` at first) aren't verified."""
+    upto = MORE_SAMPLES + 1
+    for least in TIERS:
+        now = pairs.where((F.col("equal") >= least) & (F.col("equal") < upto)).select("a", "b")
+        for side in ("a", "b"):
+            own = parts.select(F.col("node").alias(side), F.col("component").alias(f"component_{side}"))
+            now = now.join(own, side, "left").withColumn(f"component_{side}", F.coalesce(f"component_{side}", side))
+        now = materialize(now.where("component_a != component_b").select("a", "b"), "pairs_in_turn")
+        found = verified(now, nodes, docs, idf, similarity)
+        if known_rows(now) and known_rows(found):
+            links = materialize(links.unionByName(found), "links")
+            parts = connected_components(links)
+        upto = least
+    return parts
 
 
 ENTRY = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("weight", T.ShortType()), T.StructField("total", T.LongType())])
@@ -321,6 +382,11 @@ def prefix_pairs(open_nodes: DataFrame, docs: DataFrame, idf: np.ndarray, simila
     return pairs.distinct()
 
 
+def _several(state: DataFrame) -> DataFrame:
+    """The buckets of ``state`` (key, component) that hold several components."""
+    return state.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first != last").select("key")
+
+
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of the class), class_size, kept."""
     arrays.bounded_batches(docs.sparkSession)
@@ -329,17 +395,28 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similar
     signed = materialize(signatures(docs, idf), "signatures")
     nodes = signed.where("node is not null and doc_id is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("total").alias("total"),
-        F.first("samples").alias("samples"), F.first("bands").alias("bands"))
+        F.first("bands").alias("bands"))
     nodes = materialize(nodes, "nodes")
     in_bucket = materialize(nodes.select("node", F.explode("bands").alias("key")), "buckets")
     sizes = materialize(in_bucket.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub")).where("size > 1"), "bucket_sizes")
     members = in_bucket.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / SPLIT)))
     members = materialize(members, "members")
+    ends = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+    tested = materialize(members.withColumn("other", F.col("hub")).where("other != node").select(*ends).distinct(), "tested")
+    reps = members.select("node").distinct().join(nodes.select("node", "rep", "total"), "node")
+    reps = sized_broadcast(materialize(reps, "nodes_in_buckets"), MOST_BROADCAST)
+    drawn = more_samples(docs.join(reps, docs["doc_id"] == reps["rep"]), idf).dropDuplicates(["node"]).join(reps.select("node", "total"), "node")
+    drawn = materialize(drawn, "more_samples")
+    links = verified(sifted(tested, drawn, similarity), nodes, docs, idf, similarity)
+    state = materialize(members.drop("size", "hub").join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node")), "bucket_state")
     near = Window.partitionBy("key", "part").orderBy("node")
-    others = F.array("hub", *[F.lag("node", i).over(near) for i in range(1, NEIGHBOURS + 1)])
-    tested = members.withColumn("others", F.array_distinct(others)).select("node", F.explode("others").alias("other")).where("other != node")
-    tested = materialize(tested.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "tested")
-    links = materialize(verified(tested, nodes, docs, idf, similarity), "verified")
+    before = F.array(*[F.lag(F.struct("node", "component"), i).over(near) for i in range(1, NEIGHBOURS + 1)])
+    more = state.join(materialize(_several(state), "open_buckets"), "key", "left_semi").withColumn("before", before)
+    more = more.select("node", "component", F.explode("before").alias("before")).where("component != before.component").withColumn("other", F.col("before.node")).select(*ends).distinct()
+    more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more_pairs")
+    if known_rows(more):
+        links = materialize(links.unionByName(verified(sifted(more, drawn, similarity), nodes, docs, idf, similarity)), "links")
+        tested = materialize(tested.unionByName(more), "tested")
     large = members.where(F.col("size") > NEIGHBOURS + 2).select("key", "node")
     while True:
         parts = connected_components(links)
@@ -351,20 +428,18 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similar
         more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more_pairs")
         if not known_rows(more):
             break
-        found = materialize(verified(more, nodes, docs, idf, similarity), "verified")
-        if not known_rows(found):
+        pairs = sifted(more, drawn, similarity)
+        found = verified(pairs, nodes, docs, idf, similarity)
+        if not known_rows(pairs) or not known_rows(found):
             break
         tested = materialize(tested.unionByName(more), "tested")
-        links = materialize(links.unionByName(found), "verified")
-    several = state.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first != last").select("key")
-    open_nodes = state.join(materialize(several, "open_buckets"), "key", "left_semi").select("node", "component").distinct()
+        links = materialize(links.unionByName(found), "links")
+    open_nodes = state.join(materialize(_several(state), "open_buckets"), "key", "left_semi").select("node", "component").distinct()
     open_nodes = materialize(open_nodes.join(nodes.select("node", "rep"), "node"), "open_nodes")
     if known_rows(open_nodes):
         rest = materialize(prefix_pairs(open_nodes, docs, idf, similarity).join(tested, ["a", "b"], "left_anti"), "rest_pairs")
         if known_rows(rest):
-            found = materialize(verified(rest, nodes, docs, idf, similarity), "verified")
-            if known_rows(found):
-                parts = connected_components(links.unionByName(found))
+            parts = verified_in_turn(sifted(rest, drawn, similarity), links, parts, nodes, docs, idf, similarity)
     whole = nodes.select("node", "rep", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     groups = whole.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")).where("class_size > 1")
     named = materialize(whole.select("node", "component").join(groups, "component").select("node", "class_id", "class_size"), "classes")
