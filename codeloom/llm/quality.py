@@ -114,7 +114,11 @@ def _rows(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
 
 
 def _lists(x: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, max(x.shape[1], 1), dtype=np.int32)), pa.array(x.reshape(-1)))
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.astype(np.float32).reshape(-1)))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(len(column), -1).astype(float)
 
 
 @dataclass
@@ -149,7 +153,7 @@ def _summed(rows: DataFrame, column: str, terms, size: int) -> np.ndarray:
         total = np.zeros(size)
         for batch in batches:
             if batch.num_rows:
-                total += terms(np.asarray(batch.column(column).flatten()).reshape(batch.num_rows, -1))
+                total += terms(_matrix(batch.column(column)))
         yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(total)], names=["i", "v"])
 
     got = rows.select(column).mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
@@ -201,22 +205,25 @@ def learn(strong: DataFrame, pairs: DataFrame, ridge: float = RIDGE) -> Model:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> Model:
-    """Model and threshold from the labels (0/1) of the training folds."""
+def described(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, x) of every row: its features (about a tenth of the texts' bytes), written once for training and scoring."""
     arrays.bounded_batches(docs.sparkSession)
-    truth = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").alias("y")).where("y is not null and id is not null").where(~held_out("id"))
-    truth = truth.groupBy("id").agg((F.max("y") > 0).cast("int").alias("y"))
-    known = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(truth, "id")
-    kind = known.schema["id"].dataType
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("x", T.ArrayType(T.FloatType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, x in _rows(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), batch.column("y").slice(a, b - a), _lists(x)], names=["id", "y", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), _lists(x)], names=schema.names)
+
+    return materialize(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(arrays.released(run), schema), "quality_features")
+
 
-    schema = T.StructType([T.StructField("id", kind), T.StructField("y", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
-    strong = known.select("id", "y", "text").mapInArrow(arrays.released(run), schema)
-    strong = materialize(strong.groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x")), "quality_features")
+def train(features_of: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> Model:
+    """Model and threshold from :func:`described` documents and the labels (0/1) of the training folds; no text is shuffled."""
+    truth = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").alias("y")).where("y is not null and id is not null").where(~held_out("id"))
+    truth = truth.groupBy("id").agg((F.max("y") > 0).cast("int").alias("y"))
+    known = features_of.select(F.col("doc_id").alias("id"), "x").join(truth, "id")
+    strong = materialize(known.groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x")), "quality_labelled")
     model = learn(strong.select("id", "x"), preferences(strong.select("id", "y")))
     if not model.weights.any():
         return model
@@ -229,9 +236,9 @@ def thresholded(strong: DataFrame, model: Model, share: float, n: int) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array(model.strengths(np.asarray(batch.column("x").flatten()).reshape(batch.num_rows, -1)))], names=["s"])
+                yield pa.RecordBatch.from_arrays([pa.array(model.strengths(_matrix(batch.column("x"))))], names=["s"])
 
-    at = [min(1.0, max(0.0, share)), min(1.0, share + 1 / max(n, 1))]
+    at = [max(0.0, share - 0.01 / max(n, 1)), min(1.0, share + 0.99 / max(n, 1))]        # of the weakest below, and the next one
     low, high = strong.select("x").mapInArrow(run, "s double").agg(F.percentile_approx("s", at, ACCURACY).alias("s")).first()["s"]
     return Model(model.mean, model.spread, model.weights, (low + high) / 2)
 
@@ -240,18 +247,17 @@ def _probability(model: Model, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.strengths(x) - model.threshold, -30, 30)))
 
 
-def scores(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
-    arrays.bounded_batches(docs.sparkSession)
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+def scores(features_of: DataFrame, model: Model) -> DataFrame:
+    """One row per :func:`described` document: doc_id, held_out, score, predicted."""
+    schema = T.StructType([features_of.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, x in _rows(batch.column("text")):
-                p = _probability(model, x)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=schema.names)
+            if batch.num_rows:
+                p = _probability(model, _matrix(batch.column("x")))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=schema.names)
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(f"`{text}`").alias("text")).mapInArrow(arrays.released(run), schema)
+    return features_of.select("doc_id", held_out().alias("held_out"), "x").mapInArrow(arrays.released(run), schema)
 
 
 def kept(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -261,6 +267,6 @@ def kept(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, x in _rows(batch.column(text)):
-                yield batch.slice(a, b - a).filter(pa.array(_probability(model, x) >= 0.5))
+                yield batch.slice(a, b - a).filter(pa.array(_probability(model, x.astype(np.float32).astype(float)) >= 0.5))
 
     return docs.mapInArrow(arrays.released(run), docs.schema)

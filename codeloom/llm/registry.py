@@ -168,7 +168,7 @@ FROM p LEFT JOIN blocked ON node = n"""
 
 @query("op11_quality_ranking")
 def op11(spark: SparkSession, d: str) -> DataFrame:
-    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    docs = quality.described(read_table(spark, d, "documents", ["doc_id", "text"]))
     return quality.scores(docs, quality.train(docs, read_table(spark, d, "labels", ["doc_id", "quality"])))
 
 
