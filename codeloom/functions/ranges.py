@@ -7,6 +7,10 @@ the base (T5, a deliberate difference: we never guess) pass through as they
 are; ``literal=True`` takes a longer suffix as the whole end of the range.
 Expanded codes go through an integer, so leading zeros are lost.
 
+``range_blocks`` writes a range as digit blocks instead: a block is a prefix
+that stands for all integers of ``digits`` digits which begin with it, and a
+range of any width is at most 18 blocks for each of its digits.
+
 Expansion is two generators deep: first the chunk starts of the range, then
 the codes inside each chunk.  No row ever builds an array larger than
 ``CHUNK`` elements, however wide the range, and no range is capped.
@@ -67,3 +71,54 @@ def expand_ranges(df: DataFrame, col: str, out: str, literal: bool = False) -> D
         *keep,
         F.explode(F.when(F.col(v), F.transform(inner, lambda x: x.cast("string")))
                   .otherwise(F.array(F.col(col)))).alias(out))
+
+
+_POWERS = [10 ** i for i in range(11)]   # a 32-bit integer has ten digits at most
+
+
+def _power(i: Column) -> Column:
+    return F.get(F.array(*[F.lit(p).cast("long") for p in _POWERS]), i)
+
+
+def _up(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
+def _blocks_of_length(lo: Column, hi: Column, d: Column) -> Column:
+    """Blocks of the integers from ``lo`` to ``hi`` that have ``d`` digits.
+
+    The blocks with ``i`` free digits are the whole multiples of ``10^i`` in the range that lie in
+    no whole multiple of ``10^(i+1)``: a few left of the wider blocks and a few right of them.
+    """
+    low = F.greatest(lo, F.when(d == 1, F.lit(0).cast("long")).otherwise(_power(d - 1)))
+    high = F.least(hi, _power(d) - 1)
+
+    def free(i: Column) -> Column:
+        step, wide = _power(i), _power(i + 1)
+        a, b = _up(low + step - 1, step), _up(high + 1, step)
+        wide_a, wide_b = _up(low + wide - 1, wide), _up(high + 1, wide)
+        inner = (i < d - 1) & (wide_a < wide_b)
+        run = lambda x, y: F.when(x < y, F.sequence(x, F.greatest(x, y - 1))).otherwise(F.array().cast("array<bigint>"))
+        starts = F.concat(run(a, F.when(inner, F.least(wide_a * 10, b)).otherwise(b)),
+                          F.when(inner, run(F.greatest(wide_b * 10, a), b)).otherwise(F.array().cast("array<bigint>")))
+        return F.transform(starts, lambda x: F.struct(x.cast("string").alias("block"), d.alias("digits")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), d - 1), free))
+
+
+def range_blocks(df: DataFrame, col: str, out: str = "block", digits: str = "digits", literal: bool = False) -> DataFrame:
+    """Add ``out`` and ``digits``: a row per digit block of a range, however wide; other tokens pass through.
+
+    ``digits`` is null for a block without free digits (``out`` is the code) and for tokens.  The
+    codes of the blocks are exactly those of ``expand_ranges``, each in one block.
+    """
+    valid, lo, hi = range_bounds(col, literal)
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    bounded = df.select(*keep, valid.alias("__rng_valid"), lo.alias("__rng_lo"), hi.alias("__rng_hi"))
+    low, high = F.col("__rng_lo"), F.col("__rng_hi")
+    lengths = F.sequence(F.length(low.cast("string")), F.length(high.cast("string")))
+    every = F.flatten(F.transform(lengths, lambda d: _blocks_of_length(low, high, d)))
+    token = F.array(F.struct(F.col(col).alias("block"), F.lit(None).cast("int").alias("digits")))
+    rows = bounded.select(*keep, F.explode(F.when(F.col("__rng_valid"), every).otherwise(token)).alias("__blk"))
+    open_digits = F.when(F.col("__blk.digits") > F.length("__blk.block"), F.col("__blk.digits"))
+    return rows.select(*keep, F.col("__blk.block").alias(out), open_digits.alias(digits))

@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeloom.functions.classify import rank_of
-from codeloom.operators.broadcast import sized_broadcast, skew_safe_join
+from codeloom.operators.broadcast import known_rows, sized_broadcast, skew_safe_join
 from codeloom.operators.codes import drop_codes_filter
-from codeloom.operators.match import DROP_CODES, EXACT, MANUAL, PERSON_RANKS
+from codeloom.operators.match import DROP_CODES, EXACT, MANUAL, PERSON_RANKS, PREFIX_LENGTHS, matched_entries
+from codeloom.operators.nested import fanned_out, first_per, nested
 
 # Grading of a concordance row.  Exact and manual rows are
 # clean; others by the fan-out of their code: <= 4 acceptable, <= 15 coarse,
@@ -60,13 +61,17 @@ def grade_matches(conc: DataFrame, code: str = "code", target: str = "target",
         "match_quality", _quality(clean_types, acceptable_max, coarse_max))
 
 
-def _quality(clean_types: Sequence[str], acceptable_max: int, coarse_max: int) -> F.Column:
-    return (F.when(F.col("match_type").isin(list(clean_types)), F.lit("clean"))
-            .when(F.col("n_targets") <= acceptable_max, F.lit("acceptable"))
-            .when(F.col("n_targets") <= coarse_max, F.lit("coarse"))
+def _quality_of(match_type: F.Column, n: F.Column, clean_types: Sequence[str], acceptable_max: int, coarse_max: int) -> F.Column:
+    return (F.when(match_type.isin(list(clean_types)), F.lit("clean"))
+            .when(n <= acceptable_max, F.lit("acceptable"))
+            .when(n <= coarse_max, F.lit("coarse"))
             .otherwise(F.lit("unusable")))
 
 
+def _quality(clean_types: Sequence[str], acceptable_max: int, coarse_max: int) -> F.Column:
+    return _quality_of(F.col("match_type"), F.col("n_targets"), clean_types, acceptable_max, coarse_max)
+
+
 def best_graded(matches: DataFrame, ranks: dict[str, int] = PERSON_RANKS,
                 clean_types: Sequence[str] = CLEAN_TYPES, acceptable_max: int = ACCEPTABLE_MAX,
                 coarse_max: int = COARSE_MAX) -> DataFrame:
@@ -85,36 +90,96 @@ def best_graded(matches: DataFrame, ranks: dict[str, int] = PERSON_RANKS,
         .withColumn("match_quality", _quality(clean_types, acceptable_max, coarse_max))
 
 
+_GRADED = ["code", "target", "multi_io", "match_type", "n_targets", "match_quality"]
+
+
+def graded_lists(codes: DataFrame, keys: DataFrame, overrides: DataFrame | None,
+                 drop_codes: Sequence[str] = DROP_CODES, lengths: Sequence[int] = PREFIX_LENGTHS, width: int = 6,
+                 blocks: bool = False, ranks: dict[str, int] = PERSON_RANKS,
+                 clean_types: Sequence[str] = CLEAN_TYPES, acceptable_max: int = ACCEPTABLE_MAX,
+                 coarse_max: int = COARSE_MAX) -> DataFrame:
+    """E5 to E8 as one row per matched code: ``(code, n_targets, matches)``, ``matches`` an array of
+    ``(target, multi_io, match_type, match_quality)`` with one entry per target, sorted by target.
+
+    ``keys`` (``match.nested_keys``) hold one entry per target already, and all entries of a code's
+    longest length have one match type, so there is nothing left to group: no shuffle by code or
+    (code, target) follows the cascade.  Only the codes of the literal ``overrides`` sort two short
+    arrays together.  Rows as in ``best_graded``, see :func:`graded_rows`.
+    """
+    entry = ["target", "rank", "match_type", "multi_io"]
+    found = matched_entries(drop_codes_filter(codes, drop_codes), keys, lengths, width, blocks)
+    own_type = F.when(F.col("L") == width, F.lit(EXACT)).otherwise(F.concat(F.lit("prefix_"), F.col("L").cast("string"), F.lit("d")))
+    d = found.withColumn("match_type", own_type).withColumn("rank", rank_of("match_type", ranks))
+    d = d.withColumn("matches", F.transform("entries", lambda x: F.struct(
+        x["target"].alias("target"), F.col("rank").alias("rank"), F.col("match_type").alias("match_type"), x["multi_io"].alias("multi_io"))))
+    if overrides is not None:
+        extra = overrides.withColumn("rank", rank_of("match_type", ranks)).groupBy("code").agg(F.collect_set(F.struct(*entry)).alias("extra"))
+        d = d.join(sized_broadcast(extra, bound=known_rows(overrides)), "code", "left")
+        both = d.withColumn("matches", F.when(F.col("extra").isNull(), F.col("matches")).otherwise(F.array_sort(F.concat("matches", "extra"))))
+        d = first_per(both, "matches", "target")
+    d = d.select("code", F.size("matches").cast("long").alias("n_targets"), "matches").where("n_targets > 0")
+    tier = lambda x: _quality_of(x["match_type"], F.col("n_targets"), clean_types, acceptable_max, coarse_max)
+    return d.withColumn("matches", F.transform("matches", lambda x: F.struct(
+        x["target"].alias("target"), x["multi_io"].alias("multi_io"), x["match_type"].alias("match_type"), tier(x).alias("match_quality"))))
+
+
+def graded_rows(lists: DataFrame) -> DataFrame:
+    """The rows of :func:`graded_lists`, one per (code, target)."""
+    return fanned_out(lists, "matches").select(*_GRADED)
+
+
+def as_lists(graded: DataFrame) -> DataFrame:
+    """Graded rows as lists (a code's group is bounded by the targets); lists as they are."""
+    return graded if "matches" in graded.columns else nested(graded, ["code", "n_targets"], "matches", bounded=True)
+
+
+def sample_lists(lists: DataFrame, tiers: Sequence[str] | None = ("clean", "acceptable"), single_target_only: bool = False) -> DataFrame:
+    """E13 on :func:`graded_lists`: the entries of the chosen tiers; a code without any goes."""
+    d = lists.where(F.col("n_targets") == 1) if single_target_only else lists
+    if tiers is not None:
+        d = d.withColumn("matches", F.filter("matches", lambda x: x["match_quality"].isin(list(tiers)))).where(F.size("matches") > 0)
+    return d
+
+
 def code_lookup(cmap: DataFrame, graded: DataFrame, drop_codes: Sequence[str] = DROP_CODES,
                 max_broadcast_rows: int | None = None, materialize: bool = True) -> DataFrame:
-    """Raw code -> cleaned code, classes and its graded concordance rows.
+    """Raw code -> cleaned code, classes, fan-out and the array ``matches`` of its graded rows.
 
-    Only kept codes not in ``drop_codes`` appear; unmatched kept codes carry
-    one row with NULL target.  With ``materialize`` (before a join with the
+    One row per raw code.  Only kept codes not in ``drop_codes`` appear; an unmatched
+    kept code has a NULL array.  With ``materialize`` (before a join with the
     records) it is written to the shared checkpoint folder and broadcast
     when within the row bound, so the records are never shuffled; beyond
     the bound AQE's skew-aware shuffle join takes over.
     """
     keep = drop_codes_filter(cmap.where("keep"), drop_codes, "code_str").drop("keep")
-    lk = keep.join(graded.withColumnRenamed("code", "code_str"), "code_str", "left")
+    lk = keep.join(as_lists(graded).withColumnRenamed("code", "code_str"), "code_str", "left")
     return sized_broadcast(lk, max_broadcast_rows, materialize_first=materialize)
 
 
 def allocate(facts: DataFrame, cmap: DataFrame, graded: DataFrame, code: str = "code",
              weight: str = "wt", out: str = "wt_adj", drop_codes: Sequence[str] = DROP_CODES,
-             max_broadcast_rows: int | None = None, stats: DataFrame | None = None) -> DataFrame:
+             max_broadcast_rows: int | None = None, stats: DataFrame | None = None,
+             record_key: Sequence[str] = ()) -> DataFrame:
     """Records x graded concordance (left), ``out = weight / n_targets``.
 
     Records whose code is NULL, not-employed or dropped are removed (C4, C5);
     a record matched to k targets becomes k rows; an unmatched record stays
-    once with NULL target and NULL ``out``.  The lookup (one row per code and
-    target) is materialized and broadcast when within the row bound, so the
-    records are never shuffled; beyond the bound, hot codes (from ``stats``,
-    see ``code_stats``) are salted in a shuffle join.
+    once with NULL target and NULL ``out``.  The lookup (one row per raw code, its
+    matches nested) is materialized and broadcast when within the row bound, so the
+    records are never shuffled, and a record finds one row and fans out above the join.
+    Beyond the bound, hot codes (from ``stats``, see ``code_stats``) are salted in a
+    shuffle join by ``record_key`` (columns that identify a record, else row numbers).
+    ``graded``: :func:`graded_lists` or graded rows.
     """
     lk = code_lookup(cmap, graded, drop_codes, max_broadcast_rows)
-    j = skew_safe_join(facts, lk, code, "code_raw", stats, "code_raw", "n_rows")
-    return j.withColumn(out, F.col(weight) / F.col("n_targets"))
+    return split_weights(skew_safe_join(facts, lk, code, "code_raw", stats, "code_raw", "n_rows", salt_columns=record_key), weight, out)
+
+
+def split_weights(j: DataFrame, weight: str = "wt", out: str = "wt_adj") -> DataFrame:
+    """Records that have found their row of ``code_lookup``, fanned out, with their share of the weight."""
+    kept = [c for c in j.columns if c not in ("n_targets", "matches")]
+    rows = fanned_out(j, "matches", outer=True)
+    return rows.select(*kept, "target", "multi_io", "match_type", "n_targets", "match_quality", (F.col(weight) / F.col("n_targets")).alias(out))
 
 
 def code_stats(facts: DataFrame, code: str = "code", weight: str = "wt", exact: str | None = None) -> DataFrame:
@@ -142,9 +207,8 @@ def allocate_totals_from_stats(stats: DataFrame, cmap: DataFrame, graded: DataFr
     Both sides are per-code tables (small), so the lookup is not
     materialized; Catalyst/AQE size the join.
     """
-    lk = code_lookup(cmap, graded.select("code", *[b for b in by if b != "code"], "n_targets"),
-                     drop_codes, max_broadcast_rows, materialize=False)
-    j = stats.join(lk, "code_raw", "inner")
+    lk = code_lookup(cmap, graded, drop_codes, max_broadcast_rows, materialize=False)
+    j = fanned_out(stats.join(lk, "code_raw", "inner"), "matches", outer=True)
     keys = [*by, "n_targets"]
     return (j.groupBy(*keys)
             .agg(F.sum("n_rows").alias("n_rows"), F.sum("wt_sum").alias("wt_sum"))

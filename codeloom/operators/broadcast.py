@@ -37,6 +37,7 @@ DEFAULT_MAX_BYTES = 128 << 20
 CONF_MAX_BYTES = "spark.codeloom.broadcast.maxBytes"
 _ROWS_ATTR = "_codeloom_rows"
 _BYTES_ATTR = "_codeloom_bytes"
+_METRICS_ATTR = "_codeloom_metrics"
 
 
 def max_broadcast_rows(df: DataFrame, default: int = DEFAULT_MAX_ROWS) -> int:
@@ -49,11 +50,28 @@ def max_broadcast_bytes(df: DataFrame, default: int = DEFAULT_MAX_BYTES) -> int:
     return int(v) if v else default
 
 
+def _type_bytes(kind: T.DataType) -> int:
+    """Bytes that a value inside an array or map is taken to have."""
+    if isinstance(kind, T.StructType):
+        return 8 + sum(_type_bytes(f.dataType) for f in kind.fields)
+    return 32 if isinstance(kind, (T.StringType, T.BinaryType)) else 64 if isinstance(kind, (T.ArrayType, T.MapType)) else 8
+
+
+def _value_bytes(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * _type_bytes(kind.elementType) + 16
+    if isinstance(kind, T.MapType):
+        return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * (_type_bytes(kind.keyType) + _type_bytes(kind.valueType)) + 16
+    if isinstance(kind, T.StructType):
+        return reduce(lambda x, y: x + y, [_value_bytes(c.getField(f.name), f.dataType) for f in kind.fields], F.lit(8))
+    return F.lit(8)
+
+
 def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row: the length of strings and binaries, 8 for other columns."""
-    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8 if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8)
-             for f in df.schema.fields]
-    return reduce(lambda x, y: x + y, sizes, F.lit(0))
+    """Bytes of a row: the length of strings and binaries, the elements of arrays and maps, 8 for other columns."""
+    return reduce(lambda x, y: x + y, [_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields], F.lit(0))
 
 
 def _bytes_of(df: DataFrame, rows: int) -> int:
@@ -82,9 +100,16 @@ def bound_from(df: DataFrame, factor: int = 1) -> int | None:
     return None if n is None else n * factor
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def observed(df: DataFrame) -> dict[str, Any]:
+    """The ``metrics`` that were asked for when ``df`` was materialized."""
+    return getattr(df, _METRICS_ATTR, {})
+
+
+def materialize(df: DataFrame, name: str = "table", metrics: dict[str, Column] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared folder, read it back, keep its row count.
 
+    ``metrics``: named aggregates over ``df`` that the same write observes (:func:`observed`).
+
     The count is observed in the write's result stage, so each task's
     contribution is applied once even when tasks are retried; it only ever
     licenses a broadcast, so an estimate that erred high would merely
@@ -93,10 +118,12 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"codeloom_{name}_{uuid.uuid4().hex[:12]}")   # unique: jobs may run concurrently
-    df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).write.mode("errorifexists").parquet(path)
+    asked = [c.alias(f"metric_{k}") for k, c in (metrics or {}).items()]
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"), *asked).write.mode("errorifexists").parquet(path)
     seen = obs.get
     out = with_row_bound(spark.read.parquet(path), seen["rows"])
     setattr(out, _BYTES_ATTR, int(seen["bytes"] or 0))
+    setattr(out, _METRICS_ATTR, {k: seen[f"metric_{k}"] for k in metrics or {}})
     return out
 
 
@@ -156,10 +183,20 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def hot_salts(stats: DataFrame, keys: Sequence[str], rows: str, partitions: int, hot_share: float | None = None, spread: float = 2.0) -> DataFrame:
+    """``(*keys, __salts)`` of the keys with more than ``hot_share`` of the rows (half a partition's share
+    by default): at most ``1 / hot_share`` rows.  So many salts leave a bucket half a partition's fair share."""
+    total = stats.agg(F.sum(rows)).first()[0] or 0   # one scalar
+    share = F.col(rows) / F.lit(max(total, 1))
+    return stats.where(share > (1.0 / (2 * partitions) if hot_share is None else hot_share)).select(
+        *keys, F.ceil(share * partitions * spread).cast("int").alias("__salts"))
+
+
 def skew_safe_join(facts: DataFrame, lookup: DataFrame, fact_keys: str | Sequence[str],
                    lookup_keys: str | Sequence[str], stats: DataFrame | None = None,
                    stats_keys: str | Sequence[str] | None = None, stats_rows: str = "n_rows",
-                   hot_share: float | None = None, spread: float = 2.0) -> DataFrame:
+                   hot_share: float | None = None, spread: float = 2.0,
+                   salt_columns: Sequence[str] = ()) -> DataFrame:
     """Inner equi-join of large ``facts`` with ``lookup`` that no hot key can stall.
 
     Returns the fact columns plus the lookup's non-key columns.  A broadcast
@@ -169,9 +206,10 @@ def skew_safe_join(facts: DataFrame, lookup: DataFrame, fact_keys: str | Sequenc
     so that list is provably small and is broadcast) are salted.  A key gets
     ``share * shuffle partitions * spread`` buckets, so each bucket holds
     about half a partition's fair share, however large the key and the cluster;
-    its lookup rows are replicated once per bucket.  Records spread by their
-    row number in the partition (so exact duplicates part too); ``facts``
-    should come from files, where a recomputed partition has the same order.
+    its lookup rows are replicated once per bucket.  Records spread by a hash of
+    ``salt_columns`` (that identify a record), else by their row number in the
+    partition: then ``facts`` must come from files, where a partition that is
+    computed again has the same order.
     Exact: every record meets every lookup row of its key exactly once.
     """
     fk, lk = _names(fact_keys), _names(lookup_keys)
@@ -186,15 +224,10 @@ def skew_safe_join(facts: DataFrame, lookup: DataFrame, fact_keys: str | Sequenc
     if stats is None or getattr(lookup, "_codeloom_broadcast", False):
         return facts.join(small, on(facts, small), "inner").drop(*ren.values())
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    if hot_share is None:
-        hot_share = 1.0 / (2 * partitions)
-    total = stats.agg(F.sum(stats_rows)).first()[0] or 0   # one scalar
     hk = [f"__hk{i}" for i in range(len(sk))]
-    share = F.col(stats_rows) / F.lit(max(total, 1))
-    hot = F.broadcast(stats.where(share > hot_share)
-                      .select(*[F.col(c).alias(h) for c, h in zip(sk, hk)],
-                              F.ceil(share * partitions * spread).cast("int").alias("__salts")))
-    f = (facts.withColumn("__row", F.monotonically_increasing_id())
+    salts = hot_salts(stats, sk, stats_rows, partitions, hot_share, spread)
+    hot = F.broadcast(salts.select(*[F.col(c).alias(h) for c, h in zip(sk, hk)], "__salts"))
+    f = (facts.withColumn("__row", F.xxhash64(*salt_columns) if salt_columns else F.monotonically_increasing_id())
          .join(hot, reduce(lambda x, y: x & y, [F.col(c) == F.col(h) for c, h in zip(fk, hk)]), "left")
          .withColumn("__salt", F.coalesce(F.pmod(F.col("__row"), F.col("__salts")).cast("int"), F.lit(0)))
          .drop(*hk, "__salts", "__row"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codeloom.functions.classify import CODE_CLASS_RULES, classify
+from codeloom.functions.classify import CODE_CLASS_RULES, DEFAULT_CLASS, classify
 from codeloom.functions.text import (
     digits_only,
     is_digits,
@@ -89,6 +89,17 @@ def code_map(facts: DataFrame, code: str = "code", out: str = "code_str",
     return add_code_columns(m.withColumn("keep", keep), out)
 
 
+def unclassified_rows(code: str = "code_raw", rows: str = "n_rows", not_employed: str | None = NOT_EMPLOYED,
+                      other: str = DEFAULT_CLASS, rules=CODE_CLASS_RULES):
+    """R8 as an aggregate over per-code stats: the records whose kept code has no class.
+
+    To be observed by the write of the stats (``broadcast.materialize``), which costs no job of its own.
+    """
+    c = trim_ws(code)
+    keep = c != not_employed if not_employed is not None else c.isNotNull()
+    return F.sum(F.when(keep & (classify(c, rules) == other), F.col(rows)).otherwise(0))
+
+
 def codes_from_map(cmap: DataFrame, code: str = "code_str") -> DataFrame:
     """H10 from a ``code_map``: distinct kept codes with their class columns."""
     return (cmap.where("keep")

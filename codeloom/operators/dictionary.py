@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codeloom.functions.ranges import expand_ranges
+from codeloom.functions.ranges import expand_ranges, range_blocks
 from codeloom.functions.text import pad_right_digits, split_list, trim_ws
 
 # Fixed value: the "not available" sentinel of dictionary cells.
@@ -40,8 +40,8 @@ def explode_tokens(df: DataFrame, raw: str = "raw", flag: str = "multi_io",
 
 def normalize_dictionary(df: DataFrame, target: str = "target", raw: str = "raw",
                          key: str = "key6", flag: str = "multi_io", width: int = 6,
-                         sentinel: str = SENTINEL, literal_ranges: bool = False) -> DataFrame:
-    """``(target, key6, multi_io)``, distinct.
+                         sentinel: str = SENTINEL, literal_ranges: bool = False, distinct: bool = True) -> DataFrame:
+    """``(target, key6, multi_io)``, distinct (unless the reader doesn't mind repeated rows).
 
     ``literal_ranges`` expands a range whose suffix is longer than its base too
     (T5); ``functions.ranges.malformed_ranges`` counts what passes through.
@@ -49,9 +49,27 @@ def normalize_dictionary(df: DataFrame, target: str = "target", raw: str = "raw"
     The dictionary is small (industries x codes), so the final ``distinct``
     is a cheap shuffle; nothing here scales with the fact tables.
     """
+    d = _tokens(df, target, raw, flag, sentinel)
+    d = expand_ranges(d, "__token", "__expanded", literal_ranges)
+    d = d.select(F.col("__t").alias(target), pad_right_digits("__expanded", width).alias(key), flag)
+    return d.distinct() if distinct else d
+
+
+def _tokens(df: DataFrame, target: str, raw: str, flag: str, sentinel: str) -> DataFrame:
     d = filter_sentinels(df.select(F.col(target).alias("__t"), F.col(raw).alias("__raw")),
                          "__t", "__raw", sentinel)
-    d = explode_tokens(d, "__raw", flag, "__token").select("__t", flag, "__token")
-    d = expand_ranges(d, "__token", "__expanded", literal_ranges)
-    return d.select(F.col("__t").alias(target), pad_right_digits("__expanded", width).alias(key),
-                    flag).distinct()
+    return explode_tokens(d, "__raw", flag, "__token").select("__t", flag, "__token")
+
+
+def compact_dictionary(df: DataFrame, target: str = "target", raw: str = "raw",
+                       key: str = "key6", flag: str = "multi_io", width: int = 6,
+                       sentinel: str = SENTINEL, literal_ranges: bool = False) -> DataFrame:
+    """E2 with ranges as digit blocks: ``(target, key6, multi_io, digits)``, distinct.
+
+    A row without ``digits`` is a code as in ``normalize_dictionary``; with ``digits`` the key is a
+    prefix that stands for all integers of so many digits which begin with it.  ``match.nested_keys``
+    reads both, so a range of a billion codes costs a few rows and is never emitted.
+    """
+    d = range_blocks(_tokens(df, target, raw, flag, sentinel), "__token", "__block", "digits", literal_ranges)
+    code = F.when(F.col("digits").isNull(), pad_right_digits("__block", width)).otherwise(F.col("__block"))
+    return d.select(F.col("__t").alias(target), code.alias(key), flag, "digits").distinct()

@@ -36,8 +36,9 @@ from pyspark.sql import types as T
 
 from codeloom.functions.classify import rank_of
 from codeloom.functions.text import strip_trailing
-from codeloom.operators.broadcast import bound_from, sized_broadcast, skew_safe_join
+from codeloom.operators.broadcast import bound_from, sized_broadcast, skew_safe_join, with_row_bound
 from codeloom.operators.codes import drop_codes_filter
+from codeloom.operators.nested import fanned_out, first_per, nested
 
 # Tiers of the person-code pipeline and their ranks
 # (1 is best; a manual assignment ranks with an exact match).
@@ -137,6 +138,82 @@ def _dictionary_keys(dictionary: DataFrame, lengths: Sequence[int], width: int,
     return out.groupBy("target", "L", "key").agg(F.min("multi_io").alias("multi_io")) if reduced else out
 
 
+#: Ends the key of a digit block, which no code holds.
+OPEN = "~"
+
+
+def _block_keys_sql(lengths: Sequence[int], width: int, key: str) -> list[str]:
+    """Keys of a digit block (prefix ``key``, ``digits``), as of all the codes that it stands for.
+
+    Under a prefix length that the block's own prefix reaches, it is that prefix.  Shorter blocks
+    are open: ``p~`` meets any digits after p, ``p~D`` a code of D digits (and the zeros it is padded with).
+    """
+    own = f"concat(`{key}`, '{OPEN}', digits)"
+    return [f"named_struct('L', {width}, 'key', {own})"] + [
+        f"named_struct('L', {n}, 'key', CASE WHEN length(`{key}`) >= {n} THEN substring(`{key}`, 1, {n}) "
+        f"WHEN digits >= {n} THEN concat(`{key}`, '{OPEN}') ELSE {own} END)" for n in lengths]
+
+
+def _probe_keys_sql(length: str, lengths: Sequence[int], width: int) -> str:
+    """SQL for all keys of a code at prefix length ``length``: its own and those of open blocks."""
+    def starts(code: str, upto: str, tail: str) -> str:
+        return f"transform(sequence(1, {upto}), k -> concat(substring({code}, 1, k), {tail}))"
+
+    def padded(code: str, n: int, below: int) -> list[str]:
+        return [f"CASE WHEN length({code}) = {n} AND substring({code}, {d + 1}) RLIKE '^0+$' "
+                f"THEN {starts(code, str(d - 1), repr(OPEN + str(d)))} ELSE array() END" for d in range(2, below)]
+
+    whole = ["array(code_6d)", starts("code_6d", "length(code_6d) - 1", f"'{OPEN}', length(code_6d)"), *padded("code_6d", width, width)]
+    arms = [f"WHEN {length} = 0 THEN array('')", f"WHEN {length} = {width} THEN CASE WHEN code_type = 'numeric' THEN concat({', '.join(whole)}) END"]
+    for n in lengths:
+        p = f"substring(code_prefix, 1, {n})"
+        more = [starts(p, str(n - 1), repr(OPEN)) if n > 1 else "array()", *padded(p, n, n)]
+        arms.append(f"WHEN {length} = {n} THEN CASE WHEN length({p}) = {n} THEN concat(array({p}), "
+                    f"CASE WHEN {p} RLIKE '^[0-9]+$' THEN concat({', '.join(more)}) ELSE array() END) END")
+    return "CASE " + " ".join(arms) + " END"
+
+
+def nested_keys(dictionary: DataFrame, lengths: Sequence[int] = PREFIX_LENGTHS, width: int = 6, key: str = "key6") -> DataFrame:
+    """``(L, key, entries)``: one row per key of the cascade, with an entry ``(target, multi_io)`` for
+    each target, the one that a dedupe per (code, target) keeps.
+
+    One aggregate whose groups are bounded by the targets.  The row ``(0, '')`` has no entries and is
+    what a code without a match finds.  A ``compact_dictionary`` may be given as well.
+    """
+    rows = _dictionary_keys(dictionary.where("digits IS NULL") if "digits" in dictionary.columns else dictionary, lengths, width, key)
+    if "digits" in dictionary.columns:
+        blocks = dictionary.where("digits IS NOT NULL").selectExpr("target", "multi_io", f"explode(array({', '.join(_block_keys_sql(lengths, width, key))})) AS __k")
+        rows = rows.unionByName(blocks.selectExpr("target", "multi_io", "__k.L AS L", "__k.key AS key"))
+    per = rows.groupBy("L", "key").agg(F.array_sort(F.collect_set(F.struct("target", "multi_io"))).alias("entries"))
+    per = first_per(per, "entries", "target")
+    none = dictionary.sparkSession.range(1).select(F.lit(0).alias("L"), F.lit("").alias("key"), F.array().cast(per.schema["entries"].dataType).alias("entries"))
+    bound = bound_from(dictionary, 1 + len(lengths))
+    return with_row_bound(per.unionByName(none), None if bound is None else bound + 1)
+
+
+def matched_entries(codes: DataFrame, keys: DataFrame, lengths: Sequence[int] = PREFIX_LENGTHS, width: int = 6, blocks: bool = False) -> DataFrame:
+    """``(code, L, entries)`` of every code: the entries (unique by target) of its longest matching
+    length, none with ``L = 0`` if nothing matches.
+
+    The cascade of :func:`match_longest_prefix` over :func:`nested_keys`: a semi join finds the
+    winning length, a second join fetches one array.  ``blocks``: the keys are of a compact dictionary.
+    """
+    probes = ", ".join(str(n) for n in (0, width, *lengths))
+    every = codes.selectExpr("code", "code_type", "code_prefix", "code_6d", f"explode(array({probes})) AS L")
+    if blocks:
+        each = lambda df: df.selectExpr("*", f"explode({_probe_keys_sql('L', lengths, width)}) AS key")
+    else:
+        own = _code_key_sql("L", lengths, width).replace("CASE ", "CASE WHEN L = 0 THEN '' ", 1)
+        each = lambda df: df.selectExpr("*", f"{own} AS key")
+    hit = each(every).where("key IS NOT NULL").join(sized_broadcast(with_row_bound(keys.select("L", "key"), bound_from(keys))), ["L", "key"], "left_semi")
+    best = each(hit.groupBy("code", "code_type", "code_prefix", "code_6d").agg(F.max("L").alias("L")))
+    found = best.join(sized_broadcast(keys), ["L", "key"]).select("code", "L", "entries")
+    if not blocks:
+        return found
+    several = found.groupBy("code", "L").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("entries")))).alias("entries"))
+    return first_per(several, "entries", "target")
+
+
 def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
                          lengths: Sequence[int] = PREFIX_LENGTHS, width: int = 6,
                          key: str = "key6", reduced: bool = False) -> DataFrame:
@@ -178,7 +255,7 @@ def override_table(spark: SparkSession,
                    match_type: str = MANUAL, multi_io: bool = False) -> DataFrame:
     """A4: literal (code, target) assignments, scalars recycled over the rows."""
     rows = [(c, tgt, multi_io, match_type) for codes, tgt in groups for c in codes]
-    return spark.createDataFrame(rows, MATCH_SCHEMA)
+    return with_row_bound(spark.createDataFrame(rows, MATCH_SCHEMA), len(rows))
 
 
 def overrides_present(overrides: DataFrame, codes: DataFrame) -> DataFrame:
@@ -245,12 +322,28 @@ def _tier_stats(key_stats: DataFrame | None, tier: str) -> DataFrame | None:
     return None if key_stats is None else key_stats.where(F.col("tier") == tier)
 
 
-def tariff_exact(dictionary: DataFrame, trade: DataFrame, key_stats: DataFrame | None = None) -> DataFrame:
+def _least_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of ``rows`` (target, key6, multi_io, *keys) per (target, *keys): the one a dedupe keeps."""
+    least = rows.groupBy("target", *keys).agg(F.min(F.struct("key6", "multi_io")).alias("__least"))
+    return least.select("target", "__least.key6", "__least.multi_io", *keys)
+
+
+def _tier(trade: DataFrame, rows: DataFrame, fact_key: str, dictionary: DataFrame, key_stats: DataFrame | None,
+          tier: str, ties: bool) -> DataFrame:
+    """Trade rows meet the dictionary ``rows`` (target, key6, multi_io, __k) of a tier in two steps: the
+    join finds the row of a key, its entries fan out above it.  Without ``ties`` a key has one entry
+    for each target (the least key), so a trade row gets at most as many rows as there are targets."""
+    rows = rows if ties else _least_rows(rows, ["__k"])
+    small = sized_broadcast(nested(rows, ["__k"], bounded=not ties), bound=bound_from(dictionary))
+    j = skew_safe_join(trade.select("hts10", F.col(fact_key).alias("__t")), small, "__t", "__k",
+                       _tier_stats(key_stats, tier), "key")
+    return fanned_out(j).select("target", "key6", "hts10", F.lit(tier).alias("match_type"), "multi_io")
+
+
+def tariff_exact(dictionary: DataFrame, trade: DataFrame, key_stats: DataFrame | None = None, ties: bool = True) -> DataFrame:
     """Exact tier: dictionary key equals an unambiguous trade code."""
-    d = sized_broadcast(dictionary.select("target", "key6", "multi_io"), bound=bound_from(dictionary))
-    t = trade.where(~F.col("naics_ambiguous"))
-    j = skew_safe_join(t, d, "naics", "key6", _tier_stats(key_stats, EXACT), "key")
-    return j.select("target", F.col("naics").alias("key6"), "hts10", F.lit(EXACT).alias("match_type"), "multi_io")
+    rows = dictionary.select("target", "key6", "multi_io", F.col("key6").alias("__k"))
+    return _tier(trade.where(~F.col("naics_ambiguous")), rows, "naics", dictionary, key_stats, EXACT, ties)
 
 
 def _family_key(col, overrides: Sequence[str], default: F.Column) -> F.Column:
@@ -266,13 +359,14 @@ def _family_key(col, overrides: Sequence[str], default: F.Column) -> F.Column:
 def match_wildcards(trade: DataFrame, dictionary: DataFrame,
                     drop_prefixes: Sequence[str] = (), prefix_overrides: Sequence[str] = (),
                     overrides_both_sides: bool = False, wildcard: str = "X",
-                    key_len: int = 5, key_stats: DataFrame | None = None) -> DataFrame:
+                    key_len: int = 5, key_stats: DataFrame | None = None, ties: bool = True) -> DataFrame:
     """Ambiguous trade codes matched through their stripped prefix.
 
     Dropped families are removed; the trailing wildcard run is stripped; the
     dictionary key is the first ``key_len`` characters, or the override
     family when a key starts with one.  As coded (D1) only the dictionary
     side is re-keyed; ``overrides_both_sides`` re-keys the trade side too.
+    ``ties=False`` keeps one key per (target, tariff code), as the concordance does.
     """
     t = trade.where(F.col("naics_ambiguous"))
     for p in drop_prefixes:
@@ -282,10 +376,7 @@ def match_wildcards(trade: DataFrame, dictionary: DataFrame,
         t = t.withColumn("__p", _family_key("__p", prefix_overrides, F.col("__p")))
     d = dictionary.select("target", "key6", "multi_io", _family_key(
         "key6", prefix_overrides, F.substring("key6", 1, key_len)).alias("__p"))
-    j = skew_safe_join(t, sized_broadcast(d, bound=bound_from(dictionary)), "__p", "__p",
-                       _tier_stats(key_stats, AMBIGUOUS), "key")
-    return j.select(
-        "target", "key6", "hts10", F.lit(AMBIGUOUS).alias("match_type"), "multi_io")
+    return _tier(t, d.withColumnRenamed("__p", "__k"), "__p", dictionary, key_stats, AMBIGUOUS, ties)
 
 
 def exact_trade_codes(trade: DataFrame) -> DataFrame:
@@ -307,29 +398,26 @@ def unmatched_dictionary(dictionary: DataFrame, trade: DataFrame,
 
 
 def fallback_5d(dictionary: DataFrame, trade: DataFrame, key_len: int = 5,
-                exact_codes: DataFrame | None = None, key_stats: DataFrame | None = None) -> DataFrame:
+                exact_codes: DataFrame | None = None, key_stats: DataFrame | None = None, ties: bool = True) -> DataFrame:
     """5-character fallback for dictionary rows without an exact match."""
     un = unmatched_dictionary(dictionary, trade, exact_codes).select(
         "target", "key6", "multi_io", F.substring("key6", 1, key_len).alias("__k"))
-    t = trade.where(~F.col("naics_ambiguous")).withColumn("__k", F.substring("naics", 1, key_len))
-    j = skew_safe_join(t, sized_broadcast(un, bound=bound_from(dictionary)), "__k", "__k",
-                       _tier_stats(key_stats, FALLBACK), "key")
-    return j.select(
-        "target", "key6", "hts10", F.lit(FALLBACK).alias("match_type"), "multi_io")
+    t = trade.where(~F.col("naics_ambiguous")).withColumn("__p", F.substring("naics", 1, key_len))
+    return _tier(t, un, "__p", dictionary, key_stats, FALLBACK, ties)
 
 
 def tariff_tiers(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Sequence[str] = (),
                  prefix_overrides: Sequence[str] = (), overrides_both_sides: bool = False,
-                 exact_codes: DataFrame | None = None, key_stats: DataFrame | None = None) -> DataFrame:
+                 exact_codes: DataFrame | None = None, key_stats: DataFrame | None = None, ties: bool = True) -> DataFrame:
     """K1: exact, wildcard and fallback tiers as three joins, union by name.
 
     Reference form of ``tariff_matches`` (same rows); kept for the per-tier
     queries and as a test oracle.
     """
-    exact = tariff_exact(dictionary, trade, key_stats)
+    exact = tariff_exact(dictionary, trade, key_stats, ties)
     wild = match_wildcards(trade, dictionary, drop_prefixes, prefix_overrides, overrides_both_sides,
-                           key_stats=key_stats)
-    fb = fallback_5d(dictionary, trade, exact_codes=exact_codes, key_stats=key_stats)
+                           key_stats=key_stats, ties=ties)
+    fb = fallback_5d(dictionary, trade, exact_codes=exact_codes, key_stats=key_stats, ties=ties)
     return exact.select(*_TARIFF_COLS).unionByName(wild).unionByName(fb)
 
 
@@ -411,16 +499,25 @@ def tariff_matches(dictionary: DataFrame, trade: DataFrame, drop_prefixes: Seque
     ex = exact_codes if exact_codes is not None else exact_trade_codes(trade)
     dkeys = _dictionary_probes(dictionary, ex, prefix_overrides, key_len)
     if reduced:
-        dkeys = dkeys.groupBy("target", "tier", "key").agg(F.min(F.struct("key6", "multi_io")).alias("__least")) \
-            .select("target", "__least.key6", "__least.multi_io", "tier", "key")
+        dkeys = _least_rows(dkeys, ["tier", "key"])
     probes = _trade_keys(drop_prefixes, prefix_overrides, overrides_both_sides, wildcard, key_len)
     tkeys = trade.select("hts10", F.explode(probes).alias("__k")) \
         .select("hts10", "__k.tier", "__k.key").where(F.col("key").isNotNull())
 
-    small = sized_broadcast(dkeys, bound=bound_from(dictionary, 3))
+    small = sized_broadcast(nested(dkeys, ["tier", "key"], bounded=reduced), bound=bound_from(dictionary, 3))
     j = skew_safe_join(tkeys, small, ["tier", "key"], ["tier", "key"], key_stats,
                        ["tier", "key"], "n_rows")
-    return j.select("target", "key6", "hts10", F.col("tier").alias("match_type"), "multi_io")
+    return fanned_out(j).select("target", "key6", "hts10", F.col("tier").alias("match_type"), "multi_io")
+
+
+def target_fanout(matches: DataFrame, key: str = "hts10", out: str = "n_targets") -> DataFrame:
+    """H2/R9 straight from matches: distinct targets per ``key``.
+
+    The dedupe per (target, key) can't change the number of targets, so it is left out: one
+    aggregate whose sets (bounded by the targets) are combined before its only shuffle, so that
+    a hot key ships one set per task.
+    """
+    return matches.groupBy(key).agg(F.size(F.collect_set("target")).cast("long").alias(out))
 
 
 def two_sided_concordance(dictionary: DataFrame, trade: DataFrame,

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codeloom.operators.broadcast import observed
+
 
 def percent_1dp(num: str, den: str) -> F.Column:
     """``round(100 * num / den, 1)`` with exact half-up rounding; NULL if den is 0.
@@ -55,6 +57,16 @@ def distinct_count_by(df: DataFrame, key: str, col: str, out: str = "n_codes") -
     return df.select(key, col).distinct().groupBy(col).agg(F.count(F.lit(1)).alias(out))
 
 
+def count_by_entry(lists: DataFrame, field: str, matches: str = "matches", out: str = "n_codes") -> DataFrame:
+    """H4/R3/R6 from ``allocate.graded_lists``: codes per value of an entry's ``field``.
+
+    A code is one row, so its distinct values are found within it: the counts are summed before
+    the one shuffle, and no (code, value) pair is sent.
+    """
+    each = lists.select(F.explode(F.array_distinct(F.transform(matches, lambda x: x[field]))).alias(field))
+    return count_by(each, field, out)
+
+
 def fanout_histogram(fan: DataFrame, n: str = "n_targets", out: str = "n_codes") -> DataFrame:
     """How many codes have each fan-out."""
     return fan.groupBy(n).agg(F.count(F.lit(1)).alias(out))
@@ -81,9 +93,23 @@ def high_fanout_review(conc: DataFrame, threshold: int = 2, code: str = "code",
     with its own aggregate.
     """
     per = conc.groupBy(code).agg(F.array_sort(F.collect_set(target)).alias("__s"))
-    return (per.select(code, F.size("__s").cast("long").alias(n), F.array_join("__s", sep).alias(out))
-            .where(F.col(n) > threshold)
-            .orderBy(F.desc(n), code))
+    return _review(per.select(code, F.size("__s").cast("long").alias(n), "__s"), threshold, code, n, out, sep)
+
+
+def _review(per: DataFrame, threshold: int, code: str, n: str, out: str, sep: str) -> DataFrame:
+    return per.where(F.col(n) > threshold).select(code, n, F.array_join("__s", sep).alias(out)).orderBy(F.desc(n), code)
+
+
+def review_from_lists(lists: DataFrame, threshold: int = 2, code: str = "code", n: str = "n_targets",
+                      out: str = "target_list", sep: str = ", ") -> DataFrame:
+    """R5 from ``allocate.graded_lists``: fan-out and targets (unique and sorted) are there already,
+    so the report filters and sorts, without an aggregate by code."""
+    return _review(lists.select(code, n, F.transform("matches", lambda x: x["target"]).alias("__s")), threshold, code, n, out, sep)
+
+
+def targets_from_lists(lists: DataFrame, code: str = "code", out: str = "target_list", sep: str = ", ") -> DataFrame:
+    """H8 from ``allocate.graded_lists``."""
+    return lists.select(code, F.array_join(F.transform("matches", lambda x: x["target"]), sep).alias(out))
 
 
 def rows_with_prefix(df: DataFrame, col: str, prefixes: Sequence[str],
@@ -106,6 +132,16 @@ def over_threshold_count(fan: DataFrame, threshold: int = 1, n: str = "n_targets
     return fan.agg(F.count_if(F.col(n) > threshold).alias(out))
 
 
+def warn_observed(stats: DataFrame, metric: str = "n_unclassified") -> int:
+    """R8 from a metric that the write of the code stats has observed (``codes.unclassified_rows``):
+    warns like :func:`warn_unclassified`, without a job."""
+    n = int(observed(stats).get(metric) or 0)
+    if n > 0:
+        warnings.warn(f"{n} rows have unclassified codes; inspect them before proceeding "
+                      f"(see the count_unclassified report)", stacklevel=2)
+    return n
+
+
 def warn_unclassified(per_code: DataFrame, code_type: str = "code_type", rows: str = "n_rows",
                       other: str = "other") -> int:
     """R8 as a runtime check: warn when records carry unclassified codes; return their count.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from codeloom.plans.oracle import _in_list, _q, sql, trim_sql
+from codeloom.plans.oracle import _in_list, _q, classify_sql, sql, trim_sql
 from codeloom.plans.queries import LINK_NEEDLE
 from codeloom.sources.fixtures import TRADE_DROP_PREFIXES
 
@@ -89,6 +89,7 @@ where code_str is null or code_str not in {_DROP}""",
     "overrides_present": "select * from govt",
     "attach_fanout": "select c.*, f.n_targets from p_conc c left join p_fan f on c.code = f.code",
     "merge_persons": "select * from p_merged",
+    "merge_persons_bucketed": "select * from p_merged",
     "wildcard_match": "select * from x_wild",
     "fallback_5d": "select * from x_fallback",
     # H
@@ -97,6 +98,7 @@ where code_str is null or code_str not in {_DROP}""",
     "match_type_breakdown": """
 select match_type, count(*) as n_codes from (select distinct code, match_type from p_conc)
 group by match_type""",
+    "distinct_codes_merged": "select match_type, count(distinct code) as n_codes from p_tiers group by match_type",
     "count_unclassified": """
 select code_str, count(*) as n_rows from facts where code_type = 'other' group by rollup (code_str)""",
     "fanout_histogram": "select n_targets, count(*) as n_codes from p_fan group by n_targets",
@@ -117,6 +119,11 @@ select n_targets, count(*) as n_codes from x_fan group by n_targets order by n_t
     "digits_only": "select hts_raw, regexp_replace(hts_raw, '[^0-9]', '', 'g') as hts_digits from trade_raw",
     "explode_tokens": "select target, src_ord, multi_io, token from dict_tok",
     "expand_ranges": "select target, src_ord, token, expanded from dict_exp",
+    "sql_functions": f"""
+select target, src_ord, token, expanded, {classify_sql('expanded')} as code_class,
+  regexp_replace(expanded, '[A-Z][0-9]*$', '') as code_prefix,
+  case when regexp_matches(expanded, '^[0-9]+$') and length(expanded) < 6 then rpad(expanded, 6, '0') else expanded end as key6
+from dict_exp""",
     "pad_right": """
 select target, src_ord, expanded, key6, cast(length(key6) as bigint) as key_len from (
   select *, case when regexp_matches(expanded, '^[0-9]+$') and length(expanded) < 6
@@ -132,6 +139,17 @@ from (select *, regexp_replace(hts_raw, '[^0-9]', '', 'g') as dg from trade_raw)
     "normalize_dictionary": "select * from dict_long",
     "apply_overrides": "select * from p_tiers",
     "grade_matches": "select * from p_graded",
+    "compact_concordance": "select * from p_graded",
+    "range_blocks": """
+select target, src_ord, token, cast(sum(n) as bigint) as n_codes, cast(sum(b) as bigint) as n_blocks from (
+  select target, src_ord, token, coalesce(r_end - r_start + 1, 1) as n,
+    case when is_rng and r_start is not null and r_end is not null and r_end >= r_start then
+      len(list_distinct(list_transform(generate_series(r_start, r_end), lambda x: list_max(list_transform(generate_series(0, length(cast(x as varchar)) - 1), lambda i:
+        case when x - x % cast(pow(10, i) as bigint) >= r_start and x - x % cast(pow(10, i) as bigint) + cast(pow(10, i) as bigint) - 1 <= r_end
+              and length(cast(x - x % cast(pow(10, i) as bigint) as varchar)) = length(cast(x as varchar)) and (x = 0 or x >= cast(pow(10, i) as bigint))
+             then i * 100000000000 + x // cast(pow(10, i) as bigint) end))))) else 1 end as b
+  from (select target, src_ord, token, is_rng, case when is_rng and r_end >= r_start then r_start end as r_start, case when is_rng and r_end >= r_start then r_end end as r_end from dict_bnd))
+group by target, src_ord, token""",
     "allocate_weights": _totals(),
     "normalize_tariff": "select * from trade",
     "two_sided_concordance": "select * from x_conc",

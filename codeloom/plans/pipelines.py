@@ -21,6 +21,8 @@ from codeloom.operators import dictionary as dc
 from codeloom.operators import match as mt
 from codeloom.operators.broadcast import concurrently, known_rows, materialize, with_row_bound
 from codeloom.sources import fixtures as fx
+from codeloom.sources import sinks
+from codeloom.sources.tables import spread
 
 
 @dataclass
@@ -29,6 +31,7 @@ class PersonPipeline:
     sf_dir: str
     drop_codes: tuple[str, ...] = mt.DROP_CODES
     lengths: tuple[int, ...] = mt.PREFIX_LENGTHS
+    compact: bool = False
 
     @cached_property
     def raw_facts(self) -> DataFrame:
@@ -45,14 +48,22 @@ class PersonPipeline:
         its exact row count bounds every broadcast derived from it."""
         return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
 
+    @cached_property
+    def keys(self) -> DataFrame:
+        """The dictionary's cascade keys with their targets nested, materialized: the one table that
+        matching joins.  Range blocks instead of expanded ranges with ``compact``."""
+        raw = fx.dict_raw(self.spark, self.sf_dir)
+        return materialize(mt.nested_keys(dc.compact_dictionary(raw) if self.compact else dc.normalize_dictionary(raw, distinct=False), self.lengths), "keys")
+
     @cached_property
     def code_stats(self) -> DataFrame:
-        """One scan of the records: per raw code, row count and weight sum (materialized)."""
-        return materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats")
+        """One scan of the records: per raw code, row count and weight sum (materialized); the write
+        also observes the records without a class (R8)."""
+        return materialize(al.code_stats(self.raw_facts, "code", "wt"), "code_stats", {"n_unclassified": cd.unclassified_rows()})
 
-    def prepare(self) -> None:
-        """Make the two small tables that matching needs as concurrent jobs; each is lazy by itself."""
-        jobs = {n: lambda n=n: getattr(self, n) for n in ("code_stats", "dictionary") if n not in self.__dict__}
+    def prepare(self, *names: str) -> None:
+        """Make the small tables that matching needs as concurrent jobs; each is lazy by itself."""
+        jobs = {n: lambda n=n: getattr(self, n) for n in names or ("code_stats", "dictionary") if n not in self.__dict__}
         concurrently(**jobs)
 
     @cached_property
@@ -77,12 +88,16 @@ class PersonPipeline:
         self.prepare()
         return mt.person_matches(self.codes, self.dictionary, self.overrides, self.lengths)
 
+    @cached_property
+    def lists(self) -> DataFrame:
+        """One row per matched code: fan-out and the array of its graded matches."""
+        self.prepare("code_stats", "keys")
+        return al.graded_lists(self.codes, self.keys, self.overrides, self.drop_codes, self.lengths, blocks=self.compact)
+
     @cached_property
     def graded(self) -> DataFrame:
         """Best row per (code, target) with fan-out and grade."""
-        self.prepare()
-        matches = mt.person_matches(self.codes, self.dictionary, self.overrides, self.lengths, reduced=True)
-        return al.best_graded(cd.drop_codes_filter(matches, self.drop_codes))
+        return al.graded_rows(self.lists)
 
     @cached_property
     def matched_codes(self) -> DataFrame:
@@ -96,12 +111,19 @@ class PersonPipeline:
         return self.graded.select("code", "target", "multi_io", "match_type")
 
     def merged(self) -> DataFrame:
-        return al.allocate(self.raw_facts, self.code_map, self.graded, "code", "wt", "wt_adj",
-                           self.drop_codes, stats=self.code_stats)
+        return al.allocate(spread(self.raw_facts), self.code_map, self.lists, "code", "wt", "wt_adj",
+                           self.drop_codes, stats=self.code_stats, record_key=("l_orderkey", "l_linenumber"))
+
+    def merged_by_buckets(self, buckets: int = 16) -> DataFrame:
+        """E9/G10 over co-located tables: records and lookup are written once, bucketed by code, and merged
+        without a shuffle (for repeated merges beyond the broadcast bound)."""
+        lookup = al.code_lookup(self.code_map, self.lists, self.drop_codes, materialize=False)
+        names = sinks.write_bucketed_pair(self.raw_facts, lookup, "code", "code_raw", self.code_stats, ("l_orderkey", "l_linenumber"), buckets)
+        return al.split_weights(sinks.read_bucketed_pair(self.spark, *names, "code", "code_raw"))
 
     def totals(self, graded: DataFrame | None = None) -> DataFrame:
         return al.allocate_totals_from_stats(self.code_stats, self.code_map,
-                                             self.graded if graded is None else graded,
+                                             self.lists if graded is None else graded,
                                              ("target", "match_quality"), self.drop_codes)
 
 
@@ -161,6 +183,14 @@ class TariffPipeline:
                                         self.prefix_overrides, self.overrides_both_sides,
                                         self.exact_codes, self.key_stats)
 
+    @cached_property
+    def fanout(self) -> DataFrame:
+        """Targets per tariff code, with one shuffle above the join."""
+        self.prepare()
+        matches = mt.tariff_matches(self.dictionary, self.trade_rows, self.drop_prefixes, self.prefix_overrides, self.overrides_both_sides,
+                                    exact_codes=self.exact_codes, key_stats=self.key_stats, reduced=True)
+        return mt.target_fanout(matches)
+
     @cached_property
     def matched_targets(self) -> DataFrame:
         """Distinct targets of the concordance, from per-key counts alone."""

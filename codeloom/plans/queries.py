@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codeloom.functions.ranges import expand_ranges
+from codeloom.functions.ranges import expand_ranges, range_blocks
+from codeloom.functions import sql_functions
 from codeloom.functions.text import digits_only, pad_left, pad_right_digits, trim_ws
 from codeloom.operators import allocate as al
+from codeloom.operators import bitmaps as bm
 from codeloom.operators import codes as cd
 from codeloom.operators import dictionary as dc
 from codeloom.operators import match as mt
@@ -226,6 +228,11 @@ def q_merge_persons(spark, d):
     return PersonPipeline(spark, d).merged()
 
 
+@query("merge_persons_bucketed")
+def q_merge_persons_bucketed(spark, d):
+    return PersonPipeline(spark, d).merged_by_buckets()
+
+
 @query("wildcard_match")
 def q_wildcard_match(spark, d):
     t = TariffPipeline(spark, d)
@@ -254,9 +261,19 @@ def q_count_by_match_type(spark, d):
 
 @query("match_type_breakdown")
 def q_match_type_breakdown(spark, d):
-    return rp.distinct_count_by(PersonPipeline(spark, d).concordance, "code", "match_type")
+    return rp.count_by_entry(PersonPipeline(spark, d).lists, "match_type")
 
 
+@query("distinct_codes_merged")
+def q_distinct_codes_merged(spark, d):
+    """H1/H2 as bitmaps: distinct codes per match type, of the cascade and of the overrides, as two merged rounds."""
+    p = PersonPipeline(spark, d)
+    p.prepare("code_stats", "dictionary")
+    ids = bm.numbered(p.codes, "code")
+    rounds = [mt.match_longest_prefix(p.codes, p.dictionary, reduced=True), mt.overrides_present(p.overrides, p.codes)]
+    states = [bm.distinct_state(r.select("code", "match_type").join(ids, "code"), ["match_type"]) for r in rounds]
+    return bm.distinct_counts(bm.merged_states(states, ["match_type"]), ["match_type"])
+
 @query("count_unclassified")
 def q_count_unclassified(spark, d):
     """Rows per unclassified code and the total (rollup over per-code counts)."""
@@ -271,7 +288,7 @@ def q_fanout_histogram(spark, d):
 
 @query("target_list_per_code")
 def q_target_list_per_code(spark, d):
-    return rp.target_lists(PersonPipeline(spark, d).concordance)
+    return rp.targets_from_lists(PersonPipeline(spark, d).lists)
 
 
 @query("distinct_rows")
@@ -292,8 +309,7 @@ def q_best_match_dedupe(spark, d):
 
 @query("sorted_breakdown")
 def q_sorted_breakdown(spark, d):
-    fan = al.fanout(TariffPipeline(spark, d).concordance, "hts10")
-    return rp.fanout_histogram(fan).orderBy("n_targets")
+    return rp.fanout_histogram(TariffPipeline(spark, d).fanout).orderBy("n_targets")
 
 
 # ---------------------------------------------------------------- K: set ops
@@ -342,6 +358,14 @@ def q_expand_ranges(spark, d):
     return expand_ranges(t, "token", "expanded").select("target", "src_ord", "token", "expanded")
 
 
+@query("sql_functions")
+def q_sql_functions(spark, d):
+    """§2.12 from SQL alone: every dictionary token expanded by a table function, its codes classified and padded."""
+    sql_functions.register(spark)
+    return spark.sql("""SELECT t.target, t.src_ord, t.token, e.code AS expanded, code_class(e.code) AS code_class, code_prefix(e.code) AS code_prefix, pad_code(e.code, 6) AS key6
+                        FROM {tokens} t, LATERAL expand_range(t.token) e""", tokens=_dictionary_tokens(spark, d))
+
+
 @query("pad_right")
 def q_pad_right(spark, d):
     t = expand_ranges(_dictionary_tokens(spark, d), "token", "expanded")
@@ -374,6 +398,20 @@ def q_grade_matches(spark, d):
     return PersonPipeline(spark, d).graded
 
 
+@query("compact_concordance")
+def q_compact_concordance(spark, d):
+    """E1/S15 without expansion: ranges as digit blocks, matched by key; the same graded concordance."""
+    return PersonPipeline(spark, d, compact=True).graded
+
+
+@query("range_blocks")
+def q_range_blocks(spark, d):
+    """Per dictionary token: the digit blocks of its range, and the codes that they stand for."""
+    t = range_blocks(_dictionary_tokens(spark, d).select("target", "src_ord", "token"), "token")
+    codes = F.when(F.col("digits").isNull(), F.lit(1).cast("long")).otherwise(F.pow(F.lit(10), F.col("digits") - F.length("block")).cast("long"))
+    return t.groupBy("target", "src_ord", "token").agg(F.sum(codes).alias("n_codes"), F.count(F.lit(1)).alias("n_blocks"))
+
+
 @query("allocate_weights")
 def q_allocate_weights(spark, d):
     return PersonPipeline(spark, d).totals()
@@ -398,7 +436,7 @@ def q_two_sided_concordance_intent(spark, d):
 @query("clean_sample_totals")
 def q_clean_sample_totals(spark, d):
     p = PersonPipeline(spark, d)
-    kept = al.quality_sample(p.graded, ("clean", "acceptable"))
+    kept = al.sample_lists(p.lists, ("clean", "acceptable"))
     return p.totals(kept).where(F.col("match_quality").isNotNull())
 
 
@@ -406,7 +444,7 @@ def q_clean_sample_totals(spark, d):
 def q_single_target_totals(spark, d):
     """Records whose code has one target only."""
     p = PersonPipeline(spark, d)
-    kept = al.quality_sample(p.graded, None, single_target_only=True)
+    kept = al.sample_lists(p.lists, None, single_target_only=True)
     return p.totals(kept).where(F.col("match_quality").isNotNull())
 
 
@@ -438,18 +476,17 @@ def q_dropped_codes(spark, d):
 
 @query("high_fanout_review")
 def q_high_fanout_review(spark, d):
-    return rp.high_fanout_review(PersonPipeline(spark, d).concordance, 2)
+    return rp.review_from_lists(PersonPipeline(spark, d).lists, 2)
 
 
 @query("quality_breakdown")
 def q_quality_breakdown(spark, d):
-    return rp.distinct_count_by(PersonPipeline(spark, d).graded, "code", "match_quality")
+    return rp.count_by_entry(PersonPipeline(spark, d).lists, "match_quality")
 
 
 @query("fanout_over_threshold")
 def q_fanout_over_threshold(spark, d):
-    fan = al.fanout(TariffPipeline(spark, d).concordance, "hts10")
-    return rp.over_threshold_count(fan, 1)
+    return rp.over_threshold_count(TariffPipeline(spark, d).fanout, 1)
 
 
 # ---------------------------------------------------------------- V: web events

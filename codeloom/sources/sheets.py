@@ -6,10 +6,11 @@ text, numbers them within each file from the scan itself, drops the first
 ``skip + header`` lines of every file and parses the rest with ``from_csv``
 against an explicit schema (no type guessing, A2).
 
-Line numbers come from ``monotonically_increasing_id`` (consecutive inside a
-scan partition) relative to the first id of the same file; only the split
-that starts at byte 0 of a file holds its preamble (``_metadata``).  Cells
-must not contain line breaks.
+Only the split that starts at byte 0 of a file holds its preamble
+(``_metadata``).  The scan is planned with one split per task, so the row
+number in the task (the lower bits of ``monotonically_increasing_id``) is the
+line number in the split: lines are dropped in the same pass that reads them,
+and nothing is looked up.  Cells must not contain line breaks.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codeloom.operators.broadcast import sized_broadcast
+#: A cost of opening a file above any split's size: no second split fits into a task's share.
+_ALONE = 1 << 50
 
 CSV_OPTIONS = {
     "quote": '"',
@@ -41,23 +43,33 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType, skip: int =
                header: bool = True, options: dict[str, str] | None = None) -> DataFrame:
     """A1: skip ``skip`` preamble lines (+ header) per file; parse with ``schema``."""
     opts = {**CSV_OPTIONS, **(options or {})}
-    text = spark.read.text(path)
-    n_files = len(text.inputFiles())
-    lines = text.select(
-        "value",
-        F.col("_metadata.file_path").alias("__f"),
-        F.col("_metadata.file_block_start").alias("__b"),
-        F.monotonically_increasing_id().alias("__id"),
-    )
     drop_n = skip + (1 if header else 0)
     if drop_n:
-        first = lines.where(F.col("__b") == 0).groupBy("__f").agg(F.min("__id").alias("__id0"))
-        # one row per file: a proven bound, so the line table is never shuffled by file
-        lines = lines.join(sized_broadcast(first, bound=n_files), "__f", "left").where(
-            (F.col("__b") != 0) | (F.col("__id") - F.col("__id0") >= drop_n))
+        lines = _one_split_a_task(spark).read.text(path).select(
+            "value", F.col("_metadata.file_block_start").alias("__b"), _row_in_task().alias("__n"))
+        lines = lines.where((F.col("__b") != 0) | (F.col("__n") >= drop_n)).select("value")
+        # the union's empty side vanishes in planning; it makes the result one of the caller's session
+        lines = spark.sql("SELECT '' AS value WHERE false").unionByName(lines)
+    else:
+        lines = spark.read.text(path)
     return lines.select(F.from_csv("value", _ddl(schema), opts).alias("__r")).select("__r.*")
 
 
+def _one_split_a_task(spark: SparkSession) -> SparkSession:
+    """A session on the same context, with the caller's split size, whose scans put no two splits into one task."""
+    own = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"):
+        value = spark.conf.get(key, None)
+        if value is not None:
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.files.openCostInBytes", str(_ALONE))
+    return own
+
+
+def _row_in_task() -> Column:
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -76,6 +88,6 @@ def write_sheet(df: DataFrame, path: str, preamble: list[str], header: bool = Tr
     csv.writer(head, lineterminator="", delimiter=opts.get("sep", ",")).writerow(df.columns)
     lead = "".join(x + "\n" for x in [*preamble, *([head.getvalue()] if header else [])])
     line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), opts)
-    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    first = _row_in_task() == 0
     lines = df.select(F.concat(F.when(first, F.lit(lead)).otherwise(""), line).alias("value"))
     lines.write.mode("errorifexists").text(path)

@@ -6,11 +6,15 @@ normally under the cluster's shared folder; a path is never overwritten.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codeloom.operators.broadcast import hot_salts
+from codeloom.session import scratch_path
 from codeloom.sources.sheets import CSV_OPTIONS
 
 
@@ -41,3 +45,37 @@ def analysis_file(merged: DataFrame, path: str,
     (E13) prune whole folders.
     """
     write_parquet(merged.drop(*work_columns), path, partition_by)
+
+
+def write_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, table: str | None = None, path: str | None = None) -> str:
+    """A6 for repeated merges: a table in ``buckets`` by ``keys``, sorted; returns its name.
+
+    One file per bucket: the rows are dealt by the same hash before the write.  Two tables
+    with equal buckets join on the keys without a shuffle, now and in every later merge.
+    """
+    table = table or f"codeloom_{uuid.uuid4().hex[:12]}"
+    path = path or scratch_path(df.sparkSession, table)
+    df.repartition(buckets, *keys).write.mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(table)
+    return table
+
+
+def write_bucketed_pair(facts: DataFrame, lookup: DataFrame, code: str, lookup_code: str, stats: DataFrame,
+                        record_key: Sequence[str], buckets: int, stats_code: str = "code_raw", stats_rows: str = "n_rows") -> tuple[str, str]:
+    """Records and their lookup as co-located tables: bucketed by ``(code, salt)``.
+
+    A code with more than half a bucket's share of the records (from per-code ``stats``) is dealt over
+    salts by a hash of ``record_key``, and its lookup row stands once per salt, so no bucket holds a
+    hot code whole.  :func:`read_bucketed_pair` joins them without a shuffle.
+    """
+    hot = F.broadcast(hot_salts(stats, [stats_code], stats_rows, buckets).withColumnRenamed(stats_code, "__hot"))
+    salts = F.coalesce("__salts", F.lit(1))
+    f = facts.join(hot, facts[code] == hot["__hot"], "left").withColumn("__salt", F.pmod(F.xxhash64(*record_key), salts).cast("int"))
+    k = lookup.join(hot, lookup[lookup_code] == hot["__hot"], "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    drop = ["__hot", "__salts"]
+    return write_bucketed(f.drop(*drop), [code, "__salt"], buckets), write_bucketed(k.drop(*drop), [lookup_code, "__salt"], buckets)
+
+
+def read_bucketed_pair(spark: SparkSession, facts: str, lookup: str, code: str, lookup_code: str) -> DataFrame:
+    """The inner join of a :func:`write_bucketed_pair`, bucket by bucket."""
+    f, k = spark.table(facts), spark.table(lookup).withColumnRenamed(lookup_code, "__lk").withColumnRenamed("__salt", "__lsalt")
+    return f.join(k.hint("merge"), (f[code] == k["__lk"]) & (f["__salt"] == k["__lsalt"])).drop("__salt", "__lsalt", "__lk")

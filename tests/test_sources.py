@@ -72,3 +72,19 @@ def test_cleanup_deletes_this_applications_scratch_tables(spark, monkeypatch, tm
     assert (tmp_path / "codeloom-scratch").exists()
     session.cleanup(spark)
     assert not list((tmp_path / "codeloom-scratch").iterdir()) and (tmp_path / "other").exists()
+
+
+def test_sheet_is_scanned_once(spark):
+    """Lines are dropped by the scan that reads them; many small files stay apart although they would fit into one task."""
+    rows = [(i, f"v{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, s string").repartition(12)
+    path = scratch_path(spark, "test_sheet_once")
+    sheets.write_sheet(df, path, ["a", "b"])
+    back = sheets.read_sheet(spark, path, df.schema, skip=2)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Join" not in plan and "Exchange" not in plan and "Python" not in plan
+    assert back.rdd.getNumPartitions() == 12
+    assert sorted(back.collect()) == sorted(df.collect())
+    back.createOrReplaceTempView("sheet_rows")
+    assert spark.sql("select count(*) from sheet_rows").first()[0] == 60
+    spark.catalog.dropTempView("sheet_rows")
