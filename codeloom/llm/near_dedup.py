@@ -8,9 +8,9 @@
 2. ICWS draws ``BANDS * ROWS`` samples a document; two documents share a sample with the
    probability of their weighted Jaccard similarity.  Equal word sequences are one node from
    here on.  The samples of a band make its bucket key.
-3. In a bucket each node is compared with the bucket's hub; where that leaves several components,
-   also with the nodes of other components among the ``NEIGHBOURS`` before it.  So pairs grow as
-   the nodes.  The nodes of buckets draw ``MORE_SAMPLES`` further samples: pairs whose total weights
+3. In a bucket each node is compared with the bucket's hub; where that leaves several components in
+   a bucket of ``SMALL`` nodes at most, also with all nodes of other components, in a larger one with
+   those among the ``NEIGHBOURS`` nodes before it.  So pairs grow as the nodes.  The nodes of buckets draw ``MORE_SAMPLES`` further samples: pairs whose total weights
    or these samples rule out the threshold go, the rest is verified by weighted Jaccard similarity
    over the whole texts.
 4. Verified links are joined to components.  In buckets too large for step 3 to have tested
@@ -20,7 +20,7 @@
    leaves out no pair at the threshold: shingles are ordered by the number of these nodes they are
    in, and two nodes above the threshold share one before either has passed a fifth of its weight.
    Pairs of one component are left out, also of one that arises meanwhile: the likeliest pairs (by
-   the samples, in ``TIERS``) are verified first.
+   the samples, in ``TIERS``) are verified first, and pairs are sifted where they meet.
 6. A class is a component with all copies of its nodes; the smallest doc_id stays.
 
 Defined results: words are lower-cased A-Z runs of ASCII letters, digits and all non-ASCII
@@ -63,10 +63,12 @@ ID_BITS = 44
 MORE_SAMPLES, LEAST_MORE = 64, 36
 #: Samples in common from which on pairs of step 5 are verified, in turn.
 TIERS = (52, 45, LEAST_MORE)
-NEIGHBOURS = 4
+#: Nodes of a bucket that are compared with one another.
+SMALL, NEIGHBOURS = 6, 4
+#: Nodes of a large bucket that are ordered in one task, about.
+SPLIT = 128
 #: Rows of two integers that may be broadcast.
 MOST_BROADCAST = 1_000_000
-SPLIT = 128
 PIECE = 1 << 18
 ONE = 16
 
@@ -235,21 +237,24 @@ def more_samples(rows: DataFrame, idf: np.ndarray) -> DataFrame:
     return rows.select("text", "node").mapInArrow(arrays.released(draw), MORE)
 
 
-def sifted(pairs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, equal) of the ``pairs`` (a, b) that neither the total weights nor the samples in
-    common rule out; ``drawn``: (node, total, more)."""
-    x = drawn.select(F.col("node").alias("a"), F.col("total").alias("total_a"), F.col("more").alias("more_a"))
-    y = drawn.select(F.col("node").alias("b"), F.col("total").alias("total_b"), F.col("more").alias("more_b"))
-
+def _in_common(pairs: DataFrame) -> DataFrame:
+    """(a, b, equal) of the ``pairs`` (a, b, more_a, more_b) that the samples in common don't rule out."""
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, MORE_SAMPLES) for c in ("more_a", "more_b"))
             equal = (u == v).sum(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(equal.astype(np.int32))], names=["a", "b", "equal"]).filter(pa.array(equal >= LEAST_MORE))
 
+    return pairs.select("a", "b", "more_a", "more_b").mapInArrow(arrays.released(sift), "a long, b long, equal int")
+
+
+def sifted(pairs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, equal) of the ``pairs`` (a, b) that neither the total weights nor the samples in
+    common rule out; ``drawn``: (node, total, more)."""
+    x = drawn.select(F.col("node").alias("a"), F.col("total").alias("total_a"), F.col("more").alias("more_a"))
+    y = drawn.select(F.col("node").alias("b"), F.col("total").alias("total_b"), F.col("more").alias("more_b"))
     near = F.least("total_a", "total_b") >= similarity * F.greatest("total_a", "total_b")
-    both = pairs.join(x, "a").join(y, "b").where(near).select("a", "b", "more_a", "more_b")
-    return materialize(both.mapInArrow(arrays.released(sift), "a long, b long, equal int"), "pairs")
+    return materialize(_in_common(pairs.join(x, "a").join(y, "b").where(near)), "pairs")
 
 
 SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("weights", T.BinaryType())])
@@ -353,8 +358,8 @@ def shingle_rows(rows: DataFrame, idf: np.ndarray) -> DataFrame:
 
 
 def prefix_pairs(open_nodes: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """Pairs (a, b) of ``open_nodes`` (node, rep, component) of different components; every pair
-    whose weighted Jaccard similarity reaches ``similarity`` is among them.
+    """Pairs (a, b, equal) of ``open_nodes`` (node, rep, more, component) of different components, sifted
+    where they meet; the filter itself leaves out no pair whose weighted Jaccard similarity reaches ``similarity``.
 
     ``rest`` is a node's weight from a shingle on, rarest first.  From the first common shingle on
     both nodes must hold the common weight, ``similarity / (1 + similarity)`` of both totals: so the
@@ -366,7 +371,7 @@ def prefix_pairs(open_nodes: DataFrame, docs: DataFrame, idf: np.ndarray, simila
     shared = materialize(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared_shingles")
     after = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0)
     prefix = rows.join(shared, "id").withColumn("rest", F.sum("weight").over(after)).where(F.col("rest") >= (similarity - 1e-9) * F.col("total"))
-    prefix = prefix.join(open_nodes.select("node", "component"), "node").select("id", "node", "total", "rest", "component", (F.col("rest") >= least * F.col("total")).alias("early"))
+    prefix = prefix.join(open_nodes.select("node", "more", "component"), "node").select("id", "node", "total", "rest", "more", "component", (F.col("rest") >= least * F.col("total")).alias("early"))
     prefix = materialize(prefix, "prefixes")
     held = prefix.groupBy("id", "component").agg(F.count(F.lit(1)).alias("n"), F.max("early").alias("early"))
     lists = held.groupBy("id").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.max("early").alias("early"))
@@ -374,9 +379,11 @@ def prefix_pairs(open_nodes: DataFrame, docs: DataFrame, idf: np.ndarray, simila
     prefix = materialize(prefix.join(lists, "id").withColumn("outside", F.col("component") != F.col("main")).drop("main"), "prefixes")
 
     def met(x: DataFrame, y: DataFrame) -> DataFrame:
-        x, y = (f.select("id", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "total", "rest", "component")]) for f, side in ((x, "x"), (y, "y")))
+        x, y = (f.select("id", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "total", "rest", "more", "component")]) for f, side in ((x, "x"), (y, "y")))
         both = x.join(y, "id").where((F.col("component_x") != F.col("component_y")) & (F.least("rest_x", "rest_y") >= half * (F.col("total_x") + F.col("total_y"))))
-        return both.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+        near = F.least("total_x", "total_y") >= similarity * F.greatest("total_x", "total_y")
+        both = both.where(near).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), F.col("more_x").alias("more_a"), F.col("more_y").alias("more_b"))
+        return _in_common(both)
 
     pairs = met(prefix.where("early and outside"), prefix).unionByName(met(prefix.where("early and not outside"), prefix.where("outside")))
     return pairs.distinct()
@@ -408,16 +415,20 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similar
     drawn = more_samples(docs.join(reps, docs["doc_id"] == reps["rep"]), idf).dropDuplicates(["node"]).join(reps.select("node", "total"), "node")
     drawn = materialize(drawn, "more_samples")
     links = verified(sifted(tested, drawn, similarity), nodes, docs, idf, similarity)
-    state = materialize(members.drop("size", "hub").join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node")), "bucket_state")
+    state = materialize(members.drop("hub").join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node")), "bucket_state")
+    state = state.join(materialize(_several(state), "open_buckets"), "key", "left_semi")
+    small = state.where(F.col("size") <= SMALL).groupBy("key").agg(F.collect_list(F.struct("node", "component")).alias("all"))
+    more = small.select("all", F.explode("all").alias("x")).select("x.node", "x.component", F.explode("all").alias("y")).where("node < y.node AND component != y.component")
     near = Window.partitionBy("key", "part").orderBy("node")
     before = F.array(*[F.lag(F.struct("node", "component"), i).over(near) for i in range(1, NEIGHBOURS + 1)])
-    more = state.join(materialize(_several(state), "open_buckets"), "key", "left_semi").withColumn("before", before)
-    more = more.select("node", "component", F.explode("before").alias("before")).where("component != before.component").withColumn("other", F.col("before.node")).select(*ends).distinct()
+    beside = state.where(F.col("size") > SMALL).select("node", "component", before.alias("before"))
+    beside = beside.select("node", "component", F.explode("before").alias("y")).where("component != y.component")
+    more = more.unionByName(beside).withColumn("other", F.col("y.node")).select(*ends).distinct()
     more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more_pairs")
     if known_rows(more):
         links = materialize(links.unionByName(verified(sifted(more, drawn, similarity), nodes, docs, idf, similarity)), "links")
         tested = materialize(tested.unionByName(more), "tested")
-    large = members.where(F.col("size") > NEIGHBOURS + 2).select("key", "node")
+    large = members.where(F.col("size") > SMALL).select("key", "node")
     while True:
         parts = connected_components(links)
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
@@ -435,11 +446,11 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similar
         tested = materialize(tested.unionByName(more), "tested")
         links = materialize(links.unionByName(found), "links")
     open_nodes = state.join(materialize(_several(state), "open_buckets"), "key", "left_semi").select("node", "component").distinct()
-    open_nodes = materialize(open_nodes.join(nodes.select("node", "rep"), "node"), "open_nodes")
+    open_nodes = materialize(open_nodes.join(drawn.select("node", "more"), "node").join(nodes.select("node", "rep"), "node"), "open_nodes")
     if known_rows(open_nodes):
         rest = materialize(prefix_pairs(open_nodes, docs, idf, similarity).join(tested, ["a", "b"], "left_anti"), "rest_pairs")
         if known_rows(rest):
-            parts = verified_in_turn(sifted(rest, drawn, similarity), links, parts, nodes, docs, idf, similarity)
+            parts = verified_in_turn(rest, links, parts, nodes, docs, idf, similarity)
     whole = nodes.select("node", "rep", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     groups = whole.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")).where("class_size > 1")
     named = materialize(whole.select("node", "component").join(groups, "component").select("node", "class_id", "class_size"), "classes")
