@@ -5,7 +5,8 @@ are within bounds, and joined by a shuffle beyond them.  A document window of L
 at least one whole block of ``(L + 1) // 2`` words that begins at a multiple of that length, so
 only these aligned blocks of a document are hashed and looked up among the benchmark's blocks at
 all offsets; the windows around a block that was found are then compared word by word with the
-benchmark's windows.  No occurrence can be missed, and a document without a match costs one
+benchmark's windows.  Beyond the broadcast bounds only the blocks' hashes are shuffled, and of the
+texts those that hold a block that was found.  No occurrence can be missed, and a document without a match costs one
 lookup for every (L + 1) // 2 words.
 
 Words are lower-cased (A-Z only) runs ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the whole text.  An item
@@ -24,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codeloom.operators.broadcast import known_rows, materialize
+from codeloom.operators.broadcast import known_rows, materialize, sized_broadcast
 
 WINDOW = 13
 #: A document is contaminated when at least one word in twenty is hit.
@@ -93,10 +94,7 @@ def hits(docs: DataFrame, items: DataFrame, text: str = "text", keys: list[str]
                            lambda i: F.struct(F.lit(length).alias("length"), (i * k).alias("at"), _block(F.col("__words"), i * k, k).alias("block")))
         return F.when(count >= length, each)
 
-    one = F.struct(F.lit(0).alias("length"), F.lit(0).alias("at"), F.lit(None).cast("long").alias("block"))   # keeps the document
-    listed = reduce(F.concat, [F.coalesce(blocks(x), F.array().cast("array<struct<length:int,at:int,block:bigint>>")) for x in lengths], F.array(one))
-    d = d.withColumn("__b", F.explode(listed))
-    d = d.select(*keys, "__row", "__words", F.col("__b.length").alias("length"), F.col("__b.at").alias("at"), F.col("__b.block").alias("block"))
+    listed = [F.coalesce(blocks(x), F.array().cast("array<struct<length:int,at:int,block:bigint>>")) for x in lengths]
 
     def window_blocks(length: int) -> DataFrame:
         k = block_length(length)
@@ -105,14 +103,16 @@ def hits(docs: DataFrame, items: DataFrame, text: str = "text", keys: list[str]
         return windows.where(F.col("length") == length).select("length", F.explode(each).alias("block"))
 
     seeds = reduce(DataFrame.unionByName, map(window_blocks, lengths)).distinct().withColumn("seed", F.lit(True))
-    seeds = _small(materialize(seeds, "seeds"), F.lit(16))
+    seeds = materialize(seeds, "seeds")
+    if (known_rows(seeds) or 0) > MAX_ROWS:
+        return _hits_by_shuffle(docs, keys, text, reduce(F.concat, listed), seeds, windows)
+    seeds = _small(seeds, F.lit(16))
+    one = F.struct(F.lit(0).alias("length"), F.lit(0).alias("at"), F.lit(None).cast("long").alias("block"))   # keeps the document
+    d = d.withColumn("__b", F.explode(reduce(F.concat, listed, F.array(one))))
+    d = d.select(*keys, "__row", "__words", F.col("__b.length").alias("length"), F.col("__b.at").alias("at"), F.col("__b.block").alias("block"))
     near = d.join(seeds, ["length", "block"], "left").where(F.col("seed") | (F.col("length") == 0))
     near = near.withColumn("n_words", F.size("__words"))
-    first = F.greatest(F.lit(0), F.col("at") + F.floor((F.col("length") + 1) / 2).cast("int") - F.col("length"))
-    last = F.least(F.col("at"), F.col("n_words") - F.col("length"))
-    found = F.when(F.col("seed") & (first <= last), F.transform(
-        F.sequence(first, last), lambda s: F.struct(s.alias("start"), window_text(F.col("__words"), s, F.col("length")).alias("window"))))
-    near = near.select(*keys, "__row", "n_words", "length", F.explode_outer(found).alias("w"))
+    near = near.select(*keys, "__row", "n_words", "length", F.explode_outer(F.when(F.col("seed"), _windows_around())).alias("w"))
     near = near.select(*keys, "__row", "n_words", "length", F.col("w.start").alias("start"), F.col("w.window").alias("window"))
     exact = near.join(_small(windows, F.length("window") + F.size("items") * 16), ["length", "window"], "left")
     exact = exact.where(F.col("items").isNotNull() | (F.col("length") == 0))
@@ -120,6 +120,38 @@ def hits(docs: DataFrame, items: DataFrame, text: str = "text", keys: list[str]
     return exact.groupBy("__row", *keys).agg(F.max("n_words").alias("n_words"), F.array_sort(F.collect_set(span)).alias("spans"))
 
 
+def _windows_around() -> Column:
+    """The windows (start, window) of ``length`` words that hold the block ``at`` a place of ``__words``, null without any."""
+    first = F.greatest(F.lit(0), F.col("at") + F.floor((F.col("length") + 1) / 2).cast("int") - F.col("length"))
+    last = F.least(F.col("at"), F.col("n_words") - F.col("length"))
+    return F.when(first <= last, F.transform(F.sequence(first, last), lambda s: F.struct(
+        s.alias("start"), window_text(F.col("__words"), s, F.col("length")).alias("window"))))
+
+
+def _hits_by_shuffle(docs: DataFrame, keys: list[str], text: str, listed: Column, seeds: DataFrame, windows: DataFrame) -> DataFrame:
+    """:func:`hits` with seeds beyond the broadcast bounds.
+
+    The documents are numbered in a written table.  What meets the seeds is (row, length, place,
+    block), one for each block of words, and Spark can split the rows of a frequent block, as both
+    sides are plain tables.  Only the documents with a found block come back for comparison, by
+    their numbers: these are broadcast if they are few, and else the texts are shuffled once.
+    """
+    d = docs.select(*[F.col(f"`{k}`") for k in keys], F.monotonically_increasing_id().alias("__row"), F.col(f"`{text}`").alias("__text"))
+    d = materialize(d, "numbered")
+    blocks = d.select("__row", words_of(F.col("__text")).alias("__words")).select("__row", F.explode(listed).alias("__b"))
+    blocks = blocks.select("__row", F.col("__b.length").alias("length"), F.col("__b.at").alias("at"), F.col("__b.block").alias("block"))
+    found = materialize(blocks.join(seeds.drop("seed"), ["length", "block"]).select("__row", "length", "at"), "found_blocks")
+    places = found.groupBy("__row").agg(F.collect_set(F.struct("length", "at")).alias("__places"))     # of one document, so bounded by its text
+    near = d.select("__row", "__text").join(sized_broadcast(places, bound=known_rows(found)), "__row")
+    near = near.select("__row", words_of(F.col("__text")).alias("__words"), F.explode("__places").alias("p"))
+    near = near.select("__row", "__words", F.size("__words").alias("n_words"), F.col("p.length").alias("length"), F.col("p.at").alias("at"))
+    near = near.select("__row", "length", F.explode(_windows_around()).alias("w")).select("__row", "length", F.col("w.start").alias("start"), F.col("w.window").alias("window"))
+    exact = near.join(windows, ["length", "window"])
+    spans = exact.groupBy("__row").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"), "items"))).alias("spans"))
+    every = d.select("__row", *keys, F.size(words_of(F.col("__text"))).alias("n_words")).join(spans, "__row", "left")
+    return every.withColumn("spans", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)))
+
+
 def judge(found: DataFrame, share: int = SHARE) -> DataFrame:
     """n_words, n_hit, n_items, items_sha256 and contaminated from ``spans``."""
     zero = F.struct(F.lit(0).alias("covered"), F.lit(0).alias("upto"))

@@ -61,3 +61,32 @@ def test_shuffle_join_beyond_the_broadcast_bound(spark, make_docs, monkeypatch):
     monkeypatch.setattr(dc, "MAX_ROWS", 0)
     item = " ".join(f"w{i}" for i in range(30))
     compare(spark, make_docs, [(1, "x y z " + item), (2, item[:40]), (3, None)], [(1, item), (2, "w3")])
+
+
+def test_shuffle_join_of_long_and_many_texts(spark, make_docs, monkeypatch):
+    """Beyond the bounds and without any broadcast: hot blocks, 40,000-word texts, repeated and null rows."""
+    monkeypatch.setattr(dc, "MAX_ROWS", 0)
+    monkeypatch.setattr(dc, "MAX_BYTES", 0)
+    rng = random.Random(11)
+    text = lambda n, v: " ".join(f"w{rng.randrange(v)}" for _ in range(n))
+    hot = text(40, 500)
+    items = [(0, hot), (1, text(200, 3000)), (2, "w3"), (3, None), (None, hot), (4, "w1 w2"), (5, hot)]
+    long = text(20_000, 3000) + " " + items[1][1] + " " + text(20_000, 3000)
+    rows = [(1, long), (2, long), (2, long), (3, None), (None, hot), (4, ""), *[(10 + i, f"x{i} " + hot + f" y{i}") for i in range(60)]]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.codeloom.broadcast.maxRows", "0")
+    try:
+        compare(spark, make_docs, rows, items)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.codeloom.broadcast.maxRows")
+
+
+def test_only_hashes_meet_the_seeds(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(dc, "MAX_ROWS", 0)
+    written = {}
+    real = dc.materialize
+    monkeypatch.setattr(dc, "materialize", lambda df, name: written.setdefault(name, real(df, name)))
+    docs = make_docs([(i, " ".join(f"a{i}b{j}" for j in range(200))) for i in range(30)] + [(99, "w " * 13)])
+    dc.contamination(docs, spark.createDataFrame([(1, "w " * 13)], "item_id long, text string")).collect()
+    assert written["found_blocks"].columns == ["__row", "length", "at"] and written["found_blocks"].count() == 1
