@@ -7,8 +7,12 @@ and Spark's text sink writes each as a file (the line end that it adds is the ar
 of one byte), so that any file system works that Spark can write.
 
 Reading: :class:`ZipArchive` reads ranges only: the end record, the ZIP64 locator and end record,
-the central directory, a member's local header, the index, and then single records.  Nothing is
-extracted.  Spark's binary-file source hands each archive to a task.
+the central directory, members' local headers, the indexes, and then single records.  Nothing is
+extracted.  Members under ``archive/`` hold records (compressed one by one, or plain), those under
+``indexes/`` (``.cdx``, ``.cdxj``, also gzipped) their places: CDXJ lines ``key timestamp {json}`` or bare JSON, whose
+``filename`` names the member where there are several.  Spark's binary-file source hands each
+archive to a task; with ``seek``, for folders that every executor has mounted, tasks read
+the directory and index alone, and the records' ranges are dealt over all tasks, which seek them.
 
 Payloads that are equal (SHA-1 of all bytes) and have ``least_bytes`` or more are stored once, with
 the largest page_id; the others are revisit records, which have the HTTP header only.
@@ -16,6 +20,7 @@ the largest page_id; the others are revisit records, which have the HTTP header
 Defined results: a null html is an empty payload; a null url is an empty target; a null page_id
 is written without a number, read as null, and revisits the largest page_id of its payload if
 there is one; rows that repeat a page_id with the same payload get records of the same type;
+records of other writers have a null page_id, and the digest of their payload if they name none;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -25,6 +30,7 @@ import base64
 import hashlib
 import json
 import struct
+import urllib.parse
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -39,7 +45,7 @@ from codeloom.operators.broadcast import materialize
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Compressed bytes after which an archive is closed.
 ARCHIVE_BYTES = 4 << 20
-DATE = "1970-01-01T00:00:00Z"
+DATE, STAMP = "1970-01-01T00:00:00Z", "19700101000000"
 PAGE = "urn:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Signatures of ZIP structures.
@@ -168,8 +174,9 @@ def _fields(head: bytes) -> dict[str, str]:
 
 
 def _page(uri: str | None) -> int | None:
-    number = (uri or "").strip("<>").removeprefix(PAGE)
-    return int(number) if number else None
+    uri = (uri or "").strip("<>")
+    number = uri.removeprefix(PAGE) if uri.startswith(PAGE) else ""
+    return int(number) if number.removeprefix("-").isdecimal() else None
 
 
 def parsed(data: bytes) -> dict:
@@ -182,13 +189,16 @@ def parsed(data: bytes) -> dict:
     block = rest[:length]
     if len(block) != length or rest[length:] != b"\r\n\r\n":
         raise ArchiveError("a record's length is wrong")
-    http, _, payload = block.partition(b"\r\n\r\n")
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
+    http, _, payload = block.partition(b"\r\n\r\n") if fields.get("content-type", "").startswith("application/http") else (b"", b"", block)
+    kind, _, digest = fields.get("warc-payload-digest", "").rpartition(":")
     revisit = fields["warc-type"] == "revisit"
-    size = int(_fields(http)["content-length"])
-    if not revisit and (len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
-        raise ArchiveError("a payload and its digest don't match")
-    return {"page_id": _page(fields["warc-record-id"]), "url": fields["warc-target-uri"], "payload_bytes": size, "payload_digest": digest,
+    size = _fields(http.decode("utf-8", "replace").encode()).get("content-length", "") if http else ""
+    size = int(size) if size.isdecimal() else len(payload)
+    own = None if revisit else base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    if own and (len(payload) != size or kind == "sha1" and own != digest):
+        raise ArchiveError("a payload and its length or digest don't match")
+    digest = own if own and kind != "sha1" else digest
+    return {"page_id": _page(fields.get("warc-record-id")), "url": fields.get("warc-target-uri", "").strip("<>"), "payload_bytes": size, "payload_digest": digest,
             "record_type": fields["warc-type"], "refers_to": _page(fields.get("warc-refers-to")), "payload": None if revisit else payload}
 
 
@@ -196,17 +206,65 @@ def archive(records: list[tuple[str, bytes]]) -> bytes:
     """A packaged archive of compressed records, each with its target."""
     lines, at = [], 0
     for target, data in records:
-        lines.append(json.dumps({"url": target, "offset": at, "length": len(data)}).encode() + b"\n")
+        entry = {"url": target, "offset": str(at), "length": str(len(data)), "filename": DATA.rpartition("/")[2]}
+        lines.append(f"{sort_key(target)} {STAMP} {json.dumps(entry)}\n".encode())
         at += len(data)
-    return zip_stored([(DATA, [data for _, data in records]), (INDEX, lines)])
+    return zip_stored([(DATA, [data for _, data in records]), (INDEX, sorted(lines))])
+
+
+def sort_key(url: str) -> str:
+    """A URL with its host's labels in reverse order, so that an index keeps hosts together; no blanks."""
+    _, found, rest = url.partition("://")
+    host, slash, path = (rest if found else url).partition("/")
+    key = ",".join(reversed(host.lower().split("."))) + ")" + slash + path
+    return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in key)
+
+
+def entries(zipped: ZipArchive) -> Iterator[tuple[int, int]]:
+    """Offset and length in the archive of every indexed record."""
+    data = {n.rpartition("/")[2]: n for n in zipped.members if n.startswith("archive/") and n.endswith((".warc", ".warc.gz"))}
+    indexes = [n for n in zipped.members if n.startswith("indexes/") and n.endswith((".cdx", ".cdxj", ".cdx.gz", ".cdxj.gz"))]
+    if not indexes and data:
+        raise ArchiveError("no index of the records")
+    places = {}
+    for index in indexes:
+        raw = zipped.range(index, 0, zipped.place(index)[1])
+        if index.endswith(".gz"):
+            out = []
+            while raw:                       # gzip members, one after the other
+                z = zlib.decompressobj(31)
+                out.append(z.decompress(raw) + z.flush())
+                raw = z.unused_data
+            raw = b"".join(out)
+        for line in raw.splitlines():
+            at = line.find(b"{")
+            if at < 0:
+                continue                     # an index's own head line
+            entry = json.loads(line[at:])
+            if "offset" not in entry:
+                continue
+            name = entry.get("filename") or (next(iter(data)) if len(data) == 1 else None)
+            if name is None or name.rpartition("/")[2] not in data:
+                raise ArchiveError(f"no member for {entry}")
+            name = data[name.rpartition("/")[2]]
+            if name not in places:
+                places[name] = zipped.place(name)
+            start, size = places[name]
+            offset, length = int(entry["offset"]), int(entry["length"])
+            if not 0 <= offset <= size - length:
+                raise ArchiveError(f"bytes {offset}+{length} aren't in {name}")
+            yield start + offset, length
+
+
+def unpacked(raw: bytes) -> bytes:
+    """A record's bytes, which may be compressed."""
+    return zlib.decompress(raw, wbits=31) if raw[:2] == b"\x1f\x8b" else raw
 
 
 def records(zipped: ZipArchive) -> Iterator[dict]:
-    """All records of a packaged archive, by its index."""
-    _, size = zipped.place(INDEX)
-    for line in zipped.range(INDEX, 0, size).splitlines():
-        entry = json.loads(line)
-        yield parsed(zlib.decompress(zipped.range(DATA, entry["offset"], entry["length"]), wbits=31))
+    """All records of a packaged archive, by its indexes."""
+    for offset, length in entries(zipped):
+        yield parsed(unpacked(zipped._exactly(offset, length)))
 
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0) -> None:
@@ -245,9 +303,14 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
 RECORD = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()), T.StructField("record_type", T.StringType()), T.StructField("refers_to", T.LongType()), T.StructField("payload", T.BinaryType())])
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Every record of the packaged archives under ``path``; payloads only where asked for."""
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, seek: bool = False) -> DataFrame:
+    """Every record of the packaged archives under ``path``; payloads only where asked for.
+
+    ``seek``: ``path`` is mounted in every executor; nothing but directories, indexes and records is read.
+    """
     schema = RECORD if payloads else T.StructType(RECORD.fields[:-1])
+    if seek:
+        return _read_by_seeking(spark, path, schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,3 +328,42 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     kinds = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.BinaryType(): pa.binary()}
     arrow = pa.schema([(f.name, kinds[f.dataType]) for f in schema.fields])
     return spark.read.format("binaryFile").load(path).where("length > 0").select("content").mapInArrow(arrays.released(read), schema)
+
+
+def _read_by_seeking(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Archives of any size: (file, offset, length) rows from the indexes, dealt over the tasks that seek them."""
+    kinds = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.BinaryType(): pa.binary()}
+    arrow = pa.schema([(f.name, kinds[f.dataType]) for f in schema.fields])
+
+    def local(uri: str) -> str:
+        return urllib.parse.unquote(uri.removeprefix("file://").removeprefix("file:"))
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
+                with open(local(uri), "rb") as f:
+                    found = list(entries(ZipArchive(lambda at, n, f=f: f.seek(at) * 0 or f.read(n), size)))
+                if found:
+                    offsets, lengths = zip(*found)
+                    yield pa.RecordBatch.from_arrays([pa.array([uri] * len(found)), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["path", "offset", "length"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, name, f = [], None, None
+            for r in sorted(batch.to_pylist(), key=lambda r: (r["path"], r["offset"])):
+                if r["path"] != name:
+                    if f:
+                        f.close()
+                    name, f = r["path"], open(local(r["path"]), "rb")
+                f.seek(r["offset"])
+                got = parsed(unpacked(f.read(r["length"])))
+                rows.append({n: got[n] for n in schema.names})
+            if f:
+                f.close()
+            yield pa.RecordBatch.from_pylist(rows, arrow)
+
+    arrays.bounded_batches(spark)
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length")     # no content is read
+    places = files.mapInArrow(locate, "path string, offset long, length long")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return places.repartition(tasks, "path", "offset").mapInArrow(arrays.released(read), schema)

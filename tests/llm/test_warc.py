@@ -44,6 +44,68 @@ def test_round_trip(spark, folder):
     assert sorted(map(repr, ((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"], None if r["payload"] is None else bytes(r["payload"])) for r in got))) == sorted(map(repr, want))
 
 
+def capture(i, body, kind="response", head="HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"):
+    block = head.encode() + body
+    lines = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:0000-{i}>", f"WARC-Target-URI: <http://x/{i}>", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    return ("WARC/1.0\r\n" + "\r\n".join(lines) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def foreign(folder, gz_index):
+    """An archive as other writers make it: several members, plain and compressed records, CDXJ lines with key and timestamp."""
+    import gzip
+    import json
+    import os
+    os.makedirs(folder, exist_ok=True)
+    want = {}
+    with zipfile.ZipFile(f"{folder}/a b.wacz", "w") as z:
+        lines = [b'!meta {"format": "cdxj"}\n']
+        for name, pack in (("one.warc.gz", gzip.compress), ("two.warc", bytes), ("sub/three.warc.gz", gzip.compress)):
+            data, at = b"", 0
+            for i in range(5):
+                body = f"<p>{name} {i} é</p>".encode() * (i + 1)
+                raw = pack(capture(f"{name}/{i}", body))
+                lines.append(f"x)/{i} 20200101000000 ".encode() + json.dumps({"url": f"http://x/{i}", "offset": str(at), "length": str(len(raw)), "filename": name}).encode() + b"\n")
+                want[f"http://x/{name}/{i}"] = body
+                data, at = data + raw, at + len(raw)
+            z.writestr(f"archive/{name}", data)
+        z.writestr("datapackage.json", "{}")
+        z.writestr("indexes/index.cdx.gz" if gz_index else "indexes/index.cdxj", gzip.compress(b"".join(lines[:4])) + gzip.compress(b"".join(lines[4:])) if gz_index else b"".join(lines))
+        z.writestr("pages/pages.jsonl", "{}")
+    return want
+
+
+@pytest.mark.parametrize("seek", [False, True])
+@pytest.mark.parametrize("gz_index", [False, True])
+def test_archives_of_another_writer(spark, folder, seek, gz_index):
+    want = foreign(folder, gz_index)
+    got = warc.read_archives(spark, folder, seek=seek).collect()
+    assert {r["url"]: bytes(r["payload"]) for r in got} == want and len(got) == len(want)
+    assert all(r["page_id"] is None and r["payload_digest"] == digest(want[r["url"]]) and r["record_type"] == "response" for r in got)
+
+
+def test_seeking_reads_the_same_records(spark, folder):
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string").repartition(3)
+    warc.write_archives(pages, folder)
+    plain, sought = (sorted(map(str, warc.read_archives(spark, folder, seek=s).collect())) for s in (False, True))
+    assert plain == sought and len(plain) == len(ROWS)
+    assert "content" not in warc.read_archives(spark, folder, seek=True)._jdf.queryExecution().executedPlan().toString().split("binaryFile")[1].split("PushedFilters")[0]
+
+
+def test_indexes_are_needed_and_checked():
+    def made(members):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for n, b in members.items():
+                z.writestr(n, b)
+        return opened(out.getvalue())
+    assert list(warc.entries(made({"other.txt": b"x"}))) == []
+    for members in ({"archive/a.warc.gz": b"x"}, {"archive/a.warc.gz": b"x", "archive/b.warc.gz": b"y", "indexes/i.cdxj": b'k 1 {"offset": 0, "length": 1}'},
+                    {"archive/a.warc.gz": b"x", "indexes/i.cdxj": b'k 1 {"offset": 1, "length": 1}'}, {"archive/a.warc.gz": b"x", "indexes/i.cdxj": b'k 1 {"offset": 0, "length": 1, "filename": "z.warc.gz"}'}):
+        with pytest.raises(warc.ArchiveError):
+            list(warc.entries(made(members)))
+    assert list(warc.entries(made({"archive/a.warc": b"xyz", "indexes/i.cdx": b'k 1 {"offset": "1", "length": 2}\n'})))[0][1] == 2
+
+
 def test_least_bytes_and_empty_table(spark, folder):
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
     warc.write_archives(pages, folder, least_bytes=100)
