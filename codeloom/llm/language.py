@@ -2,10 +2,10 @@
 
 The kernel of two texts is the number of byte n-grams (n = 1 to 4, hashed to ``2 ** BITS`` places)
 present in both, divided by the geometric mean of their own numbers (a blended-spectrum presence
-kernel).  Training takes a bounded sample: ``PER_LANGUAGE`` labelled texts of each language by
-hash order, for at most ``MOST_LANGUAGES`` languages (the most frequent).  The first ``LANDMARKS``
-of each language are Nystroem landmarks; one-versus-rest kernel ridge regression is solved in
-their span.  Whole texts are scored in batches: presence matrix times landmarks, times the
+kernel).  Training takes a bounded sample of every language: ``PER_LANGUAGE`` labelled texts by
+hash order, of which the first ``LANDMARKS`` are Nystroem landmarks; where there are many languages, each gets
+its share of ``TEXTS`` texts and ``MARKS`` landmarks, and one landmark and two texts at least.
+One-versus-rest kernel ridge regression is solved in the landmarks' span.  Whole texts are scored in batches: presence matrix times landmarks, times the
 regression's weights.
 
 Defined results: A-Z is lower-cased, other ASCII bytes than letters count as one space; a text
@@ -31,9 +31,9 @@ from codeloom.operators.broadcast import materialize
 
 NGRAMS = (1, 2, 3, 4)
 BITS = 16
-#: Bounds of the training sample.
-PER_LANGUAGE, MOST_LANGUAGES = 200, 64
-LANDMARKS = 32
+#: Bounds of the training sample, for a language and in all.
+PER_LANGUAGE, TEXTS = 200, 4000
+LANDMARKS, MARKS = 32, 512
 RIDGE = 1e-3
 FOLDS, HELD_OUT_FOLD = 4, 2
 UNKNOWN = "und"
@@ -86,10 +86,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     lettered = F.col(text).rlike(r"\p{L}")
     known = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"), lettered.alias("ok")).where("ok and lang is not null and id is not null").where(~held_out("id"))
     slim = known.select("id", "lang")
-    most = slim.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    slim = slim.join(F.broadcast(most.select("lang")), "lang")
+    n_languages = max(1, slim.select("lang").distinct().count())
+    texts, most_marks = (max(least, min(most, total // n_languages)) for least, most, total in ((2, PER_LANGUAGE, TEXTS), (1, LANDMARKS, MARKS)))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = materialize(slim.withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE), "language_sample")
+    chosen = materialize(slim.withColumn("rank", rank).where(F.col("rank") <= texts), "language_sample")
     sample = known.select("id", "text").join(F.broadcast(chosen), "id")
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,14 +103,20 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     if not rows:
         return Model()
     rows.sort(key=lambda r: (r["lang"], r["rank"], r["bits"]))
-    x = np.unpackbits(np.stack([np.frombuffer(r["bits"], np.uint8) for r in rows]), axis=1).astype(np.float32)
-    own = np.sqrt(np.maximum(x.sum(axis=1), 1))
-    marks = np.array([r["rank"] <= LANDMARKS for r in rows])
-    columns = np.flatnonzero(x[marks].any(axis=0))
-    landmarks = (x[marks][:, columns] / own[marks, None]).T.copy()
+    bits_of = lambda some: np.unpackbits(np.stack([np.frombuffer(r["bits"], np.uint8) for r in some]), axis=1)
+    marks = np.array([r["rank"] <= most_marks for r in rows])
+    chosen_bits = bits_of([r for r, m in zip(rows, marks) if m])
+    columns = np.flatnonzero(chosen_bits.any(axis=0))
+    landmarks = (chosen_bits[:, columns] / np.sqrt(np.maximum(chosen_bits.sum(axis=1, dtype=np.float32), 1))[:, None]).T.astype(np.float32)
     languages = sorted({r["lang"] for r in rows})
-    y = np.where(np.array([[r["lang"] == g for g in languages] for r in rows]), 1.0, -1.0)
-    k = (x[:, columns] @ landmarks / own[:, None]).astype(np.float64)      # texts x landmarks
+    place = {g: i for i, g in enumerate(languages)}
+    y = np.full((len(rows), len(languages)), -1.0)
+    y[np.arange(len(rows)), [place[r["lang"]] for r in rows]] = 1.0
+    pieces = []
+    for at in range(0, len(rows), 256):                                    # texts x landmarks
+        x = bits_of(rows[at:at + 256])
+        pieces.append(x[:, columns].astype(np.float32) @ landmarks / np.sqrt(np.maximum(x.sum(axis=1, dtype=np.float32), 1))[:, None])
+    k = np.vstack(pieces).astype(np.float64)
     mm = k[marks]
     left = k.T @ k + RIDGE * len(rows) * (mm + mm.T) / 2 + 1e-9 * np.eye(len(mm))
     weights = np.linalg.lstsq(left, k.T @ y, rcond=None)[0]

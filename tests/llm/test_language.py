@@ -38,3 +38,50 @@ def test_edges(spark, make_docs, odd_rows):
     nothing = lg.train(make_docs(odd_rows))
     assert {r["lang_pred"] for r in lg.predictions(make_docs(odd_rows), nothing).collect()} == {"und"}
     assert lg.predictions(make_docs([]), model).count() == 0
+
+
+def test_more_than_a_hundred_languages(spark):
+    """Every language is learned, also the rarest; the sample stays bounded."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzéßñøł"
+    words = {f"l{i:03d}": ["".join(rng.choice(letters) for _ in range(rng.randint(3, 7))) for _ in range(40)] for i in range(110)}
+    rows = [(rng.randrange(10**9), " ".join(rng.choice(own) for _ in range(30)), name) for i, (name, own) in enumerate(words.items()) for k in range(12 if i < 100 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lg.train(docs)
+    assert len(model.languages) == 110 and model.landmarks.shape[1] <= max(lg.MARKS, 110)
+    got = lg.predictions(docs, model).toPandas().merge(docs.select("doc_id", "lang").toPandas(), on="doc_id")
+    held = got[got.held_out]
+    assert (held.lang_pred == held.lang).mean() > 0.97
+    assert (held[held.lang >= "l100"].lang_pred == held[held.lang >= "l100"].lang).mean() > 0.9
+
+
+def test_prediction_against_a_plain_kernel(spark):
+    """The weights solve the ridge equations of the plain kernel, and scores follow from it."""
+    rng = random.Random(9)
+    words = {"aa": ["zat", "kog", "pim"], "bb": ["mul", "éri", "tov"], "cc": ["sza", "gyö", "kek"]}
+    rows = [(i, " ".join(rng.choice(words[g]) for _ in range(8)), g) for i, g in enumerate(sorted(words) * 25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lg.train(docs)
+
+    def grams(t):
+        b = bytes(lg._letter[c] for c in t.encode())
+        return {((int.from_bytes(b[i:i + n], "big") + n - 1) * 0x9E3779B1 % 2**32) >> (32 - lg.BITS) for n in lg.NGRAMS for i in range(len(b) - n + 1)}
+
+    def kernel(x, y):
+        return len(x & y) / np.sqrt(len(x) * len(y))
+
+    held = {r["doc_id"] for r in docs.select("doc_id", lg.held_out().alias("h")).where("h").collect()}
+    by = {}
+    for r in docs.selectExpr("doc_id", "text", "lang", "xxhash64(doc_id) as h").orderBy("lang", "h", "doc_id").collect():
+        if r["doc_id"] not in held:
+            by.setdefault(r["lang"], []).append(grams(r["text"]))
+    marks = [g for lang in sorted(by) for g in by[lang][:lg.LANDMARKS]]
+    train = [(g, lang) for lang in sorted(by) for g in by[lang][:lg.PER_LANGUAGE]]
+    k = np.array([[kernel(g, m) for m in marks] for g, _ in train])
+    mm = np.array([[kernel(a, b) for b in marks] for a in marks])
+    y = np.array([[1.0 if lang == g else -1.0 for g in sorted(by)] for _, lang in train])
+    w = np.linalg.lstsq(k.T @ k + lg.RIDGE * len(train) * mm + 1e-9 * np.eye(len(mm)), k.T @ y, rcond=None)[0]
+    for r in lg.predictions(docs, model).join(docs, "doc_id").collect():
+        f = np.array([kernel(grams(r["text"]), m) for m in marks]) @ w
+        assert r["lang_pred"] == sorted(by)[f.argmax()]
+        assert abs(r["score"] - np.clip((f.max() + 1) / 2, 0, 1)) < 1e-2
