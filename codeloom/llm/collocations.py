@@ -40,9 +40,9 @@ FILTER_BITS = 27
 #: Sampled rows for each splitter.
 SAMPLES = 32
 #: Arcs of a shard's automaton before it is sent, and at most in one part of it.
-MOST_ARCS, PART_ARCS = 1_500_000, 30_000
+MOST_ARCS, PART_ARCS = 400_000, 30_000
 #: Distinct words of a task before they are sent.
-MOST_WORDS = 500_000
+MOST_WORDS = 200_000
 PIECE = 1 << 19
 UNKNOWN = "und"
 #: Depth of a prefix that splitters cut at: language and two words.
@@ -109,6 +109,11 @@ def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
 
 
+def _arcs(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Arcs from sorted keys of parent (upper half) and label."""
+    return (keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32), weights
+
+
 @dataclass
 class Trie:
     """Phrases as paths: for each depth the arcs' parents (arcs of the depth before), labels
@@ -137,11 +142,11 @@ class Trie:
                 own = np.where(end, weights[on], 0)
             sums = np.zeros(len(unique), np.int64)
             np.add.at(sums, back, own)
-            levels.append((unique >> 32, unique & 0xFFFFFFFF, sums))
+            levels.append(_arcs(unique, sums))
         return Trie(levels)
 
     def relabeled(self, to: np.ndarray) -> Trie:
-        return Trie([(p, to[x], w) for p, x, w in self.levels])
+        return Trie([(p, to[x].astype(np.int32), w) for p, x, w in self.levels])
 
     def united(self, *others: Trie) -> Trie:
         """The union with weights added; also puts a relabeled trie in order (without others)."""
@@ -149,13 +154,13 @@ class Trie:
         state = [np.zeros(1, np.int64) for _ in tries]
         for d in range(max(len(t.levels) for t in tries)):
             have = [(i, t.levels[d]) for i, t in enumerate(tries) if d < len(t.levels)]
-            unique, back = np.unique(np.concatenate([state[i][p] << 32 | x for i, (p, x, _) in have]), return_inverse=True)
+            unique, back = np.unique(np.concatenate([state[i][p].astype(np.int64) << 32 | x for i, (p, x, _) in have]), return_inverse=True)
             sums = np.zeros(len(unique), np.int64)
             np.add.at(sums, back, np.concatenate([w for _, (_, _, w) in have]))
             cuts = np.cumsum([len(x) for _, (_, x, _) in have])[:-1]
             for (i, _), own in zip(have, np.split(back, cuts)):
                 state[i] = own
-            levels.append((unique >> 32, unique & 0xFFFFFFFF, sums))
+            levels.append(_arcs(unique, sums))
         return Trie(levels)
 
     def under(self, depth: int, a: int, b: int) -> Trie:
@@ -217,7 +222,7 @@ class Trie:
         for size, label, weight, target in automaton:
             firsts, own = np.cumsum(size) - size, size[state]
             arcs = np.repeat(firsts[state] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-            levels.append((np.repeat(np.arange(len(state)), own), label[arcs].astype(np.int64), weight[arcs]))
+            levels.append((np.repeat(np.arange(len(state), dtype=np.int32), own), label[arcs].astype(np.int32), weight[arcs]))
             state = target[arcs]
         return Trie([v for v in levels if len(v[1])])
 
@@ -232,7 +237,7 @@ def compose(paths: Trie, counts: Trie) -> list[np.ndarray]:
             state = np.full(len(label), -1)
             continue
         p, x, w = counts.levels[d]
-        key = p << 32 | x
+        key = p.astype(np.int64) << 32 | x
         want = at << 32 | label
         place = np.minimum(np.searchsorted(key, want), len(key) - 1)
         hit = (at >= 0) & (key[place] == want)

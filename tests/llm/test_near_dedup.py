@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -136,3 +137,67 @@ def test_components_against_union_find(spark):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def links_by_all_pairs(texts, idf):
+    """Every pair (i, j) of texts whose weighted Jaccard similarity reaches the threshold.
+
+    All pairs are looked at: with weights summed into 256 places, the sum of the places' minima is never
+    less than that of the shingles, so a pair that fails there fails; the rest is compared in full.
+    """
+    ids, counts, at, _ = nd.text_shingles(*arrays.utf8(pa.array(texts, pa.string())))
+    w = nd.weights(ids, counts, idf)
+    text = np.repeat(np.arange(len(texts)), np.diff(at))
+    places = np.zeros((len(texts), 256), np.int32)
+    np.add.at(places, (text, (ids % np.uint64(251)).astype(np.int64)), w)
+    total = places.sum(axis=1)
+    short, small = (ids >> np.uint64(nd.ID_BITS - 32)).astype("<u4"), w.astype(np.uint8)
+    sets = [(short[a:b].tobytes(), small[a:b].tobytes()) for a, b in zip(at, at[1:])]
+    order = np.argsort(total, kind="stable")
+    order = order[total[order] > 0]
+    upto = np.searchsorted(total[order], total[order] / nd.SIMILARITY + 1e-9, side="right")
+    found, compared = [], 0
+    for n, i in enumerate(order.tolist()):
+        near = order[n + 1:upto[n]]
+        low = np.minimum(places[i], places[near]).sum(axis=1)
+        for j in near[low >= nd.SIMILARITY * (total[i] + total[near] - low) - 1e-6].tolist():
+            compared += 1
+            if nd.weighted_jaccard(*sets[i], *sets[j]) >= nd.SIMILARITY:
+                found.append((i, j))
+    return found, compared
+
+
+def test_recall_on_the_given_tables(spark):
+    """Of all links in the given documents (NEAR_RECALL_DIR to change them), the share whose ends are in one class; and no class is too large."""
+    d = os.environ.get("NEAR_RECALL_DIR", "/root/testdata/sf0.01")
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    idf = nd.idf_table(*nd.frequency_sketch(docs))
+    rows = docs.orderBy("doc_id").collect()
+    got = {r["doc_id"]: r["class_id"] for r in nd.classes(docs).collect()}
+    first, texts = {}, []
+    for r in rows:
+        key = tuple(arrays.words(*arrays.utf8(pa.array([r["text"]], pa.string())))[0].tolist())
+        if key not in first:
+            first[key] = len(texts)
+            texts.append(r)
+        assert not key or got[r["doc_id"]] == got[texts[first[key]]["doc_id"]]
+    links, _ = links_by_all_pairs([r["text"] for r in texts], idf)
+    owner = list(range(len(texts)))
+
+    def find(i):
+        while owner[i] != i:
+            owner[i] = owner[owner[i]]
+            i = owner[i]
+        return i
+
+    held = 0
+    for i, j in links:
+        held += got[texts[i]["doc_id"]] == got[texts[j]["doc_id"]]
+        a, b = sorted((find(i), find(j)))
+        owner[b] = a
+    print(f"{len(links)} links between {len(texts)} different texts, {held} within classes")
+    assert held >= 0.99 * len(links) and len(links) > 3
+    members = {}
+    for i, r in enumerate(texts):
+        members.setdefault(got[r["doc_id"]], set()).add(find(i))
+    assert all(len(m) == 1 for m in members.values())        # no class holds more than links join

@@ -131,3 +131,33 @@ def test_without_labels(spark, make_docs, odd_rows):
         assert len(got) == len(odd_rows) and all(0 <= r["score"] <= 1 for r in got)
         assert all(r["predicted"] == int(r["score"] >= 0.5) for r in got)
         assert not any(r["held_out"] for r in got if r["doc_id"] is None)
+
+
+def test_lambda_and_features_by_their_definitions():
+    """lambda solves its equation; features follow from the maximal segments and the extreme-value law."""
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        n = int(rng.integers(1, 30))
+        odds, share = rng.normal(0, 2, n), rng.dirichlet(np.ones(n + 5))[:n]
+        drift = float(rng.choice([0.01, 0.2, 3.0]))
+        lam = tx._lambda(odds, share, drift)
+        mean = (share * odds).sum() - (1 - share.sum()) * drift
+        if mean >= 0:
+            assert lam is None
+        elif lam is not None:
+            assert abs((1 - share.sum()) * np.exp(-lam * drift) + (share * np.exp(lam * odds)).sum() - 1) < 1e-6 and lam > 0
+    odds, drift, lam, k = np.array([1.5, -0.7, 2.2, 0.4]), 0.3, 0.8, 0.2
+    texts = [[], [(3, 0)], [(0, 1), (4, 2), (5, 3)], [(2, 1)], [(0, 0), (1, 2), (9, 0), (30, 3)]]
+    n_words = np.array([0, 10, 8, 5, 40])
+    hits = np.array([(t, at, w) for t, hit in enumerate(texts) for at, w in hit]).T
+    got, best = tx.features(hits, n_words, odds, drift, lam, k)
+    for t, hit in enumerate(texts):
+        scores = [-drift] * int(n_words[t])
+        for at, w in hit:
+            scores[at] = odds[w]
+        found = [s for *_, s in brute_segments(scores)] if any(odds[w] > 0 for _, w in hit) else []
+        space = k * max(n_words[t], 1)
+        top = lam * max(found) if found else 0.0
+        assert abs(best[t] - top) < 1e-9
+        assert abs(got[t, 0] - (-np.log(1 - np.exp(-space * np.exp(-top))) if found else 0)) < 1e-6
+        assert abs(got[t, 1] - sum(max(0.0, lam * s - np.log(space)) for s in found)) < 1e-9
