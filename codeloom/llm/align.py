@@ -45,6 +45,8 @@ LONG = 1 << 16
 FAN = 8
 #: Rows of the table of counted pairs that are handed to every task (17 bytes each).
 MOST_PAIRS = 4_000_000
+#: Segments, and their ids, that a worker keeps before it starts over.
+MOST_KEPT, MOST_IDS = 300_000, 4_000_000
 #: Bits of an id in a pair's code, and of the text's number above the two.
 ID_BITS = 20
 PIECE = 1 << 18
@@ -52,6 +54,8 @@ PIECE = 1 << 18
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _other = re.compile("[^\t\n\r\x20-\x7eÀ-ɏ]")
+#: A blank and printable ASCII or two-byte Latin characters.
+_one_word = re.compile(rb"^ (?:[!-~]|[\xc3-\xc8][\x80-\xbf])+\Z")
 _cut = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
 
 
@@ -87,12 +91,91 @@ class Sides:
         self.digits = np.char.encode(np.arange(most).astype("S7").astype(str), "ascii").astype("S7").view(np.uint8).reshape(most, 7)
         self.n_digits = (self.digits > 0).sum(axis=1)
 
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)     # sorted hashes of the segments kept, their entries
+        self.good = np.zeros(0, bool)                                           # of an entry: whether both sides spell it
+        self.flat = [np.zeros(1 << 16, np.int32) for _ in "ab"]
+        self.at, self.count, self.used = [np.zeros(0, np.int64) for _ in "ab"], [np.zeros(0, np.int64) for _ in "ab"], [0, 0]
+
     def encode_a(self, text: str) -> list[int]:
         """Ids of a text.  Both libraries agree on Latin text; the vocabulary's own reads the rest."""
         if _other.search(text):
             return self.exact.encode(text, add_special_tokens=False).ids
         return self.quick.encode_ordinary(text)
 
+    def _together(self, side: int, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of segments one after the other and how many each has; None unless the tokens spell them, each by itself."""
+        flat, at = (self.bytes_a, self.bytes_b)[side]
+        ids = np.asarray(self.encode_a(text) if side == 0 else self.b.encode(text[1:], num_threads=1), np.int64)
+        length = at[ids + 1] - at[ids]
+        token_ends = np.cumsum(length)
+        if not len(ids) or token_ends[-1] != ends[-1]:
+            return None
+        spelled = flat[np.repeat(at[ids] - (token_ends - length), length) + np.arange(token_ends[-1])]
+        upto = np.searchsorted(token_ends, ends)
+        if (token_ends[upto] != ends).any() or spelled.tobytes() != text.encode():
+            return None
+        return ids, np.diff(upto, prepend=-1)
+
+    def _each(self, side: int, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`_together`, one segment at a time, and which are spelled."""
+        flat, at = (self.bytes_a, self.bytes_b)[side]
+        spelled, low = flat.tobytes(), at.tolist()
+        texts = [x.decode() for x in raw]
+        ids = [self.encode_a(t) for t in texts] if side == 0 else self.b.encode([t[1:] for t in texts], num_threads=1)
+        good = np.array([b"".join([spelled[low[i]:low[i + 1]] for i in x]) == r for x, r in zip(ids, raw)], bool)
+        return np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids], np.int64), good
+
+    def _keep(self, hashes: np.ndarray, sides: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray) -> np.ndarray:
+        for side, (every, count) in enumerate(sides):
+            while self.used[side] + len(every) > len(self.flat[side]):
+                self.flat[side] = np.concatenate([self.flat[side], np.zeros_like(self.flat[side])])
+            self.flat[side][self.used[side]:self.used[side] + len(every)] = every
+            first = self.used[side] + np.cumsum(count) - count
+            self.at[side], self.count[side] = np.concatenate([self.at[side], first]), np.concatenate([self.count[side], count])
+            self.used[side] += len(every)
+        entries = np.arange(len(self.good), len(self.good) + len(hashes))
+        self.good = np.concatenate([self.good, good])
+        place = np.searchsorted(self.keys, hashes)
+        self.keys, self.entry = np.insert(self.keys, place, hashes), np.insert(self.entry, place, entries)
+        return entries
+
+    def _add(self, hashes: np.ndarray, raw: list[bytes]) -> np.ndarray:
+        """Entries of new segments.  Those of a blank and a word are tokenised together: each begins at a cut."""
+        out = np.empty(len(raw), np.int64)
+        plain = np.array([_one_word.match(x) is not None for x in raw], bool)
+        some = np.flatnonzero(plain)
+        if len(some):
+            joined = b"".join([raw[i] for i in some]).decode()
+            ends = np.cumsum([len(raw[i]) for i in some])
+            both = [self._together(side, joined, ends) for side in range(2)]
+            if any(x is None for x in both):
+                plain[:] = False
+            else:
+                out[some] = self._keep(hashes[some], both, np.ones(len(some), bool))
+        some = np.flatnonzero(~plain)
+        if len(some):
+            both = [self._each(side, [raw[i] for i in some]) for side in range(2)]
+            out[some] = self._keep(hashes[some], [x[:2] for x in both], both[0][2] & both[1][2])
+        return out
+
+    def entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The kept segments that ``data[start:end]`` are; new ones are tokenised, each once."""
+        if len(self.keys) > MOST_KEPT or max(self.used) > MOST_IDS:
+            self.clear()
+        unique, first, back = np.unique(arrays.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.keys, unique), max(len(self.keys) - 1, 0))
+        known = self.keys[place] == unique if len(self.keys) else np.zeros(len(unique), bool)
+        out = np.zeros(len(unique), np.int64)
+        out[known] = self.entry[place[known]] if known.any() else 0
+        new = np.flatnonzero(~known)
+        if len(new):
+            raw = data.tobytes()
+            out[new] = self._add(unique[new], [raw[i:j] for i, j in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+        return out[back]
+
 
 @functools.cache
 def sides(a_path: str, b_path: str) -> Sides:
@@ -113,50 +196,79 @@ class Stream:
         return Stream(np.concatenate([self.ids, other.ids]), np.concatenate([self.ends, other.ends]))
 
 
-def _stream(ids: list[list[int]], table: tuple[np.ndarray, np.ndarray], data: np.ndarray, bounds: np.ndarray) -> tuple[Stream, np.ndarray]:
-    """The tokens of texts whose bytes are ``data[bounds[i]:bounds[i + 1]]``, and which texts the
-    tokens spell; the others' tokens are left out."""
-    flat, at = table
-    counts = np.array([len(x) for x in ids], np.int64)
-    every = np.concatenate([np.asarray(x, np.int64) for x in ids]) if len(ids) else np.zeros(0, np.int64)
-    text = np.repeat(np.arange(len(ids)), counts)
-    length = at[every + 1] - at[every]
-    ok = np.bincount(text, length, minlength=len(ids)) == np.diff(bounds)
-    keep = ok[text]
-    every, text, length = every[keep], text[keep], length[keep]
-    size = np.where(ok, np.diff(bounds), 0)
-    shift = bounds[:-1] - (np.cumsum(size) - size)          # from the kept texts' bytes to all
-    inside = np.cumsum(length)
-    spelled = flat[np.repeat(at[every] - (inside - length), length) + np.arange(inside[-1] if len(inside) else 0)]
-    owner = np.repeat(np.arange(len(ids)), size)
-    differs = spelled != data[np.arange(len(owner)) + shift[owner]]
-    ok[owner[differs]] = False
-    keep = ok[text]
-    return Stream(every[keep], (inside + shift[text])[keep]), ok
+def _latin(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a printable ASCII or Latin character ends, and begins, at each byte."""
+    plain, lead = (data > 32) & (data < 127), (data >= 0xC3) & (data <= 0xC8)
+    ends = plain.copy()
+    ends[1:] |= lead[:-1]
+    return ends, plain | lead
+
+
+def segments(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the texts' segments begin: at the texts' first bytes and at cuts (single blanks between two such characters)."""
+    ends, begins = _latin(data)
+    cut = np.zeros(len(data), bool)
+    cut[1:-1] = (data[1:-1] == 32) & ends[:-2] & begins[2:]
+    first = bounds[:-1]
+    cut[first] = True
+    cut[first[first > 0] - 1] &= False          # a text's last byte begins nothing
+    return np.flatnonzero(cut)
 
 
 def streams(s: Sides, texts: list[str], follows: list[bool]) -> tuple[Stream, Stream, np.ndarray, np.ndarray]:
     """Tokens of both sides over the joined bytes of blank and text, the texts' byte bounds, and
-    which are spelled by both.  A text that follows another chunk begins with the blank itself."""
-    spaced = [t if f else " " + t for t, f in zip(texts, follows)]
-    raw = [t.encode() for t in spaced]
+    which are spelled by both.  A text that follows another chunk begins with the blank itself.
+
+    A segment begins with a blank that starts a token of both sides, so it is tokenised by itself, and
+    once for all its occurrences.
+    """
+    raw = [(t if f else " " + t).encode() for t, f in zip(texts, follows)]
     bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     data = np.frombuffer(b"".join(raw), np.uint8)
-    a, ok_a = _stream([s.encode_a(t) for t in spaced], s.bytes_a, data, bounds)
-    b, ok_b = _stream(s.b.encode([t[1:] for t in spaced], num_threads=1) if texts else [], s.bytes_b, data, bounds)
-    ok = ok_a & ok_b
-    for side in (a, b):
-        own = ok[np.searchsorted(bounds, side.ends, side="left") - 1]
-        side.ids, side.ends = side.ids[own], side.ends[own]
-    return a, b, bounds, ok
+    if not len(texts):
+        return Stream(), Stream(), bounds, np.zeros(0, bool)
+    starts = segments(data, bounds)
+    ends = np.append(starts[1:], len(data))
+    entry = s.entries(data, starts, ends)
+    text = np.searchsorted(bounds, starts, side="right") - 1
+    ok = np.bincount(text, ~s.good[entry], minlength=len(texts)) == 0
+    own = ok[text]
+    entry, starts, ends = entry[own], starts[own], ends[own]
+    out = []
+    for side, (_, at) in enumerate((s.bytes_a, s.bytes_b)):
+        count = s.count[side][entry]
+        upto = np.cumsum(count)
+        ids = s.flat[side][np.repeat(s.at[side][entry] - (upto - count), count) + np.arange(upto[-1] if len(upto) else 0)].astype(np.int64)
+        inside = np.cumsum(at[ids + 1] - at[ids])
+        size = ends - starts
+        out.append(Stream(ids, inside + np.repeat(starts - (np.cumsum(size) - size), count)))
+    return out[0], out[1], bounds, ok
+
+
+def _marked(a: Stream, b: Stream) -> tuple[int, np.ndarray, np.ndarray]:
+    """The first end, and from it on whether a token of each side ends at a byte."""
+    low = int(min(x.ends[0] for x in (a, b) if len(x.ends)))
+    high = int(max(x.ends[-1] for x in (a, b) if len(x.ends)))
+    marks = np.zeros((2, high - low + 1), bool)
+    marks[0, a.ends - low] = True
+    marks[1, b.ends - low] = True
+    return low, marks[0], marks[1]
+
+
+def common_ends(a: Stream, b: Stream) -> np.ndarray:
+    if not len(a.ends) or not len(b.ends):
+        return np.zeros(0, np.int64)
+    low, x, y = _marked(a, b)
+    return np.flatnonzero(x & y) + low
 
 
 def group_text(s: Sides, a: Stream, b: Stream, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``a1,a2|b1;a3|b2,b3;`` as bytes for the groups that end at ``common``, and where each ends."""
-    ga, gb = np.searchsorted(common, a.ends), np.searchsorted(common, b.ends)
-    groups = np.arange(len(common))
-    order = np.argsort(np.concatenate([2 * ga, 2 * gb + 1]), kind="stable")
-    ids = np.concatenate([a.ids, b.ids])[order]
+    upto_a, upto_b = np.searchsorted(a.ends, common, side="right"), np.searchsorted(b.ends, common, side="right")
+    n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+    ids = np.empty(len(a.ids) + len(b.ids), np.int64)
+    ids[np.arange(len(a.ids)) + np.repeat(upto_b - n_b, n_a)] = a.ids
+    ids[np.arange(len(b.ids)) + np.repeat(upto_a, n_b)] = b.ids
     size = s.n_digits[ids] + 1
     ends = np.cumsum(size)
     out = np.full(int(ends[-1]) if len(ends) else 0, 44, np.uint8)
@@ -166,9 +278,7 @@ def group_text(s: Sides, a: Stream, b: Stream, common: np.ndarray) -> tuple[np.n
         if not len(has):
             break
         out[starts[has] + d] = s.digits[ids[has], d]
-    upto_a, upto_b = np.searchsorted(ga, groups, side="right"), np.searchsorted(gb, groups, side="right")
-    before_b = np.concatenate([[0], upto_b[:-1]]) if len(groups) else upto_b
-    out[ends[upto_a + before_b - 1] - 1] = 124
+    out[ends[upto_a + (upto_b - n_b) - 1] - 1] = 124
     close = ends[upto_a + upto_b - 1]
     out[close - 1] = 59
     return out, close
@@ -176,9 +286,11 @@ def group_text(s: Sides, a: Stream, b: Stream, common: np.ndarray) -> tuple[np.n
 
 def linked(a: Stream, b: Stream) -> tuple[np.ndarray, np.ndarray]:
     """Every link's code, and the byte where it ends: between two neighbouring ends one token of each side overlap."""
-    ends = np.union1d(a.ends, b.ends)
-    code = a.ids[np.searchsorted(a.ends, ends)] << ID_BITS | b.ids[np.searchsorted(b.ends, ends)] if len(ends) else ends
-    return code, ends
+    if not len(a.ends) or not len(b.ends):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low, x, y = _marked(a, b)
+    at = np.flatnonzero(x | y)
+    return a.ids[(np.cumsum(x) - x)[at]] << ID_BITS | b.ids[(np.cumsum(y) - y)[at]], at + low
 
 
 @dataclass
@@ -203,7 +315,7 @@ def _counted(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def fragment(s: Sides, a: Stream, b: Stream, ok: bool = True) -> Fragment:
-    common = np.intersect1d(a.ends, b.ends, assume_unique=True)
+    common = common_ends(a, b)
     if not len(common):
         return Fragment((a, b), (Stream(), Stream()), n_a=len(a.ids), n_b=len(b.ids), ok=ok)
     first, last, end = int(common[0]), int(common[-1]), 1 << 62
@@ -264,7 +376,7 @@ def align_texts(s: Sides, texts: list[str]) -> pa.RecordBatch:
     for side in (a, b):
         own = ok[np.searchsorted(bounds, side.ends, side="left") - 1]
         side.ids, side.ends = side.ids[own], side.ends[own]
-    common = np.intersect1d(a.ends, b.ends, assume_unique=True)
+    common = common_ends(a, b)
     shown, close = group_text(s, a, b, common)
     code, ends = linked(a, b)
     count = [np.diff(np.searchsorted(x, bounds, side="right")) for x in (a.ends, b.ends, common, ends)]
