@@ -106,21 +106,25 @@ def graded_lists(codes: DataFrame, keys: DataFrame, overrides: DataFrame | None,
     (code, target) follows the cascade.  Only the codes of the literal ``overrides`` sort two short
     arrays together.  Rows as in ``best_graded``, see :func:`graded_rows`.
     """
-    entry = ["target", "rank", "match_type", "multi_io"]
     found = matched_entries(drop_codes_filter(codes, drop_codes), keys, lengths, width, blocks)
     own_type = F.when(F.col("L") == width, F.lit(EXACT)).otherwise(F.concat(F.lit("prefix_"), F.col("L").cast("string"), F.lit("d")))
-    d = found.withColumn("match_type", own_type).withColumn("rank", rank_of("match_type", ranks))
-    d = d.withColumn("matches", F.transform("entries", lambda x: F.struct(
-        x["target"].alias("target"), F.col("rank").alias("rank"), F.col("match_type").alias("match_type"), x["multi_io"].alias("multi_io"))))
-    if overrides is not None:
-        extra = overrides.withColumn("rank", rank_of("match_type", ranks)).groupBy("code").agg(F.collect_set(F.struct(*entry)).alias("extra"))
-        d = d.join(sized_broadcast(extra, bound=known_rows(overrides)), "code", "left")
-        both = d.withColumn("matches", F.when(F.col("extra").isNull(), F.col("matches")).otherwise(F.array_sort(F.concat("matches", "extra"))))
-        d = first_per(both, "matches", "target")
-    d = d.select("code", F.size("matches").cast("long").alias("n_targets"), "matches").where("n_targets > 0")
-    tier = lambda x: _quality_of(x["match_type"], F.col("n_targets"), clean_types, acceptable_max, coarse_max)
-    return d.withColumn("matches", F.transform("matches", lambda x: F.struct(
-        x["target"].alias("target"), x["multi_io"].alias("multi_io"), x["match_type"].alias("match_type"), tier(x).alias("match_quality"))))
+    d = found.withColumn("match_type", own_type).withColumn("n_targets", F.size("entries").cast("long"))
+    tier = lambda t: _quality_of(t, F.col("n_targets"), clean_types, acceptable_max, coarse_max)
+    listed = lambda x, t, q: F.struct(x["target"].alias("target"), x["multi_io"].alias("multi_io"), t.alias("match_type"), q.alias("match_quality"))
+    # all entries of a code have its tier, so its grade is computed once per code
+    plain = F.transform("entries", lambda x: listed(x, F.col("match_type"), F.col("match_quality")))
+    if overrides is None:
+        return d.where("n_targets > 0").withColumn("match_quality", tier(F.col("match_type"))).select("code", "n_targets", plain.alias("matches"))
+    entry = ["target", "rank", "match_type", "multi_io"]
+    extra = overrides.withColumn("rank", rank_of("match_type", ranks)).groupBy("code").agg(F.collect_set(F.struct(*entry)).alias("extra"))
+    d = d.join(sized_broadcast(extra, bound=known_rows(overrides)), "code", "left").withColumn("rank", rank_of("match_type", ranks))
+    both = F.array_sort(F.concat(F.transform("entries", lambda x: F.struct(
+        x["target"].alias("target"), F.col("rank").alias("rank"), F.col("match_type").alias("match_type"), x["multi_io"].alias("multi_io"))), "extra"))
+    d = first_per(d.withColumn("both", F.when(F.col("extra").isNotNull(), both)), "both", "target")
+    d = d.withColumn("n_targets", F.when(F.col("both").isNotNull(), F.size("both").cast("long")).otherwise(F.col("n_targets"))).where("n_targets > 0")
+    mixed = F.transform("both", lambda x: listed(x, x["match_type"], tier(x["match_type"])))
+    d = d.withColumn("match_quality", tier(F.col("match_type")))
+    return d.select("code", "n_targets", F.when(F.col("both").isNull(), plain).otherwise(mixed).alias("matches"))
 
 
 def graded_rows(lists: DataFrame) -> DataFrame:
