@@ -382,11 +382,12 @@ def prefix_pairs(open_nodes: DataFrame, docs: DataFrame, idf: np.ndarray, simila
         x, y = (f.select("id", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "total", "rest", "more", "component")]) for f, side in ((x, "x"), (y, "y")))
         both = x.join(y, "id").where((F.col("component_x") != F.col("component_y")) & (F.least("rest_x", "rest_y") >= half * (F.col("total_x") + F.col("total_y"))))
         near = F.least("total_x", "total_y") >= similarity * F.greatest("total_x", "total_y")
-        both = both.where(near).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), F.col("more_x").alias("more_a"), F.col("more_y").alias("more_b"))
-        return _in_common(both)
+        first = F.col("node_x") < F.col("node_y")
+        return both.where(near).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"),
+                                       F.when(first, F.col("more_x")).otherwise(F.col("more_y")).alias("more_a"), F.when(first, F.col("more_y")).otherwise(F.col("more_x")).alias("more_b"))
 
     pairs = met(prefix.where("early and outside"), prefix).unionByName(met(prefix.where("early and not outside"), prefix.where("outside")))
-    return pairs.distinct()
+    return _in_common(pairs.groupBy("a", "b").agg(F.first("more_a").alias("more_a"), F.first("more_b").alias("more_b")))   # a pair meets under several shingles
 
 
 def _several(state: DataFrame) -> DataFrame:
