@@ -364,10 +364,19 @@ def splitters_of(grams: DataFrame, ranges: int) -> list[tuple[bytes, ...]]:
     luck = F.pmod(F.xxhash64("lang", "phrase"), F.lit(1 << 20)) / float(1 << 20)
     rows = grams.select("lang", "phrase", F.floor(F.col("f") / step + luck).alias("n")).where("n > 0").collect()
     rows = sorted(((r["lang"].encode(), *r["phrase"].encode().split(b" ")[:PREFIX - 1]), r["n"]) for r in rows)
-    upto, out, per = 0, [], sum(n for _, n in rows) / ranges
+    upto, done, out, per = 0, 0, [], sum(n for _, n in rows) / ranges
     for prefix, n in rows:
-        if upto >= per * (len(out) + 1) and (not out or out[-1] < prefix):
+        if upto >= per * (done + 1) and (not out or out[-1] < prefix):
             out.append(prefix)
+            done = int(upto // per)
+        if len(prefix) < PREFIX and n > per:          # a frequent first word is cut at second words, as the language's words are spread
+            words = [(p[1], m) for p, m in rows if p[0] == prefix[0]]
+            share, so_far, cuts = sum(m for _, m in words) / (int(n // per) + 1), 0, 1
+            for word, m in words:
+                if so_far >= share * cuts:
+                    out.append((*prefix, word))
+                    cuts = int(so_far // share) + 1
+                so_far += m
         upto += n
     return out
 
