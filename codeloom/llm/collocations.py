@@ -317,7 +317,7 @@ class Shard:
     def parts(self, splitters: list[tuple[bytes, ...]]) -> Iterator[tuple[int, bytes]]:
         """(range, automaton) of everything added; empties the shard."""
         trie = self.stack[0].united(*self.stack[1:])
-        symbols = sorted(self.symbols)
+        symbols = sorted(set(self.symbols))              # a language's name may be a word as well
         index = {s: i for i, s in enumerate(symbols)}
         trie = trie.relabeled(np.array([index[s] for s in self.symbols], np.int64)).united()
         self.__init__()

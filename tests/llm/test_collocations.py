@@ -77,6 +77,22 @@ def test_counting_from_a_depth_and_cutting():
     assert not shard.size
 
 
+def test_a_language_named_like_a_word():
+    cuts = [(b"de", b"b"), (b"de", b"de"), (b"de", b"x")]
+    for words in ([b"a", b"c", b"y"], [b"a", b"de", b"y"]):           # without and with a word "de"
+        shard = co.Shard()
+        lang = shard.number(co._hash_bytes([b"\0de"]), lambda i: b"de")
+        label = shard.number(co._hash_bytes(words), lambda i: words[i])
+        paths = np.array([[lang[0], a, b] for a in label for b in label])
+        shard.add(co.Trie.of(paths, np.ones(len(paths), np.int64), counted_from=3))
+        for r, blob in shard.parts(cuts):
+            trie, own = co.unpacked(blob)
+            for path in weights(trie):
+                path = tuple(own[i] for i in path)
+                if len(path) == 3:
+                    assert sum(c <= path for c in cuts) == r, (path, r)
+
+
 def brute(rows, least, top):
     """(lang, rank, phrase, a, l, r, n, score) by plain counting."""
     import re
@@ -143,3 +159,13 @@ def test_long_text_and_copies(spark):
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
     got = sorted(tuple(r) for r in co.collocations(docs, least=100, top=50).collect())
     assert got == brute(rows, 100, 50)
+
+
+def test_languages_named_like_words_of_some_tasks(spark):
+    rng = random.Random(11)
+    words = [f"{a}{b}" for a in "aehmtz" for b in "aiou"]
+    rows = [(" ".join(rng.choice(words) for _ in range(60)), rng.choice(["en", "ho"])) for _ in range(60)]
+    rows += [("en ho " + text, lang) for text, lang in rows[:20]]     # the names are words of the last texts alone
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1).repartitionByRange(6, "text")
+    got = sorted(tuple(r) for r in co.collocations(docs, least=4, top=2000).collect())
+    assert got == brute(rows, 4, 2000) and got
