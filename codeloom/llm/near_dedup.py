@@ -19,8 +19,9 @@
 5. The nodes of all such buckets that still hold several components meet by a prefix filter, which
    leaves out no pair at the threshold: shingles are ordered by the number of these nodes they are
    in, and two nodes above the threshold share one before either has passed a fifth of its weight.
-   Pairs of one component are left out, also of one that arises meanwhile: the likeliest pairs (by
-   the samples, in ``TIERS``) are verified first, and pairs are sifted where they meet.
+   Neighbours in a shingle's list, ordered by the samples, are compared first, in turns, so that a large
+   group is joined by pairs that grow as its nodes.  Then all pairs that meet and are of different
+   components follow, sifted where they meet and the likeliest (in ``TIERS``) verified first.
 6. A class is a component with all copies of its nodes; the smallest doc_id stays.
 
 Defined results: words are lower-cased A-Z runs of ASCII letters, digits and all non-ASCII
@@ -65,8 +66,10 @@ MORE_SAMPLES, LEAST_MORE = 64, 36
 TIERS = (52, 45, LEAST_MORE)
 #: Nodes of a bucket that are compared with one another.
 SMALL, NEIGHBOURS = 6, 4
-#: Nodes of a large bucket that are ordered in one task, about.
+#: Nodes of a large bucket or list that are ordered in one task, about.
 SPLIT = 128
+#: Neighbours are compared in further turns while a turn links one in so many nodes of step 5.
+FEW = 100
 #: Rows of two integers that may be broadcast.
 MOST_BROADCAST = 1_000_000
 PIECE = 1 << 18
@@ -357,37 +360,91 @@ def shingle_rows(rows: DataFrame, idf: np.ndarray) -> DataFrame:
     return rows.select("text", "node").mapInArrow(arrays.released(entries), ENTRY)
 
 
-def prefix_pairs(open_nodes: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """Pairs (a, b, equal) of ``open_nodes`` (node, rep, more, component) of different components, sifted
-    where they meet; the filter itself leaves out no pair whose weighted Jaccard similarity reaches ``similarity``.
+def prefixes(open_nodes: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """Rows (id, node, total, rest, early, more) of the shingles under which ``open_nodes`` (node, rep, more) meet.
 
     ``rest`` is a node's weight from a shingle on, rarest first.  From the first common shingle on
     both nodes must hold the common weight, ``similarity / (1 + similarity)`` of both totals: so the
-    lighter node has ``least`` of its weight left there, and the heavier one ``similarity`` of its own.
+    lighter node has ``least`` of its weight left there (``early``), and the heavier one ``similarity`` of its own.
     """
-    half, least = similarity / (1 + similarity) - 1e-9, 2 * similarity / (1 + similarity) - 1e-9
+    least = 2 * similarity / (1 + similarity) - 1e-9
     reps = sized_broadcast(open_nodes.select("node", "rep"), MOST_BROADCAST, bound=known_rows(open_nodes))
     rows = materialize(shingle_rows(docs.join(reps, docs["doc_id"] == reps["rep"]), idf).dropDuplicates(["id", "node"]), "shingles")
     shared = materialize(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared_shingles")
     after = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0)
     prefix = rows.join(shared, "id").withColumn("rest", F.sum("weight").over(after)).where(F.col("rest") >= (similarity - 1e-9) * F.col("total"))
-    prefix = prefix.join(open_nodes.select("node", "more", "component"), "node").select("id", "node", "total", "rest", "more", "component", (F.col("rest") >= least * F.col("total")).alias("early"))
-    prefix = materialize(prefix, "prefixes")
+    return materialize(prefix.join(open_nodes.select("node", "more"), "node").select("id", "node", "total", "rest", (F.col("rest") >= least * F.col("total")).alias("early"), "more"), "prefixes")
+
+
+def _lists(prefix: DataFrame, parts: DataFrame) -> DataFrame:
+    """``prefix`` without the shingles whose nodes cannot pair, with ``component`` (of ``parts``), the number of
+    a shingle's nodes (``size``) and whether a node is ``outside`` of the component that holds most of them."""
+    prefix = prefix.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     held = prefix.groupBy("id", "component").agg(F.count(F.lit(1)).alias("n"), F.max("early").alias("early"))
-    lists = held.groupBy("id").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.max("early").alias("early"))
-    lists = materialize(lists.where("parts > 1 and early").select("id", F.col("main.component").alias("main")), "prefix_lists")
-    prefix = materialize(prefix.join(lists, "id").withColumn("outside", F.col("component") != F.col("main")).drop("main"), "prefixes")
+    lists = held.groupBy("id").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.max("early").alias("early"), F.sum("n").alias("size"))
+    lists = materialize(lists.where("parts > 1 and early").select("id", "size", F.col("main.component").alias("main")), "prefix_lists")
+    return materialize(prefix.join(lists, "id").withColumn("outside", F.col("component") != F.col("main")).drop("main"), "prefixes")
+
+
+def _sifted_once(pairs: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, equal) of the pairs (``node_x``, ``total_x``, ``more_x`` and ``_y``), each once, that are left by total weights and samples."""
+    near = F.least("total_x", "total_y") >= similarity * F.greatest("total_x", "total_y")
+    first = F.col("node_x") < F.col("node_y")
+    pairs = pairs.where(near).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"),
+                                     F.when(first, F.col("more_x")).otherwise(F.col("more_y")).alias("more_a"), F.when(first, F.col("more_y")).otherwise(F.col("more_x")).alias("more_b"))
+    return _in_common(pairs.groupBy("a", "b").agg(F.first("more_a").alias("more_a"), F.first("more_b").alias("more_b")))   # a pair meets under several shingles
+
+
+def beside_pairs(lists: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """Sifted pairs (a, b, equal) of different components that lie side by side in a shingle's list: nodes are
+    ordered by their samples, beginning with another one for each shingle and ``turn``, so that alike nodes
+    are neighbours.  At most ``NEIGHBOURS`` pairs a row, so they grow as the rows of ``lists``."""
+    begin = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(MORE_SAMPLES)).cast("int")
+    order = F.concat(F.expr("substring(more, begin + 1)"), F.expr("substring(more, 1, begin)"))
+    rows = lists.withColumn("begin", begin).withColumn("order", order).withColumn("part", F.pmod(F.xxhash64("node", "id", F.lit(turn)), F.ceil(F.col("size") / SPLIT)))
+    near = Window.partitionBy("id", "part").orderBy("order", "node")
+    before = F.array(*[F.lag(F.struct("node", "total", "more", "component"), i).over(near) for i in range(1, NEIGHBOURS + 1)])
+    rows = rows.withColumn("before", before)
+    rows = rows.select("node", "total", "more", F.explode(F.filter("before", lambda y: y["component"] != F.col("component"))).alias("y"))
+    sides = [F.col(c).alias(f"{c}_x") for c in ("node", "total", "more")] + [F.col(f"y.{c}").alias(f"{c}_y") for c in ("node", "total", "more")]
+    return _sifted_once(rows.select(*sides), similarity)
+
+
+def prefix_pairs(lists: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b, equal) of different components, sifted where they meet; the filter itself leaves
+    out no pair whose weighted Jaccard similarity reaches ``similarity`` (see :func:`prefixes`)."""
+    half = similarity / (1 + similarity) - 1e-9
 
     def met(x: DataFrame, y: DataFrame) -> DataFrame:
         x, y = (f.select("id", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "total", "rest", "more", "component")]) for f, side in ((x, "x"), (y, "y")))
-        both = x.join(y, "id").where((F.col("component_x") != F.col("component_y")) & (F.least("rest_x", "rest_y") >= half * (F.col("total_x") + F.col("total_y"))))
-        near = F.least("total_x", "total_y") >= similarity * F.greatest("total_x", "total_y")
-        first = F.col("node_x") < F.col("node_y")
-        return both.where(near).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"),
-                                       F.when(first, F.col("more_x")).otherwise(F.col("more_y")).alias("more_a"), F.when(first, F.col("more_y")).otherwise(F.col("more_x")).alias("more_b"))
+        return x.join(y, "id").where((F.col("component_x") != F.col("component_y")) & (F.least("rest_x", "rest_y") >= half * (F.col("total_x") + F.col("total_y"))))
 
-    pairs = met(prefix.where("early and outside"), prefix).unionByName(met(prefix.where("early and not outside"), prefix.where("outside")))
-    return _in_common(pairs.groupBy("a", "b").agg(F.first("more_a").alias("more_a"), F.first("more_b").alias("more_b")))   # a pair meets under several shingles
+    return _sifted_once(met(lists.where("early and outside"), lists).unionByName(met(lists.where("early and not outside"), lists.where("outside"))), similarity)
+
+
+def prefix_components(open_nodes: DataFrame, tested: DataFrame, links: DataFrame, parts: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """The components (``parts`` at first) of ``links`` and all links among ``open_nodes`` (node, rep, more).
+
+    Neighbours in the shingles' lists are compared first, in turns that join what is alike while the turns
+    find much; all pairs that meet in a list and are of different components then still follow.
+    """
+    prefix = prefixes(open_nodes, docs, idf, similarity)
+    turn = 0
+    while True:
+        lists = _lists(prefix, parts)
+        pairs = materialize(beside_pairs(lists, similarity, turn).join(tested, ["a", "b"], "left_anti"), "pairs_beside")
+        found = verified(pairs, nodes, docs, idf, similarity)
+        if not known_rows(pairs) or not known_rows(found):
+            break
+        tested = materialize(tested.unionByName(pairs.select("a", "b")), "tested")
+        links = materialize(links.unionByName(found), "links")
+        parts = connected_components(links)
+        if known_rows(found) * FEW < known_rows(open_nodes):
+            lists = _lists(prefix, parts)
+            break
+        turn += 1
+    rest = materialize(prefix_pairs(lists, similarity).join(tested, ["a", "b"], "left_anti"), "rest_pairs")
+    return verified_in_turn(rest, links, parts, nodes, docs, idf, similarity) if known_rows(rest) else parts
 
 
 def _several(state: DataFrame) -> DataFrame:
@@ -446,12 +503,10 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similar
             break
         tested = materialize(tested.unionByName(more), "tested")
         links = materialize(links.unionByName(found), "links")
-    open_nodes = state.join(materialize(_several(state), "open_buckets"), "key", "left_semi").select("node", "component").distinct()
+    open_nodes = state.join(materialize(_several(state), "open_buckets"), "key", "left_semi").select("node").distinct()
     open_nodes = materialize(open_nodes.join(drawn.select("node", "more"), "node").join(nodes.select("node", "rep"), "node"), "open_nodes")
     if known_rows(open_nodes):
-        rest = materialize(prefix_pairs(open_nodes, docs, idf, similarity).join(tested, ["a", "b"], "left_anti"), "rest_pairs")
-        if known_rows(rest):
-            parts = verified_in_turn(rest, links, parts, nodes, docs, idf, similarity)
+        parts = prefix_components(open_nodes, tested, links, parts, nodes, docs, idf, similarity)
     whole = nodes.select("node", "rep", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     groups = whole.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size")).where("class_size > 1")
     named = materialize(whole.select("node", "component").join(groups, "component").select("node", "class_id", "class_size"), "classes")

@@ -96,6 +96,26 @@ def test_small_groups_inside_a_template_family(spark, make_docs):
     assert {r["doc_id"]: r["class_id"] for r in nd.classes(docs).collect()} == want
 
 
+def test_pairs_of_a_drifting_family_are_few(spark, make_docs, monkeypatch):
+    """Neighbours join the components of a large group before all of a list's other components are paired."""
+    rng = random.Random(3)
+    family = [text(rng, 120)]
+    for _ in range(599):
+        family.append(changed(rng, rng.choice(family[-40:]), rng.choice([1, 2, 2, 3])))
+    rows = list(enumerate(family)) + [(1000 + i, text(rng, 100)) for i in range(900)]
+    made, plain = {}, nd.materialize
+
+    def counted(df, name="table", metrics=None):
+        out = plain(df, name, metrics)
+        made[name] = made.get(name, 0) + nd.known_rows(out)
+        return out
+
+    monkeypatch.setattr(nd, "materialize", counted)
+    got = {r["doc_id"]: r["class_id"] for r in nd.classes(make_docs(rows)).collect()}
+    assert len(set(got.values())) == 1041 and all(got[i] == i for i in got if i >= 1000)
+    assert made["open_nodes"] > 500 and made["rest_pairs"] <= 20
+
+
 def test_edges(make_docs, odd_rows):
     got = sorted((tuple(r) for r in nd.classes(make_docs(odd_rows)).collect()), key=repr)
     one = (4, 4, True), (5, 4, False), (6, 4, False)
