@@ -46,13 +46,13 @@ class PersonPipeline:
     def dictionary(self) -> DataFrame:
         """Normalized dictionary, materialized: small, read by several tiers, and
         its exact row count bounds every broadcast derived from it."""
-        return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
+        return materialize(dc.normalize_dictionary(spread(fx.dict_raw(self.spark, self.sf_dir))), "dictionary")
 
     @cached_property
     def keys(self) -> DataFrame:
         """The dictionary's cascade keys with their targets nested, materialized: the one table that
         matching joins.  Range blocks instead of expanded ranges with ``compact``."""
-        raw = fx.dict_raw(self.spark, self.sf_dir)
+        raw = spread(fx.dict_raw(self.spark, self.sf_dir))
         return materialize(mt.nested_keys(dc.compact_dictionary(raw) if self.compact else dc.normalize_dictionary(raw, distinct=False), self.lengths), "keys")
 
     @cached_property
@@ -141,7 +141,7 @@ class TariffPipeline:
         """Normalized dictionary, materialized (or passed in by another pipeline over the same cells)."""
         if self.shared_dictionary is not None:
             return self.shared_dictionary
-        return materialize(dc.normalize_dictionary(fx.dict_raw(self.spark, self.sf_dir)), "dictionary")
+        return materialize(dc.normalize_dictionary(spread(fx.dict_raw(self.spark, self.sf_dir))), "dictionary")
 
     @cached_property
     def code_counts(self) -> DataFrame:

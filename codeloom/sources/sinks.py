@@ -7,7 +7,8 @@ normally under the cluster's shared folder; a path is never overwritten.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +37,38 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     w.parquet(path)
 
 
+#: Files that a task of a partitioned write keeps open at once.
+OPEN_FILES = 8
+CONF_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _open_files(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+    """Partitioned writes keep up to ``files`` files open, and sort rows by partition only beyond them.
+
+    A setting of the session's own is left as it is.
+    """
+    if int(spark.conf.get(CONF_OPEN_FILES, "0")) > 0:
+        yield
+        return
+    spark.conf.set(CONF_OPEN_FILES, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(CONF_OPEN_FILES)
+
+
 def analysis_file(merged: DataFrame, path: str,
                   work_columns: Sequence[str] = ("code_str", "code_type", "code_prefix", "code_6d"),
                   partition_by: Sequence[str] = ("match_quality",)) -> None:
     """Drop the work columns, keep every other column, write partitioned parquet.
 
     Partitioning by the quality tier lets a downstream sample restriction
-    (E13) prune whole folders.
+    (E13) prune whole folders.  The tiers are few, so a task writes them side by
+    side: the fanned-out rows are not sorted by tier.
     """
-    write_parquet(merged.drop(*work_columns), path, partition_by)
+    with _open_files(merged.sparkSession):
+        write_parquet(merged.drop(*work_columns), path, partition_by)
 
 
 def write_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, table: str | None = None, path: str | None = None) -> str:

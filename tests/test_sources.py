@@ -88,3 +88,32 @@ def test_sheet_is_scanned_once(spark):
     back.createOrReplaceTempView("sheet_rows")
     assert spark.sql("select count(*) from sheet_rows").first()[0] == 60
     spark.catalog.dropTempView("sheet_rows")
+
+
+def test_analysis_file_writes_its_tiers_side_by_side(spark, tmp_path, monkeypatch):
+    """The fanned-out rows are not sorted by tier for the write; the session's setting stays as it was."""
+    from codeloom.sources import sinks
+    conf, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = sinks.write_parquet
+    monkeypatch.setattr(sinks, "write_parquet", lambda *a: (seen.append(int(spark.conf.get(conf))), write(*a)))
+    before = spark.conf.get(conf)
+    rows = [(i, "s", "clean" if i % 2 else None) for i in range(20)]
+    path = str(tmp_path / "analysis")
+    sinks.analysis_file(spark.createDataFrame(rows, "id int, code_str string, match_quality string").coalesce(1), path)
+    assert seen[0] > 1 and spark.conf.get(conf) == before
+    assert sorted((r.id, r.match_quality) for r in spark.read.parquet(path).collect()) == [(i, q) for i, _, q in rows]
+
+
+def test_record_codes_compute_their_key_a_few_times_only(spark, tmp_path):
+    """A scan expression that repeats the key for every class of codes is too large to be compiled."""
+    from codeloom.sources import fixtures as fx
+    rows = [(97 * 3 if n == 8 else 1, p, n, 1.0) for p in (1, 12345, None) for n in (1, 2, 3, 4, 5, 6, 7, 8, None)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    df = fx.src_codes(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("Relation")[0].count("l_partkey") <= 16
+    got = {(r.l_linenumber, r.code) for r in df.where("wt = 1").collect() if r.code is not None}
+    tails = {1: "", 2: "Z", 3: "M1", 4: "P2", 5: "S", 6: "MP", 7: "5", None: "5"}
+    cut = {2: 1, 3: 1, 5: 2, 6: 2}
+    want = {(n, k[:len(k) - cut.get(n, 0)] + t) for k in ("0001", "12345") for n, t in tails.items()}
+    assert got == want | {(8, "x0001x"), (8, "x12345x")}
