@@ -138,10 +138,10 @@ def normalize_tariff(df: DataFrame, hts: str = "hts_raw", code: str = "code",
     ``distinct=False`` skips the full-table dedupe where the consumer is
     insensitive to duplicate rows (the deduplicated concordance).
     """
-    d = df.select(
+    # the cleaned columns are null where the raw ones are: what is tested needs no cleaning
+    d = df.where(F.col(hts).isNotNull() & F.col(code).isNotNull()).select(
         pad_left(digits_only(hts), hts_width).alias("hts10"),
         F.when(is_digits(code), pad_left(code, code_width)).otherwise(F.col(code)).alias("naics"),
         F.col(code).contains(wildcard).alias("naics_ambiguous"),
     )
-    d = d.where(F.col("hts10").isNotNull() & F.col("naics").isNotNull())
     return d.distinct() if distinct else d

@@ -164,13 +164,12 @@ def trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ck = _stem("o_custkey")
     hts = F.when(ok % 2 == 0, F.concat(_left(_stem("o_orderkey"), 2), F.lit("."), ok.cast("string"))) \
         .otherwise(ok.cast("string"))
-    code = (
-        F.when(ok % 4 == 0, F.concat(ck, F.lit("00")))
-        .when(ok % 4 == 1, F.concat(ck, F.lit("XX")))
-        .when(ok % 4 == 2, F.when(ok % 12 == 2, F.concat(_left(ck, 3), F.lit("XXX")))
-              .otherwise(F.concat(_left(F.concat(ck, F.lit("00")), 5), F.lit("X"))))
-        .otherwise(F.concat(ck, F.lit("03")))
-    )
+    # as in src_codes, the key stands in the expression once
+    short, wild = ok % 12 == 2, ok % 4 == 2
+    body = F.concat(ck, F.when(ok % 4 == 0, F.lit("00")).when(ok % 4 == 1, F.lit("XX")).when(wild, F.lit("00")).otherwise(F.lit("03")))
+    keep = F.when(short, F.lit(3)).when(wild, F.lit(5)).otherwise(F.lit(64))
+    tail = F.when(short, F.lit("XXX")).when(wild, F.lit("X")).otherwise(F.lit(""))
+    code = F.concat(F.substring(body, F.lit(1), keep), tail)
     return o.select(hts.alias("hts_raw"), code.alias("code"))
 
 

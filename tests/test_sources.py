@@ -117,3 +117,26 @@ def test_record_codes_compute_their_key_a_few_times_only(spark, tmp_path):
     cut = {2: 1, 3: 1, 5: 2, 6: 2}
     want = {(n, k[:len(k) - cut.get(n, 0)] + t) for k in ("0001", "12345") for n, t in tails.items()}
     assert got == want | {(8, "x0001x"), (8, "x12345x")}
+
+
+def test_trade_codes_by_class(spark, tmp_path):
+    from codeloom.sources import fixtures as fx
+    rows = [(o, c) for o in (4, 5, 2, 6, 7, None) for c in (7, 123456, None)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    df = fx.trade_raw(spark, str(tmp_path))
+    got = {r.code for r in df.collect()}
+    assert got == {None, "000700", "12345600", "0007XX", "123456XX", "000XXX", "123XXX", "00070X", "12345X", "000703", "12345603"}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("Relation")[0].count("o_custkey") <= 6
+
+
+def test_union_tiers_scans_the_trade_table_once(spark, tmp_path):
+    """Its three tiers read the distinct trade rows as written, not the trade table three times."""
+    from codeloom.plans.queries import REGISTRY
+    d = str(tmp_path)
+    spark.createDataFrame([(k, f"Brand#{k % 3}") for k in range(1, 60)], "p_partkey long, p_brand string").write.parquet(f"{d}/part.parquet")
+    spark.createDataFrame([(o, o % 60) for o in range(1, 90)] * 2, "o_orderkey long, o_custkey long").write.parquet(f"{d}/orders.parquet")
+    df = REGISTRY["union_tiers"](spark, d)
+    assert not [f for f in df.inputFiles() if "orders.parquet" in f]
+    rows = df.collect()
+    assert {"ambiguous_prefix"} <= {r.match_type for r in rows}
