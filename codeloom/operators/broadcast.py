@@ -94,6 +94,18 @@ def with_row_bound(df: DataFrame, rows: int | None) -> DataFrame:
     return df
 
 
+def with_size(df: DataFrame, rows: int, size: int) -> DataFrame:
+    """``df`` with a proven bound on its rows and their bytes."""
+    setattr(df, _BYTES_ATTR, int(size))
+    return with_row_bound(df, rows)
+
+
+def like(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``other`` with the bounds that are known of ``df``, from which it has the same rows."""
+    setattr(other, _BYTES_ATTR, getattr(df, _BYTES_ATTR, None))
+    return with_row_bound(other, known_rows(df))
+
+
 def bound_from(df: DataFrame, factor: int = 1) -> int | None:
     """Upper bound for a table derived from ``df`` with at most ``factor`` rows per row."""
     n = known_rows(df)

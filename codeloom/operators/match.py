@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from codeloom.functions.classify import rank_of
 from codeloom.functions.text import strip_trailing
-from codeloom.operators.broadcast import bound_from, sized_broadcast, skew_safe_join, with_row_bound
+from codeloom.operators.broadcast import bound_from, like, sized_broadcast, skew_safe_join, with_row_bound
 from codeloom.operators.codes import drop_codes_filter
 from codeloom.operators.nested import fanned_out, first_per, nested
 
@@ -214,6 +214,35 @@ def matched_entries(codes: DataFrame, keys: DataFrame, lengths: Sequence[int] =
     return first_per(several, "entries", "target")
 
 
+def longest_keys(codes: DataFrame, prefixes: DataFrame, exact: DataFrame, lengths: Sequence[int] = PREFIX_LENGTHS, width: int = 6, code: str = "code_str") -> DataFrame:
+    """``codes`` with the longest key that they have: ``(L, key)`` and the other columns of its row in
+    ``exact``, or ``(L, key)`` among ``prefixes`` and nulls for those; ``L`` is 0 and ``key`` null without a match.
+
+    The cascade of :func:`matched_entries` with a left join for each length instead of a group per
+    code: a row stays a row, and where the keys are small no row moves.  ``prefixes`` holds distinct
+    ``(L, key)``, ``exact`` has one row per ``key``.  A code without a key of some length has another
+    tier there (-1), under its own text, so that a shuffle join doesn't gather such codes.
+    """
+    own = {n: F.when(F.length(F.substring("code_prefix", 1, n)) == n, F.substring("code_prefix", 1, n)) for n in lengths}
+    own[width] = F.when(F.col("code_type") == "numeric", F.col("code_6d"))
+
+    def found(d: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+        same = F.coalesce(own[n], F.col(code)) == keys[f"__k{n}"]
+        return d.join(keys, same & (F.when(own[n].isNotNull(), F.lit(n)).otherwise(F.lit(-1)) == keys[f"__l{n}"]), "left")
+
+    rest = [c for c in exact.columns if c != "key"]
+    named = lambda k, n, *more: k.select(F.col("key").alias(f"__k{n}"), (F.col("L") if "L" in k.columns else F.lit(n)).alias(f"__l{n}"), *more)
+    ex = sized_broadcast(like(exact, named(exact, width, *rest)))
+    pre = lambda n: sized_broadcast(like(prefixes, named(prefixes, n)))
+    d = codes
+    for n in lengths:
+        d = found(d, pre(n), n)
+    d = found(d, ex, width)
+    order = [width, *sorted(lengths, reverse=True)]
+    longest = F.coalesce(*[F.col(f"__l{n}") for n in order], F.lit(0)).alias("L")
+    return d.select(*codes.columns, longest, F.coalesce(*[F.col(f"__k{n}") for n in order]).alias("key"), *rest)
+
+
 def match_longest_prefix(codes: DataFrame, dictionary: DataFrame,
                          lengths: Sequence[int] = PREFIX_LENGTHS, width: int = 6,
                          key: str = "key6", reduced: bool = False) -> DataFrame:

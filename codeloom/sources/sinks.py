@@ -7,7 +7,7 @@ normally under the cluster's shared folder; a path is never overwritten.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +29,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).option("header", "true").csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> None:
     """Native columnar sink."""
-    w = df.write.mode("errorifexists")
+    w = df.write.mode("errorifexists").options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -42,20 +42,34 @@ OPEN_FILES = 8
 CONF_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
+#: Rows of a page (20,000 by default) where most columns repeat: such a page has a few KB, and a cost
+#: for each page is most of what it costs.  A page still ends at its size in bytes.
+FLAT_PAGES = {"parquet.page.row.count.limit": "200000"}
+
+
+#: Bytes of shuffled rows that a task of a fanned-out write takes (64 MB by default): each makes many
+#: rows, and a few long tasks leave cores idle at the end.
+TASK_BYTES = 16 << 20
+CONF_TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
 @contextmanager
-def _open_files(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
-    """Partitioned writes keep up to ``files`` files open, and sort rows by partition only beyond them.
+def _open_files(spark: SparkSession, files: int = OPEN_FILES, task_bytes: int = TASK_BYTES) -> Iterator[None]:
+    """Partitioned writes keep up to ``files`` files open, and sort rows by partition only beyond them;
+    a task after a shuffle takes ``task_bytes``.
 
     A setting of the session's own is left as it is.
     """
-    if int(spark.conf.get(CONF_OPEN_FILES, "0")) > 0:
-        yield
-        return
-    spark.conf.set(CONF_OPEN_FILES, str(files))
+    ours = {} if int(spark.conf.get(CONF_OPEN_FILES, "0")) > 0 else {CONF_OPEN_FILES: str(files)}
+    if spark.conf.get(CONF_TASK_BYTES, None) is None:
+        ours[CONF_TASK_BYTES] = str(task_bytes)
     try:
+        for k, v in ours.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.unset(CONF_OPEN_FILES)
+        for k in ours:
+            spark.conf.unset(k)
 
 
 def analysis_file(merged: DataFrame, path: str,
@@ -68,7 +82,7 @@ def analysis_file(merged: DataFrame, path: str,
     side: the fanned-out rows are not sorted by tier.
     """
     with _open_files(merged.sparkSession):
-        write_parquet(merged.drop(*work_columns), path, partition_by)
+        write_parquet(merged.drop(*work_columns), path, partition_by, FLAT_PAGES)
 
 
 def write_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, table: str | None = None, path: str | None = None) -> str:

@@ -65,6 +65,60 @@ def test_graded_lists_equal_grouped_rows(spark, seed):
     assert _rows(al.graded_rows(al.sample_lists(lists, None, True))) == _rows(al.quality_sample(want, None, True))
 
 
+@pytest.mark.parametrize("seed,rows,size", [(41, None, None), (42, 1, None), (43, None, 1), (44, 40, None)])
+def test_allocation_by_key_equals_allocation_by_code(spark, seed, rows, size):
+    """With entries broadcast by key, with nothing broadcast, with entries too large for it, with some keys in bounds."""
+    d, codes = _random_world(spark, seed)
+    rnd = random.Random(seed)
+    some = [r.code for r in codes.collect()]
+    own = [(rnd.choice(some + ["nowhere"]), f"T{rnd.randrange(8)}", rnd.random() < 0.5, mt.MANUAL) for _ in range(20)]
+    overrides, drop = spark.createDataFrame(own, mt.MATCH_SCHEMA), tuple(some[:3])
+    raw = [*some, *(f" {c}\u00a0" for c in some[:20]), "0", "QQQQ", "", None, *some[:5] * 9]
+    facts = spark.createDataFrame([(i, c, float(i % 7)) for i, c in enumerate(raw)], "id long, code string, wt double")
+    stats = materialize(al.code_stats(facts), "code_stats")
+    cmap = cd.code_map(stats, "code_raw", already_distinct=True)
+    keys = materialize(mt.nested_keys(d), "keys", al.key_sizes())
+    conf = {"spark.codeloom.broadcast.maxRows": rows, "spark.codeloom.broadcast.maxBytes": size}
+    want = al.allocate(facts, cmap, al.graded_lists(cd.codes_from_map(cmap), mt.nested_keys(d), overrides, drop), drop_codes=drop)
+    want = _rows(want)
+    try:
+        for k, v in conf.items():
+            if v is not None:
+                spark.conf.set(k, str(v))
+        named = cd.codes_from_map(cmap).join(overrides.select("code"), "code", "left_semi")
+        got = al.allocate_by_key(facts, cmap, keys, al.graded_rows(al.graded_lists(named, keys, overrides, drop)), drop_codes=drop, stats=stats, record_key=("id",))
+        assert _rows(got) == want
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_key_sizes_are_those_of_the_rows(spark):
+    d, _ = _random_world(spark, 45)
+    keys = materialize(mt.nested_keys(d), "keys", al.key_sizes())
+    got, full = observed(keys), keys.where("L = 6").count()
+    assert (got["exact_rows"], got["prefix_rows"]) == (full, keys.count() - full - 1)
+    entries = keys.where("L between 1 and 5").agg(F.sum(F.size("entries"))).first()[0]
+    assert got["prefix_bytes"] >= entries * 40 + got["prefix_rows"] * 112
+
+
+def test_entries_of_a_prefix_are_not_written_for_each_code(spark, tmp_path, monkeypatch):
+    """Many codes share a prefix with many targets: its entries are kept once, not with each code."""
+    from codeloom.operators import broadcast as bc
+    d, written, write = str(tmp_path), [], bc.materialize
+    spark.createDataFrame([(1_230_000 + 10 * i, f"Brand#{i % 25}") for i in range(60)], "p_partkey long, p_brand string").write.parquet(f"{d}/part.parquet")
+    # a tail that no dictionary code has: each code differs and has only the prefix in common
+    lines = [(1, 1_230_000 + i, 4, 1.0) for i in range(400)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double").write.parquet(f"{d}/lineitem.parquet")
+    monkeypatch.setattr(bc, "materialize", lambda df, *a: written.append(write(df, *a)) or written[-1])
+    p = PersonPipeline(spark, d)
+    rows = p.merged().count()
+    lookup = written[-1]
+    arrays = [f.name for f in lookup.schema.fields if f.dataType.typeName() == "array"]
+    assert lookup.count() == 400 and rows >= 4000
+    assert lookup.agg(F.sum(F.coalesce(F.size(arrays[0]), F.lit(0)))).first()[0] < 400
+
+
 def test_lists_of_an_empty_dictionary(spark):
     d, codes = spark.createDataFrame([], DICT_SCHEMA), _codes(spark, ["1111", "92MP"])
     lists = al.graded_lists(codes, mt.nested_keys(d), mt.override_table(spark))

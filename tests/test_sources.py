@@ -104,6 +104,27 @@ def test_analysis_file_writes_its_tiers_side_by_side(spark, tmp_path, monkeypatc
     assert sorted((r.id, r.match_quality) for r in spark.read.parquet(path).collect()) == [(i, q) for i, _, q in rows]
 
 
+def test_analysis_file_takes_small_tasks_and_wide_pages(spark, tmp_path, monkeypatch):
+    """Shuffled rows that fan out are dealt into tasks of 16 MB, unless the session says otherwise."""
+    from codeloom.sources import sinks
+    conf, seen = "spark.sql.adaptive.advisoryPartitionSizeInBytes", []
+    write = sinks.write_parquet
+    monkeypatch.setattr(sinks, "write_parquet", lambda *a: (seen.append((spark.conf.get(conf), a[3])), write(*a)))
+    df = spark.createDataFrame([(i, "clean") for i in range(9)], "id int, match_quality string")
+    before = spark.conf.get(conf, None)
+    try:
+        sinks.analysis_file(df, str(tmp_path / "a"))
+        assert spark.conf.get(conf, None) == before
+        spark.conf.set(conf, "32m")
+        sinks.analysis_file(df, str(tmp_path / "b"))
+        assert spark.conf.get(conf) == "32m"
+    finally:
+        spark.conf.unset(conf)
+    assert [int(seen[0][0]), seen[1][0]] == [16 << 20, "32m"]
+    assert all(int(o["parquet.page.row.count.limit"]) > 20_000 for _, o in seen)
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 9
+
+
 def test_record_codes_compute_their_key_a_few_times_only(spark, tmp_path):
     """A scan expression that repeats the key for every class of codes is too large to be compiled."""
     from codeloom.sources import fixtures as fx
